@@ -127,7 +127,10 @@ FROM supplier""")
 cte("stg_store", [], f"""
 SELECT c_custkey AS business_entity_id,
        'Store ' || CAST(c_custkey AS VARCHAR) AS store_name,
-       {_days_after('2001-02-01 00:00:00', 'c_custkey % 20')} AS modified_at
+       {_uuid('c_custkey')} AS row_guid,
+       {_days_after('2001-02-01 00:00:00', 'c_custkey % 20')} AS modified_at,
+       {LOADED_AT} AS _loaded_at,
+       'sales.store' AS _source_table
 FROM customer WHERE c_custkey % 10 BETWEEN 5 AND 8""")
 
 cte("stg_product", [], f"""
@@ -153,7 +156,8 @@ SELECT p_partkey AS product_id,
        CAST(NULL AS INTEGER) AS product_model_id,
        TIMESTAMP '1995-01-01 00:00:00' AS sell_start_date,
        CAST(NULL AS TIMESTAMP) AS sell_end_date,
-       CAST(NULL AS TIMESTAMP) AS discontinued_date
+       CAST(NULL AS TIMESTAMP) AS discontinued_date,
+       {LOADED_AT} AS _loaded_at
 FROM part""")
 
 cte("stg_salesterritory", [], f"""
@@ -177,7 +181,10 @@ SELECT special_offer_id,
        TIMESTAMP '2001-12-31 00:00:00' AS end_date,
        0 AS minimum_quantity,
        CAST(NULL AS INTEGER) AS maximum_quantity,
-       {_days_after('2001-01-01 00:00:00', 'special_offer_id')} AS modified_at
+       {_uuid('special_offer_id')} AS row_guid,
+       {_days_after('2001-01-01 00:00:00', 'special_offer_id')} AS modified_at,
+       {LOADED_AT} AS _loaded_at,
+       'sales.specialoffer' AS _source_table
 FROM (SELECT DISTINCT CAST(round(l_discount * 100) AS INTEGER) + 1 AS special_offer_id
       FROM lineitem)""")
 
@@ -190,19 +197,30 @@ SELECT s_suppkey * 2 + 1 AS business_entity_id,
        CAST((s_suppkey % 3) / 100 AS DECIMAL(10,4)) AS commission_pct,
        CAST(0 AS DECIMAL(19,4)) AS sales_ytd,
        CAST(0 AS DECIMAL(19,4)) AS sales_last_year,
-       {_days_after('2001-01-01 00:00:00', 's_suppkey % 30')} AS modified_at
+       {_uuid('s_suppkey * 2 + 1')} AS row_guid,
+       {_days_after('2001-01-01 00:00:00', 's_suppkey % 30')} AS modified_at,
+       {LOADED_AT} AS _loaded_at,
+       'sales.salesperson' AS _source_table
 FROM supplier""")
 
 cte("stg_employee", [], f"""
 SELECT s_suppkey * 2 + 1 AS business_entity_id,
+       CAST(s_suppkey AS VARCHAR) AS national_id_number,
+       'sp' || CAST(s_suppkey AS VARCHAR) AS login_id,
        'Sales Representative' AS job_title,
+       CASE WHEN s_suppkey % 2 = 0 THEN 'M' ELSE 'S' END AS marital_status,
+       CASE WHEN s_suppkey % 3 = 0 THEN 'F' ELSE 'M' END AS gender,
        CAST(DATE '1970-01-01' + CAST(s_suppkey % 3650 AS INTEGER) AS DATE) AS birth_date,
        CAST(DATE '1994-01-01' + CAST(s_suppkey % 365 AS INTEGER) AS DATE) AS hire_date,
        s_suppkey % 2 = 0 AS is_salaried,
        CAST(s_suppkey % 100 AS SMALLINT) AS vacation_hours,
        CAST(s_suppkey % 70 AS SMALLINT) AS sick_leave_hours,
        TRUE AS is_current,
-       {_days_after('2001-02-01 00:00:00', 's_suppkey % 20')} AS modified_at
+       {_uuid('s_suppkey * 2 + 1')} AS row_guid,
+       {_days_after('2001-02-01 00:00:00', 's_suppkey % 20')} AS modified_at,
+       '/1/' || CAST(s_suppkey AS VARCHAR) || '/' AS organization_node,
+       {LOADED_AT} AS _loaded_at,
+       'humanresources.employee' AS _source_table
 FROM supplier""")
 
 # ----------------------------------------------------------- intermediate
@@ -388,3 +406,36 @@ LEFT JOIN dim_customer c ON f.customer_id = c.customer_id
 LEFT JOIN dim_sales_person sp ON f.sales_person_id = sp.sales_person_id
 LEFT JOIN dim_sales_territory t ON f.territory_id = t.territory_id
 LEFT JOIN dim_special_offer o ON f.special_offer_id = o.special_offer_id""")
+
+
+# ---------------------------------------------------------------- quality
+def _lit(v) -> str:
+    return f"'{v}'" if isinstance(v, str) else str(v)
+
+
+def rule_count_sql(rule) -> str:
+    head = (f"SELECT '{rule.rule_id}' AS rule_id, '{rule.kind}' AS kind, '{rule.model}' AS model, "
+            f"'{rule.column}' AS column_name, '{rule.severity}' AS severity, ")
+    c = rule.column
+    if rule.kind == "not_null":
+        return head + f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS failures FROM {rule.model}"
+    if rule.kind == "accepted_values":
+        vals = ", ".join(_lit(v) for v in rule.values)
+        return head + (f"CAST(count(DISTINCT CASE WHEN {c} NOT IN ({vals}) THEN {c} END) AS BIGINT)"
+                       f" AS failures FROM {rule.model}")
+    if rule.kind == "unique":
+        return head + (f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {c} FROM {rule.model} "
+                       f"WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)")
+    if rule.kind == "relationships":
+        return head + (f"CAST(count(*) AS BIGINT) AS failures FROM {rule.model} ch "
+                       f"WHERE ch.{c} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {rule.to_model} pa "
+                       f"WHERE pa.{rule.to_column} = ch.{c})")
+    raise ValueError(rule.kind)
+
+
+def rule_counts_sql(rules) -> str:
+    body = "\nUNION ALL\n".join(rule_count_sql(r) for r in rules)
+    models = sorted({r.model for r in rules} | {r.to_model for r in rules if r.to_model})
+    select = (f"SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' "
+              f"ELSE 'fail' END AS status FROM (\n{body}\n)")
+    return sql(select, *models)
