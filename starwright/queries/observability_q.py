@@ -1 +1,429 @@
-"""Registered measure queries (filled in below)."""
+"""Observability queries (telemetry from ``events``, lineage, profiles)."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from starwright import oracle as O
+from starwright.operators.contracts import CONTRACTS, declared_columns
+from starwright.plans import profile, reports
+from starwright.plans.rules import ACCEPTED_VALUES
+from starwright.plans.telemetry import (
+    EVENT_STATUS, MODEL_NODES, SOURCE_TABLES, TEST_KINDS, OBJECT_TABLE_NAMES, Telemetry,
+    manifest_rows,
+)
+from starwright.plans.warehouse import MODEL_LAYERS, Warehouse
+from starwright.registry import register
+
+CHECKED_AT = dt.datetime(2024, 1, 31, 12, 0, 0)
+
+
+def _list(values) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+_STATUS_CASE = "CASE event_type " + " ".join(
+    f"WHEN '{raw}' THEN '{word}'" for raw, word in EVENT_STATUS) + " ELSE 'not_started' END"
+_IDX = "(user_id % 10) + 1"
+_TABLES = _list([t for _, t in SOURCE_TABLES])
+_SCHEMAS = _list([s for s, _ in SOURCE_TABLES])
+
+O.cte("tm_events", [], f"""
+SELECT event_id, ts, value, props,
+       CASE WHEN day(ts) % 7 = 0 THEN 'manual__' ELSE 'scheduled__' END
+         || strftime(ts, '%Y-%m-%d') AS run_id,
+       'inv-' || strftime(ts, '%Y%m%d') AS invocation_id,
+       {_SCHEMAS}[{_IDX}] || '.' || {_TABLES}[{_IDX}] AS source_table,
+       {_TABLES}[{_IDX}] AS table_name,
+       {_STATUS_CASE} AS status,
+       {_list(TEST_KINDS)}[((user_id // 10) % 4) + 1] || '_stg_' || {_TABLES}[{_IDX}]
+         || '_c' || CAST((user_id // 10) % 5 AS VARCHAR) AS test_name,
+       {_list(MODEL_NODES)}[(event_id % {len(MODEL_NODES)}) + 1] AS model_name
+FROM events""")
+
+O.cte("tm_tests", ["tm_events"], """
+SELECT invocation_id, run_id AS orchestrator_run_id,
+       'test.adventure_works.' || test_name AS test_unique_id, test_name,
+       'generic' AS test_type,
+       CASE WHEN status = 'warn' THEN 'warn' ELSE 'error' END AS severity,
+       status,
+       CASE WHEN status IN ('failed', 'warn') THEN CAST(floor(value) AS BIGINT)
+            ELSE CAST(0 AS BIGINT) END AS failures,
+       value AS execution_seconds,
+       CASE WHEN status IN ('failed', 'warn')
+            THEN 'Got ' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) || ' results' END
+         AS message,
+       ['model.adventure_works.stg_' || table_name] AS depends_on,
+       ts AS collected_at, event_id
+FROM tm_events""")
+
+O.cte("tm_runs", ["tm_tests"], """
+SELECT invocation_id, orchestrator_run_id,
+       min(collected_at) AS generated_at, max(collected_at) AS collected_at,
+       CASE WHEN bool_or(lower(status) IN ('error', 'fail', 'failed', 'runtime error'))
+            THEN 'error'
+            WHEN bool_or(lower(status) IN ('warn', 'warning')) THEN 'warn'
+            ELSE 'success' END AS status,
+       CAST(sum(CAST(execution_seconds AS DECIMAL(18,3))) AS DECIMAL(38,3)) AS elapsed_seconds,
+       CAST(count(*) AS BIGINT) AS test_nodes,
+       CAST(count(*) FILTER (WHERE lower(status) IN ('error', 'fail', 'failed', 'runtime error'))
+            AS BIGINT) AS failed_tests
+FROM tm_tests GROUP BY 1, 2""")
+
+_OBJ = "CASE table_name " + " ".join(
+    f"WHEN '{k}' THEN '{v}'" for k, v in OBJECT_TABLE_NAMES.items()) + " ELSE table_name END"
+
+O.cte("tm_ingestion", ["tm_events"], f"""
+SELECT run_id, source_table,
+       rows AS source_row_count,
+       CASE WHEN ok THEN rows END AS raw_row_count,
+       CASE WHEN ok THEN 'raw/' || obj || '/load_date=' || strftime(started_at, '%Y-%m-%d')
+                         || '/' || obj || '.parquet' END AS minio_object,
+       CASE WHEN ok THEN file_size_bytes END AS file_size_bytes,
+       started_at,
+       CASE WHEN ok THEN finished_at END AS minio_uploaded_at,
+       CASE WHEN ok THEN finished_at END AS raw_loaded_at,
+       finished_at, duration_seconds,
+       CASE WHEN ok THEN 'success' ELSE 'failed' END AS status,
+       CASE WHEN NOT ok THEN 'load failed: ' || source_table END AS error_message
+FROM (SELECT run_id, source_table, table_name, {_OBJ} AS obj,
+             arg_min(status, (ts, event_id)) <> 'failed' AS ok,
+             min(ts) AS started_at, max(ts) AS finished_at,
+             CAST(count(*) AS BIGINT) AS rows,
+             CAST(sum(CAST(value AS DECIMAL(18,3))) AS DECIMAL(38,3)) AS duration_seconds,
+             CAST(sum(length(props)) AS BIGINT) AS file_size_bytes
+      FROM tm_events GROUP BY run_id, source_table, table_name) g""")
+
+O.cte("tm_pipeline", ["tm_events"], """
+SELECT run_id, started_at, finished_at,
+       CAST((epoch_us(finished_at) - epoch_us(started_at)) // 1000000 AS BIGINT)
+         AS duration_seconds,
+       status,
+       CASE WHEN status = 'failed' THEN 'pipeline failed' END AS error_message
+FROM (SELECT run_id, min(ts) AS started_at, max(ts) AS finished_at,
+             arg_max(status, (ts, event_id)) AS status
+      FROM tm_events GROUP BY run_id) g""")
+
+_TRIGGER = ("CASE WHEN run_id IS NULL OR run_id = '' THEN NULL "
+            "WHEN starts_with(run_id, 'manual__') THEN 'manual' "
+            "WHEN starts_with(run_id, 'scheduled__') OR starts_with(run_id, 'backfill__') "
+            "THEN 'scheduled' ELSE 'other' END")
+
+_NORM = ("CASE WHEN lower(COALESCE({s}, 'not_started')) IN ('success', 'pass', 'passed') "
+         "THEN 'success' "
+         "WHEN lower(COALESCE({s}, 'not_started')) IN ('warn', 'warning') THEN 'warning' "
+         "WHEN lower(COALESCE({s}, 'not_started')) IN ('error', 'fail', 'failed', "
+         "'runtime error') THEN 'failed' "
+         "WHEN lower(COALESCE({s}, 'not_started')) IN ('running', 'started') THEN 'running' "
+         "WHEN lower(COALESCE({s}, 'not_started')) = 'blocked' THEN 'blocked' "
+         "WHEN lower(COALESCE({s}, 'not_started')) IN ('skipped', 'not_applicable') "
+         "THEN 'not_applicable' "
+         "WHEN lower(COALESCE({s}, 'not_started')) IN ('unmonitored', 'not_monitored') "
+         "THEN 'unmonitored' ELSE 'not_started' END")
+
+
+def _tm(spark, sf_dir) -> Telemetry:
+    return Telemetry(spark, sf_dir)
+
+
+@register("run_history", O.sql(f"""
+SELECT p.run_id, p.started_at, p.finished_at, p.duration_seconds, p.status, p.error_message,
+       CAST(COALESCE(c.dataset_count, 0) AS BIGINT) AS dataset_count,
+       {_TRIGGER.replace('run_id', 'p.run_id')} AS trigger_type
+FROM tm_pipeline p
+LEFT JOIN (SELECT run_id, count(source_table) AS dataset_count FROM tm_ingestion GROUP BY 1) c
+  USING (run_id)
+ORDER BY p.started_at DESC LIMIT 20""", "tm_pipeline", "tm_ingestion"))
+def run_history(spark, sf_dir):
+    """K-3: the 20 newest runs with dataset count and trigger type."""
+    return reports.run_history(_tm(spark, sf_dir), 20)
+
+
+@register("ingestion_rollup", O.sql("""
+SELECT run_id, max(finished_at) AS finished_at,
+       CAST(sum(duration_seconds) AS DECIMAL(38,3)) AS duration_seconds,
+       bool_and(status = 'success') AS successful,
+       bool_and(source_row_count IS NOT NULL) AS source_complete,
+       bool_and(minio_uploaded_at IS NOT NULL) AS minio_complete,
+       bool_and(raw_loaded_at IS NOT NULL) AS raw_complete,
+       CAST(count(*) AS BIGINT) AS datasets
+FROM tm_ingestion GROUP BY run_id""", "tm_ingestion"))
+def ingestion_rollup(spark, sf_dir):
+    """A-7: per-run ingestion completeness (bool_and ×4, max, sum, count)."""
+    return reports.ingestion_rollup(_tm(spark, sf_dir))
+
+
+@register("dbt_run_rollup", O.sql("""
+SELECT orchestrator_run_id, max(collected_at) AS collected_at,
+       CASE WHEN bool_or(status IN ('error', 'failed')) THEN 'error'
+            WHEN bool_or(status IN ('warn', 'warning')) THEN 'warn' ELSE 'success' END AS status,
+       CAST(sum(elapsed_seconds) AS DECIMAL(38,3)) AS elapsed_seconds,
+       CAST(sum(test_nodes) AS BIGINT) AS test_nodes,
+       CAST(sum(failed_tests) AS BIGINT) AS failed_tests
+FROM tm_runs GROUP BY orchestrator_run_id""", "tm_runs"))
+def dbt_run_rollup(spark, sf_dir):
+    """A-8 / A-16 / A-17: per orchestrated run status precedence and counts."""
+    return reports.dbt_run_rollup(_tm(spark, sf_dir))
+
+
+_LATEST_RUN = ("(SELECT orchestrator_run_id FROM tm_runs WHERE orchestrator_run_id IS NOT NULL "
+               "ORDER BY collected_at DESC LIMIT 1)")
+
+
+@register("run_tests_latest", O.sql(f"""
+SELECT t.test_name, t.test_type, t.status, t.failures AS failed_records, t.execution_seconds,
+       t.message AS error_message, t.depends_on
+FROM tm_tests t JOIN tm_runs r USING (invocation_id)
+WHERE r.orchestrator_run_id = {_LATEST_RUN}
+ORDER BY t.status DESC, t.test_name""", "tm_tests", "tm_runs"))
+def run_tests_latest(spark, sf_dir):
+    """K-6 / J-15 / O-4: tests of the latest orchestrated run."""
+    return reports.run_tests(_tm(spark, sf_dir))
+
+
+@register("data_quality_summary", O.sql(f"""
+SELECT COALESCE(l.generated_at, l.collected_at) AS last_run_at, l.orchestrator_run_id AS run_id,
+       c.total, c.passed, c.warnings, c.failed
+FROM (SELECT * FROM tm_runs WHERE orchestrator_run_id IS NOT NULL
+      ORDER BY collected_at DESC LIMIT 1) l
+CROSS JOIN (
+  SELECT CAST(count(*) AS BIGINT) AS total,
+         CAST(count(*) FILTER (WHERE {_NORM.format(s='status')} = 'success') AS BIGINT) AS passed,
+         CAST(count(*) FILTER (WHERE {_NORM.format(s='status')} = 'warning') AS BIGINT)
+           AS warnings,
+         CAST(count(*) FILTER (WHERE {_NORM.format(s='status')} = 'failed') AS BIGINT) AS failed
+  FROM tm_tests WHERE invocation_id IN (
+    SELECT invocation_id FROM tm_runs WHERE orchestrator_run_id = {_LATEST_RUN})) c""",
+                                       "tm_tests", "tm_runs"))
+def data_quality_summary(spark, sf_dir):
+    """K-11 / A-18 / J-12: pass / warning / fail counts of the latest run."""
+    return reports.data_quality_summary(_tm(spark, sf_dir))
+
+
+@register("latest_test_results", O.sql("""
+SELECT dataset, invocation_id, test_unique_id, test_name, test_type, severity, status, failures,
+       message, execution_seconds
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY status DESC, test_name) AS k
+  FROM (
+    SELECT d.dataset, t.*, row_number() OVER (
+             PARTITION BY d.dataset, t.test_unique_id
+             ORDER BY r.collected_at DESC, t.collected_at DESC, t.event_id DESC) AS rn
+    FROM tm_tests t JOIN tm_runs r USING (invocation_id)
+    JOIN (SELECT DISTINCT split_part(source_table, '.', -1) AS dataset FROM tm_ingestion) d
+      ON contains(lower(array_to_string(t.depends_on, '|')), d.dataset)
+  ) x WHERE rn = 1
+) y WHERE k <= 50""", "tm_tests", "tm_runs", "tm_ingestion"))
+def latest_test_results(spark, sf_dir):
+    """K-7 / W-1 / J-20: latest result per test for every dataset (≤ 50 each)."""
+    return reports.latest_test_results(_tm(spark, sf_dir), 50)
+
+
+@register("incidents", O.sql("""
+SELECT * FROM (
+  SELECT run_id, finished_at AS occurred_at, 'ingestion' AS origin,
+         'Ingestion: ' || source_table AS test_name, 'error' AS severity, status,
+         CAST(NULL AS BIGINT) AS invalid_records, error_message AS error,
+         [source_table] AS depends_on,
+         CAST(NULL AS VARCHAR) AS owner_name, CAST(NULL AS VARCHAR) AS owner_email
+  FROM tm_ingestion WHERE status = 'failed'
+  UNION ALL
+  SELECT r.orchestrator_run_id, r.collected_at, 'dbt_test', t.test_name, t.severity, t.status,
+         t.failures, t.message, t.depends_on, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR)
+  FROM tm_tests t JOIN tm_runs r USING (invocation_id)
+  WHERE lower(t.status) IN ('error', 'fail', 'failed', 'runtime error')
+) u ORDER BY occurred_at DESC, origin, test_name, run_id LIMIT 100""",
+                             "tm_ingestion", "tm_tests", "tm_runs"))
+def incidents(spark, sf_dir):
+    """K-13 / U-2: failed ingestions ∪ failed tests, newest 100."""
+    return reports.incidents(_tm(spark, sf_dir), 100)
+
+
+_CHECKED = f"TIMESTAMP '{CHECKED_AT:%Y-%m-%d %H:%M:%S}'"
+
+
+@register("dataset_freshness_sla", O.sql(f"""
+SELECT dataset, source_updated_at, minio_updated_at, warehouse_updated_at,
+       analytics_updated_at, sla_minutes,
+       CASE WHEN warehouse_updated_at IS NULL THEN 'failed'
+            WHEN analytics_updated_at IS NULL THEN 'warning'
+            WHEN ((epoch_us({_CHECKED}) - epoch_us(analytics_updated_at)) // 1000000) / 60
+                 > sla_minutes THEN 'warning'
+            ELSE stored_status END AS status
+FROM (SELECT i.source_table AS dataset, i.started_at AS source_updated_at,
+             i.minio_uploaded_at AS minio_updated_at, i.raw_loaded_at AS warehouse_updated_at,
+             CASE WHEN p.status = 'success' THEN p.finished_at END AS analytics_updated_at,
+             1440 AS sla_minutes, i.status AS stored_status
+      FROM tm_ingestion i LEFT JOIN tm_pipeline p USING (run_id)
+      WHERE i.run_id = (SELECT run_id FROM tm_pipeline ORDER BY started_at DESC LIMIT 1)) x""",
+                                        "tm_ingestion", "tm_pipeline"))
+def dataset_freshness_sla(spark, sf_dir):
+    """B-4 / K-9: dataset freshness of the latest run against the SLA."""
+    return reports.dataset_freshness(_tm(spark, sf_dir), CHECKED_AT)
+
+
+# ------------------------------------------------------------------ lineage
+def _manifest_values() -> str:
+    rows = []
+    for nid, name, rtype, path, deps in manifest_rows():
+        rows.append(f"('{nid}', '{name}', '{rtype}', '{path}', {_list(deps)}::VARCHAR[])")
+    return "VALUES " + ", ".join(rows)
+
+
+O.cte("lg_nodes", [], f"""
+SELECT node_unique_id, node_name, resource_type,
+       CASE WHEN contains(replace(path, '\\', '/'), 'models/staging/') THEN 'staging'
+            WHEN contains(replace(path, '\\', '/'), 'models/intermediate/') THEN 'intermediate'
+            WHEN contains(replace(path, '\\', '/'), 'models/analytics/') THEN 'analytics'
+       END AS layer,
+       depends_on
+FROM ({_manifest_values()}) v(node_unique_id, node_name, resource_type, path, depends_on)""")
+O.cte("lg_edges", ["lg_nodes"], """
+SELECT unnest(depends_on) AS parent, node_unique_id AS child FROM lg_nodes""")
+
+_AGG = f"""
+       count(status) AS n,
+       bool_or(status IS NOT NULL AND {_NORM.format(s='status')} = 'failed') AS any_failed,
+       bool_or(status IS NOT NULL AND {_NORM.format(s='status')} = 'running') AS any_running,
+       bool_or(status IS NOT NULL AND {_NORM.format(s='status')} IN ('warning', 'blocked'))
+         AS any_warning,
+       count(*) FILTER (WHERE status IS NOT NULL
+                        AND {_NORM.format(s='status')} <> 'not_applicable') AS applicable,
+       count(*) FILTER (WHERE status IS NOT NULL
+                        AND {_NORM.format(s='status')} IN ('not_started', 'unmonitored')) AS idle,
+       count(*) FILTER (WHERE status IS NOT NULL
+                        AND {_NORM.format(s='status')} = 'success') AS succeeded"""
+_AGG_VALUE = """
+CASE WHEN COALESCE(any_failed, false) THEN 'failed'
+     WHEN COALESCE(any_running, false) THEN 'running'
+     WHEN COALESCE(any_warning, false) THEN 'warning'
+     WHEN n = 0 OR applicable = 0 OR applicable = idle THEN 'not_started'
+     WHEN succeeded = applicable THEN 'success' ELSE 'warning' END"""
+
+
+def _stage_sql() -> str:
+    return f"""
+WITH RECURSIVE reach(root, node) AS (
+  SELECT node_unique_id, node_unique_id FROM lg_nodes WHERE resource_type = 'source'
+  UNION
+  SELECT r.root, e.child FROM reach r JOIN lg_edges e ON e.parent = r.node
+),
+applicable AS (
+  SELECT s.node_name AS dataset, m.layer, m.node_unique_id AS node
+  FROM reach r JOIN lg_nodes s ON s.node_unique_id = r.root
+  JOIN lg_nodes m ON m.node_unique_id = r.node
+  WHERE m.resource_type = 'model' AND m.layer IS NOT NULL
+),
+runs AS (SELECT DISTINCT run_id, split_part(source_table, '.', -1) AS dataset FROM tm_ingestion),
+ev AS (SELECT orchestrator_run_id AS run_id, 'model.adventure_works.' || model_name AS node,
+              status FROM tm_events_nodes),
+per_layer AS (
+  SELECT run_id, dataset, layer, {_AGG_VALUE} AS value
+  FROM (SELECT x.run_id, x.dataset, x.layer, {_AGG}
+        FROM (SELECT r.run_id, r.dataset, a.layer, a.node, e.status
+              FROM (SELECT * FROM tm_ingestion_runs_ds) r
+              JOIN applicable a USING (dataset)
+              LEFT JOIN ev e ON e.run_id = r.run_id AND e.node = a.node) x
+        GROUP BY 1, 2, 3) g
+),
+wide AS (
+  SELECT r.run_id, r.dataset,
+         COALESCE(max(CASE WHEN p.layer = 'staging' THEN p.value END), 'not_applicable') AS s0,
+         COALESCE(max(CASE WHEN p.layer = 'intermediate' THEN p.value END), 'not_applicable')
+           AS s1,
+         COALESCE(max(CASE WHEN p.layer = 'analytics' THEN p.value END), 'not_applicable') AS s2
+  FROM runs r LEFT JOIN per_layer p ON p.run_id = r.run_id AND p.dataset = r.dataset
+  GROUP BY 1, 2
+),
+st AS (
+  SELECT run_id, dataset, st0 AS staging,
+         st1 AS intermediate,
+         CASE WHEN s2 = 'not_started'
+                   AND (CASE WHEN st1 <> 'not_applicable' THEN st1
+                             WHEN st0 <> 'not_applicable' THEN st0 ELSE 'success' END)
+                       IN ('failed', 'blocked') THEN 'blocked' ELSE s2 END AS analytics
+  FROM (SELECT *,
+               CASE WHEN s1 = 'not_started'
+                         AND (CASE WHEN st0 <> 'not_applicable' THEN st0 ELSE 'success' END)
+                             IN ('failed', 'blocked') THEN 'blocked' ELSE s1 END AS st1
+        FROM (SELECT *, s0 AS st0 FROM wide) a) b
+)
+SELECT run_id, dataset, staging, intermediate, analytics,
+       CASE WHEN analytics <> 'not_applicable' THEN 'unmonitored' ELSE 'not_applicable' END
+         AS powerbi
+FROM st"""
+
+
+O.cte("tm_events_nodes", ["tm_events"], """
+SELECT run_id AS orchestrator_run_id, model_name, status FROM tm_events""")
+O.cte("tm_ingestion_runs_ds", ["tm_ingestion"], """
+SELECT run_id, split_part(source_table, '.', -1) AS dataset FROM tm_ingestion""")
+
+
+def _stage_oracle() -> str:
+    body = _stage_sql().strip()
+    assert body.startswith("WITH RECURSIVE ")
+    prefix = O.sql("SELECT 1", "lg_nodes", "lg_edges", "tm_ingestion", "tm_events_nodes",
+                   "tm_ingestion_runs_ds")
+    ctes = prefix[len("WITH "):prefix.rindex("\nSELECT 1")]
+    rest = body[len("WITH RECURSIVE "):]
+    return "WITH RECURSIVE " + ctes + ",\n" + rest
+
+
+@register("dataset_stage_status", _stage_oracle())
+def dataset_stage_status(spark, sf_dir):
+    """L-1 / L-2 / L-3: per run and dataset, the status of each model layer
+    downstream of the dataset's source (lineage closure, blocked propagation)."""
+    return reports.dataset_stage_status(_tm(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ profiles
+def _profile_sql(model: str) -> str:
+    cols = [n for n, _ in declared_columns(model)]
+    nulls = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in cols)
+    null_cols = " + ".join(
+        f"CASE WHEN count(*) FILTER (WHERE {c} IS NULL) > 0 THEN 1 ELSE 0 END" for c in cols)
+    month = profile.month_column(model)
+    if month:
+        actual = f"CAST(count(DISTINCT date_trunc('month', {month})) AS INTEGER)"
+        mn, mx = (f"date_trunc('month', min({month}))", f"date_trunc('month', max({month}))")
+        expected = (f"CAST(CASE WHEN min({month}) IS NULL THEN 0 ELSE "
+                    f"(year({mx}) - year({mn})) * 12 + month({mx}) - month({mn}) + 1 END "
+                    f"AS INTEGER)")
+    else:
+        actual = expected = "CAST(NULL AS INTEGER)"
+    rules = [(c, v) for mdl, c, v, _ in ACCEPTED_VALUES if mdl == model]
+    bad = " + ".join(
+        f"count(DISTINCT CASE WHEN {c} NOT IN ({', '.join(O._lit(x) for x in v)}) THEN {c} END)"
+        for c, v in rules) or "0"
+    n = len(cols)
+    return f"""
+SELECT 'analytics.{model}' AS "table", rows, {n} AS columns,
+       CASE WHEN rows * {n} > 0 THEN round_even(CAST(null_cells AS DOUBLE) / (rows * {n}) * 100, 2)
+            ELSE 0.0 END AS missing_values_pct,
+       duplicate_rows, null_cells, null_columns, months_actual, months_expected,
+       unexpected_values,
+       CASE WHEN months_actual IS NOT NULL AND months_actual < months_expected THEN 'warning'
+            ELSE 'success' END AS volume_anomaly
+FROM (SELECT CAST(count(*) AS BIGINT) AS rows, CAST({nulls} AS BIGINT) AS null_cells,
+             CAST({null_cols} AS INTEGER) AS null_columns,
+             {actual} AS months_actual, {expected} AS months_expected,
+             CAST({bad} AS BIGINT) AS unexpected_values
+      FROM {model}) s
+CROSS JOIN (SELECT CAST(COALESCE(sum(c - 1), 0) AS BIGINT) AS duplicate_rows
+            FROM (SELECT count(*) AS c FROM {model} GROUP BY ALL_COLS) d) d2""".replace(
+        "GROUP BY ALL_COLS", "GROUP BY " + ", ".join(cols))
+
+
+_PROFILED = MODEL_LAYERS["analytics"]
+
+
+@register("final_table_profiles", O.sql(
+    "\nUNION ALL\n".join(_profile_sql(m) for m in _PROFILED), *_PROFILED))
+def final_table_profiles(spark, sf_dir):
+    """K-10 / A-11 … A-13: profile of every analytics model."""
+    wh = Warehouse.from_driver(spark, sf_dir)
+    return profile.final_table_profiles({m: wh.model(m) for m in _PROFILED})
+
+
+assert set(_PROFILED) <= set(CONTRACTS)
