@@ -196,5 +196,20 @@ def stage(name: str, raw: DataFrame) -> DataFrame:
     return raw.select(*cols)
 
 
-def stage_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: stage(name, raw[src]) for name, src in SOURCE_OF.items() if src in raw}
+class Staged(dict):
+    """Staging models over a raw-table mapping, each built on first access."""
+
+    def __init__(self, raw):
+        super().__init__()
+        self.raw = raw
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name not in MODELS or SOURCE_OF[name] not in self.raw:
+            raise KeyError(name)
+        df = stage(name, self.raw[SOURCE_OF[name]])
+        self[name] = df
+        return df
+
+
+def stage_all(raw) -> Staged:
+    return Staged(raw)

@@ -12,6 +12,8 @@ registry (metadata, a few dozen nodes).
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -266,16 +268,50 @@ def aggregate_status_value() -> Column:
 
 
 class Telemetry:
-    """Lazy telemetry tables derived from ``events``."""
+    """Lazy telemetry tables derived from ``events`` (each built on first use)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self.events = event_facts(Tables(spark, sf_dir))
-        self.test_results = test_results(self.events)
-        self.node_results = node_results(self.events)
-        self.dbt_runs = dbt_runs(self.test_results)
-        self.ingestion_runs = ingestion_runs(self.events)
-        self.pipeline_runs = pipeline_runs(self.events)
+        self.tables = Tables(spark, sf_dir)
 
-    def manifest(self) -> DataFrame:
+    @cached_property
+    def events(self) -> DataFrame:
+        return event_facts(self.tables)
+
+    @cached_property
+    def test_results(self) -> DataFrame:
+        return test_results(self.events)
+
+    @cached_property
+    def node_results(self) -> DataFrame:
+        return node_results(self.events)
+
+    @cached_property
+    def dbt_runs(self) -> DataFrame:
+        return dbt_runs(self.test_results)
+
+    @cached_property
+    def ingestion_runs(self) -> DataFrame:
+        return ingestion_runs(self.events)
+
+    @cached_property
+    def pipeline_runs(self) -> DataFrame:
+        return pipeline_runs(self.events)
+
+    @cached_property
+    def manifest_df(self) -> DataFrame:
         return manifest_nodes(self.spark)
+
+    def manifest(self) -> DataFrame:
+        return self.manifest_df
+
+    @classmethod
+    def for_session(cls, spark: SparkSession, sf_dir: str) -> "Telemetry":
+        """Memoised per session and folder (plans are immutable, safe to share)."""
+        key = (id(spark), spark.sparkContext.applicationId, sf_dir)
+        if key not in _TELEMETRY:
+            _TELEMETRY[key] = cls(spark, sf_dir)
+        return _TELEMETRY[key]
+
+
+_TELEMETRY: dict = {}

@@ -18,6 +18,7 @@ from starwright.sources.tables import Tables
 
 # Fixed "today" for reproducible calendars and date rules in registered queries.
 DEFAULT_AS_OF = dt.date(2025, 6, 30)
+_WAREHOUSES: dict = {}
 
 
 class Warehouse:
@@ -31,7 +32,14 @@ class Warehouse:
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str, as_of: dt.date = DEFAULT_AS_OF,
                     loaded_at: str = DEFAULT_LOADED_AT) -> "Warehouse":
-        return cls(raw_sources(Tables(spark, sf_dir), loaded_at), as_of)
+        """Warehouse over the driver tables; plans are memoised per session and
+        arguments (a DataFrame is an immutable plan, safe to share)."""
+        key = (id(spark), spark.sparkContext.applicationId, sf_dir, as_of, loaded_at)
+        wh = _WAREHOUSES.get(key)
+        if wh is None:
+            wh = cls(raw_sources(Tables(spark, sf_dir), loaded_at), as_of)
+            _WAREHOUSES[key] = wh
+        return wh
 
     def stg(self, name: str) -> DataFrame:
         return self.staged[name]

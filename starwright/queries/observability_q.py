@@ -123,7 +123,7 @@ _NORM = ("CASE WHEN lower(COALESCE({s}, 'not_started')) IN ('success', 'pass', '
 
 
 def _tm(spark, sf_dir) -> Telemetry:
-    return Telemetry(spark, sf_dir)
+    return Telemetry.for_session(spark, sf_dir)
 
 
 @register("run_history", O.sql(f"""

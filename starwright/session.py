@@ -44,6 +44,7 @@ def build_session(
         shuffle_partitions or (cpus if cpus != "*" else os.cpu_count() or 8)
     )
     conf.setdefault("spark.driver.memory", "8g")
+    conf.setdefault("spark.ui.showConsoleProgress", "false")
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)

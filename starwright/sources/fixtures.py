@@ -300,6 +300,23 @@ RAW_BUILDERS = {
 }
 
 
-def raw_sources(t: Tables, loaded_at: str = DEFAULT_LOADED_AT) -> dict[str, DataFrame]:
-    """All ten raw tables (lazy)."""
-    return {name: build(t, loaded_at) for name, build in RAW_BUILDERS.items()}
+class RawSources(dict):
+    """The ten raw tables, each built on first access."""
+
+    def __init__(self, t: Tables, loaded_at: str = DEFAULT_LOADED_AT):
+        super().__init__()
+        self.t = t
+        self.loaded_at = loaded_at
+
+    def __missing__(self, name: str) -> DataFrame:
+        df = RAW_BUILDERS[name](self.t, self.loaded_at)
+        self[name] = df
+        return df
+
+    def __contains__(self, name) -> bool:
+        return name in RAW_BUILDERS
+
+
+def raw_sources(t: Tables, loaded_at: str = DEFAULT_LOADED_AT) -> RawSources:
+    """All ten raw tables (each built lazily)."""
+    return RawSources(t, loaded_at)
