@@ -24,8 +24,8 @@ CORE_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Broadcast only sides whose (estimated or runtime-measured) size is under
     # this bound; bigger sides fall back to a shuffled sort-merge join.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
 }
