@@ -188,3 +188,37 @@ def test_contracts(tiny):
     bad = tiny.dim_product.withColumn("product_id", F.col("product_id").cast("int"))
     with pytest.raises(ContractError):
         enforce("dim_product", bad)
+
+
+def test_pipeline_gate_stops_after_recording_evidence(spark, tmp_dir):
+    from starwright.plans.pipeline import run_layers
+    from starwright.sources.fixtures import raw_sources
+    from starwright.sources.tables import Tables
+
+    def fresh():
+        return Warehouse(raw_sources(Tables(spark, "/root/testdata/sf0.001")),
+                         as_of=dt.date(2025, 6, 30))
+
+    # the header subtotal never reconciles on the driver data (FIXTURES: Q-18
+    # returns rows), so the intermediate gate stops the run before analytics
+    with pytest.raises(quality.LayerGateError) as err:
+        run_layers(fresh(), tmp_dir, "inv-1", "2025-06-30 00:00:00")
+    assert "assert_sales_order_subtotals_match" in str(err.value)
+    results = spark.read.parquet(f"{tmp_dir}/_quality/results")
+    assert {r.layer for r in results.select("layer").distinct().collect()} == {
+        "staging", "intermediate"}
+    failures = spark.read.parquet(f"{tmp_dir}/_quality/failures")
+    assert failures.where("test_id = 'assert_sales_order_subtotals_match'").count() > 0
+
+    # analytics alone: the Unknown customer type fails an error rule, the
+    # territory-group rule only warns; tables were written before the gate
+    with pytest.raises(quality.LayerGateError) as err:
+        run_layers(fresh(), tmp_dir, "inv-2", "2025-06-30 00:00:00", layers=("analytics",))
+    assert "accepted_values_dim_customer_customer_type" in str(err.value)
+    res = spark.read.parquet(f"{tmp_dir}/_quality/results").where("invocation_id = 'inv-2'")
+    warn = res.where("rule_id = 'accepted_values_dim_sales_territory_territory_group'").first()
+    assert warn.status == "warn"
+    rec = spark.read.parquet(f"{tmp_dir}/_quality/failures").where(
+        "invocation_id = 'inv-2' AND test_id = 'accepted_values_dim_customer_customer_type'").first()
+    assert '"value_field":"Unknown"' in rec.failure_record
+    assert spark.read.parquet(f"{tmp_dir}/analytics/fact_sales").count() > 0
