@@ -56,7 +56,11 @@ def sql(select: str, *names: str) -> str:
         visit(n)
     if not order:
         return select
-    return "WITH " + ",\n".join(f"{n} AS (\n{CTES[n][1]}\n)" for n in order) + "\n" + select
+    head = "WITH RECURSIVE " if any(n in RECURSIVE for n in order) else "WITH "
+    return head + ",\n".join(f"{n} AS (\n{CTES[n][1]}\n)" for n in order) + "\n" + select
+
+
+RECURSIVE: set[str] = set()
 
 
 # --------------------------------------------------------------- staging

@@ -202,11 +202,14 @@ def dataset_freshness(tm: Telemetry, checked_at: dt.datetime,
 
 # ----------------------------------------------------------------- lineage
 def lineage_closure(tm: Telemetry) -> DataFrame:
-    """L-1: (source node, descendant node) for every source of the manifest."""
-    nodes = tm.manifest()
-    roots = nodes.where(F.col("resource_type") == "source") \
-        .select(F.col("node_unique_id").alias("root"))
-    return descendants(manifest_edges(nodes), roots)
+    """L-1: (source node, descendant node) for every source of the manifest
+    (computed once per telemetry instance; the result is checkpointed)."""
+    if "closure" not in tm.__dict__:
+        nodes = tm.manifest()
+        roots = nodes.where(F.col("resource_type") == "source") \
+            .select(F.col("node_unique_id").alias("root"))
+        tm.__dict__["closure"] = descendants(manifest_edges(nodes), roots)
+    return tm.__dict__["closure"]
 
 
 def dataset_stage_status(tm: Telemetry) -> DataFrame:
@@ -247,3 +250,200 @@ def dataset_stage_status(tm: Telemetry) -> DataFrame:
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
+
+
+# --------------------------------------------------------- status helpers
+def status_parts(word: "Column") -> list:
+    """Aggregate-status parts of one already-normalised status word."""
+    s = word
+    return [
+        F.lit(1).alias("__n"),
+        (s == "failed").alias("__failed"),
+        (s == "running").alias("__running"),
+        s.isin("warning", "blocked").alias("__warning"),
+        (s != "not_applicable").cast("int").alias("__applicable"),
+        s.isin("not_started", "unmonitored").cast("int").alias("__idle"),
+        (s == "success").cast("int").alias("__success"),
+    ]
+
+
+def combine_parts(a: str, b: str) -> list:
+    """Sum two sets of aggregate-status parts (prefixes ``a`` and ``b``)."""
+    def f(name):
+        return F.coalesce(F.col(f"{a}{name}"), F.lit(0)) + F.coalesce(F.col(f"{b}{name}"), F.lit(0))
+
+    def g(name):
+        return F.coalesce(F.col(f"{a}{name}"), F.lit(False)) | F.coalesce(F.col(f"{b}{name}"),
+                                                                          F.lit(False))
+    return [f("__n").alias("__n"), g("__failed").alias("__failed"),
+            g("__running").alias("__running"), g("__warning").alias("__warning"),
+            f("__applicable").alias("__applicable"), f("__idle").alias("__idle"),
+            f("__success").alias("__success")]
+
+
+def aggregate_status_of(statuses: list) -> "Column":
+    """L-3 over a fixed list of already-normalised status columns (all
+    evidence present); kept free of re-normalisation so the expression stays
+    small when Catalyst inlines it."""
+    s = list(statuses)
+
+    def any_(pred):
+        return reduce(lambda p, q: p | q, [pred(x) for x in s])
+
+    def count(pred):
+        return sum((F.when(pred(x), 1).otherwise(0) for x in s), F.lit(0))
+
+    n_app = count(lambda x: x != "not_applicable")
+    n_idle = count(lambda x: x.isin("not_started", "unmonitored"))
+    n_ok = count(lambda x: x == "success")
+    return (F.when(any_(lambda x: x == "failed"), "failed")
+            .when(any_(lambda x: x == "running"), "running")
+            .when(any_(lambda x: x.isin("warning", "blocked")), "warning")
+            .when((n_app == 0) | (n_app == n_idle), "not_started")
+            .when(n_ok == n_app, "success").otherwise("warning"))
+
+
+PART_NAMES = ["__n", "__failed", "__running", "__warning", "__applicable", "__idle", "__success"]
+
+
+def _run_tests(tm: Telemetry) -> DataFrame:
+    """Test results with their orchestrated run id (J-15)."""
+    r = tm.dbt_runs.select("invocation_id", F.col("orchestrator_run_id").alias("run_id"),
+                           F.col("collected_at").alias("run_collected_at"))
+    return tm.test_results.drop("orchestrator_run_id").join(r, "invocation_id")
+
+
+MONITORED = ["source", "minio", "raw", "staging", "intermediate", "analytics"]
+
+
+def run_datasets(tm: Telemetry) -> DataFrame:
+    """K-5: every dataset of every run: ingestion fields, stage statuses, the
+    combined technical + quality status and the reason."""
+    ing = tm.ingestion_runs.withColumn("dataset_name", last_dotted("source_table"))
+    ist = normalize_status("status")
+    stages = dataset_stage_status(tm).withColumnRenamed("dataset", "dataset_name")
+    j = ing.join(stages, ["run_id", "dataset_name"], "left").select(
+        "*",
+        ist.alias("source"),
+        F.when(F.col("minio_uploaded_at").isNotNull(), ist).otherwise("not_started").alias("minio"),
+        F.when(F.col("raw_loaded_at").isNotNull(), ist).otherwise("not_started").alias("raw"),
+    )
+    names = ing.select("run_id", "dataset_name").distinct()
+    # J-20: a run's test relates to a dataset when its dependencies mention the
+    # (lower-cased) name; flags and counts, never a collected list per group
+    related = _run_tests(tm).join(names, ["run_id"]).where(
+        F.exists("depends_on", lambda d: F.lower(d).contains(F.lower(F.col("dataset_name")))))
+    q = related.groupBy("run_id", "dataset_name").agg(*aggregate_status(F.col("status")))
+    q = q.select("run_id", "dataset_name", *[F.col(c).alias("q" + c) for c in PART_NAMES])
+    tech = aggregate_status_of([F.col(c) for c in MONITORED])
+    x = j.join(q, ["run_id", "dataset_name"], "left").withColumn("technical_status", tech)
+    x = x.select("*", *[c.alias("t" + n) for c, n in
+                        zip(status_parts(F.col("technical_status")), PART_NAMES)])
+    combined = x.select("*", *combine_parts("t", "q"))
+    qs_failed = F.coalesce(F.col("q__failed"), F.lit(False))
+    qs_warning = F.coalesce(F.col("q__warning"), F.lit(False))
+    return combined.select(
+        "run_id", F.col("source_table").alias("dataset"), "source_row_count", "raw_row_count",
+        "minio_object", "file_size_bytes", "started_at", "minio_uploaded_at", "raw_loaded_at",
+        "duration_seconds", "error_message", *MONITORED, "powerbi",
+        aggregate_status_value().alias("status"),
+        F.when(qs_failed, "quality_failed").when(qs_warning, "quality_warning")
+        .alias("status_reason"),
+    )
+
+
+def run_detail(tm: Telemetry) -> DataFrame:
+    """K-4: per run, failed datasets (quality-only failures excluded), the
+    count of failed/warned tests and the failure scope."""
+    ds = run_datasets(tm)
+    failed = ds.where((F.col("status") == "failed")
+                      & ~F.coalesce(F.col("status_reason") == "quality_failed", F.lit(False)))
+    aff = failed.groupBy("run_id").agg(F.count(F.lit(1)).cast("bigint").alias("affected_datasets"))
+    ts = normalize_status("status")
+    bad_tests = _run_tests(tm).where(ts.isin("failed", "warning")).groupBy("run_id").agg(
+        F.count(F.lit(1)).cast("bigint").alias("failed_tests"),
+        F.sum(F.coalesce("failures", F.lit(0))).cast("bigint").alias("invalid_records"))
+    p = tm.pipeline_runs
+    runs = ds.select("run_id").distinct().unionByName(p.select("run_id")).distinct()
+    j = runs.join(p, "run_id", "left").join(aff, "run_id", "left").join(bad_tests, "run_id", "left")
+    n_failed = F.coalesce("affected_datasets", F.lit(0))
+    pstatus = F.when(F.col("status").isNotNull(), normalize_status("status")) \
+        .otherwise(F.when(n_failed > 0, "failed").otherwise("success"))
+    return j.select(
+        "run_id", "started_at", "finished_at", "duration_seconds",
+        trigger_type("run_id").alias("trigger_type"),
+        pstatus.alias("status"), "error_message",
+        n_failed.cast("bigint").alias("affected_datasets"),
+        F.coalesce("failed_tests", F.lit(0)).cast("bigint").alias("failed_tests"),
+        F.coalesce("invalid_records", F.lit(0)).cast("bigint").alias("invalid_records"),
+        F.when(n_failed > 0, "dataset")
+        .when(F.coalesce("failed_tests", F.lit(0)) > 0, "quality")
+        .when(pstatus == "failed", "orchestration").alias("failure_scope"),
+    )
+
+
+# The display labels of the run panel.
+LABEL_QUALITY_FAILED = "Falha de qualidade"
+LABEL_QUALITY_WARNING = "Processado com aviso"
+LABEL_NOT_PROCESSED = "Não processada"
+LABEL_PROCESSED = "Processado"
+
+
+def dataset_labels(tm: Telemetry) -> DataFrame:
+    """K-15: displayed status and label of each dataset of a run."""
+    ds = run_datasets(tm).withColumn("dataset_name", F.lower(last_dotted("dataset")))
+    detail = run_detail(tm).select("run_id", F.col("status").alias("run_status"),
+                                   "failure_scope")
+    ts = normalize_status("status")
+    bad = _run_tests(tm).where(ts.isin("failed", "warning")).select("run_id", "status",
+                                                                   "depends_on")
+    names = ds.select("run_id", "dataset_name").distinct()
+    rel = bad.join(names, "run_id").where(
+        F.lower(F.array_join("depends_on", ",")).contains(F.col("dataset_name")))
+    flags = rel.groupBy("run_id", "dataset_name").agg(
+        F.bool_or(F.lower("status").isin("error", "fail", "failed", "runtime error"))
+        .alias("rel_failed"),
+        F.bool_or(F.lower("status").isin("warn", "warning")).alias("rel_warning"))
+    j = ds.join(flags, ["run_id", "dataset_name"], "left").join(detail, "run_id", "left")
+    rf = F.coalesce("rel_failed", F.lit(False))
+    rw = F.coalesce("rel_warning", F.lit(False))
+    st = F.col("status")
+    return j.select(
+        "run_id", "dataset",
+        F.when(rf, "failed").when(rw, "warning")
+        .when(st.isin("failed", "blocked", "not_started"), "not_started")
+        .otherwise(st).alias("display_status"),
+        F.when(rf, LABEL_QUALITY_FAILED).when(rw, LABEL_QUALITY_WARNING)
+        .when(st.isin("failed", "blocked", "not_started"), LABEL_NOT_PROCESSED)
+        .when((F.col("run_status") == "failed") & (F.col("failure_scope") == "orchestration")
+              & (st == "success"), LABEL_PROCESSED).alias("label"),
+    )
+
+
+def dataset_history(tm: Telemetry, dataset: str, limit: int = 50) -> DataFrame:
+    """K-8 / P-19: load history of a dataset named either ``schema.table`` or
+    ``schema_table``, newest first."""
+    if not 1 <= limit <= 200:
+        raise ValueError("limit must be within 1..200")
+    i = tm.ingestion_runs
+    match = (F.replace("source_table", F.lit("."), F.lit("_")) == dataset) | \
+        (F.col("source_table") == dataset)
+    return i.where(match).select(
+        "run_id", "started_at", "finished_at", "source_row_count", "raw_row_count",
+        "minio_object", "file_size_bytes", "duration_seconds", "status", "error_message",
+    ).orderBy(F.col("started_at").desc()).limit(limit)
+
+
+def search_datasets(rows: DataFrame, text: str = "", status: str | None = None) -> DataFrame:
+    """K-14: dataset name contains ``text`` (case-insensitive) and status equals."""
+    out = rows.where(F.lower("dataset").contains(text.lower()))
+    return out if status in (None, "all") else out.where(F.col("status") == status)
+
+
+def quality_evidence(failures: DataFrame, invocation_id: str, test_id: str, limit: int = 100
+                     ) -> DataFrame:
+    """K-12: stored failing rows of one test, newest first."""
+    return failures.where((F.col("invocation_id") == invocation_id)
+                          & (F.col("test_id") == test_id)) \
+        .select("captured_at", "failure_record") \
+        .orderBy(F.col("captured_at").desc(), "failure_record").limit(limit)

@@ -301,43 +301,36 @@ CASE WHEN COALESCE(any_failed, false) THEN 'failed'
      WHEN succeeded = applicable THEN 'success' ELSE 'warning' END"""
 
 
-def _stage_sql() -> str:
-    return f"""
-WITH RECURSIVE reach(root, node) AS (
-  SELECT node_unique_id, node_unique_id FROM lg_nodes WHERE resource_type = 'source'
-  UNION
-  SELECT r.root, e.child FROM reach r JOIN lg_edges e ON e.parent = r.node
-),
-applicable AS (
-  SELECT s.node_name AS dataset, m.layer, m.node_unique_id AS node
-  FROM reach r JOIN lg_nodes s ON s.node_unique_id = r.root
-  JOIN lg_nodes m ON m.node_unique_id = r.node
-  WHERE m.resource_type = 'model' AND m.layer IS NOT NULL
-),
-runs AS (SELECT DISTINCT run_id, split_part(source_table, '.', -1) AS dataset FROM tm_ingestion),
-ev AS (SELECT orchestrator_run_id AS run_id, 'model.adventure_works.' || model_name AS node,
-              status FROM tm_events_nodes),
-per_layer AS (
-  SELECT run_id, dataset, layer, {_AGG_VALUE} AS value
-  FROM (SELECT x.run_id, x.dataset, x.layer, {_AGG}
-        FROM (SELECT r.run_id, r.dataset, a.layer, a.node, e.status
-              FROM (SELECT * FROM tm_ingestion_runs_ds) r
-              JOIN applicable a USING (dataset)
-              LEFT JOIN ev e ON e.run_id = r.run_id AND e.node = a.node) x
-        GROUP BY 1, 2, 3) g
-),
-wide AS (
-  SELECT r.run_id, r.dataset,
-         COALESCE(max(CASE WHEN p.layer = 'staging' THEN p.value END), 'not_applicable') AS s0,
-         COALESCE(max(CASE WHEN p.layer = 'intermediate' THEN p.value END), 'not_applicable')
-           AS s1,
-         COALESCE(max(CASE WHEN p.layer = 'analytics' THEN p.value END), 'not_applicable') AS s2
-  FROM runs r LEFT JOIN per_layer p ON p.run_id = r.run_id AND p.dataset = r.dataset
-  GROUP BY 1, 2
-),
-st AS (
-  SELECT run_id, dataset, st0 AS staging,
-         st1 AS intermediate,
+O.RECURSIVE.add("lg_reach")
+O.cte("lg_reach", ["lg_nodes", "lg_edges"], """
+SELECT node_unique_id AS root, node_unique_id AS node FROM lg_nodes WHERE resource_type = 'source'
+UNION
+SELECT r.root, e.child FROM lg_reach r JOIN lg_edges e ON e.parent = r.node""")
+O.cte("lg_applicable", ["lg_reach", "lg_nodes"], """
+SELECT s.node_name AS dataset, m.layer, m.node_unique_id AS node
+FROM lg_reach r JOIN lg_nodes s ON s.node_unique_id = r.root
+JOIN lg_nodes m ON m.node_unique_id = r.node
+WHERE m.resource_type = 'model' AND m.layer IS NOT NULL""")
+O.cte("tm_events_nodes", ["tm_events"], """
+SELECT run_id AS orchestrator_run_id, model_name, status FROM tm_events""")
+O.cte("lg_per_layer", ["tm_ingestion", "lg_applicable", "tm_events_nodes"], f"""
+SELECT run_id, dataset, layer, {_AGG_VALUE} AS value
+FROM (SELECT x.run_id, x.dataset, x.layer, {_AGG}
+      FROM (SELECT r.run_id, r.dataset, a.layer, a.node, e.status
+            FROM (SELECT run_id, split_part(source_table, '.', -1) AS dataset
+                  FROM tm_ingestion) r
+            JOIN lg_applicable a USING (dataset)
+            LEFT JOIN (SELECT orchestrator_run_id AS run_id,
+                              'model.adventure_works.' || model_name AS node, status
+                       FROM tm_events_nodes) e
+              ON e.run_id = r.run_id AND e.node = a.node) x
+      GROUP BY 1, 2, 3) g""")
+O.cte("lg_stages", ["tm_ingestion", "lg_per_layer"], """
+SELECT run_id, dataset, staging, intermediate, analytics,
+       CASE WHEN analytics <> 'not_applicable' THEN 'unmonitored' ELSE 'not_applicable' END
+         AS powerbi
+FROM (
+  SELECT run_id, dataset, st0 AS staging, st1 AS intermediate,
          CASE WHEN s2 = 'not_started'
                    AND (CASE WHEN st1 <> 'not_applicable' THEN st1
                              WHEN st0 <> 'not_applicable' THEN st0 ELSE 'success' END)
@@ -346,31 +339,21 @@ st AS (
                CASE WHEN s1 = 'not_started'
                          AND (CASE WHEN st0 <> 'not_applicable' THEN st0 ELSE 'success' END)
                              IN ('failed', 'blocked') THEN 'blocked' ELSE s1 END AS st1
-        FROM (SELECT *, s0 AS st0 FROM wide) a) b
-)
-SELECT run_id, dataset, staging, intermediate, analytics,
-       CASE WHEN analytics <> 'not_applicable' THEN 'unmonitored' ELSE 'not_applicable' END
-         AS powerbi
-FROM st"""
-
-
-O.cte("tm_events_nodes", ["tm_events"], """
-SELECT run_id AS orchestrator_run_id, model_name, status FROM tm_events""")
-O.cte("tm_ingestion_runs_ds", ["tm_ingestion"], """
-SELECT run_id, split_part(source_table, '.', -1) AS dataset FROM tm_ingestion""")
-
-
-def _stage_oracle() -> str:
-    body = _stage_sql().strip()
-    assert body.startswith("WITH RECURSIVE ")
-    prefix = O.sql("SELECT 1", "lg_nodes", "lg_edges", "tm_ingestion", "tm_events_nodes",
-                   "tm_ingestion_runs_ds")
-    ctes = prefix[len("WITH "):prefix.rindex("\nSELECT 1")]
-    rest = body[len("WITH RECURSIVE "):]
-    return "WITH RECURSIVE " + ctes + ",\n" + rest
-
-
-@register("dataset_stage_status", _stage_oracle())
+        FROM (SELECT *, s0 AS st0 FROM (
+          SELECT r.run_id, r.dataset,
+                 COALESCE(max(CASE WHEN p.layer = 'staging' THEN p.value END),
+                          'not_applicable') AS s0,
+                 COALESCE(max(CASE WHEN p.layer = 'intermediate' THEN p.value END),
+                          'not_applicable') AS s1,
+                 COALESCE(max(CASE WHEN p.layer = 'analytics' THEN p.value END),
+                          'not_applicable') AS s2
+          FROM (SELECT DISTINCT run_id, split_part(source_table, '.', -1) AS dataset
+                FROM tm_ingestion) r
+          LEFT JOIN lg_per_layer p ON p.run_id = r.run_id AND p.dataset = r.dataset
+          GROUP BY 1, 2) w) a) b) st""")
+
+
+@register("dataset_stage_status", O.sql("SELECT * FROM lg_stages", "lg_stages"))
 def dataset_stage_status(spark, sf_dir):
     """L-1 / L-2 / L-3: per run and dataset, the status of each model layer
     downstream of the dataset's source (lineage closure, blocked propagation)."""
@@ -427,3 +410,155 @@ def final_table_profiles(spark, sf_dir):
 
 
 assert set(_PROFILED) <= set(CONTRACTS)
+
+
+# ------------------------------------------------------- runs and datasets
+O.cte("k_run_tests", ["tm_tests", "tm_runs"], """
+SELECT t.* EXCLUDE (orchestrator_run_id), r.orchestrator_run_id AS run_id
+FROM tm_tests t JOIN tm_runs r USING (invocation_id)""")
+
+_ST = ["source", "minio", "raw", "staging", "intermediate", "analytics"]
+
+
+def _in(word: str) -> str:
+    return "(" + " OR ".join(f"{c} = '{word}'" for c in _ST) + ")"
+
+
+def _cnt(cond: str) -> str:
+    return "(" + " + ".join(f"CAST(COALESCE({cond.format(c=c)}, false) AS INTEGER)"
+                            for c in _ST) + ")"
+
+
+_TECH = f"""CASE WHEN {_in('failed')} THEN 'failed' WHEN {_in('running')} THEN 'running'
+     WHEN {_in('warning')} OR {_in('blocked')} THEN 'warning'
+     WHEN {_cnt("{c} <> 'not_applicable'")} = 0
+       OR {_cnt("{c} <> 'not_applicable'")} = {_cnt("{c} IN ('not_started', 'unmonitored')")}
+       THEN 'not_started'
+     WHEN {_cnt("{c} = 'success'")} = {_cnt("{c} <> 'not_applicable'")} THEN 'success'
+     ELSE 'warning' END"""
+
+O.cte("k_ds_base", ["tm_ingestion", "lg_stages"], f"""
+SELECT i.*, split_part(i.source_table, '.', -1) AS dataset_name,
+       {_NORM.format(s='i.status')} AS source,
+       CASE WHEN i.minio_uploaded_at IS NOT NULL THEN {_NORM.format(s='i.status')}
+            ELSE 'not_started' END AS minio,
+       CASE WHEN i.raw_loaded_at IS NOT NULL THEN {_NORM.format(s='i.status')}
+            ELSE 'not_started' END AS raw,
+       st.staging, st.intermediate, st.analytics, st.powerbi
+FROM tm_ingestion i
+LEFT JOIN lg_stages st ON st.run_id = i.run_id
+                      AND st.dataset = split_part(i.source_table, '.', -1)""")
+
+O.cte("k_ds_quality", ["k_run_tests", "tm_ingestion"], f"""
+SELECT t.run_id, d.dataset_name, {_AGG}
+FROM k_run_tests t
+JOIN (SELECT DISTINCT run_id, split_part(source_table, '.', -1) AS dataset_name
+      FROM tm_ingestion) d ON d.run_id = t.run_id
+WHERE list_bool_or(list_transform(t.depends_on, lambda x: contains(lower(x), lower(d.dataset_name))))
+GROUP BY 1, 2""")
+
+O.cte("k_run_datasets", ["k_ds_base", "k_ds_quality"], f"""
+SELECT run_id, source_table AS dataset, source_row_count, raw_row_count, minio_object,
+       file_size_bytes, started_at, minio_uploaded_at, raw_loaded_at, duration_seconds,
+       error_message, source, minio, raw, staging, intermediate, analytics, powerbi,
+       {_AGG_VALUE} AS status,
+       CASE WHEN COALESCE(q_failed, false) THEN 'quality_failed'
+            WHEN COALESCE(q_warning, false) THEN 'quality_warning' END AS status_reason
+FROM (
+  SELECT b.*, q.any_failed AS q_failed, q.any_warning AS q_warning,
+         1 + COALESCE(q.n, 0) AS n,
+         tech = 'failed' OR COALESCE(q.any_failed, false) AS any_failed,
+         tech = 'running' OR COALESCE(q.any_running, false) AS any_running,
+         tech IN ('warning', 'blocked') OR COALESCE(q.any_warning, false) AS any_warning,
+         CAST(tech <> 'not_applicable' AS INTEGER) + COALESCE(q.applicable, 0) AS applicable,
+         CAST(tech IN ('not_started', 'unmonitored') AS INTEGER) + COALESCE(q.idle, 0) AS idle,
+         CAST(tech = 'success' AS INTEGER) + COALESCE(q.succeeded, 0) AS succeeded
+  FROM (SELECT *, {_TECH} AS tech FROM k_ds_base) b
+  LEFT JOIN k_ds_quality q ON q.run_id = b.run_id AND q.dataset_name = b.dataset_name) c""")
+
+
+@register("run_datasets", O.sql("SELECT * FROM k_run_datasets", "k_run_datasets"))
+def run_datasets(spark, sf_dir):
+    """K-5 / J-20 / L-2 / L-3: every dataset of every run with stage statuses,
+    combined technical + quality status and the reason."""
+    return reports.run_datasets(_tm(spark, sf_dir))
+
+
+O.cte("k_run_detail", ["k_run_datasets", "k_run_tests", "tm_pipeline"], f"""
+SELECT r.run_id, p.started_at, p.finished_at, p.duration_seconds,
+       {_TRIGGER.replace('run_id', 'r.run_id')} AS trigger_type,
+       CASE WHEN p.status IS NOT NULL THEN {_NORM.format(s='p.status')}
+            WHEN COALESCE(a.n_failed, 0) > 0 THEN 'failed' ELSE 'success' END AS status,
+       p.error_message,
+       CAST(COALESCE(a.n_failed, 0) AS BIGINT) AS affected_datasets,
+       CAST(COALESCE(t.failed_tests, 0) AS BIGINT) AS failed_tests,
+       CAST(COALESCE(t.invalid_records, 0) AS BIGINT) AS invalid_records,
+       CASE WHEN COALESCE(a.n_failed, 0) > 0 THEN 'dataset'
+            WHEN COALESCE(t.failed_tests, 0) > 0 THEN 'quality'
+            WHEN (CASE WHEN p.status IS NOT NULL THEN {_NORM.format(s='p.status')}
+                       ELSE 'success' END) = 'failed' THEN 'orchestration' END AS failure_scope
+FROM (SELECT run_id FROM k_run_datasets UNION SELECT run_id FROM tm_pipeline) r
+LEFT JOIN tm_pipeline p USING (run_id)
+LEFT JOIN (SELECT run_id, count(*) AS n_failed FROM k_run_datasets
+           WHERE status = 'failed' AND NOT COALESCE(status_reason = 'quality_failed', false)
+           GROUP BY 1) a USING (run_id)
+LEFT JOIN (SELECT run_id, count(*) AS failed_tests, sum(COALESCE(failures, 0)) AS invalid_records
+           FROM k_run_tests WHERE {_NORM.format(s='status')} IN ('failed', 'warning')
+           GROUP BY 1) t USING (run_id)""")
+
+
+@register("run_detail", O.sql("SELECT * FROM k_run_detail", "k_run_detail"))
+def run_detail(spark, sf_dir):
+    """K-4: per run, affected datasets, failed/warned tests, invalid records
+    (A-19) and the failure scope (dataset > quality > orchestration)."""
+    return reports.run_detail(_tm(spark, sf_dir))
+
+
+@register("dataset_labels", O.sql(f"""
+SELECT d.run_id, d.dataset,
+       CASE WHEN COALESCE(f.rel_failed, false) THEN 'failed'
+            WHEN COALESCE(f.rel_warning, false) THEN 'warning'
+            WHEN d.status IN ('failed', 'blocked', 'not_started') THEN 'not_started'
+            ELSE d.status END AS display_status,
+       CASE WHEN COALESCE(f.rel_failed, false) THEN '{reports.LABEL_QUALITY_FAILED}'
+            WHEN COALESCE(f.rel_warning, false) THEN '{reports.LABEL_QUALITY_WARNING}'
+            WHEN d.status IN ('failed', 'blocked', 'not_started')
+              THEN '{reports.LABEL_NOT_PROCESSED}'
+            WHEN rd.status = 'failed' AND rd.failure_scope = 'orchestration'
+                 AND d.status = 'success' THEN '{reports.LABEL_PROCESSED}' END AS label
+FROM k_run_datasets d
+LEFT JOIN k_run_detail rd USING (run_id)
+LEFT JOIN (
+  SELECT t.run_id, n.dataset_name,
+         bool_or(lower(t.status) IN ('error', 'fail', 'failed', 'runtime error')) AS rel_failed,
+         bool_or(lower(t.status) IN ('warn', 'warning')) AS rel_warning
+  FROM k_run_tests t
+  JOIN (SELECT DISTINCT run_id, lower(split_part(dataset, '.', -1)) AS dataset_name
+        FROM k_run_datasets) n ON n.run_id = t.run_id
+  WHERE {_NORM.format(s='t.status')} IN ('failed', 'warning')
+    AND contains(lower(array_to_string(t.depends_on, ',')), n.dataset_name)
+  GROUP BY 1, 2) f
+  ON f.run_id = d.run_id AND f.dataset_name = lower(split_part(d.dataset, '.', -1))""",
+                                 "k_run_datasets", "k_run_detail", "k_run_tests"))
+def dataset_labels(spark, sf_dir):
+    """K-15: displayed status and label of each dataset in each run."""
+    return reports.dataset_labels(_tm(spark, sf_dir))
+
+
+@register("dataset_history", O.sql("""
+SELECT run_id, started_at, finished_at, source_row_count, raw_row_count, minio_object,
+       file_size_bytes, duration_seconds, status, error_message
+FROM tm_ingestion
+WHERE replace(source_table, '.', '_') = 'sales_customer' OR source_table = 'sales_customer'
+ORDER BY started_at DESC LIMIT 50""", "tm_ingestion"))
+def dataset_history(spark, sf_dir):
+    """K-8 / P-19: load history of ``sales_customer`` (two-form name match)."""
+    return reports.dataset_history(_tm(spark, sf_dir), "sales_customer", 50)
+
+
+@register("dataset_search", O.sql("""
+SELECT * FROM k_run_datasets WHERE contains(lower(dataset), 'sales') AND status = 'failed'""",
+                                  "k_run_datasets"))
+def dataset_search(spark, sf_dir):
+    """K-14: datasets whose name contains 'sales' with status 'failed'."""
+    return reports.search_datasets(reports.run_datasets(_tm(spark, sf_dir)), "sales", "failed")
