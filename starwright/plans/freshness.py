@@ -88,4 +88,5 @@ SELECT *, CASE WHEN error_after_hours IS NOT NULL AND age_seconds > error_after_
 FROM (SELECT *, {ts} AS snapshotted_at,
              CAST(date_diff('second', max_loaded_at, {ts}) AS BIGINT) AS age_seconds
       FROM ({body}) s) x"""
-    return O.sql(select, *[f"stg_{t}" for t, *_ in SOURCES])
+    O.cte("src_freshness", [f"stg_{t}" for t, *_ in SOURCES], select)
+    return O.sql("SELECT * FROM src_freshness", "src_freshness")

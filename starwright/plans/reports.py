@@ -447,3 +447,117 @@ def quality_evidence(failures: DataFrame, invocation_id: str, test_id: str, limi
                           & (F.col("test_id") == test_id)) \
         .select("captured_at", "failure_record") \
         .orderBy(F.col("captured_at").desc(), "failure_record").limit(limit)
+
+
+def platform_status(tm: Telemetry, freshness: DataFrame) -> DataFrame:
+    """K-1: one-row platform status of the latest run.
+
+    Every "latest" pick is a one-row TakeOrdered subquery; the per-layer node
+    roll-up, the ingestion and test roll-ups and the impacted-dataset count
+    are aggregates over the run's rows, cross-joined into one row."""
+    p = tm.pipeline_runs
+    target = latest(p, "started_at", F.col("run_id").alias("t_run"),
+                    F.col("status").alias("t_status"),
+                    F.col("duration_seconds").alias("t_duration"))
+    # A-7 for the target run
+    ing = ingestion_rollup(tm).select(F.col("run_id").alias("i_run"), F.col("successful").alias("i_ok"),
+                     F.col("source_complete").alias("i_src"),
+                     F.col("minio_complete").alias("i_minio"),
+                     F.col("raw_complete").alias("i_raw"),
+                     F.col("duration_seconds").alias("i_duration"))
+    # A-8 for the target run
+    runs = tm.dbt_runs.join(F.broadcast(target.select("t_run")),
+                            F.col("orchestrator_run_id") == F.col("t_run"))
+    dbt = runs.agg(
+        F.when(F.count(F.lit(1)) == 0, F.lit(None))
+        .when(F.bool_or(F.col("status").isin("error", "failed")), "error")
+        .when(F.bool_or(F.col("status").isin("warn", "warning")), "warn")
+        .otherwise("success").alias("d_status"),
+        F.sum("elapsed_seconds").alias("d_elapsed"),
+        F.coalesce(F.sum("test_nodes"), F.lit(0)).cast("bigint").alias("tests_total"),
+        F.coalesce(F.sum("failed_tests"), F.lit(0)).cast("bigint").alias("d_failed"),
+    )
+    # A-9 filtered aggregates over the freshness results
+    fr = freshness.agg(
+        F.max("snapshotted_at").alias("snapshotted_at"),
+        F.max(F.when(F.col("freshness_type") == "technical", F.col("age_seconds")))
+        .alias("technical_freshness_seconds"),
+        F.max(F.when(F.col("freshness_type") == "business", F.col("max_loaded_at")))
+        .alias("last_business_event_at"),
+    )
+    last_ok = p.where((F.col("status") == "success") & F.col("finished_at").isNotNull()) \
+        .agg(F.max("finished_at").alias("last_successful_run"))
+    # node statuses per layer of the target run
+    nodes = tm.manifest().select(F.col("node_unique_id"), "layer")
+    nr = tm.node_results.join(F.broadcast(target.select("t_run")),
+                              F.col("orchestrator_run_id") == F.col("t_run")) \
+        .join(F.broadcast(nodes), "node_unique_id").where(F.col("layer").isNotNull())
+    per_layer = nr.groupBy("layer").agg(*aggregate_status(F.col("status"))) \
+        .select("layer", aggregate_status_value().alias("v"))
+    layers = per_layer.groupBy().pivot("layer", LAYERS).agg(F.first("v"))
+    # impacted datasets: any failed model stage of the target run (L-2)
+    st = dataset_stage_status(tm).join(F.broadcast(target.select("t_run")),
+                                       F.col("run_id") == F.col("t_run"))
+    impacted = st.agg(F.count_if(F.array_contains(
+        F.array("staging", "intermediate", "analytics", "powerbi"), "failed"))
+        .cast("bigint").alias("datasets_impacted"))
+    # every part is one row; the ingestion roll-up has one row per run
+    row = (target.join(ing, F.col("t_run") == F.col("i_run"), "left")
+           .crossJoin(dbt).crossJoin(fr).crossJoin(last_ok).crossJoin(layers)
+           .crossJoin(impacted))
+    ing_status = F.when(F.col("i_run").isNull(), "not_started") \
+        .when(F.col("i_ok"), "success").otherwise("failed")
+    source = F.when(F.col("i_src"), ing_status) \
+        .when(ing_status == "failed", "failed").otherwise("not_started")
+    minio = F.when(F.col("i_minio"), ing_status) \
+        .when(source == "failed", "blocked").otherwise("not_started")
+    raw = F.when(F.col("i_raw"), ing_status) \
+        .when(minio.isin("failed", "blocked"), "blocked").otherwise("not_started")
+    prev = raw
+    stages = {"source": source, "minio": minio, "raw": raw}
+    for layer in LAYERS:
+        v = F.coalesce(F.col(layer), F.lit("not_started"))
+        v = F.when((v == "not_started") & prev.isin("failed", "blocked"), "blocked").otherwise(v)
+        stages[layer] = v
+        prev = v
+    stages["tests"] = normalize_status("d_status")
+    stages["powerbi"] = F.lit("unmonitored")
+    critical = [stages[k] for k in stages if k != "powerbi"]
+    pstatus = normalize_status("t_status")
+    any_of = lambda words: reduce(lambda a, b: a | b, [c.isin(*words) for c in critical])  # noqa
+    all_of = lambda words: reduce(lambda a, b: a & b, [c.isin(*words) for c in critical])  # noqa
+    overall = (F.when((pstatus == "failed") | any_of(["failed"]), "failed")
+               .when((pstatus == "running") | any_of(["running"]), "running")
+               .when(any_of(["warning", "blocked"]), "warning")
+               .when(all_of(["success", "not_applicable"]), "success")
+               .otherwise("not_started"))
+    out = row.select(
+        overall.alias("platform_status"),
+        F.col("t_run").alias("run_id"),
+        trigger_type("t_run").alias("trigger_type"),
+        "last_successful_run",
+        F.coalesce(F.col("t_duration").cast("double"),
+                   F.coalesce(F.col("i_duration").cast("double"), F.lit(0.0))
+                   + F.coalesce(F.col("d_elapsed").cast("double"), F.lit(0.0)))
+        .alias("pipeline_duration_seconds"),
+        F.col("technical_freshness_seconds").cast("double").alias("technical_freshness_seconds"),
+        "last_business_event_at",
+        (F.col("tests_total") - F.col("d_failed")).alias("tests_passed"),
+        "tests_total",
+        F.when(overall == "failed", 1).otherwise(0).alias("failed_pipelines"),
+        "datasets_impacted",
+        *[v.alias(f"stage_{k}") for k, v in stages.items()],
+    )
+    return out
+
+
+def latest_run_summary(status: DataFrame) -> DataFrame:
+    """K-2: the platform status as run id, status and a stage → status map."""
+    keys = ["source", "minio", "raw", "staging", "intermediate", "analytics", "tests",
+            "powerbi"]
+    return status.select(
+        "run_id", F.lit("adventureworks_pipeline").alias("pipeline"),
+        F.col("platform_status").alias("status"),
+        F.create_map(*[x for k in keys for x in (F.lit(k), F.col(f"stage_{k}"))])
+        .alias("stages"),
+    )

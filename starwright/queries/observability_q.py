@@ -562,3 +562,151 @@ SELECT * FROM k_run_datasets WHERE contains(lower(dataset), 'sales') AND status
 def dataset_search(spark, sf_dir):
     """K-14: datasets whose name contains 'sales' with status 'failed'."""
     return reports.search_datasets(reports.run_datasets(_tm(spark, sf_dir)), "sales", "failed")
+
+
+# ------------------------------------------------------------ platform status
+from starwright.plans import freshness as _freshness  # noqa: E402
+
+_freshness.oracle_sql()  # defines the src_freshness CTE
+
+_PS_STAGES = ["source", "minio", "raw", "staging", "intermediate", "analytics", "tests"]
+O.cte("k_platform", ["tm_pipeline", "tm_ingestion", "tm_runs", "src_freshness", "tm_events_nodes",
+                     "lg_nodes", "lg_stages"], f"""
+SELECT t.*, i.*, d.*, f.*, l.*, y.*, m.*
+FROM (SELECT run_id AS t_run, status AS t_status, duration_seconds AS t_duration
+      FROM tm_pipeline ORDER BY started_at DESC LIMIT 1) t
+LEFT JOIN (SELECT run_id AS i_run, bool_and(status = 'success') AS i_ok,
+                  bool_and(source_row_count IS NOT NULL) AS i_src,
+                  bool_and(minio_uploaded_at IS NOT NULL) AS i_minio,
+                  bool_and(raw_loaded_at IS NOT NULL) AS i_raw,
+                  CAST(sum(duration_seconds) AS DECIMAL(38,3)) AS i_duration
+           FROM tm_ingestion GROUP BY run_id) i ON i.i_run = t.t_run
+CROSS JOIN (SELECT CASE WHEN count(*) = 0 THEN NULL
+                        WHEN bool_or(status IN ('error', 'failed')) THEN 'error'
+                        WHEN bool_or(status IN ('warn', 'warning')) THEN 'warn'
+                        ELSE 'success' END AS d_status,
+                   sum(elapsed_seconds) AS d_elapsed,
+                   CAST(COALESCE(sum(test_nodes), 0) AS BIGINT) AS tests_total,
+                   CAST(COALESCE(sum(failed_tests), 0) AS BIGINT) AS d_failed
+            FROM tm_runs WHERE orchestrator_run_id =
+              (SELECT run_id FROM tm_pipeline ORDER BY started_at DESC LIMIT 1)) d
+CROSS JOIN (SELECT max(age_seconds) FILTER (WHERE freshness_type = 'technical')
+                     AS technical_freshness_seconds,
+                   max(max_loaded_at) FILTER (WHERE freshness_type = 'business')
+                     AS last_business_event_at
+            FROM src_freshness) f
+CROSS JOIN (SELECT max(finished_at) AS last_successful_run FROM tm_pipeline
+            WHERE status = 'success' AND finished_at IS NOT NULL) l
+CROSS JOIN (SELECT max(CASE WHEN layer = 'staging' THEN v END) AS ly_staging,
+                   max(CASE WHEN layer = 'intermediate' THEN v END) AS ly_intermediate,
+                   max(CASE WHEN layer = 'analytics' THEN v END) AS ly_analytics
+            FROM (SELECT layer, {_AGG_VALUE} AS v
+                  FROM (SELECT n.layer, {_AGG}
+                        FROM tm_events_nodes e
+                        JOIN lg_nodes n
+                          ON n.node_unique_id = 'model.adventure_works.' || e.model_name
+                        WHERE e.orchestrator_run_id =
+                              (SELECT run_id FROM tm_pipeline ORDER BY started_at DESC LIMIT 1)
+                          AND n.layer IS NOT NULL
+                        GROUP BY n.layer) a) b) y
+CROSS JOIN (SELECT CAST(count(*) FILTER (WHERE 'failed' IN (staging, intermediate, analytics,
+                                                            powerbi)) AS BIGINT)
+                     AS datasets_impacted
+            FROM lg_stages WHERE run_id =
+              (SELECT run_id FROM tm_pipeline ORDER BY started_at DESC LIMIT 1)) m""")
+
+O.cte("k_platform_stages", ["k_platform"], f"""
+SELECT *,
+       CASE WHEN i_src THEN ing_status WHEN ing_status = 'failed' THEN 'failed'
+            ELSE 'not_started' END AS stage_source
+FROM (SELECT *, CASE WHEN i_run IS NULL THEN 'not_started' WHEN i_ok THEN 'success'
+                     ELSE 'failed' END AS ing_status FROM k_platform) a""")
+O.cte("k_platform_stages2", ["k_platform_stages"], """
+SELECT *, CASE WHEN i_minio THEN ing_status WHEN stage_source = 'failed' THEN 'blocked'
+               ELSE 'not_started' END AS stage_minio
+FROM k_platform_stages""")
+O.cte("k_platform_stages3", ["k_platform_stages2"], """
+SELECT *, CASE WHEN i_raw THEN ing_status WHEN stage_minio IN ('failed', 'blocked') THEN 'blocked'
+               ELSE 'not_started' END AS stage_raw
+FROM k_platform_stages2""")
+O.cte("k_platform_stages4", ["k_platform_stages3"], """
+SELECT *, CASE WHEN COALESCE(ly_staging, 'not_started') = 'not_started'
+                    AND stage_raw IN ('failed', 'blocked') THEN 'blocked'
+               ELSE COALESCE(ly_staging, 'not_started') END AS stage_staging
+FROM k_platform_stages3""")
+O.cte("k_platform_stages5", ["k_platform_stages4"], """
+SELECT *, CASE WHEN COALESCE(ly_intermediate, 'not_started') = 'not_started'
+                    AND stage_staging IN ('failed', 'blocked') THEN 'blocked'
+               ELSE COALESCE(ly_intermediate, 'not_started') END AS stage_intermediate
+FROM k_platform_stages4""")
+O.cte("k_platform_stages6", ["k_platform_stages5"], f"""
+SELECT *, CASE WHEN COALESCE(ly_analytics, 'not_started') = 'not_started'
+                    AND stage_intermediate IN ('failed', 'blocked') THEN 'blocked'
+               ELSE COALESCE(ly_analytics, 'not_started') END AS stage_analytics,
+       {_NORM.format(s='d_status')} AS stage_tests,
+       'unmonitored' AS stage_powerbi,
+       {_NORM.format(s='t_status')} AS p_status
+FROM k_platform_stages5""")
+
+
+def _any(words):
+    return "(" + " OR ".join(f"stage_{s} IN ({', '.join(repr(w) for w in words)})"
+                             for s in _PS_STAGES) + ")"
+
+
+_PLATFORM_SQL = O.sql(f"""
+SELECT CASE WHEN p_status = 'failed' OR {_any(['failed'])} THEN 'failed'
+            WHEN p_status = 'running' OR {_any(['running'])} THEN 'running'
+            WHEN {_any(['warning', 'blocked'])} THEN 'warning'
+            WHEN NOT {_any(['failed', 'running', 'warning', 'blocked', 'not_started',
+                             'unmonitored'])} THEN 'success'
+            ELSE 'not_started' END AS platform_status,
+       t_run AS run_id, {_TRIGGER.replace('run_id', 't_run')} AS trigger_type,
+       last_successful_run,
+       COALESCE(CAST(t_duration AS DOUBLE),
+                COALESCE(CAST(i_duration AS DOUBLE), 0.0) + COALESCE(CAST(d_elapsed AS DOUBLE), 0.0))
+         AS pipeline_duration_seconds,
+       CAST(technical_freshness_seconds AS DOUBLE) AS technical_freshness_seconds,
+       last_business_event_at,
+       tests_total - d_failed AS tests_passed, tests_total,
+       CASE WHEN (CASE WHEN p_status = 'failed' OR {_any(['failed'])} THEN 'failed' END)
+                 = 'failed' THEN 1 ELSE 0 END AS failed_pipelines,
+       datasets_impacted,
+       stage_source, stage_minio, stage_raw, stage_staging, stage_intermediate,
+       stage_analytics, stage_tests, stage_powerbi
+FROM k_platform_stages6""", "k_platform_stages6")
+
+
+def _platform(spark, sf_dir):
+    wh = Warehouse.from_driver(spark, sf_dir)
+    fr = _freshness.source_freshness(wh.raw, _freshness.DEFAULT_CHECKED_AT)
+    return reports.platform_status(_tm(spark, sf_dir), fr)
+
+
+@register("platform_status", _PLATFORM_SQL)
+def platform_status(spark, sf_dir):
+    """K-1 / A-7 / A-8 / A-9 / J-21: one-row status of the latest run with its
+    canonical stage list, tests, freshness and impacted datasets."""
+    return _platform(spark, sf_dir)
+
+
+@register("latest_run_summary")
+def latest_run_summary(spark, sf_dir):
+    """K-2: latest run as run id, status and a stage → status map (map output:
+    compared by row count only)."""
+    return reports.latest_run_summary(_platform(spark, sf_dir))
+
+
+@register("quality_evidence")
+def quality_evidence(spark, sf_dir):
+    """K-12 / Q-7 / S-11: failing rows of the subtotal reconciliation stored as
+    JSON records (nulls kept), newest 100 (JSON text formats differ between
+    engines: compared by row count only)."""
+    from starwright.operators.quality import failure_records
+    from starwright.plans.rules import singular_failures
+
+    wh = Warehouse.from_driver(spark, sf_dir)
+    rec = failure_records(singular_failures("assert_sales_order_subtotals_match", wh),
+                          "assert_sales_order_subtotals_match", "inv-latest",
+                          "2025-06-30 00:00:00")
+    return reports.quality_evidence(rec, "inv-latest", "assert_sales_order_subtotals_match", 100)
