@@ -8,12 +8,13 @@ reuses its exchanges (``ReusedExchange``) instead of recomputing.
 from __future__ import annotations
 
 import datetime as dt
-from functools import cached_property
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from starwright.plans import calendar, monthly, staging, star
 from starwright.sources.fixtures import DEFAULT_LOADED_AT, raw_sources
+from starwright.session import checkpoint_dir
 from starwright.sources.tables import Tables
 
 # Fixed "today" for reproducible calendars and date rules in registered queries.
@@ -22,24 +23,37 @@ _WAREHOUSES: dict = {}
 
 
 class Warehouse:
+    """Lazy model registry; ``wh.fact_sales`` is ``wh.model("fact_sales")``."""
+
     def __init__(self, raw: dict[str, DataFrame], as_of: dt.date = DEFAULT_AS_OF,
                  future_years: int = calendar.DEFAULT_FUTURE_YEARS):
         self.raw = raw
         self.as_of = as_of
         self.future_years = future_years
         self.staged = staging.stage_all(raw)
-        # models replaced by written tables (see plans.pipeline): read instead of rebuilt
+        # models replaced by written tables: read instead of rebuilt
         self.materialized: dict[str, DataFrame] = {}
+        self.table_dir: str | None = None
+        self._plans: dict[str, DataFrame] = {}
 
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str, as_of: dt.date = DEFAULT_AS_OF,
-                    loaded_at: str = DEFAULT_LOADED_AT) -> "Warehouse":
-        """Warehouse over the driver tables; plans are memoised per session and
-        arguments (a DataFrame is an immutable plan, safe to share)."""
-        key = (id(spark), spark.sparkContext.applicationId, sf_dir, as_of, loaded_at)
+                    loaded_at: str = DEFAULT_LOADED_AT, materialize: bool = True
+                    ) -> "Warehouse":
+        """Warehouse over the driver tables, memoised per session and arguments.
+
+        With ``materialize`` the table models (as in the reference: dimensions
+        and facts, plus the items join the facts derive from) are written once
+        to the shared checkpoint folder on first use and read back, so later
+        queries scan a table instead of recomputing the joins and no plan
+        carries the whole lineage."""
+        key = (id(spark), spark.sparkContext.applicationId, sf_dir, as_of, loaded_at,
+               materialize)
         wh = _WAREHOUSES.get(key)
         if wh is None:
             wh = cls(raw_sources(Tables(spark, sf_dir), loaded_at), as_of)
+            if materialize:
+                wh.table_dir = f"{checkpoint_dir(spark)}/starwright-tables/{uuid.uuid4().hex}"
             _WAREHOUSES[key] = wh
         return wh
 
@@ -48,20 +62,36 @@ class Warehouse:
             return self.materialized[name]
         return self.staged[name]
 
+    def model(self, name: str) -> DataFrame:
+        if name in self.materialized:
+            return self.materialized[name]
+        if name.startswith("stg_"):
+            return self.stg(name)
+        if name not in self._plans:
+            self._plans[name] = getattr(self, f"_build_{name}")()
+        df = self._plans[name]
+        if self.table_dir and name in MATERIALIZED_MODELS:
+            path = f"{self.table_dir}/{name}"
+            df.write.mode("overwrite").parquet(path)
+            df = self.materialized[name] = df.sparkSession.read.parquet(path)
+        return df
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or f"_build_{name}" not in type(self).__dict__:
+            raise AttributeError(name)
+        return self.model(name)
+
     # -------------------------------------------------------- intermediate
-    @cached_property
-    def int_sales_order_items(self) -> DataFrame:
+    def _build_int_sales_order_items(self) -> DataFrame:
         return star.int_sales_order_items(
             self.stg("stg_salesorderheader"), self.stg("stg_salesorderdetail")
         )
 
     # ----------------------------------------------------------- analytics
-    @cached_property
-    def fact_sales(self) -> DataFrame:
+    def _build_fact_sales(self) -> DataFrame:
         return star.fact_sales(self.model("int_sales_order_items"))
 
-    @cached_property
-    def dim_date(self) -> DataFrame:
+    def _build_dim_date(self) -> DataFrame:
         header = self.stg("stg_salesorderheader")
         pairs = [(header, "order_date"), (header, "due_date"), (header, "ship_date")]
         detail = self.stg("stg_salesorderdetail")
@@ -69,49 +99,42 @@ class Warehouse:
             pairs.append((detail, "line_ship_date"))
         return calendar.dim_date(calendar.source_dates(*pairs), self.as_of, self.future_years)
 
-    @cached_property
-    def fact_sales_monthly(self) -> DataFrame:
+    def _build_fact_sales_monthly(self) -> DataFrame:
         return monthly.fact_sales_monthly(self.model("fact_sales"))
 
-    @cached_property
-    def dim_customer(self) -> DataFrame:
+    def _build_dim_customer(self) -> DataFrame:
         return star.dim_customer(
             self.stg("stg_customer"), self.stg("stg_person"), self.stg("stg_store")
         )
 
-    @cached_property
-    def dim_product(self) -> DataFrame:
+    def _build_dim_product(self) -> DataFrame:
         return star.dim_product(self.stg("stg_product"))
 
-    @cached_property
-    def dim_sales_territory(self) -> DataFrame:
+    def _build_dim_sales_territory(self) -> DataFrame:
         return star.dim_sales_territory(self.stg("stg_salesterritory"))
 
-    @cached_property
-    def dim_special_offer(self) -> DataFrame:
+    def _build_dim_special_offer(self) -> DataFrame:
         return star.dim_special_offer(self.stg("stg_specialoffer"))
 
-    @cached_property
-    def dim_sales_person(self) -> DataFrame:
+    def _build_dim_sales_person(self) -> DataFrame:
         return star.dim_sales_person(
             self.stg("stg_salesperson"), self.stg("stg_employee"), self.stg("stg_person")
         )
 
-    @cached_property
-    def mart_sales_details(self) -> DataFrame:
+    def _build_mart_sales_details(self) -> DataFrame:
         return star.mart_sales_details(
             *[self.model(m) for m in ["fact_sales", "dim_product", "dim_customer",
                                       "dim_sales_person", "dim_sales_territory",
                                       "dim_special_offer"]]
         )
 
-    def model(self, name: str) -> DataFrame:
-        if name in self.materialized:
-            return self.materialized[name]
-        if name.startswith("stg_"):
-            return self.stg(name)
-        return getattr(self, name)
 
+# written once per session when materialising (tables in the reference, plus
+# the items join every fact derives from)
+MATERIALIZED_MODELS = {
+    "int_sales_order_items", "fact_sales", "fact_sales_monthly", "dim_date", "dim_customer",
+    "dim_product", "dim_sales_person", "dim_sales_territory",
+}
 
 MODEL_LAYERS = {
     "staging": sorted(staging.MODELS),
