@@ -213,6 +213,13 @@ def lineage_closure(tm: Telemetry) -> DataFrame:
 
 
 def dataset_stage_status(tm: Telemetry) -> DataFrame:
+    """L-2 (memoised per telemetry instance, persisted with its tables)."""
+    if "stages" not in tm.__dict__:
+        tm.__dict__["stages"] = tm.persist("dataset_stage_status", _dataset_stage_status(tm))
+    return tm.__dict__["stages"]
+
+
+def _dataset_stage_status(tm: Telemetry) -> DataFrame:
     """L-2: per (run, dataset) the status of each model layer downstream of the
     dataset's source, with ``blocked`` propagation and the consumer stage."""
     nodes = tm.manifest()

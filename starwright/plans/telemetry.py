@@ -12,12 +12,14 @@ registry (metadata, a few dozen nodes).
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starwright.functions.columns import layer_of, normalize_status
+from starwright.session import checkpoint_dir
 from starwright.sources.tables import Tables
 
 PROJECT = "adventure_works"
@@ -268,11 +270,24 @@ def aggregate_status_value() -> Column:
 
 
 class Telemetry:
-    """Lazy telemetry tables derived from ``events`` (each built on first use)."""
+    """Telemetry tables derived from ``events``, each built on first use.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    With ``table_dir`` set (as ``for_session`` does) every table is written
+    once to the shared checkpoint folder and read back: the observability mart
+    is a set of tables, and the read queries scan them instead of re-deriving
+    them from the events."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, table_dir: str | None = None):
         self.spark = spark
         self.tables = Tables(spark, sf_dir)
+        self.table_dir = table_dir
+
+    def persist(self, name: str, df: DataFrame) -> DataFrame:
+        if not self.table_dir:
+            return df
+        path = f"{self.table_dir}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
 
     @cached_property
     def events(self) -> DataFrame:
@@ -280,23 +295,23 @@ class Telemetry:
 
     @cached_property
     def test_results(self) -> DataFrame:
-        return test_results(self.events)
+        return self.persist("test_results", test_results(self.events))
 
     @cached_property
     def node_results(self) -> DataFrame:
-        return node_results(self.events)
+        return self.persist("node_results", node_results(self.events))
 
     @cached_property
     def dbt_runs(self) -> DataFrame:
-        return dbt_runs(self.test_results)
+        return self.persist("dbt_runs", dbt_runs(self.test_results))
 
     @cached_property
     def ingestion_runs(self) -> DataFrame:
-        return ingestion_runs(self.events)
+        return self.persist("ingestion_runs", ingestion_runs(self.events))
 
     @cached_property
     def pipeline_runs(self) -> DataFrame:
-        return pipeline_runs(self.events)
+        return self.persist("pipeline_runs", pipeline_runs(self.events))
 
     @cached_property
     def manifest_df(self) -> DataFrame:
@@ -310,7 +325,8 @@ class Telemetry:
         """Memoised per session and folder (plans are immutable, safe to share)."""
         key = (id(spark), spark.sparkContext.applicationId, sf_dir)
         if key not in _TELEMETRY:
-            _TELEMETRY[key] = cls(spark, sf_dir)
+            folder = f"{checkpoint_dir(spark)}/starwright-telemetry/{uuid.uuid4().hex}"
+            _TELEMETRY[key] = cls(spark, sf_dir, folder)
         return _TELEMETRY[key]
 
 
