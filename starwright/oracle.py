@@ -77,7 +77,23 @@ SELECT o.o_orderkey AS sales_order_id,
        c.c_nationkey AS territory_id,
        CAST(o.o_totalprice AS DECIMAL(19,4)) AS subtotal,
        o.o_orderdate + INTERVAL 12 DAY AS modified_at,
-       {LOADED_AT} AS _loaded_at
+       {LOADED_AT} AS _loaded_at,
+       CAST(8 AS SMALLINT) AS revision_number,
+       CASE WHEN o.o_orderpriority <> '5-LOW' THEN 'PO' || CAST(o.o_orderkey AS VARCHAR) END
+         AS purchase_order_number,
+       '10-' || lpad(CAST(o.o_custkey AS VARCHAR), 10, '0') AS account_number,
+       o.o_custkey AS bill_to_address_id,
+       o.o_custkey AS ship_to_address_id,
+       CAST(CASE WHEN o.o_orderpriority = '5-LOW' THEN 1 ELSE 5 END AS INTEGER) AS ship_method_id,
+       CAST(NULL AS INTEGER) AS credit_card_id,
+       CAST(NULL AS VARCHAR) AS credit_card_approval_code,
+       CAST(NULL AS INTEGER) AS currency_rate_id,
+       CAST(0 AS DECIMAL(19,4)) AS tax_amount,
+       CAST(0 AS DECIMAL(19,4)) AS freight,
+       CAST(o.o_totalprice AS DECIMAL(19,4)) AS total_due,
+       CAST(NULL AS VARCHAR) AS comment,
+       {_uuid('o.o_orderkey')} AS row_guid,
+       'sales.salesorderheader' AS _source_table
 FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey""")
 
 cte("stg_salesorderdetail", [], f"""
@@ -95,9 +111,13 @@ SELECT l_orderkey AS sales_order_id,
        l_shipdate AS modified_at,
        {LOADED_AT} AS _loaded_at,
        CASE WHEN l_linestatus <> 'O' THEN l_shipdate END AS line_ship_date,
-       l_suppkey * 2 + 1 AS line_sales_person_id
+       l_suppkey * 2 + 1 AS line_sales_person_id,
+       'sales.salesorderdetail' AS _source_table
 FROM lineitem""")
 
+cte("stg_salesorderdetail_full", ["stg_salesorderdetail"], f"""
+SELECT *, {_uuid('sales_order_detail_id')} AS row_guid FROM stg_salesorderdetail""")
+
 cte("stg_customer", [], f"""
 SELECT c_custkey AS customer_id,
        CASE WHEN c_custkey % 10 <= 6 THEN c_custkey * 2 END AS person_id,
@@ -110,6 +130,14 @@ SELECT c_custkey AS customer_id,
 FROM customer""")
 
 _PERSON_COLS = """
+       FALSE AS name_style,
+       CAST(NULL AS VARCHAR) AS title,
+       CAST(NULL AS VARCHAR) AS suffix,
+       CAST(({key}) % 3 AS INTEGER) AS email_promotion,
+       CAST(NULL AS VARCHAR) AS additional_contact_info,
+       CAST(NULL AS VARCHAR) AS demographics,
+       '00000000-0000-4000-8000-' || lpad(CAST({key} AS VARCHAR), 12, '0') AS row_guid,
+       'person.person' AS _source_table,
        split_part({name}, '#', 1) AS first_name,
        CASE WHEN ({key}) % 3 = 0 THEN 'M' END AS middle_name,
        split_part({name}, '#', 2) AS last_name,
@@ -131,6 +159,8 @@ FROM supplier""")
 cte("stg_store", [], f"""
 SELECT c_custkey AS business_entity_id,
        'Store ' || CAST(c_custkey AS VARCHAR) AS store_name,
+       CAST(NULL AS BIGINT) AS sales_person_id,
+       CAST(NULL AS VARCHAR) AS demographics,
        {_uuid('c_custkey')} AS row_guid,
        {_days_after('2001-02-01 00:00:00', 'c_custkey % 20')} AS modified_at,
        {LOADED_AT} AS _loaded_at,
@@ -161,7 +191,10 @@ SELECT p_partkey AS product_id,
        TIMESTAMP '1995-01-01 00:00:00' AS sell_start_date,
        CAST(NULL AS TIMESTAMP) AS sell_end_date,
        CAST(NULL AS TIMESTAMP) AS discontinued_date,
-       {LOADED_AT} AS _loaded_at
+       {_uuid('p_partkey')} AS row_guid,
+       {_days_after('2001-03-01 00:00:00', 'p_partkey % 30')} AS modified_at,
+       {LOADED_AT} AS _loaded_at,
+       'production.product' AS _source_table
 FROM part""")
 
 cte("stg_salesterritory", [], f"""
@@ -169,6 +202,10 @@ SELECT n_nationkey AS territory_id,
        n_name AS territory_name,
        'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS country_region_code,
        r_name AS territory_group,
+       CAST(0 AS DECIMAL(19,4)) AS sales_ytd,
+       CAST(0 AS DECIMAL(19,4)) AS sales_last_year,
+       CAST(0 AS DECIMAL(19,4)) AS cost_ytd,
+       CAST(0 AS DECIMAL(19,4)) AS cost_last_year,
        {_uuid('n_nationkey')} AS row_guid,
        {_days_after('2001-01-01 00:00:00', 'n_nationkey')} AS modified_at,
        {LOADED_AT} AS _loaded_at,

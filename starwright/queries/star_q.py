@@ -51,3 +51,19 @@ def mart_preview(spark, sf_dir):
     mart = Warehouse.from_driver(spark, sf_dir).mart_sales_details
     return (mart.select("sales_order_detail_id", "customer_name", "product_name", "net_amount")
             .orderBy("sales_order_detail_id").limit(10))
+
+
+# ----------------------------------------------------------------- staging
+def _staging(name):
+    def build(spark, sf_dir):
+        return Warehouse.from_driver(spark, sf_dir).stg(name)
+    build.__doc__ = f"P-x: staging model {name} (rename + typed casts of the raw source)."
+    return build
+
+
+for _name in sorted(_STAGING := [
+        "stg_customer", "stg_employee", "stg_person", "stg_product", "stg_salesorderdetail",
+        "stg_salesorderheader", "stg_salesperson", "stg_salesterritory", "stg_specialoffer",
+        "stg_store"]):
+    _src = "stg_salesorderdetail_full" if _name == "stg_salesorderdetail" else _name
+    register(_name, O.sql(f"SELECT * FROM {_src}", _src))(_staging(_name))
