@@ -3,8 +3,8 @@
 Per table, one aggregate pass: rows, null cells and columns with nulls
 (``count_if(isNull)`` per column — no per-row JSON), the month coverage of
 the first date/timestamp column whose name contains ``month``, and the
-offending values of the table's accepted-values rules.  Duplicate rows need a
-whole-row grouping (one shuffle of the table; partial aggregation first).
+offending values of the table's accepted-values rules.  Duplicate rows are
+found through a 64-bit row hash; only repeated hashes are compared exactly.
 """
 
 from __future__ import annotations
@@ -25,6 +25,20 @@ def month_column(model: str) -> str | None:
     return None
 
 
+def duplicate_rows(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``count(*) - count(distinct row)`` without shuffling whole rows.
+
+    Rows are first grouped by a 64-bit hash of all columns (8 bytes per row
+    shuffled, partially aggregated); only rows whose hash occurs more than
+    once — true duplicates plus rare collisions — are grouped exactly."""
+    h = F.xxhash64(*[F.col(f"`{c}`") for c in cols])
+    repeated = df.select(h.alias("__h")).groupBy("__h").count() \
+        .where(F.col("count") > 1).select("__h")
+    candidates = df.withColumn("__h", h).join(repeated, "__h", "left_semi").drop("__h")
+    return candidates.groupBy(*cols).count().agg(
+        F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
+
+
 def table_profile(model: str, df: DataFrame) -> DataFrame:
     cols = [n for n, _ in declared_columns(model)]
     nulls = [F.count_if(F.col(c).isNull()).alias(f"__n_{i}") for i, c in enumerate(cols)]
@@ -38,8 +52,7 @@ def table_profile(model: str, df: DataFrame) -> DataFrame:
     bad = [F.count_distinct(F.when(~F.col(c).isin(*v), F.col(c))).alias(f"__bad_{i}")
            for i, (c, v) in enumerate(rules)]
     stats = df.agg(F.count(F.lit(1)).cast("bigint").alias("rows"), *nulls, *extra, *bad)
-    dup = df.groupBy(*cols).count().agg(
-        F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
+    dup = duplicate_rows(df, cols)
     null_cells = sum((F.col(f"__n_{i}") for i in range(len(cols))), F.lit(0)).cast("bigint")
     null_columns = sum((F.when(F.col(f"__n_{i}") > 0, 1).otherwise(0) for i in range(len(cols))),
                        F.lit(0)).cast("int")
