@@ -5,9 +5,10 @@ For ranks over an unbounded set of members (customers, sales people) the rank
 is computed in a distributed way instead:
 
 * ``global_dense_rank``: the distinct values are range-partitioned (sampled
-  split points, descending); each partition numbers its values locally and a
-  per-partition count table — one row per partition, so its size is bounded by
-  the partition count, not the data — gives each partition's offset.
+  split points, descending) and sorted within each partition; each partition
+  numbers its values locally and a per-partition count table — one row per
+  partition, so its size is bounded by the partition count, not the data —
+  gives each partition's offset.
 * ``top_n_with_ties``: ``TOPN(n, …)`` keeps the rows whose value is at least
   the n-th largest.  The threshold comes from ``orderBy(...).limit(n)``
   (TakeOrderedAndProject: every task keeps only its n best rows), so no
@@ -23,28 +24,33 @@ from pyspark.sql import functions as F
 def global_dense_rank(df: DataFrame, value: str, out: str = "rank",
                       num_partitions: int | None = None) -> DataFrame:
     """Dense rank of ``value`` descending (1 = largest) attached to every row;
-    rows with a null ``value`` get a null rank."""
+    rows with a null ``value`` get a null rank.
+
+    The distinct values are range-partitioned descending and sorted inside
+    each partition; ``monotonically_increasing_id`` then numbers them in that
+    order (partition id in the upper bits, position in the lower 33), so the
+    local position needs no further shuffle.  Partition sizes (one row per
+    partition) give each partition's offset."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     values = df.select(F.col(value).alias("__v")).where(F.col("__v").isNotNull()).distinct()
     ranged = (
         values.repartitionByRange(n, F.col("__v").desc())
-        .withColumn("__pid", F.spark_partition_id())
-    )
-    local = ranged.withColumn(
-        "__local", F.row_number().over(Window.partitionBy("__pid").orderBy(F.col("__v").desc()))
+        .sortWithinPartitions(F.col("__v").desc())
+        .select("__v", F.monotonically_increasing_id().alias("__id"))
+        .select("__v", (F.col("__id") / (1 << 33)).cast("bigint").alias("__pid"),
+                (F.col("__id") % (1 << 33) + 1).alias("__local"))
     )
-    sizes = local.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    sizes = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     # bounded by the partition count: one row per range partition
     offsets = sizes.select(
         "__pid",
-        (F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)))
+        F.coalesce(F.sum("__n").over(
+            Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         .alias("__off"),
     )
-    ranks = local.join(F.broadcast(offsets), "__pid").select(
-        F.col("__v"), (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__local")).cast("int")
-        .alias(out)
-    )
+    ranks = ranged.join(F.broadcast(offsets), "__pid").select(
+        "__v", (F.col("__off") + F.col("__local")).cast("int").alias(out))
     return df.join(ranks, F.col(value).eqNullSafe(F.col("__v")), "left").drop("__v")
 
 
