@@ -11,11 +11,12 @@ aggregate / anti join each.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starwright.operators.unions import union_all
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -129,7 +130,7 @@ def rule_counts(rules: list[Rule], models) -> DataFrame:
             parts.append(scanned)
         parts += [keyed_rule_count(r, models) for r in rs
                   if r.kind in ("unique", "relationships")]
-    counts = reduce(DataFrame.unionByName, parts)
+    counts = union_all(parts)
     return counts.withColumn(
         "status",
         F.when(F.col("failures") == 0, "pass")

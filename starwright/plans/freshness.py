@@ -9,11 +9,12 @@ threshold only; the rest on ``_loaded_at`` with both.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starwright.operators.unions import union_all
+
 # The freshness policy of the reference's source declarations.
 WARN_AFTER_HOURS = 25
 ERROR_AFTER_HOURS = 48
@@ -49,7 +50,7 @@ def source_freshness(raw: dict[str, DataFrame], checked_at: str = DEFAULT_CHECKE
             F.lit(warn_h).cast("int").alias("warn_after_hours"),
             F.lit(error_h).cast("int").alias("error_after_hours"),
         ))
-    sources = reduce(DataFrame.unionByName, parts)
+    sources = union_all(parts)
     snap = F.expr(f"timestamp_ntz'{checked_at}'")
     age = F.expr(f"timestampdiff(SECOND, max_loaded_at, timestamp_ntz'{checked_at}')")
     return sources.select(

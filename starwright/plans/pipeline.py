@@ -17,11 +17,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starwright.operators.unions import union_all
+
 from starwright.operators import contracts, quality
 from starwright.plans import rules
 from starwright.plans.warehouse import MODEL_LAYERS, Warehouse
@@ -63,7 +64,7 @@ def run_layers(wh: Warehouse, out: str, invocation_id: str, captured_at: str,
                 F.when(F.col("failures") == 0, "pass").otherwise("fail").alias("status")))
         if not parts:
             continue
-        layer_counts = reduce(DataFrame.unionByName, parts)
+        layer_counts = union_all(parts)
         results_path = f"{out}/_quality/results/invocation_id={invocation_id}/layer={layer}"
         layer_counts.write.mode("overwrite").parquet(results_path)
         collected = spark.read.parquet(results_path).collect()  # one row per rule

@@ -9,11 +9,12 @@ found through a 64-bit row hash; only repeated hashes are compared exactly.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starwright.operators.unions import union_all
+
 from starwright.operators.contracts import declared_columns
 from starwright.plans.rules import ACCEPTED_VALUES
 
@@ -83,5 +84,5 @@ def table_profile(model: str, df: DataFrame) -> DataFrame:
 
 
 def final_table_profiles(models: dict[str, DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName,
+    return union_all(
                   [table_profile(name, df) for name, df in sorted(models.items())])

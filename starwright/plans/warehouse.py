@@ -58,18 +58,17 @@ class Warehouse:
         return wh
 
     def stg(self, name: str) -> DataFrame:
-        if name in self.materialized:
-            return self.materialized[name]
-        return self.staged[name]
+        return self.model(name)
 
     def model(self, name: str) -> DataFrame:
         if name in self.materialized:
             return self.materialized[name]
         if name.startswith("stg_"):
-            return self.stg(name)
-        if name not in self._plans:
-            self._plans[name] = getattr(self, f"_build_{name}")()
-        df = self._plans[name]
+            df = self.staged[name]
+        else:
+            if name not in self._plans:
+                self._plans[name] = getattr(self, f"_build_{name}")()
+            df = self._plans[name]
         if self.table_dir and name in MATERIALIZED_MODELS:
             path = f"{self.table_dir}/{name}"
             df.write.mode("overwrite").parquet(path)
@@ -129,10 +128,11 @@ class Warehouse:
         )
 
 
-# written once per session when materialising (tables in the reference, plus
-# the items join every fact derives from)
+# written once per session when materialising: the reference's tables, plus
+# the two order views every fact and rule derives from (the detail view carries
+# the stand-in line numbering, the header view the customer join)
 MATERIALIZED_MODELS = {
-    "int_sales_order_items", "fact_sales", "fact_sales_monthly", "dim_date", "dim_customer",
+    "stg_salesorderheader", "stg_salesorderdetail", "int_sales_order_items", "fact_sales", "fact_sales_monthly", "dim_date", "dim_customer",
     "dim_product", "dim_sales_person", "dim_sales_territory",
 }
 
