@@ -159,3 +159,46 @@ def ingestion_rows_df(spark: SparkSession, rows: list[dict]) -> DataFrame:
     data = [tuple(r.get(c) for c in cols) for r in rows]
     df = spark.createDataFrame(data, INGESTION_RUN_SCHEMA)
     return df.withColumn("error_message", varchar("error_message", ERROR_MESSAGE_LIMIT))
+
+
+# ------------------------------------------------------- B-4 / B-5 run rows
+DEFAULT_SLA_MINUTES = 1440
+PIPELINE_RUN_SCHEMA = ("run_id string, started_at timestamp_ntz, finished_at timestamp_ntz, "
+                       "duration_seconds double, status string, error_message string")
+
+
+def dataset_freshness_rows(ingestion: DataFrame, sla_minutes: int = DEFAULT_SLA_MINUTES
+                           ) -> DataFrame:
+    """B-4: one freshness row per successfully loaded dataset of a run."""
+    return ingestion.where(F.col("status") == "success").select(
+        "run_id",
+        F.col("source_table").alias("dataset_name"),
+        F.col("started_at").alias("source_updated_at"),
+        F.col("minio_uploaded_at").alias("minio_updated_at"),
+        F.col("finished_at").alias("warehouse_updated_at"),
+        F.lit(None).cast("timestamp_ntz").alias("analytics_updated_at"),
+        F.lit(sla_minutes).alias("sla_minutes"),
+        F.lit("success").alias("status"),
+    )
+
+
+def pipeline_run_row(spark: SparkSession, run_id: str, status: str,
+                     started_at: dt.datetime | None = None,
+                     finished_at: dt.datetime | None = None,
+                     error_message: str | None = None) -> DataFrame:
+    """B-5: one lifecycle event of a pipeline run (start, success or failure)."""
+    duration = ((finished_at - started_at).total_seconds()
+                if started_at is not None and finished_at is not None else None)
+    return spark.createDataFrame(
+        [(run_id, started_at, finished_at, duration, status,
+          None if error_message is None else error_message[:ERROR_MESSAGE_LIMIT])],
+        PIPELINE_RUN_SCHEMA)
+
+
+def mark_analytics_updated(freshness: DataFrame, run_id: str, at: dt.datetime) -> DataFrame:
+    """B-5 on success: set ``analytics_updated_at`` of every dataset of the run
+    (an update by predicate, expressed as a projection)."""
+    return freshness.withColumn(
+        "analytics_updated_at",
+        F.when(F.col("run_id") == run_id, F.lit(at).cast("timestamp_ntz"))
+        .otherwise(F.col("analytics_updated_at")))

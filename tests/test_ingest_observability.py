@@ -172,3 +172,32 @@ def test_freshness_artifact(artifacts):
     assert got["short.id"].table_name is None
     r = run.first()
     assert (r.status, r.total_sources, r.warned_sources) == ("warn", 2, 1)
+
+
+def test_pipeline_run_lifecycle_and_freshness(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "pipeline_runs")
+    start = dt.datetime(2026, 8, 14, 1, 0)
+    end = dt.datetime(2026, 8, 14, 1, 10)
+    upsert_table(spark, path, S.pipeline_run_row(spark, "r1", "running", started_at=start),
+                 ["run_id"])
+    # the finish event sets only its own columns; started_at is kept
+    upsert_table(spark, path, S.pipeline_run_row(spark, "r1", "success", finished_at=end)
+                 .drop("started_at", "duration_seconds"),
+                 ["run_id"], columns=["finished_at", "status", "error_message"])
+    r = read_table(spark, path).first()
+    assert (r.status, r.started_at, r.finished_at) == ("success", start, end)
+
+    ing = S.ingestion_rows_df(spark, [
+        dict(run_id="r1", source_table="sales.customer", started_at=start, finished_at=end,
+             minio_uploaded_at=end, status="success"),
+        dict(run_id="r1", source_table="sales.store", started_at=start, status="failed",
+             error_message="x" * 5000),
+        dict(run_id="r0", source_table="sales.customer", started_at=start, finished_at=end,
+             minio_uploaded_at=end, status="success")])
+    assert max(len(x.error_message or "") for x in ing.collect()) == S.ERROR_MESSAGE_LIMIT
+    fr = S.mark_analytics_updated(S.dataset_freshness_rows(ing), "r1", end)
+    got = {(x.run_id, x.dataset_name): x for x in fr.collect()}
+    assert set(got) == {("r1", "sales.customer"), ("r0", "sales.customer")}
+    assert got[("r1", "sales.customer")].analytics_updated_at == end
+    assert got[("r0", "sales.customer")].analytics_updated_at is None
+    assert got[("r1", "sales.customer")].sla_minutes == 1440
