@@ -47,9 +47,15 @@ def run_history(tm: Telemetry, limit: int = 20) -> DataFrame:
     )
 
 
-def ingestion_rollup(tm: Telemetry) -> DataFrame:
-    """A-7: per run, whether every dataset loaded and reached each stage."""
-    return tm.ingestion_runs.groupBy("run_id").agg(
+def optional_eq(column: str, value) -> "Column":
+    """P-18: ``(:p is null or col = :p)`` — no filter when the parameter is absent."""
+    return F.lit(True) if value is None else (F.col(column) == F.lit(value))
+
+
+def ingestion_rollup(tm: Telemetry, run_id: str | None = None) -> DataFrame:
+    """A-7: per run (or only ``run_id``), whether every dataset loaded and
+    reached each stage."""
+    return tm.ingestion_runs.where(optional_eq("run_id", run_id)).groupBy("run_id").agg(
         F.max("finished_at").alias("finished_at"),
         F.sum("duration_seconds").cast("decimal(38,3)").alias("duration_seconds"),
         F.bool_and(F.col("status") == "success").alias("successful"),
@@ -126,9 +132,13 @@ def latest_test_results(tm: Telemetry, per_dataset: int = 50) -> DataFrame:
     # (case-insensitive substring, so 'person' also matches 'salesperson')
     matched = t.join(F.broadcast(datasets),  # ≤ one row per source table
                      F.exists("depends_on", lambda d: F.lower(d).contains(F.col("dataset"))))
-    w = Window.partitionBy("dataset", "test_unique_id").orderBy(
-        F.col("run_collected_at").desc(), F.col("collected_at").desc(), F.col("event_id").desc())
-    newest = matched.withColumn("__rn", F.row_number().over(w)).where("__rn = 1")
+    # latest per (dataset, test) as a max_by aggregate: partial aggregation keeps
+    # one candidate per task even when one test has a huge history
+    fields = ["invocation_id", "test_name", "test_type", "severity", "status", "failures",
+              "message", "execution_seconds"]
+    newest = matched.groupBy("dataset", "test_unique_id").agg(
+        F.max_by(F.struct(*fields), F.struct("run_collected_at", "collected_at", "event_id"))
+        .alias("r")).select("dataset", "test_unique_id", "r.*")
     w2 = Window.partitionBy("dataset").orderBy(F.col("status").desc(), "test_name")
     return newest.withColumn("__k", F.row_number().over(w2)).where(F.col("__k") <= per_dataset) \
         .select("dataset", "invocation_id", "test_unique_id", "test_name", "test_type",

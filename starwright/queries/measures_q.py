@@ -281,7 +281,8 @@ def measures_by_month(spark, sf_dir):
     """M-1…M-24 per calendar month: base measures, prior year / month, YTD,
     YoY / MoM growth, share of the year and the 3-month moving average."""
     wh = Warehouse.from_driver(spark, sf_dir)
-    return M.month_grain(_lines(wh), wh.dim_date)
+    # O-5: month names are displayed in month-number order (bounded: calendar months)
+    return M.month_grain(_lines(wh), wh.dim_date).orderBy("year_number", "month_number")
 
 
 O.cte("my_base", ["fact_sales"], _derived(f"""

@@ -101,3 +101,10 @@ def test_ratio_and_blank_arithmetic(spark):
     rows = df.select(C.blank_diff("a", "b").alias("d"), C.ratio("a", "b").alias("r")).collect()
     assert [r.d for r in rows] == [None, 5, 0]
     assert [r.r for r in rows] == [None, None, None]
+
+
+def test_optional_parameter_predicate(spark):
+    from starwright.plans.reports import optional_eq
+    df = spark.createDataFrame([("a",), ("b",)], "run_id string")
+    assert df.where(optional_eq("run_id", None)).count() == 2
+    assert df.where(optional_eq("run_id", "a")).count() == 1
