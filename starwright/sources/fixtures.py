@@ -42,7 +42,9 @@ def _meta(schema_table: str, loaded_at: str) -> list:
 def detail_id(order_key: str = "l_orderkey") -> F.Column:
     """``l_orderkey·100 + row_number()`` within the order, ordered by every
     other lineitem column: unique and deterministic because no line is fully
-    duplicated; the window shares the join's partitioning on the order key."""
+    duplicated; the window shares the join's partitioning on the order key.
+    The scheme is unique only while an order has at most 99 lines, which also
+    bounds the size of every window group."""
     w = Window.partitionBy(order_key).orderBy(
         "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
