@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starwright.functions.columns import blank_diff, ratio
+from starwright.functions.columns import blank_diff, date_key, ratio
 from starwright.operators.ranking import global_dense_rank, top_n_threshold, top_n_with_ties
 
 MONEY = "decimal(38,4)"
@@ -346,3 +346,27 @@ def year_grain(lines: DataFrame, dim_date: DataFrame) -> DataFrame:
     y = y.withColumn("ytd_growth", F.col("yoy_growth")).withColumn("ytd_change",
                                                                    F.col("yoy_change"))
     return y.where(F.col("net_sales").isNotNull() | F.col("net_sales_ly").isNotNull())
+
+
+def day_grain(lines: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Day rows: net sales, orders, the same day one year earlier
+    (``add_months(d, -12)``: 29 Feb maps to 28 Feb) and YoY growth/change.
+
+    Each calendar day looks up its shifted date in the per-day aggregate
+    (one row per sales day, bounded by the calendar, so broadcast)."""
+    day = F.col("order_date_id")
+    base = lines.groupBy(day.alias("date_id")).agg(
+        F.sum("net_amount").cast(MONEY).alias("net_sales"),
+        F.count_distinct("sales_order_id").cast("bigint").alias("orders"))
+    cal = dim_date.select("date_id", "full_date",
+                          date_key(F.add_months("full_date", -12)).alias("__ly_id"))
+    cur = cal.join(F.broadcast(base), "date_id", "left")
+    ly = base.select(F.col("date_id").alias("__ly_id"), F.col("net_sales").alias("net_sales_ly"))
+    d = cur.join(F.broadcast(ly), "__ly_id", "left").drop("__ly_id")
+    both = F.col("net_sales").isNotNull() & F.col("net_sales_ly").isNotNull()
+    return d.where(F.col("net_sales").isNotNull() | F.col("net_sales_ly").isNotNull()).select(
+        "date_id", "full_date", "net_sales", "orders", "net_sales_ly",
+        F.when(both, ratio(F.col("net_sales") - F.col("net_sales_ly"), "net_sales_ly"))
+        .alias("yoy_growth"),
+        F.when(both, F.col("net_sales") - F.col("net_sales_ly")).cast(MONEY).alias("yoy_change"),
+    )

@@ -309,3 +309,28 @@ def measures_by_year(spark, sf_dir):
     """Year grain: base measures, prior year, YoY and YTD (= year total here)."""
     wh = Warehouse.from_driver(spark, sf_dir)
     return M.year_grain(_lines(wh), wh.dim_date)
+
+
+O.cte("md_base", ["fact_sales"], """
+SELECT order_date_id AS date_id, CAST(sum(net_amount) AS DECIMAL(38,4)) AS net_sales,
+       CAST(count(DISTINCT sales_order_id) AS BIGINT) AS orders
+FROM fact_sales GROUP BY 1""")
+_DAY_SQL = O.sql(f"""
+SELECT date_id, full_date, net_sales, orders, net_sales_ly,
+       CASE WHEN {_both.format(a='net_sales', b='net_sales_ly')}
+            THEN {_ratio('net_sales - net_sales_ly', 'net_sales_ly')} END AS yoy_growth,
+       CAST(CASE WHEN {_both.format(a='net_sales', b='net_sales_ly')}
+            THEN net_sales - net_sales_ly END AS DECIMAL(38,4)) AS yoy_change
+FROM (SELECT c.date_id, c.full_date, b.net_sales, b.orders, l.net_sales AS net_sales_ly
+      FROM dim_date c
+      LEFT JOIN md_base b ON b.date_id = c.date_id
+      LEFT JOIN md_base l ON l.date_id = CAST(strftime(CAST(c.full_date - INTERVAL 1 YEAR AS DATE),
+                                                       '%Y%m%d') AS INTEGER)) x
+WHERE net_sales IS NOT NULL OR net_sales_ly IS NOT NULL""", "md_base", "dim_date")
+
+
+@register("measures_by_day", _DAY_SQL)
+def measures_by_day(spark, sf_dir):
+    """M-13…M-15 at day grain: net sales against the same day a year earlier."""
+    wh = Warehouse.from_driver(spark, sf_dir)
+    return M.day_grain(_lines(wh), wh.dim_date)

@@ -87,3 +87,15 @@ def test_overall_cards(spark, lines):
     assert (r.orders, r.active_customers, r.recurring_customers) == (4, 3, 1)
     assert r.sales_top10_products == Decimal("180") and r.product_is_top10 == 1
     assert r.discount_value == Decimal("0")
+
+
+def test_day_grain_prior_year_maps_leap_day(spark):
+    rows = [(1, 1, 1, None, 1, 20230228, 1, Decimal("7"), Decimal("7")),
+            (2, 1, 1, None, 1, 20240229, 1, Decimal("3"), Decimal("3"))]
+    ln = spark.createDataFrame(rows, LINES)
+    dates = ln.select(F.to_date(F.col("order_date_id").cast("string"), "yyyyMMdd").alias("date_value"))
+    dim = calendar.dim_date(dates, dt.date(2024, 6, 30), 0)
+    got = {r.date_id: r for r in M.day_grain(ln, dim).collect()}
+    assert got[20240228].net_sales is None and got[20240228].net_sales_ly == Decimal("7")
+    assert got[20240229].net_sales_ly == Decimal("7")          # 29 Feb → 28 Feb
+    assert got[20240229].yoy_change == Decimal("-4")
