@@ -164,14 +164,14 @@ def monthly_negative_metrics(monthly: DataFrame) -> DataFrame:
 def monthly_reconciles(monthly: DataFrame, fact: DataFrame) -> DataFrame:
     """Q-14: monthly totals against fact totals (two one-row aggregates)."""
     m = monthly.agg(
-        F.sum("net_sales").alias("monthly_net_sales"),
-        F.sum("orders_count").alias("monthly_orders_count"),
-        F.sum("units_sold").alias("monthly_units_sold"),
+        F.sum("net_sales").cast("decimal(38,4)").alias("monthly_net_sales"),
+        F.sum("orders_count").cast("bigint").alias("monthly_orders_count"),
+        F.sum("units_sold").cast("bigint").alias("monthly_units_sold"),
     )
     f = fact.agg(
-        F.sum("net_amount").alias("fact_net_sales"),
-        F.count_distinct("sales_order_id").alias("fact_orders_count"),
-        F.sum("order_quantity").alias("fact_units_sold"),
+        F.sum("net_amount").cast("decimal(38,4)").alias("fact_net_sales"),
+        F.count_distinct("sales_order_id").cast("bigint").alias("fact_orders_count"),
+        F.sum("order_quantity").cast("bigint").alias("fact_units_sold"),
     )
     return m.crossJoin(f).where(
         (F.abs(F.col("monthly_net_sales") - F.col("fact_net_sales")) > F.lit(0.01))
@@ -203,7 +203,7 @@ def order_subtotals(header: DataFrame, items: DataFrame) -> DataFrame:
     shuffle), then full-outer joined to the header on the order key.
     """
     totals = items.groupBy("sales_order_id").agg(
-        F.sum("net_amount").alias("calculated_subtotal")
+        F.sum("net_amount").cast("decimal(38,4)").alias("calculated_subtotal")
     )
     o = header.select("sales_order_id", F.col("subtotal").alias("expected_subtotal")).alias("o")
     t = totals.alias("t")
@@ -216,7 +216,7 @@ def order_subtotals(header: DataFrame, items: DataFrame) -> DataFrame:
         F.coalesce(F.col("o.sales_order_id"), F.col("t.sales_order_id")).alias("sales_order_id"),
         "expected_subtotal",
         "calculated_subtotal",
-        difference.alias("difference"),
+        difference.cast("decimal(38,4)").alias("difference"),
     ).where(
         F.col("expected_subtotal").isNull() | F.col("calculated_subtotal").isNull()
         | (F.col("difference") > F.lit(0.01))

@@ -70,10 +70,12 @@ WHERE orders_count < 0 OR customers_count < 0 OR units_sold < 0 OR gross_sales <
 SELECT m.net_sales AS monthly_net_sales, f.net_sales AS fact_net_sales,
        m.orders_count AS monthly_orders_count, f.orders_count AS fact_orders_count,
        m.units_sold AS monthly_units_sold, f.units_sold AS fact_units_sold
-FROM (SELECT sum(net_sales) AS net_sales, sum(orders_count) AS orders_count,
-             sum(units_sold) AS units_sold FROM fact_sales_monthly) m
-CROSS JOIN (SELECT sum(net_amount) AS net_sales, count(DISTINCT sales_order_id) AS orders_count,
-                   sum(order_quantity) AS units_sold FROM fact_sales) f
+FROM (SELECT CAST(sum(net_sales) AS DECIMAL(38,4)) AS net_sales,
+             CAST(sum(orders_count) AS BIGINT) AS orders_count,
+             CAST(sum(units_sold) AS BIGINT) AS units_sold FROM fact_sales_monthly) m
+CROSS JOIN (SELECT CAST(sum(net_amount) AS DECIMAL(38,4)) AS net_sales,
+                   CAST(count(DISTINCT sales_order_id) AS BIGINT) AS orders_count,
+                   CAST(sum(order_quantity) AS BIGINT) AS units_sold FROM fact_sales) f
 WHERE abs(m.net_sales - f.net_sales) > 0.01 OR m.orders_count <> f.orders_count
    OR m.units_sold <> f.units_sold""", ["fact_sales_monthly", "fact_sales"]),
     "assert_fact_sales_net_amount_is_valid": ("""
@@ -89,8 +91,9 @@ SELECT sales_order_detail_id, unit_price FROM fact_sales WHERE unit_price <= 0""
 SELECT * FROM (
   SELECT COALESCE(o.sales_order_id, t.sales_order_id) AS sales_order_id,
          o.subtotal AS expected_subtotal,
-         t.calculated_subtotal,
-         abs(COALESCE(o.subtotal, 0) - COALESCE(t.calculated_subtotal, 0)) AS difference
+         CAST(t.calculated_subtotal AS DECIMAL(38,4)) AS calculated_subtotal,
+         CAST(abs(COALESCE(o.subtotal, 0) - COALESCE(t.calculated_subtotal, 0))
+              AS DECIMAL(38,4)) AS difference
   FROM stg_salesorderheader o
   FULL OUTER JOIN (SELECT sales_order_id, sum(net_amount) AS calculated_subtotal
                    FROM int_sales_order_items GROUP BY sales_order_id) t

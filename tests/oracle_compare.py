@@ -73,6 +73,20 @@ def family(t: str) -> str:
     return t
 
 
+def exact_type(t: str) -> str:
+    """DuckDB type name → Spark simpleString (for the strict schema report)."""
+    t = t.strip()
+    m = {"INTEGER": "int", "BIGINT": "bigint", "SMALLINT": "smallint", "TINYINT": "tinyint",
+         "DOUBLE": "double", "FLOAT": "float", "VARCHAR": "string", "BOOLEAN": "boolean",
+         "DATE": "date", "TIMESTAMP": "timestamp_ntz", "HUGEINT": "hugeint",
+         "TIMESTAMP WITH TIME ZONE": "timestamp"}
+    if t.endswith("[]"):
+        return f"array<{exact_type(t[:-2])}>"
+    if t.startswith("DECIMAL"):
+        return t.lower().replace(" ", "")
+    return m.get(t, t.lower())
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     df = fn(spark, sf_dir)
@@ -97,6 +111,10 @@ def compare(spark, con, name, fn, sql, sf_dir):
         bad = [(c, st[c], dtp[c]) for c in s_names if family(st[c]) != family(dtp[c])]
         if bad:
             problems.append(f"types differ: {bad}")
+        strict = [(c, st[c], exact_type(dtp[c])) for c in s_names
+                  if st[c] != exact_type(dtp[c])]
+        if strict:
+            out["strict_type_diffs"] = strict
         exact = rows_of(s_names, s_rows, False) == rows_of(d_names, d_rows, False)
         if not exact:
             if rows_of(s_names, s_rows, True) == rows_of(d_names, d_rows, True):

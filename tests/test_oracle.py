@@ -19,6 +19,7 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, con, name, QUERIES[name], ORACLES.get(name), SF)
     assert r["status"] in ("ok", "rows-only"), r
+    assert "strict_type_diffs" not in r, r     # identical types, decimal precision included
 
 
 def test_entry_smoke(spark):
