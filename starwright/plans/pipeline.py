@@ -85,3 +85,38 @@ def run_layers(wh: Warehouse, out: str, invocation_id: str, captured_at: str,
 
 def _rule(rule_id: str) -> quality.Rule:
     return next(r for r in rules.catalogue() if r.rule_id == rule_id)
+
+
+def main(argv: list[str] | None = None) -> int:
+    """``python -m starwright.plans.pipeline <sf_dir> <out> [invocation_id] [as_of]``:
+    build the layers over the driver tables with quality gates."""
+    import datetime as dt
+    import sys
+
+    from pyspark.sql import SparkSession
+
+    from starwright.session import apply_core_conf
+    from starwright.sources.fixtures import raw_sources
+    from starwright.sources.tables import Tables
+
+    args = list(sys.argv[1:] if argv is None else argv)
+    if len(args) < 2:
+        print(main.__doc__)
+        return 2
+    sf_dir, out = args[0], args[1]
+    invocation = args[2] if len(args) > 2 else "manual"
+    as_of = dt.date.fromisoformat(args[3]) if len(args) > 3 else dt.date.today()
+    spark = SparkSession.builder.getOrCreate()
+    apply_core_conf(spark)
+    wh = Warehouse(raw_sources(Tables(spark, sf_dir)), as_of=as_of)
+    try:
+        run_layers(wh, out, invocation, dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S"))
+    except quality.LayerGateError as exc:
+        print(f"stopped: {exc}")
+        return 1
+    print("all layers passed")
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

@@ -202,3 +202,16 @@ def mark_analytics_updated(freshness: DataFrame, run_id: str, at: dt.datetime) -
         "analytics_updated_at",
         F.when(F.col("run_id") == run_id, F.lit(at).cast("timestamp_ntz"))
         .otherwise(F.col("analytics_updated_at")))
+
+
+def jdbc_sources(spark: SparkSession, url: str, properties: dict[str, str],
+                 partitioning: dict[str, tuple[str, int, int, int]] | None = None
+                 ) -> dict[str, DataFrame]:
+    """The ten source tables as partitioned JDBC reads (lazy; nothing is
+    fetched until a snapshot is written).  ``partitioning`` maps a table to
+    ``(key column, lower bound, upper bound, partitions)``."""
+    out = {}
+    for schema, table in SOURCE_TABLES:
+        col, lo, hi, n = (partitioning or {}).get(table, (None, None, None, 1))
+        out[table] = read_source(spark, url, schema, table, properties, col, lo, hi, n)
+    return out
