@@ -2,8 +2,8 @@
 
 ``run_layers`` builds staging → intermediate → analytics.  Per layer it
 
-1. enforces the contracts of the layer's table models and writes them as
-   Parquet under ``<out>/<layer>/<model>`` (later layers and the layer's rules
+1. enforces the contracts of the layer's table models and writes them as a
+   new version under ``<out>/<layer>/<model>`` (later layers and the layer's rules
    read the written tables, so each model is computed once and lineage is cut
    at the layer boundary, as the warehouse materialises tables);
 2. evaluates every declared column rule and singular rule of the layer —
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from starwright.operators.unions import union_all
 
 from starwright.operators import contracts, quality
+from starwright.operators.upsert import read_table, write_version
 from starwright.plans import rules
 from starwright.plans.warehouse import MODEL_LAYERS, Warehouse
 
@@ -48,8 +49,8 @@ def run_layers(wh: Warehouse, out: str, invocation_id: str, captured_at: str,
             if name in TABLE_MODELS:
                 df = contracts.enforce(name, wh.model(name))
                 path = f"{out}/{layer}/{name}"
-                df.write.mode("overwrite").parquet(path)
-                wh.materialized[name] = spark.read.parquet(path)
+                write_version(df, path)   # new version, then pointer swap
+                wh.materialized[name] = read_table(spark, path)
         layer_rules = rules.rules_for_layer(MODEL_LAYERS[layer])
         counts = quality.rule_counts(layer_rules, mw) if layer_rules else None
         singular = [n for n in rules.SINGULAR if singular_layer(n) == layer]

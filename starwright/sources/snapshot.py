@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starwright.functions.columns import varchar
+from starwright.operators.upsert import write_version
 from starwright.plans.telemetry import OBJECT_TABLE_NAMES, SOURCE_TABLES
 
 ERROR_MESSAGE_LIMIT = 4000
@@ -92,10 +93,13 @@ def path_size(spark: SparkSession, path: str) -> int:
 
 
 def refresh_raw(spark: SparkSession, snapshot: str, raw_path: str) -> int:
-    """Full refresh of the raw table from the snapshot; returns its row count."""
+    """Full refresh of the raw table from the snapshot; returns its row count.
+
+    The new contents are written as a new version and published by moving the
+    table's pointer, so a failed or lost job never leaves the table empty."""
     obs = Observation(f"raw_{abs(hash(raw_path))}")
-    spark.read.parquet(snapshot).observe(obs, F.count(F.lit(1)).alias("rows")) \
-        .write.mode("overwrite").parquet(raw_path)
+    write_version(spark.read.parquet(snapshot).observe(obs, F.count(F.lit(1)).alias("rows")),
+                  raw_path)
     return int(obs.get["rows"])
 
 

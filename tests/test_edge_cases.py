@@ -221,4 +221,5 @@ def test_pipeline_gate_stops_after_recording_evidence(spark, tmp_dir):
     rec = spark.read.parquet(f"{tmp_dir}/_quality/failures").where(
         "invocation_id = 'inv-2' AND test_id = 'accepted_values_dim_customer_customer_type'").first()
     assert '"value_field":"Unknown"' in rec.failure_record
-    assert spark.read.parquet(f"{tmp_dir}/analytics/fact_sales").count() > 0
+    from starwright.operators.upsert import read_table
+    assert read_table(spark, f"{tmp_dir}/analytics/fact_sales").count() > 0

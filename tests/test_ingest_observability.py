@@ -29,7 +29,7 @@ def test_snapshot_adds_load_columns_and_counts(spark, tmp_dir):
     assert snap.first()["_source_table"] == "sales.customer"
     assert row["source_row_count"] == 1 and row["raw_row_count"] == 1
     assert row["file_size_bytes"] > 0 and row["status"] == "success"
-    raw = spark.read.parquet(f"{tmp_dir}/warehouse/raw/customer")
+    raw = read_table(spark, f"{tmp_dir}/warehouse/raw/customer")
     assert raw.count() == 1
 
 
