@@ -2,9 +2,9 @@
 
 Frontier iteration with ``left_anti`` against the visited set: every pair is
 produced once even on diamond-shaped graphs (a ``UNION ALL`` recursive CTE
-would enumerate paths instead).  The loop runs once per graph *level*; each
-new frontier is checkpointed to the shared checkpoint folder so the plan of
-iteration k does not carry the k previous joins.
+would enumerate paths instead).  The loop runs once per graph *level* (one
+emptiness test each); the visited set is checkpointed to the shared folder
+every few levels and at the end, so no plan carries more than a few joins.
 """
 
 from __future__ import annotations
@@ -15,22 +15,35 @@ from pyspark.sql import functions as F
 from starwright.session import checkpoint_dir
 
 
-def descendants(edges: DataFrame, roots: DataFrame, max_levels: int = 64) -> DataFrame:
+def descendants(edges: DataFrame, roots: DataFrame, max_levels: int = 64,
+                checkpoint_every: int = 4) -> DataFrame:
     """``edges(parent, child)``, ``roots(root)`` → ``(root, node)`` for every node
-    reachable from a root, the root itself included."""
+    reachable from a root, the root itself included.
+
+    Each level's frontier is cached (it is used by the emptiness test and the
+    next level); every ``checkpoint_every`` levels the visited set is
+    checkpointed to the shared folder, which bounds the lineage a lost
+    executor would have to replay."""
     checkpoint_dir(edges.sparkSession)
-    visited = roots.select("root", F.col("root").alias("node")).distinct().checkpoint()
+    visited = roots.select("root", F.col("root").alias("node")).distinct().cache()
     frontier = visited
-    for _ in range(max_levels):
+    cached = [visited]
+    for level in range(1, max_levels + 1):
         step = (
             frontier.join(edges, frontier.node == edges.parent)
             .select("root", F.col("child").alias("node"))
             .distinct()
             .join(visited, ["root", "node"], "left_anti")
-            .checkpoint()
+            .cache()
         )
+        cached.append(step)
         if step.isEmpty():
-            return visited
-        visited = visited.unionByName(step).checkpoint()
+            out = visited.checkpoint()
+            for df in cached:
+                df.unpersist()
+            return out
+        visited = visited.unionByName(step)
+        if level % checkpoint_every == 0:
+            visited = visited.checkpoint()
         frontier = step
     raise RuntimeError(f"lineage deeper than {max_levels} levels (cycle?)")

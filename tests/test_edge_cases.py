@@ -223,3 +223,14 @@ def test_pipeline_gate_stops_after_recording_evidence(spark, tmp_dir):
     assert '"value_field":"Unknown"' in rec.failure_record
     from starwright.operators.upsert import read_table
     assert read_table(spark, f"{tmp_dir}/analytics/fact_sales").count() > 0
+
+
+def test_lineage_closure_on_a_diamond(spark):
+    from starwright.operators.closure import descendants
+    edges = spark.createDataFrame(
+        [("s", "a"), ("s", "b"), ("a", "c"), ("b", "c"), ("c", "d"), ("x", "y")],
+        "parent string, child string")
+    roots = spark.createDataFrame([("s",), ("x",), ("lonely",)], "root string")
+    got = sorted(tuple(r) for r in descendants(edges, roots).collect())
+    assert got == [("lonely", "lonely"), ("s", "a"), ("s", "b"), ("s", "c"), ("s", "d"),
+                   ("s", "s"), ("x", "x"), ("x", "y")]
