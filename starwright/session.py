@@ -61,16 +61,23 @@ def apply_core_conf(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+_FALLBACK_DIRS: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Uses ``spark.checkpoint.dir`` from the session (on a cluster: a shared
-    file system path).  Only when it is unset, as in unit tests, a fresh local
-    folder is created and registered.
+    file system path).  Only when it is unset, as in unit tests, a local
+    folder is created once per application and registered with
+    ``setCheckpointDir`` (the config itself cannot change at runtime).
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="starwright-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+        app = spark.sparkContext.applicationId
+        if app not in _FALLBACK_DIRS:
+            _FALLBACK_DIRS[app] = tempfile.mkdtemp(prefix="starwright-ckpt-")
+        path = _FALLBACK_DIRS[app]
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(path)
     return path
