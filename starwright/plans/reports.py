@@ -265,10 +265,6 @@ def _dataset_stage_status(tm: Telemetry) -> DataFrame:
     )
 
 
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
 # --------------------------------------------------------- status helpers
 def status_parts(word: "Column") -> list:
     """Aggregate-status parts of one already-normalised status word."""
