@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starwright.session import checkpoint_dir
+
 
 def global_dense_rank(df: DataFrame, value: str, out: str = "rank",
                       num_partitions: int | None = None) -> DataFrame:
@@ -34,12 +36,17 @@ def global_dense_rank(df: DataFrame, value: str, out: str = "rank",
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     values = df.select(F.col(value).alias("__v")).where(F.col("__v").isNotNull()).distinct()
+    # Range bounds come from sampling and the ids from row positions, so a
+    # recomputation could number differently: checkpoint once (shared folder)
+    # and let the size table and the positions read the same rows.
+    checkpoint_dir(spark)
     ranged = (
         values.repartitionByRange(n, F.col("__v").desc())
         .sortWithinPartitions(F.col("__v").desc())
         .select("__v", F.monotonically_increasing_id().alias("__id"))
         .select("__v", (F.col("__id") / (1 << 33)).cast("bigint").alias("__pid"),
                 (F.col("__id") % (1 << 33) + 1).alias("__local"))
+        .checkpoint()
     )
     sizes = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     # bounded by the partition count: one row per range partition
