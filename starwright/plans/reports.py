@@ -25,9 +25,16 @@ LAYERS = ["staging", "intermediate", "analytics"]
 DEFAULT_SLA_MINUTES = 1440
 
 
-def latest(df: DataFrame, ts: str, *cols: str) -> DataFrame:
-    """One-row scalar subquery: ``select cols order by ts desc limit 1``."""
-    return df.orderBy(F.col(ts).desc()).limit(1).select(*cols)
+# unique key of each telemetry table, used to break ties in "latest" picks so
+# every branch that reuses the one-row subquery sees the same row
+_TIE_BREAK = ["run_id", "invocation_id", "orchestrator_run_id"]
+
+
+def latest(df: DataFrame, ts: str, *cols) -> DataFrame:
+    """One-row scalar subquery: ``select cols order by ts desc limit 1``
+    (TakeOrdered), with the table's key as a deterministic tie-breaker."""
+    keys = [F.col(k).desc() for k in _TIE_BREAK if k in df.columns]
+    return df.orderBy(F.col(ts).desc(), *keys).limit(1).select(*cols)
 
 
 def run_history(tm: Telemetry, limit: int = 20) -> DataFrame:
