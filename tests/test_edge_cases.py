@@ -234,3 +234,15 @@ def test_lineage_closure_on_a_diamond(spark):
     got = sorted(tuple(r) for r in descendants(edges, roots).collect())
     assert got == [("lonely", "lonely"), ("s", "a"), ("s", "b"), ("s", "c"), ("s", "d"),
                    ("s", "s"), ("x", "x"), ("x", "y")]
+
+
+def test_dense_rank_with_empty_range_partitions(spark):
+    df = spark.createDataFrame([(1, 5), (2, 5), (3, None), (4, 9)], "id int, v int")
+    got = {r.id: r.rank for r in global_dense_rank(df, "v", "rank", 16).collect()}
+    assert got == {1: 2, 2: 2, 3: None, 4: 1}
+
+
+def test_latest_breaks_ties_on_the_key(spark):
+    from starwright.plans.reports import latest
+    df = spark.createDataFrame([("r1", 5), ("r3", 5), ("r2", 4)], "run_id string, started_at int")
+    assert latest(df, "started_at", "run_id").first().run_id == "r3"
