@@ -32,7 +32,7 @@ SOURCES = [
     ("employee", "_loaded_at", WARN_AFTER_HOURS, ERROR_AFTER_HOURS, "technical"),
 ]
 SOURCE_NAME = "raw"
-PROJECT = "adventure_works"
+PROJECT = "sales_star"
 DEFAULT_CHECKED_AT = "2001-08-03 12:00:00"
 
 

@@ -576,7 +576,7 @@ def latest_run_summary(status: DataFrame) -> DataFrame:
     keys = ["source", "minio", "raw", "staging", "intermediate", "analytics", "tests",
             "powerbi"]
     return status.select(
-        "run_id", F.lit("adventureworks_pipeline").alias("pipeline"),
+        "run_id", F.lit("sales_star_pipeline").alias("pipeline"),
         F.col("platform_status").alias("status"),
         F.create_map(*[x for k in keys for x in (F.lit(k), F.col(f"stage_{k}"))])
         .alias("stages"),

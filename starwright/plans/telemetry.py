@@ -22,7 +22,7 @@ from starwright.functions.columns import layer_of, normalize_status
 from starwright.session import checkpoint_dir
 from starwright.sources.tables import Tables
 
-PROJECT = "adventure_works"
+PROJECT = "sales_star"
 
 # The ten source tables in ingestion order, and the object names
 # that differ from the table names in the snapshot layout.

@@ -43,7 +43,7 @@ FROM events""")
 
 O.cte("tm_tests", ["tm_events"], """
 SELECT invocation_id, run_id AS orchestrator_run_id,
-       'test.adventure_works.' || test_name AS test_unique_id, test_name,
+       'test.sales_star.' || test_name AS test_unique_id, test_name,
        'generic' AS test_type,
        CASE WHEN status = 'warn' THEN 'warn' ELSE 'error' END AS severity,
        status,
@@ -53,7 +53,7 @@ SELECT invocation_id, run_id AS orchestrator_run_id,
        CASE WHEN status IN ('failed', 'warn')
             THEN 'Got ' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) || ' results' END
          AS message,
-       ['model.adventure_works.stg_' || table_name] AS depends_on,
+       ['model.sales_star.stg_' || table_name] AS depends_on,
        ts AS collected_at, event_id
 FROM tm_events""")
 
@@ -321,7 +321,7 @@ FROM (SELECT x.run_id, x.dataset, x.layer, {_AGG}
                   FROM tm_ingestion) r
             JOIN lg_applicable a USING (dataset)
             LEFT JOIN (SELECT orchestrator_run_id AS run_id,
-                              'model.adventure_works.' || model_name AS node, status
+                              'model.sales_star.' || model_name AS node, status
                        FROM tm_events_nodes) e
               ON e.run_id = r.run_id AND e.node = a.node) x
       GROUP BY 1, 2, 3) g""")
@@ -604,7 +604,7 @@ CROSS JOIN (SELECT max(CASE WHEN layer = 'staging' THEN v END) AS ly_staging,
                   FROM (SELECT n.layer, {_AGG}
                         FROM tm_events_nodes e
                         JOIN lg_nodes n
-                          ON n.node_unique_id = 'model.adventure_works.' || e.model_name
+                          ON n.node_unique_id = 'model.sales_star.' || e.model_name
                         WHERE e.orchestrator_run_id =
                               (SELECT run_id FROM tm_pipeline ORDER BY started_at DESC LIMIT 1)
                           AND n.layer IS NOT NULL
