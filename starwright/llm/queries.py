@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starwright.llm import bpe, token_files
-from starwright.llm.common import scratch
+from starwright.llm import bpe, mixing, pii, quality, token_files, toxicity
+from starwright.llm.common import n_words, scratch
 from starwright.registry import register
 from starwright.sources.tables import read_table
 
@@ -49,3 +49,50 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         scratch(spark, "token-files"), encoder, END_ID)
     return token_files.read_token_files(
         manifest, "n_tokens long, ids_crc32 long", lambda ids: (len(ids) // 4, zlib.crc32(ids)))
+
+
+@register("op8_personal_data")
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str) -> F.Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+
+    def joined(spans: F.Column) -> F.Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    return found.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in pii.KINDS[:4]),
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"))
+
+
+@register("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.fit_toxicity(docs, read_table(spark, sf_dir, "labels", "doc_id", "toxic"),
+                                  training=~toxicity.held_out(F.col("id")))
+    score = F.col("toxicity")
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), score.alias("score"),
+        (score >= 0.5).cast("int").alias("predicted"))
+
+
+@register("op3_mixture")
+def op3_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized = read_table(spark, sf_dir, "documents", "doc_id", "source", "text").select(
+        "doc_id", "source", n_words(F.col("text")).alias("size"))
+    return mixing.mix(sized, mixing.cycled_weights(sized, (3, 1, 2)), share=1.5).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
+@register("op10_quality")
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    trusted = read_table(spark, sf_dir, "labels", "doc_id", "quality").where("quality = 1")
+    return quality.judge(docs, quality.log_ratios(docs, trusted)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "score")
