@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starwright.llm import bpe, mixing, pii, quality, token_files, toxicity
+from starwright.llm import bpe, jaccard, mixing, pii, quality, token_files, toxicity
 from starwright.llm.common import n_words, scratch
 from starwright.registry import register
 from starwright.sources.tables import read_table
@@ -96,3 +96,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.log_ratios(docs, trusted)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "score")
+
+
+@register("op4_jaccard_join")
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(read_table(spark, sf_dir, "documents", "doc_id", "text"))
