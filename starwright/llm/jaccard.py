@@ -16,9 +16,11 @@ fragments, each fragment's overlap is counted by itself, and summed per pair.
 
 The result is the components, so pairs need not be listed where a group is
 already one component.  In hub rounds every shingle's classes meet only one of
-them (linear work); afterwards all pairs of classes that share a prefix shingle
-and are still in different components meet.  So no link between components is
-ever missed, and a group of thousands of near copies stays linear.
+them (linear work), at first the one most of whose prefix is shared, such as
+the original of a group of copies; afterwards all pairs of classes that share a
+prefix shingle and are still in different components meet.  So no link between
+components is ever missed, and a group of thousands of near copies that hubs
+hold together stays linear.
 
 Shingles, classes and pairs are 64-bit hashes: two different ones among N
 coincide with probability below N squared / 2 ** 65.
@@ -40,12 +42,15 @@ SHINGLE = 5
 PERCENT = 75
 #: The frequent shingles that go last: the HOT most frequent of those in
 #: HOT_FROM documents or more (a bounded list on the driver and in the tasks).
-HOT = 100_000
-HOT_FROM = 64
+HOT = 1_000_000
+HOT_FROM = 8
 #: Prefix rows of a fragment, on average; rows a task holds before it sends them.
 FRAGMENT_ROWS = 250_000
-FLUSH_ROWS = 1_000_000
-HUB_ROUNDS = 2
+FLUSH_ROWS = 500_000
+#: Partial overlaps a task holds before it sums and sends them.
+PAIR_ROWS = 200_000
+#: Hub rounds go on while the pairs left are more than so many for each row.
+PAIRS_LEFT = 2
 VERIFY_FRAGMENTS = 4
 FILTER_BITS = 23
 #: Bytes of text hashed at a time.
@@ -135,10 +140,12 @@ def prefix(tokens: np.ndarray, hot: np.ndarray, percent: int) -> np.ndarray:
     length = len(tokens) - int(need(len(tokens), percent)) + 1
     if not len(hot):
         return tokens[:length]
-    short = tokens >> np.uint64(24)
-    at = np.minimum(np.searchsorted(hot, short), len(hot) - 1)
-    last = hot[at] == short
-    return np.concatenate([tokens[~last], tokens[last]])[:length]
+    for some in (tokens[:length * 3 // 2 + 8], tokens):  # mostly the first ones do
+        short = some >> np.uint64(24)
+        last = hot[np.minimum(np.searchsorted(hot, short), len(hot) - 1)] == short
+        if len(some) - last.sum() >= length or len(some) == len(tokens):
+            break
+    return np.concatenate([some[~last], some[last]])[:length]
 
 
 def _fragment(tokens: np.ndarray, fragments: int) -> np.ndarray:
@@ -297,14 +304,14 @@ def _buckets(rows: pd.DataFrame, by: list[str]):
 
 def _hub_pairs(labelled: DataFrame, percent: int, seed: int) -> DataFrame:
     """In each fragment, each shingle's classes against one of them, the hub, if
-    they are in other components; the hubs' order depends on ``seed``."""
+    they are in other components.  At first (``seed`` 0) the hub is the class
+    with the most shared prefix, later another one by hash."""
     def meet(rows: pd.DataFrame) -> pd.DataFrame:
         if seed:
-            salted = rows["key"].to_numpy().view("u8") ^ _PLACE[seed]
-            rows = rows.assign(order=_mix(salted))
+            rows = rows.assign(order=_mix(rows["key"].to_numpy().view("u8") ^ _PLACE[seed % 64]))
+            rows, starts = _buckets(rows, ["order"])
         else:
-            rows = rows.assign(order=rows["key"])
-        rows, starts = _buckets(rows, ["order"])
+            rows, starts = _buckets(rows.assign(order=-rows["central"]), ["order", "key"])
         hub = np.repeat(starts, np.diff(starts, append=len(rows)))
         key, n, root = (rows[c].to_numpy() for c in ("key", "n", "root"))
         use = (root != root[hub]) & _similar_sizes(n, n[hub], percent)
@@ -316,8 +323,8 @@ def _hub_pairs(labelled: DataFrame, percent: int, seed: int) -> DataFrame:
 def _cross_pairs(labelled: DataFrame, percent: int) -> DataFrame:
     """In each fragment, all pairs of classes of different components that share
     a shingle."""
-    def meet(rows: pd.DataFrame) -> pd.DataFrame:
-        rows, starts = _buckets(rows, ["root"])
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, starts = _buckets(pd.concat(batches), ["root"])
         key, n, root = (rows[c].to_numpy() for c in ("key", "n", "root"))
         parts, held = [], 0
         for start, end in zip(starts, np.append(starts[1:], len(rows)), strict=True):
@@ -332,13 +339,22 @@ def _cross_pairs(labelled: DataFrame, percent: int) -> DataFrame:
                         parts.append(_pairs(np.full(len(use), key[i]), key[use],
                                             np.full(len(use), n[i]), n[use]))
                         held += len(use)
-                if held >= FLUSH_ROWS:
-                    parts, held = [_summed(parts)], 0
-        return _frame(parts)
+                    if held >= PAIR_ROWS:
+                        yield _frame(parts)
+                        parts, held = [], 0
+        yield _frame(parts)
 
     return labelled.groupBy("fragment").applyInPandas(meet, _PAIRS)
 
 
+def _pairs_left(labelled: DataFrame) -> int:
+    """Pairs of rows of one shingle in different components."""
+    each = labelled.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n"))
+    left = each.groupBy("token").agg(
+        ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("left"))
+    return int(left.agg(F.sum("left").alias("left")).first()["left"] or 0)
+
+
 def _candidates(partial: DataFrame, percent: int) -> DataFrame:
     """Pairs whose prefix overlap, summed over the fragments, leaves room for the
     threshold: what else they share lies behind one of the prefixes."""
@@ -454,24 +470,36 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     fragments = max(1, total * (100 - percent) // 100 // FRAGMENT_ROWS)
     hot = _hot_shingles(docs, text_col, size, percent, fragments)
     shared = _shared_prefixes(docs, text_col, size, percent, fragments, hot)
+    length = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("long") + 1
+    central = shared.groupBy("key").agg(
+        (F.count(F.lit(1)) * 1000 / F.first(length)).cast("long").alias("central"))
+    rows = shared.count()
     links = met = None
     roots = shared.select("key", F.col("key").alias("root")).limit(0)
-    for step in range(HUB_ROUNDS + 1):
+    step, gained = 0, True
+    while True:
         labelled = (shared.join(roots, "key", "left")
                     .withColumn("root", F.coalesce("root", "key")))
-        partial = (_hub_pairs(labelled, percent, step) if step < HUB_ROUNDS
-                   else _cross_pairs(labelled, percent))
+        last = step > 0 and (not gained or _pairs_left(labelled) <= PAIRS_LEFT * rows)
+        if last:
+            partial = _cross_pairs(labelled, percent)
+        else:
+            partial = _hub_pairs(labelled.join(central, "key"), percent, step)
         pairs = _candidates(partial, percent)
         if met is not None:
             pairs = pairs.join(met, ["x", "y"], "left_anti")
         pairs = written(pairs, "jaccard-candidates")
         met = pairs.select("x", "y") if met is None else met.union(pairs.select("x", "y"))
-        if pairs.isEmpty():
-            continue
-        new = written(_links(pairs, docs, classes, id_col, text_col, size, percent),
-                      "jaccard-found")
-        links = new if links is None else links.union(new)
-        roots = components(links)
+        gained = False
+        if not pairs.isEmpty():
+            new = written(_links(pairs, docs, classes, id_col, text_col, size, percent),
+                          "jaccard-found")
+            gained = not new.isEmpty()
+            links = new if links is None else links.union(new)
+            roots = components(links) if gained else roots
+        if last:
+            break
+        step += 1
     grouped = classes.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     least = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
     named = grouped.join(least, "root").select("key", "component_id")
