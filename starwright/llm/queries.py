@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starwright.llm import bpe, jaccard, mixing, pii, quality, token_files, toxicity
+from starwright.llm import bpe, jaccard, mixing, pii, quality, revisits, token_files, topk, toxicity
 from starwright.llm.common import n_words, scratch
 from starwright.registry import register
 from starwright.sources.tables import read_table
@@ -101,3 +101,46 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_jaccard_join")
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@register("op6_top_k")
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
+REVISIT_SQL = r"""
+WITH k AS (
+  SELECT page_id, html, md5(html) AS etag,
+    regexp_replace(lower(regexp_extract(b, '^[^/?]*', 0)), '^(www|m)\.', '') ||
+    regexp_replace(regexp_replace(regexp_extract(b, '^[^/?]*(.*)$', 1),
+      '([?&])(utm_[^&]*|ref=[^&]*)', '', 'g'), '[/?&]+$', '') AS url_key
+  FROM (SELECT *, regexp_replace(regexp_replace(trim(url), '#.*$', ''),
+          '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS b FROM pages))
+SELECT page_id + 1 AS page_id, url_key, page_id AS response_id,
+  page_id % 3 <> 0 AS resolved, CASE WHEN page_id % 3 <> 0 THEN length(html) END AS body_chars
+FROM (SELECT 2 * page_id AS page_id, url_key, html FROM k WHERE url_key IS NOT NULL)
+"""
+
+
+@register("op2_revisits", REVISIT_SQL)
+def op2_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages table has full responses only: each page is one, and each is
+    revisited right after with its ETag, every third time with a changed one."""
+    pages = read_table(spark, sf_dir, "pages", "page_id", "url", "html")
+    etag, at = F.md5(F.col("html").cast("binary")), 2 * F.col("page_id")
+    none = F.lit(None).cast("string")
+
+    def captures(status: int, at: F.Column, etag: F.Column, body: F.Column) -> DataFrame:
+        return pages.select(at.alias("page_id"), "url", at.alias("captured_at"),
+                            F.lit(status).alias("status"), etag.alias("etag"),
+                            none.alias("last_modified"),
+                            F.create_map(F.lit("etag"), etag).alias("headers"),
+                            body.alias("body"))
+
+    changed = F.when(at % 3 == 0, F.lit("changed")).otherwise(etag)
+    records = captures(200, at, etag, F.col("html")).unionAll(
+        captures(304, at + 1, changed, none))
+    return revisits.resolve_revisits(records, "page_id").where("url_key is not null").select(
+        "page_id", "url_key", "response_id", "resolved",
+        F.char_length("body").cast("long").alias("body_chars"))
