@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starwright.llm import bpe, jaccard, mixing, pii, quality, revisits, token_files, topk, toxicity
+from starwright.llm import bpe, gru_lm, jaccard, mixing, pii, quality, revisits, token_files, topk, toxicity
 from starwright.llm.common import n_words, scratch
 from starwright.registry import register
 from starwright.sources.tables import read_table
@@ -144,3 +144,10 @@ def op2_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revisits.resolve_revisits(records, "page_id").where("url_key is not null").select(
         "page_id", "url_key", "response_id", "resolved",
         F.char_length("body").cast("long").alias("body_chars"))
+
+
+@register("op7_gru_lm")
+def op7_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    held = gru_lm.held_out(F.col("doc_id"))
+    return gru_lm.score_documents(docs, ~held).withColumn("held_out", held)
