@@ -139,8 +139,8 @@ def layer_of(path: str | Column) -> Column:
 
 
 def try_int(c: str | Column) -> Column:
-    """Lenient integer: integral text/number → int, anything else → null."""
-    return col_(c).cast("string").try_cast("int")
+    """Lenient integer: integral text/number → bigint, anything else → null."""
+    return col_(c).cast("string").try_cast("bigint")
 
 
 def last_dotted(c: str | Column) -> Column:

@@ -9,16 +9,19 @@ every few levels and at the end, so no plan carries more than a few joins.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starwright.session import checkpoint_dir
 
 
-def descendants(edges: DataFrame, roots: DataFrame, max_levels: int = 64,
+def descendants(edges: DataFrame, roots: DataFrame,
                 checkpoint_every: int = 4) -> DataFrame:
     """``edges(parent, child)``, ``roots(root)`` → ``(root, node)`` for every node
-    reachable from a root, the root itself included.
+    reachable from a root, the root itself included, at any depth; a cycle ends
+    the iteration like a leaf, as it brings no new pair.
 
     Each level's frontier is cached (it is used by the emptiness test and the
     next level); every ``checkpoint_every`` levels the visited set is
@@ -28,7 +31,7 @@ def descendants(edges: DataFrame, roots: DataFrame, max_levels: int = 64,
     visited = roots.select("root", F.col("root").alias("node")).distinct().cache()
     frontier = visited
     cached = [visited]
-    for level in range(1, max_levels + 1):
+    for level in count(1):
         step = (
             frontier.join(edges, frontier.node == edges.parent)
             .select("root", F.col("child").alias("node"))
@@ -46,4 +49,3 @@ def descendants(edges: DataFrame, roots: DataFrame, max_levels: int = 64,
         if level % checkpoint_every == 0:
             visited = visited.checkpoint()
         frontier = step
-    raise RuntimeError(f"lineage deeper than {max_levels} levels (cycle?)")

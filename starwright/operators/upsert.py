@@ -60,11 +60,26 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def _pointer_name(number: int) -> str:
+    return f"_current.{number:012d}"
+
+
+def _pointer_number(fs, folder) -> int | None:
+    """The highest published pointer; pointers only grow and the last one is
+    never deleted, so a table without one was never published."""
+    if not fs.exists(folder):
+        return None
+    names = [status.getPath().getName() for status in fs.listStatus(folder)]
+    return max((int(n[len("_current."):]) for n in names
+                if n.startswith("_current.") and n[len("_current."):].isdigit()), default=None)
+
+
 def current_version(spark: SparkSession, table_path: str) -> str | None:
-    fs, _, jvm = _fs(spark, table_path)
-    pointer = jvm.org.apache.hadoop.fs.Path(f"{table_path}/_current")
-    if not fs.exists(pointer):
+    fs, folder, jvm = _fs(spark, table_path)
+    number = _pointer_number(fs, folder)
+    if number is None:
         return None
+    pointer = jvm.org.apache.hadoop.fs.Path(f"{table_path}/{_pointer_name(number)}")
     stream = fs.open(pointer)
     try:
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream))
@@ -85,7 +100,9 @@ def read_table(spark: SparkSession, table_path: str, schema=None) -> DataFrame:
 
 
 def write_version(df: DataFrame, table_path: str) -> str:
-    """Write ``df`` as a new version, then move the pointer (write, then swap)."""
+    """Write ``df`` as a new version, then publish it by a pointer of the next
+    number: one rename, with nothing deleted, so a writer that dies at any point
+    leaves the table as it was."""
     spark = df.sparkSession
     version = f"v-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(f"{table_path}/{version}")
@@ -96,10 +113,10 @@ def write_version(df: DataFrame, table_path: str) -> str:
         out.write(bytearray(version.encode()))
     finally:
         out.close()
-    dst = jvm.org.apache.hadoop.fs.Path(f"{table_path}/_current")
-    if fs.exists(dst):
-        fs.delete(dst, False)
-    fs.rename(tmp, dst)
+    number = _pointer_number(fs, jvm.org.apache.hadoop.fs.Path(table_path))
+    dst = jvm.org.apache.hadoop.fs.Path(f"{table_path}/{_pointer_name((number or 0) + 1)}")
+    if not fs.rename(tmp, dst):
+        raise RuntimeError(f"another writer published {dst.toString()} meanwhile")
     return version
 
 

@@ -74,6 +74,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         app = spark.sparkContext.applicationId
         if app not in _FALLBACK_DIRS:
             _FALLBACK_DIRS[app] = tempfile.mkdtemp(prefix="starwright-ckpt-")

@@ -232,13 +232,20 @@ def freshness_results(sources: DataFrame, manifest: DataFrame | None) -> tuple[D
         F.col("r.error").alias("error_message"),
     )
     s = F.lower("status")
-    run = rows.groupBy("invocation_id").agg(
+    counts = rows.groupBy("invocation_id").agg(
         F.count(F.lit(1)).cast("bigint").alias("total_sources"),
         F.count_if(s == "warn").cast("bigint").alias("warned_sources"),
         F.count_if(s.isin("error", "runtime error")).cast("bigint").alias("errored_sources"),
-    ).join(sources.select(F.col("metadata.invocation_id").alias("invocation_id"),
-                          F.col("metadata.generated_at").alias("generated_at"),
-                          F.col("elapsed_time").alias("elapsed_seconds")), "invocation_id")
+    )
+    # an artifact without results is a run as well
+    run = sources.select(F.col("metadata.invocation_id").alias("invocation_id"),
+                         F.col("metadata.generated_at").alias("generated_at"),
+                         F.col("elapsed_time").alias("elapsed_seconds")
+                         ).join(counts, "invocation_id", "left").select(
+        "invocation_id",
+        *(F.coalesce(c, F.lit(0).cast("bigint")).alias(c)
+          for c in ("total_sources", "warned_sources", "errored_sources")),
+        "generated_at", "elapsed_seconds")
     run = run.withColumn(
         "status",
         F.when(F.col("errored_sources") > 0, "error")

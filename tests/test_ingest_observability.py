@@ -201,3 +201,28 @@ def test_pipeline_run_lifecycle_and_freshness(spark, tmp_dir):
     assert got[("r1", "sales.customer")].analytics_updated_at == end
     assert got[("r0", "sales.customer")].analytics_updated_at is None
     assert got[("r1", "sales.customer")].sla_minutes == 1440
+
+
+def test_writer_that_dies_before_publishing_keeps_the_table(spark, tmp_dir, monkeypatch):
+    from starwright.operators import upsert as U
+
+    path = f"{tmp_dir}/durable"
+    rows = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id long")
+    for i in (1, 2):
+        U.upsert_table(spark, path, rows(i), ["id"])
+    monkeypatch.setattr(U, "_pointer_name", lambda n: (_ for _ in ()).throw(OSError("died")))
+    try:
+        U.write_version(rows(9), path)
+    except OSError:
+        pass
+    monkeypatch.undo()
+    U.upsert_table(spark, path, rows(3), ["id"])
+    assert sorted(r.id for r in U.read_table(spark, path).collect()) == [1, 2, 3]
+
+
+def test_closure_is_deep_and_survives_cycles(spark):
+    from starwright.operators.closure import descendants
+
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], "parent string, child string")
+    roots = spark.createDataFrame([("a",)], "root string")
+    assert sorted(r.node for r in descendants(edges, roots).collect()) == ["a", "b", "c"]
