@@ -101,7 +101,7 @@ def _shape(kind: int, span: str, digits: str) -> int:
     groups = re.findall("[0-9]+", span)
     if kind == CARD:
         return int(len(groups) == 1 or [*map(len, groups)] in ([4, 4, 4, 4], [4, 6, 5]))
-    return int(all(g == str(int(g)) for g in groups)) if kind == IP else int(len(groups) >= 3)
+    return int(all(g == (g.lstrip("0") or "0") for g in groups)) if kind == IP else int(len(groups) >= 3)
 
 
 def _code(kind: int, exact: bool, text: str, start: int, end: int) -> str:
@@ -121,7 +121,8 @@ def candidates(text: str) -> list[tuple[int, int, int, bool, str]]:
     if "@" in text:
         base += [(EMAIL, *span) for span in _emails(text)]
     for m in _IP.finditer(text):
-        fits = all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))
+        parts = [p.lstrip("0") or "0" for p in m[0].split(".")]  # of any length
+        fits = all(len(p) <= 3 and int(p) <= 255 for p in parts)
         (base if fits else loose).append((IP, *m.span()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 12:

@@ -42,7 +42,7 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def encoder():
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        return token_files.CachedEncoder(vocabulary.value).encode
+        return token_files.cached_encoder(vocabulary.value).encode
 
     manifest = token_files.write_token_files(
         read_table(spark, sf_dir, "documents", "doc_id", "text"),

@@ -22,6 +22,7 @@ from __future__ import annotations
 import struct
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,9 @@ CHECKSUMS = 0x80
 ENTRY = np.dtype([("packed", "<u4"), ("plain", "<u4"), ("checksum", "<u4")])
 INDEX = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("frames", "<u4")])
 
+# Fixed value: the space byte in the vocabulary of a byte-level tokenizer.
+SPACE_BYTE = "\u0120"
+
 #: Ids in a frame at most.
 FRAME_IDS = 1 << 22
 LEVEL = 3
@@ -127,8 +131,10 @@ class CachedEncoder:
     which encodes each distinct chunk before a space once while it is cached.
 
     Cutting at spaces gives the library's own ids because its pre-tokenizer
-    always cuts there; see ``bpe.space_chunks``.  A text with one of the
-    vocabulary's special strings is encoded whole."""
+    always cuts there; see ``bpe.space_chunks``.  For the same reason the chunks
+    of a text that aren't cached go to the library as one string: each begins
+    with its only space, so the tokens that begin with a space part them.  A
+    text with one of the vocabulary's special strings is encoded whole."""
 
     def __init__(self, vocabulary: str, entries: int = 250_000):
         from tokenizers import Tokenizer
@@ -138,22 +144,41 @@ class CachedEncoder:
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache, self.chunks = Cache(entries), space_chunks
+        tokens = self.tokenizer.get_vocab()
+        self.first = np.zeros(max(tokens.values()) + 1, bool)
+        self.first[[i for t, i in tokens.items() if t.startswith(SPACE_BYTE)]] = True
+
+    def whole(self, text: str) -> bytes:
+        found, = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found.ids, "<u4").tobytes()
 
-    def batch(self, texts: list[str]) -> list[bytes]:
-        encode = self.tokenizer.encode_batch_fast
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in encode(texts, add_special_tokens=False)] if texts else []
+    def joined(self, chunks: list[str]) -> list[bytes]:
+        """The ids of chunks that begin with a space and something else behind it."""
+        data = self.whole("".join(chunks))
+        starts = (4 * np.flatnonzero(self.first[np.frombuffer(data, "<u4")])).tolist()
+        return [data[a:b] for a, b in zip(starts, [*starts[1:], len(data)], strict=True)]
 
     def encode(self, text: str) -> bytes:
         if any(s in text for s in self.special):
-            return self.batch([text])[0]
+            return self.whole(text)
         chunks, cache = self.chunks(text), self.cache
         found = [cache.young.get(c) or cache.kept(c) for c in chunks]
-        missing = [k for k, x in enumerate(found) if x is None]
-        for k, ids in zip(missing, self.batch([chunks[k] for k in missing]), strict=True):
-            found[k] = ids
-            cache.keep(chunks[k], ids)
-        return b"".join(found)
+        new = {chunks[k]: b"" for k, x in enumerate(found) if x is None}
+        plain = [c for c in new if c[0] == " " and not c[1:2].isspace() and c != " "]
+        if " " in "".join([c[1:] for c in plain]):  # a text that stays one chunk
+            plain = []
+        new.update(zip(plain, self.joined(plain) if plain else [], strict=True))
+        for chunk, ids in new.items():
+            new[chunk] = ids = ids or self.whole(chunk)
+            cache.keep(chunk, ids)
+        return b"".join([new[c] if x is None else x for c, x in zip(chunks, found, strict=True)])
+
+
+@lru_cache(maxsize=1)
+def cached_encoder(vocabulary: str) -> CachedEncoder:
+    """One encoder for all tasks that a worker process runs, so the next task
+    finds what the last one cached."""
+    return CachedEncoder(vocabulary)
 
 
 def write_token_files(docs: DataFrame, folder: str, encoder: Callable[[], Callable[[str], bytes]],
