@@ -136,7 +136,7 @@ class CachedEncoder:
     with its only space, so the tokens that begin with a space part them.  A
     text with one of the vocabulary's special strings is encoded whole."""
 
-    def __init__(self, vocabulary: str, entries: int = 250_000):
+    def __init__(self, vocabulary: str, entries: int = 600_000):
         from tokenizers import Tokenizer
 
         from starwright.llm.bpe import Cache, space_chunks
