@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from starwright.llm.common import map_batches
 
 #: Entries of each generation of a cache of a task's process.
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 500_000
 #: Longer strings are merged each time and not kept.
 CACHE_LENGTH = 48
 
@@ -181,6 +181,17 @@ def space_chunks(text: str) -> list[str]:
     return [first, *chunks] if first else chunks
 
 
+_HELD: list[Codec] = []
+
+
+def held_codec(ranks: dict[bytes, int], pattern: str) -> Codec:
+    """One codec for all tasks that a worker process runs with the same broadcast
+    vocabulary, so the next task finds what the last one cached."""
+    if not (_HELD and _HELD[0].ranks is ranks and _HELD[0].pattern.pattern == pattern):
+        _HELD[:] = [Codec(ranks, pattern)]
+    return _HELD[0]
+
+
 def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str,
                      schema: str = "ids array<int>",
                      result: Callable[[Codec, list[int]], tuple] = lambda codec, ids: (ids,),
@@ -198,7 +209,7 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str,
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def start():
-        codec = Codec(shared.value, pattern)
+        codec = held_codec(shared.value, pattern)
 
         def step(keys: list, texts: list) -> list:
             rows = [result(codec, codec.encode(text or "")) for text in texts]
