@@ -9,19 +9,21 @@ hash.  Two sets that reach the threshold share a shingle within the prefixes
 
 The global order is cut into fragments.  Each fragment gathers the prefix rows
 (shingle, class, n) of its shingles, and counts for each pair of classes that
-meet in it how many shingles they share there; sums over the fragments give the
-prefix overlap, which bounds the whole overlap from above and rules most pairs
+meet in it how many shingles they share there: shingles with the same classes
+are one bucket with their number as its weight.  Sums per pair over the fragments
+and buckets give the prefix overlap, which bounds the whole overlap from above and rules most pairs
 out.  The pairs left are verified the same way: their sets are cut into
 fragments, each fragment's overlap is counted by itself, and summed per pair.
 
 The result is the components, so pairs need not be listed where a group is
-already one component.  In hub rounds every shingle's classes meet only one of
-them (linear work), at first the one most of whose prefix is shared, such as
+already one component.  In hub rounds every bucket's classes meet only one of
+them (linear work, in joins that split hot buckets), at first the one most of whose prefix is shared, such as
 the original of a group of copies; afterwards all pairs of classes that share a
 prefix shingle and are still in different components meet.  So no link between
 components is ever missed, and a group of thousands of near copies that hubs
 hold together stays linear.
 
+Buckets with one component left need no further meeting and go after each round.
 Shingles, classes and pairs are 64-bit hashes: two different ones among N
 coincide with probability below N squared / 2 ** 65.
 """
@@ -44,6 +46,8 @@ PERCENT = 75
 #: HOT_FROM documents or more (a bounded list on the driver and in the tasks).
 HOT = 1_000_000
 HOT_FROM = 8
+#: A frequent shingle with more documents has its rows spread over the fragments.
+HUGE_FROM = 100_000
 #: Prefix rows of a fragment, on average; rows a task holds before it sends them.
 FRAGMENT_ROWS = 250_000
 FLUSH_ROWS = 500_000
@@ -54,7 +58,7 @@ PAIRS_LEFT = 2
 VERIFY_FRAGMENTS = 4
 FILTER_BITS = 23
 #: Bytes of text hashed at a time.
-STRIDE = 1 << 22
+STRIDE = 1 << 18
 
 ROW = np.dtype([("token", "<u8"), ("key", "<i8"), ("n", "<i4")])
 
@@ -152,12 +156,11 @@ def _fragment(tokens: np.ndarray, fragments: int) -> np.ndarray:
     return ((tokens >> np.uint64(40)) * np.uint64(fragments) >> np.uint64(24)).astype(np.int64)
 
 
-def _blobs(rows: np.ndarray, tokens: np.ndarray, fragments: int) -> pa.RecordBatch:
+def _blobs(rows: np.ndarray, fragment: np.ndarray) -> pa.RecordBatch:
     """``rows`` by fragment, each fragment's bytes in one row."""
-    fragment = _fragment(tokens, fragments)
     order = np.argsort(fragment, kind="stable")
     rows, fragment = rows[order], fragment[order]
-    firsts = np.flatnonzero(np.diff(fragment, prepend=-1))
+    firsts = np.flatnonzero(np.diff(fragment, prepend=~fragment[:1]))
     blobs = [part.tobytes() for part in np.split(rows, firsts[1:])] if len(rows) else []
     return pa.RecordBatch.from_pydict({"fragment": pa.array(fragment[firsts], pa.int64()),
                                        "blob": pa.array(blobs, pa.binary())})
@@ -178,10 +181,11 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
 
 
 def _hot_shingles(docs: DataFrame, text_col: str, size: int, percent: int, fragments: int
-                  ) -> np.ndarray:
+                  ) -> tuple[np.ndarray, np.ndarray]:
     """The first 40 bits of the most frequent shingles of the prefixes and half as
-    much behind them.  Any choice gives right results; this one keeps shingles
-    that many documents share out of the prefixes."""
+    much behind them, and of those among them with more than HUGE_FROM.  Any
+    choice gives right results; this one keeps shingles that many documents
+    share out of the prefixes."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
@@ -189,7 +193,8 @@ def _hot_shingles(docs: DataFrame, text_col: str, size: int, percent: int, fragm
             tokens = np.concatenate(held)
             short = (tokens >> np.uint64(24)).astype("<u8").view("u1").reshape(-1, 8)[:, :5]
             held.clear()
-            return _blobs(np.ascontiguousarray(short).view("V5").ravel(), tokens, fragments)
+            return _blobs(np.ascontiguousarray(short).view("V5").ravel(),
+                          _fragment(tokens, fragments))
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
@@ -211,25 +216,33 @@ def _hot_shingles(docs: DataFrame, text_col: str, size: int, percent: int, fragm
     rows = (docs.select(F.col(text_col).cast("string")).mapInArrow(
         count, "fragment long, blob binary").groupBy("fragment")
         .applyInPandas(most, "short long, n long")
-        .orderBy(F.desc("n"), "short").limit(HOT).select("short").toArrow())
-    return np.sort(rows.column(0).to_numpy().astype(np.uint64))
+        .orderBy(F.desc("n"), "short").limit(HOT).toArrow())
+    hot, n = rows.column(0).to_numpy().astype(np.uint64), rows.column(1).to_numpy()
+    return np.sort(hot), np.sort(hot[n > HUGE_FROM])
 
 
 def _shared_prefixes(docs: DataFrame, text_col: str, size: int, percent: int, fragments: int,
-                     hot: np.ndarray) -> DataFrame:
-    """(fragment, token, key, n): the prefix rows of shingles that two classes or
-    more have in their prefixes, written.  Copies within a task are sent once."""
-    shared = docs.sparkSession.sparkContext.broadcast(hot)
+                     hot: np.ndarray, huge: np.ndarray) -> DataFrame:
+    """(bucket, key, n, w): the classes that meet on a shingle of their prefixes,
+    written.  Shingles with the same classes are one bucket, of weight ``w``.
+    The rows of ``huge`` shingles are spread over the fragments by class, and each
+    such shingle is a bucket.  Copies within a task are sent once."""
+    shared = docs.sparkSession.sparkContext.broadcast((hot, huge))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         seen: set[int] = set()
+        hot, huge = shared.value
 
-        def sent() -> pa.RecordBatch:
+        def sent() -> Iterator[pa.RecordBatch]:
             rows = np.concatenate(held)
             held.clear()
             seen.clear()
-            return _blobs(rows, rows["token"], fragments)
+            wide = np.isin(rows["token"] >> np.uint64(24), huge)
+            yield _blobs(rows[~wide], _fragment(rows["token"][~wide], fragments))
+            if wide.any():
+                spread = _fragment(_mix(rows["key"][wide].view("u8")), fragments)
+                yield _blobs(rows[wide], ~spread)
 
         rows = 0
         for batch in batches:
@@ -238,16 +251,16 @@ def _shared_prefixes(docs: DataFrame, text_col: str, size: int, percent: int, fr
                 if not len(tokens) or (key := set_key(tokens)) in seen:
                     continue
                 seen.add(key)
-                front = prefix(tokens, shared.value, percent)
+                front = prefix(tokens, hot, percent)
                 part = np.empty(len(front), ROW)
                 part["token"], part["key"], part["n"] = front, key, len(tokens)
                 held.append(part)
                 rows += len(part)
                 if rows >= FLUSH_ROWS:
-                    yield sent()
+                    yield from sent()
                     rows = 0
         if held:
-            yield sent()
+            yield from sent()
 
     def meet(blobs: pd.DataFrame) -> pd.DataFrame:
         rows = np.frombuffer(b"".join(blobs["blob"]), ROW)
@@ -255,17 +268,28 @@ def _shared_prefixes(docs: DataFrame, text_col: str, size: int, percent: int, fr
         new = np.ones(len(rows), bool)
         new[1:] = (rows["token"][1:] != rows["token"][:-1]) | (rows["key"][1:] != rows["key"][:-1])
         rows = rows[new]
-        starts = np.flatnonzero(np.diff(rows["token"], prepend=~rows["token"][:1]))
-        sizes = np.diff(starts, append=len(rows))
-        rows = rows[np.repeat(sizes > 1, sizes)]
-        return pd.DataFrame({"fragment": blobs["fragment"].iloc[0],
-                             "token": rows["token"].view("i8"), "key": rows["key"],
-                             "n": rows["n"].astype("i8")})
+        if blobs["fragment"].iloc[0] < 0:
+            bucket, w = rows["token"], np.ones(len(rows), "i8")
+        else:
+            starts = np.flatnonzero(np.diff(rows["token"], prepend=~rows["token"][:1]))
+            sizes = np.diff(starts, append=len(rows))
+            sums = np.add.reduceat(_mix(rows["key"].view("u8") ^ _PLACE[size]), starts)
+            same, first, times = np.unique(_mix(sums + sizes.astype("u8")), return_index=True,
+                                           return_counts=True)
+            some = np.zeros(len(starts), bool)
+            some[first[sizes[first] > 1]] = True
+            bucket, w = np.zeros(len(starts), "u8"), np.zeros(len(starts), "i8")
+            bucket[first], w[first] = same, times
+            rows = rows[np.repeat(some, sizes)]
+            bucket, w = np.repeat(bucket[some], sizes[some]), np.repeat(w[some], sizes[some])
+        return pd.DataFrame({"bucket": bucket.view("i8"), "key": rows["key"],
+                             "n": rows["n"].astype("i8"), "w": w})
 
     blobs = docs.select(F.col(text_col).cast("string")).mapInArrow(
         send, "fragment long, blob binary")
-    return written(blobs.groupBy("fragment").applyInPandas(
-        meet, "fragment long, token long, key long, n long"), "jaccard-prefixes")
+    met = blobs.groupBy("fragment").applyInPandas(meet, "bucket long, key long, n long, w long")
+    return written(met.groupBy("bucket", "key").agg(F.first("n").alias("n"), F.sum("w").alias("w")),
+                   "jaccard-prefixes")
 
 
 _PAIRS = "x long, y long, nx long, ny long, partial long"
@@ -285,10 +309,11 @@ def _summed(parts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _pairs(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
+def _pairs(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, w: np.ndarray
+           ) -> np.ndarray:
     low = x < y
     return np.stack([np.where(low, x, y), np.where(low, y, x), np.where(low, nx, ny),
-                     np.where(low, ny, nx), np.ones(len(x), np.int64)], axis=1)
+                     np.where(low, ny, nx), w], axis=1)
 
 
 def _frame(parts: list[np.ndarray]) -> pd.DataFrame:
@@ -296,63 +321,63 @@ def _frame(parts: list[np.ndarray]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["x", "y", "nx", "ny", "partial"])
 
 
-def _buckets(rows: pd.DataFrame, by: list[str]):
-    rows = rows.sort_values(["token", *by], kind="stable")
-    token = rows["token"].to_numpy()
-    return rows, np.flatnonzero(np.diff(token, prepend=~token[:1]))
-
-
 def _hub_pairs(labelled: DataFrame, percent: int, seed: int) -> DataFrame:
-    """In each fragment, each shingle's classes against one of them, the hub, if
-    they are in other components.  At first (``seed`` 0) the hub is the class
-    with the most shared prefix, later another one by hash."""
-    def meet(rows: pd.DataFrame) -> pd.DataFrame:
-        if seed:
-            rows = rows.assign(order=_mix(rows["key"].to_numpy().view("u8") ^ _PLACE[seed % 64]))
-            rows, starts = _buckets(rows, ["order"])
-        else:
-            rows, starts = _buckets(rows.assign(order=-rows["central"]), ["order", "key"])
-        hub = np.repeat(starts, np.diff(starts, append=len(rows)))
-        key, n, root = (rows[c].to_numpy() for c in ("key", "n", "root"))
-        use = (root != root[hub]) & _similar_sizes(n, n[hub], percent)
-        return _frame([_pairs(key[use], key[hub][use], n[use], n[hub][use])] if use.any() else [])
-
-    return labelled.groupBy("fragment").applyInPandas(meet, _PAIRS)
-
-
-def _cross_pairs(labelled: DataFrame, percent: int) -> DataFrame:
-    """In each fragment, all pairs of classes of different components that share
-    a shingle."""
+    """Each bucket's classes against one of them, the hub, if they are in other
+    components.  At first (``seed`` 0) the hub is the class with the most shared
+    prefix, later another one by hash."""
+    order = F.xxhash64(F.lit(seed), "key") if seed else -F.col("central")
+    hubs = labelled.groupBy("bucket").agg(
+        F.min(F.struct(order.alias("order"), "key", "n", "root", "w")).alias("hub"))
+    met = labelled.join(hubs, "bucket").where(
+        (F.col("root") != F.col("hub.root"))
+        & (100 * F.least("n", "hub.n") >= percent * F.greatest("n", "hub.n")))
+    low = F.col("key") < F.col("hub.key")
+    either = lambda a, b: F.when(low, F.col(a)).otherwise(F.col(b))
+    return met.select(
+        F.least("key", "hub.key").alias("x"), F.greatest("key", "hub.key").alias("y"),
+        either("n", "hub.n").alias("nx"), either("hub.n", "n").alias("ny"),
+        F.greatest("w", "hub.w").alias("partial"))
+
+
+def _cross_pairs(labelled: DataFrame, percent: int, parts: int) -> DataFrame:
+    """All pairs of classes of different components that share a bucket."""
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows, starts = _buckets(pd.concat(batches), ["root"])
-        key, n, root = (rows[c].to_numpy() for c in ("key", "n", "root"))
-        parts, held = [], 0
+        rows = pd.concat(batches).sort_values(["bucket", "root"], kind="stable")
+        bucket, key, n, root, w = (rows[c].to_numpy() for c in ("bucket", "key", "n", "root", "w"))
+        starts = np.flatnonzero(np.diff(bucket, prepend=~bucket[:1]))
+        made, held = [], 0
         for start, end in zip(starts, np.append(starts[1:], len(rows)), strict=True):
-            if root[start] == root[end - 1]:
-                continue
             firsts = start + np.flatnonzero(np.diff(root[start:end], prepend=~root[start]))
             for a, b in zip(firsts, np.append(firsts[1:], end), strict=True):
                 others = np.arange(b, end)
                 for i in range(a, b) if len(others) else ():
                     use = others[_similar_sizes(n[i], n[others], percent)]
                     if len(use):
-                        parts.append(_pairs(np.full(len(use), key[i]), key[use],
-                                            np.full(len(use), n[i]), n[use]))
+                        made.append(_pairs(np.full(len(use), key[i]), key[use],
+                                           np.full(len(use), n[i]), n[use],
+                                           np.maximum(w[i], w[use])))
                         held += len(use)
                     if held >= PAIR_ROWS:
-                        yield _frame(parts)
-                        parts, held = [], 0
-        yield _frame(parts)
+                        yield _frame(made)
+                        made, held = [], 0
+        yield _frame(made)
 
-    return labelled.groupBy("fragment").applyInPandas(meet, _PAIRS)
+    return (labelled.withColumn("part", F.pmod(F.xxhash64("bucket"), F.lit(parts)))
+            .groupBy("part").applyInPandas(meet, _PAIRS))
 
 
-def _pairs_left(labelled: DataFrame) -> int:
-    """Pairs of rows of one shingle in different components."""
-    each = labelled.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n"))
-    left = each.groupBy("token").agg(
-        ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("left"))
-    return int(left.agg(F.sum("left").alias("left")).first()["left"] or 0)
+def _unsettled(shared: DataFrame, roots: DataFrame) -> tuple[DataFrame, int]:
+    """The rows of buckets that hold several components, with each row's ``root``,
+    written, and the number of pairs of such rows."""
+    labelled = (shared.drop("root").join(roots, "key", "left")
+                .withColumn("root", F.coalesce("root", "key")))
+    each = labelled.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    left = each.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("roots"),
+        ((F.pow(F.sum("n"), 2) - F.sum(F.pow(F.col("n"), 2))) / 2).alias("left"))
+    left = written(left.where("roots > 1").select("bucket", "left"), "jaccard-buckets")
+    rows = written(labelled.join(left.select("bucket"), "bucket"), "jaccard-left")
+    return rows, int(left.agg(F.sum("left").alias("left")).first()["left"] or 0)
 
 
 def _candidates(partial: DataFrame, percent: int) -> DataFrame:
@@ -468,23 +493,25 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = sets.where("n_shingles > 0").groupBy("key").agg(F.min(id_col).alias("first"))
     total = sets.agg(F.sum("n_shingles").alias("n")).first()["n"] or 0
     fragments = max(1, total * (100 - percent) // 100 // FRAGMENT_ROWS)
-    hot = _hot_shingles(docs, text_col, size, percent, fragments)
-    shared = _shared_prefixes(docs, text_col, size, percent, fragments, hot)
+    hot, huge = _hot_shingles(docs, text_col, size, percent, fragments)
+    shared = _shared_prefixes(docs, text_col, size, percent, fragments, hot, huge)
     length = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("long") + 1
     central = shared.groupBy("key").agg(
-        (F.count(F.lit(1)) * 1000 / F.first(length)).cast("long").alias("central"))
+        (F.sum("w") * 1000 / F.first(length)).cast("long").alias("central"))
     rows = shared.count()
     links = met = None
-    roots = shared.select("key", F.col("key").alias("root")).limit(0)
-    step, gained = 0, True
+    roots = classes.select("key", F.col("key").alias("root"))
+    shared = written(shared.join(central, "key").withColumn("root", F.col("key")),
+                     "jaccard-central")
+    step, gained, left = 0, True, 0
     while True:
-        labelled = (shared.join(roots, "key", "left")
-                    .withColumn("root", F.coalesce("root", "key")))
-        last = step > 0 and (not gained or _pairs_left(labelled) <= PAIRS_LEFT * rows)
+        if step:
+            shared, left = _unsettled(shared, roots)
+        last = step > 0 and (not gained or left <= PAIRS_LEFT * rows)
         if last:
-            partial = _cross_pairs(labelled, percent)
+            partial = _cross_pairs(shared, percent, max(1, shared.count() // FRAGMENT_ROWS))
         else:
-            partial = _hub_pairs(labelled.join(central, "key"), percent, step)
+            partial = _hub_pairs(shared, percent, step)
         pairs = _candidates(partial, percent)
         if met is not None:
             pairs = pairs.join(met, ["x", "y"], "left_anti")

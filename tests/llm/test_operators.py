@@ -129,7 +129,7 @@ def brute_components(rows):
     return sorted(out, key=str)
 
 
-def test_jaccard(spark, docs, empty):
+def test_jaccard(spark, docs, empty, monkeypatch):
     got = jaccard.jaccard_components(docs).collect()
     assert sorted(map(tuple, got), key=str) == brute_components(ROWS)
     r = random.Random(2)
@@ -142,6 +142,9 @@ def test_jaccard(spark, docs, empty):
         rows.append((i, " ".join(w), "", "", 1, ""))
     got = jaccard.jaccard_components(spark.createDataFrame(rows, DOCS)).collect()
     assert sorted(map(tuple, got), key=str) == brute_components(rows)
+    monkeypatch.setattr(jaccard, "HUGE_FROM", 8)
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted(map(tuple, got), key=str) == brute_components(rows)
     assert jaccard.jaccard_components(empty).count() == 0
 
 
