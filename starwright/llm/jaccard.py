@@ -53,8 +53,9 @@ FRAGMENT_ROWS = 250_000
 FLUSH_ROWS = 500_000
 #: Partial overlaps a task holds before it sums and sends them.
 PAIR_ROWS = 200_000
-#: Hub rounds go on while the pairs left are more than so many for each row.
-PAIRS_LEFT = 2
+#: Hub rounds go on while the pairs left are more than so many for each row and
+#: a round leaves less than this share of them.
+PAIRS_LEFT, SHARE_LEFT = 2, 0.9
 VERIFY_FRAGMENTS = 4
 FILTER_BITS = 23
 #: Bytes of text hashed at a time.
@@ -503,11 +504,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     roots = classes.select("key", F.col("key").alias("root"))
     shared = written(shared.join(central, "key").withColumn("root", F.col("key")),
                      "jaccard-central")
-    step, gained, left = 0, True, 0
+    step, left, last = 0, float("inf"), False
     while True:
         if step:
+            before = left
             shared, left = _unsettled(shared, roots)
-        last = step > 0 and (not gained or left <= PAIRS_LEFT * rows)
+            last = left <= PAIRS_LEFT * rows or left > SHARE_LEFT * before
         if last:
             partial = _cross_pairs(shared, percent, max(1, shared.count() // FRAGMENT_ROWS))
         else:
@@ -517,13 +519,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             pairs = pairs.join(met, ["x", "y"], "left_anti")
         pairs = written(pairs, "jaccard-candidates")
         met = pairs.select("x", "y") if met is None else met.union(pairs.select("x", "y"))
-        gained = False
         if not pairs.isEmpty():
             new = written(_links(pairs, docs, classes, id_col, text_col, size, percent),
                           "jaccard-found")
-            gained = not new.isEmpty()
             links = new if links is None else links.union(new)
-            roots = components(links) if gained else roots
+            roots = roots if new.isEmpty() else components(links)
         if last:
             break
         step += 1
