@@ -27,6 +27,9 @@ CORE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
+    # Batches to Python tasks are bounded in bytes and rows, whatever a row holds.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 * 1024 * 1024),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
     "spark.ui.enabled": "false",
 }
 
