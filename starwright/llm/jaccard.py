@@ -53,6 +53,8 @@ FRAGMENT_ROWS = 250_000
 FLUSH_ROWS = 500_000
 #: Partial overlaps a task holds before it sums and sends them.
 PAIR_ROWS = 200_000
+#: Pairs of a part of the last round, on average.
+CROSS_PAIRS = 500_000
 #: Hub rounds go on while the pairs left are more than so many for each row and
 #: a round leaves less than this share of them.
 PAIRS_LEFT, SHARE_LEFT = 2, 0.9
@@ -511,7 +513,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             shared, left = _unsettled(shared, roots)
             last = left <= PAIRS_LEFT * rows or left > SHARE_LEFT * before
         if last:
-            partial = _cross_pairs(shared, percent, max(1, shared.count() // FRAGMENT_ROWS))
+            partial = _cross_pairs(shared, percent, 1 + int(left) // CROSS_PAIRS)
         else:
             partial = _hub_pairs(shared, percent, step)
         pairs = _candidates(partial, percent)
