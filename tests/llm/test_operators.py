@@ -224,3 +224,36 @@ def test_revisits(spark):
     assert got[2].headers == {"x": "1", "etag": "e1", "Date": "d"}
     assert (got[4].response_id, got[4].resolved) == (3, False)
     assert got[5].response_id is None and not got[6].resolved
+
+
+def test_lm_learns_from_every_training_document(spark):
+    """The order of words matters in documents beyond any fixed number."""
+    words = [chr(97 + i) for i in range(12)]
+    ids = spark.range(1200).orderBy(F.xxhash64("id"), "id")
+    first = {r.id for r in ids.limit(400).collect()}
+    ahead, back = " ".join(words * 3), " ".join(words[::-1] * 3)
+
+    def scored(rest):
+        rows = [(i, ahead if i in first else rest) for i in range(1200)] + [(-1, ahead)]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        return gru_lm.score_documents(df, F.col("doc_id") >= 0).where("doc_id = -1").first()
+
+    same, other = scored(ahead), scored(back)
+    assert same.base_score == other.base_score and same.train_tokens == other.train_tokens
+    assert same.score > other.score + 0.5
+
+
+def test_lm_fit_covers_all_words_in_tasks(spark, monkeypatch):
+    monkeypatch.setattr(gru_lm, "TASK_WORDS", 500)
+    r = random.Random(6)
+    docs = [bytes(r.randrange(5) for _ in range(r.randint(0, 30))) for _ in range(900)]
+    n = sum(map(len, docs)) + len(docs)
+    rows = spark.createDataFrame([(i % gru_lm.ROUNDS, bytearray(x)) for i, x in enumerate(docs)],
+                                 "part int, ids binary")
+    w = gru_lm.initial(6, np.full(6, 1 / 6))
+    assert gru_lm.fit(rows, w, 5, n)[1] == n
+    monkeypatch.setattr(gru_lm, "BLOCK_WORDS", 64)
+    arrays = [np.frombuffer(x, np.uint8) for x in docs]
+    blocks = list(gru_lm.blocks(iter(arrays), 5))
+    stream = np.concatenate([blocks[0], *(x[1:] for x in blocks[1:])])
+    assert stream.tolist() == [5, *(y for x in docs for y in [*x, 5])]
