@@ -1,18 +1,21 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
-Target words per source come from the weights (water filling under a cap).
-Documents are spread over shards by a seeded hash; in each shard a source's
-documents, in seeded order, form a ring of equal blocks of words.  The shard's
-blocks are then apportioned to its sources by highest quotients (votes / 1, 3,
-5, ...), which gives integer quotas that add up to the shard's size, and each
-source takes its quota of consecutive blocks from a seeded start on its ring.
-Consecutive blocks of a shuffled ring are a random choice of documents in which
-at most the two at the ends are cut; a quota beyond the ring goes round again,
-so words repeat at most ``cap`` times.
+Target words per source come from the weights (water filling under a cap); the
+mix's words are apportioned to the sources by highest quotients (votes / 1, 3,
+5, ...), which gives integers that add up to the mix's size.  Documents are
+spread over shards by a seeded hash.  A source's words are dealt to its shards
+by their words, rounded cumulatively in seeded order of the shards, so that the
+remainders of one go on to the next and the source's sum is met whatever the
+number of shards.  In a shard a source's documents, in seeded order, form a ring,
+and the source takes its words from a seeded start on, at the beginning of a
+block of words.  Consecutive words of a shuffled ring are a random choice of
+documents in which at most the two at the ends are cut; a quota beyond the ring
+goes round again, so words repeat at most ``cap`` times.
 
 Only the sums per source and per (shard, source) are gathered.  Shards hold
 ``SHARD_DOCS`` documents on average whatever the sources' sizes, so neither a
-hot source nor a large table makes a large group.
+hot source nor a large table makes a large group of documents; the sums of a
+source's shards, a row for each, pass one task.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starwright.llm.common import written
+
 SHARD_DOCS = 1024
 BLOCK_WORDS = 16
 SEED = 17
@@ -115,28 +120,28 @@ def mix(sized: DataFrame, weights: DataFrame, share: float, cap: int = 2,
                         F.struct(id_col, *carry).alias("__row"))
     n = max(1, -(-sized.count() // shard_docs))
     rows = rows.withColumn("__shard", F.pmod(F.xxhash64(F.lit(seed), "__id", "size"), F.lit(n)))
-    goal = targets(rows, weights, share, float(cap))
+    kind = rows.schema["source"].dataType.simpleString()
+
+    def whole(sources: pd.DataFrame) -> pd.DataFrame:
+        sources = sources.sort_values("source", na_position="last", kind="stable")
+        sources["goal"] = apportion(sources["target"].tolist(), round(sources["target"].sum()),
+                                    (sources["source_size"] * cap).tolist())
+        return sources
+
+    goal = written(targets(rows, weights, share, float(cap)).groupBy().applyInPandas(
+        whole, f"source {kind}, source_size long, target double, goal long"), "mix-goals")
     goal = goal.withColumnRenamed("source", "__source")
     cells = rows.groupBy("__shard", "source").agg(F.sum("size").alias("ring"))
-    cells = (cells.join(F.broadcast(goal) if _few(goal) else goal,
+    turn = (Window.partitionBy("source").orderBy(F.xxhash64(F.lit(seed + 3), "__shard"), "__shard")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    cells = cells.withColumn("upto", F.sum("ring").over(turn))
+    dealt = [F.round(F.col("goal") * (upto / F.greatest(F.col("source_size"), F.lit(1))))
+             for upto in (F.col("upto"), F.col("upto") - F.col("ring"))]
+    quota = (cells.join(F.broadcast(goal) if _few(goal) else goal,
                         F.col("source").eqNullSafe(F.col("__source")))
-             .select("__shard", "source", "ring", "source_size", "target",
-                     (F.col("target") * F.col("ring")
-                      / F.greatest(F.col("source_size"), F.lit(1))).alias("votes")))
-
-    def quotas(shard: pd.DataFrame) -> pd.DataFrame:
-        shard = shard.sort_values("source", na_position="last", kind="stable")
-        limits = (-(-shard["ring"] * cap // block_words)).tolist()
-        shard["quota"] = apportion(shard["votes"].tolist(),
-                                   round(shard["votes"].sum() / block_words), limits)
-        return shard
-
-    kind = rows.schema["source"].dataType.simpleString()
-    quota = (cells.groupBy("__shard").applyInPandas(
-        quotas, f"__shard long, source {kind}, ring long, source_size long, target double, "
-                "votes double, quota long")
-        .select(F.col("__shard").alias("__s"), F.col("source").alias("__source"),
-                "ring", "source_size", "target", "quota"))
+             .select(F.col("__shard").alias("__s"), "__source", "ring", "source_size", "target",
+                     F.least((dealt[0] - dealt[1]).cast("long"), F.col("ring") * cap)
+                     .alias("words")))
     order = (Window.partitionBy("__shard", "source")
              .orderBy(F.xxhash64(F.lit(seed + 1), "__id", "size"), "__id", "size"))
     placed = rows.withColumn("at", F.coalesce(F.sum("size").over(
@@ -144,16 +149,16 @@ def mix(sized: DataFrame, weights: DataFrame, share: float, cap: int = 2,
     joined = placed.join(quota, (F.col("__shard") == F.col("__s"))
                          & F.col("source").eqNullSafe(F.col("__source")))
     # words of the mix: the ring positions start .. start + words, going round
-    words = F.least(F.col("quota") * block_words, F.col("ring") * cap)
-    blocks = F.greatest(F.ceil(F.col("ring") / block_words).cast("long"), F.lit(1))
-    start = F.pmod(F.xxhash64(F.lit(seed + 2), "__shard", "source"), blocks) * block_words
+    block = F.when(F.col("ring") < 2 * block_words, F.lit(1)).otherwise(F.lit(block_words))
+    blocks = F.greatest(F.ceil(F.col("ring") / block).cast("long"), F.lit(1))
+    start = F.pmod(F.xxhash64(F.lit(seed + 2), "__shard", "source"), blocks) * block
     gone = F.pmod(F.col("at") - F.col("start"), F.greatest(F.col("ring"), F.lit(1)))
     size, ring, rest = F.col("size"), F.col("ring"), F.col("rest")
     # the document covers gone .. gone + size of the ring counted from the start
     tail = F.greatest(F.least(F.col("gone") + size - ring, rest), F.lit(0))
     head = F.greatest(F.least(F.col("gone") + size, rest) - F.col("gone"), F.lit(0))
     wraps = F.col("gone") + size > ring
-    return (joined.withColumn("words", words).withColumn("start", start)
+    return (joined.withColumn("start", start)
             .withColumn("gone", gone)
             .withColumn("rest", F.pmod(F.col("words"), F.greatest(ring, F.lit(1))))
             .withColumn("laps", F.floor(F.col("words") / F.greatest(ring, F.lit(1))))

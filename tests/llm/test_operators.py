@@ -257,3 +257,18 @@ def test_lm_fit_covers_all_words_in_tasks(spark, monkeypatch):
     blocks = list(gru_lm.blocks(iter(arrays), 5))
     stream = np.concatenate([blocks[0], *(x[1:] for x in blocks[1:])])
     assert stream.tolist() == [5, *(y for x in docs for y in [*x, 5])]
+
+
+def test_mix_meets_targets_over_many_shards(spark):
+    r = random.Random(8)
+    rows = [(i, *(("rare", r.randint(1, 3)) if i % 16 == 0 else ("short", r.randint(4, 11))
+                  if i % 16 == 8 else (None, 0) if i % 16 == 4 else ("big", r.randint(50, 300))))
+            for i in range(4000)] + [(None, "rare", 2)] * 3
+    sized = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    for share in (0.7, 1.5):
+        got = mixing.mix(sized, mixing.cycled_weights(sized, (3, 1, 2)), share,
+                         shard_docs=16).collect()
+        assert len(got) == len(rows) and all(0 <= x.taken <= 2 * x.size for x in got)
+        for source in {x.source for x in got}:
+            mine = [x for x in got if x.source == source]
+            assert abs(sum(x.taken for x in mine) - mine[0].target) <= 1
