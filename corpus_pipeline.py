@@ -25,12 +25,15 @@ def drop_toxic(spark, docs, sf_dir):
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
-    """The document with the smallest id of each component stays; one without
-    words or without an id stays as well."""
-    found = jaccard.jaccard_components(docs)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns).unionByName(
-        docs.where("doc_id is null"))
+    """One row of each component stays, that of the smallest id (a null one comes
+    last, rows alike in id by their number); one without words stays as well."""
+    rows = written(docs.withColumn("__number", F.monotonically_increasing_id()),
+                   "pipeline-numbered")
+    found = jaccard.jaccard_components(rows, "__number").join(
+        rows.select("__number", "doc_id"), "__number")
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__number"))
+    kept = found.groupBy("component_id").agg(least.alias("least")).select("least.__number")
+    return rows.join(kept, "__number", "left_semi").select(docs.columns)
 
 
 def mask_personal_data(spark, docs, sf_dir):
