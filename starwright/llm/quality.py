@@ -4,9 +4,8 @@ Base rules count words, symbols, repeated lines and repeated 8-word windows of
 each whole text.  The verdict on the rest compares two multinomials over hashed
 word unigrams and bigrams: one of a trusted target, one of the whole corpus.  A
 document's score is the sum of its n-grams' log ratios divided by their number;
-it is kept from ``THRESHOLD`` on.  The corpus counts cover every document; the
-target is counted over at most ``TRUSTED`` trusted documents, chosen by a hash
-of the id, so that the trusted ids are a bounded broadcast.
+it is kept from ``THRESHOLD`` on.  The corpus counts cover every document, the
+target's every trusted one.
 """
 
 from __future__ import annotations
@@ -20,7 +19,6 @@ from starwright.llm.common import SPACE_CLASS, words
 
 BUCKETS = 8192
 THRESHOLD = -0.35
-TRUSTED = 20_000
 WINDOW = 8
 MIN_WORDS = 20
 SYMBOLS = "#*$%&|<>"
@@ -52,17 +50,15 @@ def _buckets(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id",
-               text_col: str = "text", buckets: int = BUCKETS, most: int = TRUSTED
-               ) -> list[float]:
+               text_col: str = "text", buckets: int = BUCKETS) -> list[float]:
     """The log ratio of the target's to the corpus' smoothed share of each bucket.
 
     ``trusted`` names the target by id (nulls and repeats don't count).  Without
     any text every ratio is 0.  The result has ``buckets`` numbers, so it goes
     through the driver."""
     ids = trusted.select(F.col(id_col).alias("__id")).where("__id is not null").distinct()
-    chosen = ids.orderBy(F.xxhash64("__id"), "__id").limit(most)
     marked = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    target = marked.join(F.broadcast(chosen), "__id", "left_semi")
+    target = marked.join(ids, "__id", "left_semi")
     counted = [
         {r["bucket"]: r["count"] for r in
          _buckets(some, "__text", buckets).groupBy("bucket").count().collect()}

@@ -272,3 +272,9 @@ def test_mix_meets_targets_over_many_shards(spark):
         for source in {x.source for x in got}:
             mine = [x for x in got if x.source == source]
             assert abs(sum(x.taken for x in mine) - mine[0].target) <= 1
+
+
+def test_quality_counts_every_trusted_document(spark):
+    docs = spark.range(20_400).select(F.col("id").alias("doc_id"),
+                                      F.concat(F.lit("w"), F.col("id")).alias("text"))
+    assert set(quality.log_ratios(docs, docs.select("doc_id"))) == {0.0}
