@@ -44,7 +44,7 @@ _MASKED_EMAIL = re.compile(
     r"(?<![\w.])[\w.+-]{1,64} ?[\[(](?:at|AT)[\])] ?[\w-]{1,64}"
     r"(?: ?(?:\.|[\[(](?:dot|DOT)[\])]) ?[\w-]{1,64})+")
 _SECRET = re.compile(
-    r"(?i)\b(?:password|passwd|pwd|api[_-]?key|secret|token)[ ]?[=:][ ]?[^\s\"']{4,200}")
+    r"(?i)\b(?:password|passwd|pwd|api[_-]?key|secret|token)[ ]?[=:][ ]?[^\s\"']{4,}")
 
 # Words that announce personal data, words that announce something else.
 _FOR = re.compile(r"(?i)mail|contact|phone|call|tel|fax|mobile|reach|write|card|visa|credit|"

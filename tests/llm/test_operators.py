@@ -278,3 +278,13 @@ def test_quality_counts_every_trusted_document(spark):
     docs = spark.range(20_400).select(F.col("id").alias("doc_id"),
                                       F.concat(F.lit("w"), F.col("id")).alias("text"))
     assert set(quality.log_ratios(docs, docs.select("doc_id"))) == {0.0}
+
+
+def test_long_credentials_are_masked_whole(spark):
+    value = "".join(random.Random(9).choices("abcdefXYZ0189._-", k=1000))
+    docs = spark.createDataFrame([(1, f"see token={value} and go")], "doc_id long, text string")
+    spans = pii.find_personal_data(docs).first().spans
+    assert (4, 4 + len("token=") + 1000) in {(s.start, s.end) for s in spans
+                                             if s.kind == "secret"}
+    assert pii.mask_texts(docs, pii.fit_span_classifier(docs), ["doc_id"]).first().text == (
+        "see <secret> and go")
