@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -64,6 +66,24 @@ def apply_core_conf(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application: a worker
+    started from another folder or on another machine cannot import it otherwise."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="starwright-package-"), "starwright.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for file in sorted([*package.rglob("*.py"), *package.parent.glob("corpus_pipeline.py")]):
+            z.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 _FALLBACK_DIRS: dict[str, str] = {}
 
 
