@@ -10,7 +10,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starwright.llm import bpe, gru_lm, jaccard, mixing, pii, quality, revisits, token_files, topk, toxicity
+from starwright.llm import (
+    bpe, collocations, filter_audit, gru_lm, jaccard, kernel_quality, mixing, pii, quality,
+    revisits, token_files, topk, toxicity,
+)
 from starwright.llm.common import n_words, scratch
 from starwright.registry import register
 from starwright.sources.tables import read_table
@@ -151,3 +154,111 @@ def op7_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     held = gru_lm.held_out(F.col("doc_id"))
     return gru_lm.score_documents(docs, ~held).withColumn("held_out", held)
+
+
+FILTER_AUDIT_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+firsts AS (SELECT text, min(doc_id) AS first_id FROM t GROUP BY text),
+masks AS (
+  SELECT t.doc_id, part,
+    (len(ws) < 200)::INT AS a, (100 * len(list_distinct(ws)) < 50 * len(ws))::INT AS b,
+    (100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * len(text))::INT AS c,
+    regexp_matches(text, '[#$%&*|]')::INT AS d,
+    (first_id IS NOT NULL AND (t.doc_id IS NULL OR t.doc_id > first_id))::INT AS e
+  FROM t JOIN firsts USING (text)),
+marked AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+counts AS (
+  SELECT part, a + 2 * b + 4 * c + 8 * d + 16 * e AS mask, count(*) AS n,
+    coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM masks LEFT JOIN marked USING (doc_id) GROUP BY ALL),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+  SELECT f1.x || f2.x || f3.x || f4.x || f5.x AS filter_order,
+    [f1.bit, f2.bit, f3.bit, f4.bit, f5.bit] AS bits
+  FROM f f1 JOIN f f2 ON f2.x <> f1.x JOIN f f3 ON f3.x NOT IN (f1.x, f2.x)
+  JOIN f f4 ON f4.x NOT IN (f1.x, f2.x, f3.x) JOIN f f5 ON f5.x NOT IN (f1.x, f2.x, f3.x, f4.x)),
+steps AS (
+  SELECT filter_order, step, bits[step] AS own, list_sum(bits[1:step]) AS upto
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+found AS (
+  SELECT part, filter_order, step, own,
+    sum(CASE WHEN mask & upto::INT = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & upto::INT = own THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & own <> 0 AND mask & (upto::INT - own) <> 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = own THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & upto::INT = own THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & upto::INT = own THEN toxic ELSE 0 END) AS toxic_lost
+  FROM counts, steps GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+  redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+  good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM found
+"""
+
+
+@register("op11_filter_audit", FILTER_AUDIT_SQL)
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(filter_audit.failure_masks(
+        read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"),
+        read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")))
+
+
+COLLOCATION_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+ws AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+grams AS (
+  SELECT lang, len, array_to_string(ws[i:i + len - 1], ' ') AS phrase
+  FROM (SELECT lang, ws, len, unnest(range(1, len(ws) + 2 - len)) AS i
+        FROM ws, (SELECT unnest([1, 2, 3, 4, 5]) AS len) WHERE len(ws) >= len)),
+f AS (SELECT lang, phrase, len, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+sizes AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM ws GROUP BY lang),
+split AS (SELECT lang, phrase, len, f, string_split(phrase, ' ') AS ws FROM f WHERE len > 1),
+inside AS (
+  SELECT lang, array_to_string(ws[i:j], ' ') AS phrase, max(f) AS longer
+  FROM (SELECT *, unnest(range(i + 1, len + 1)) AS j
+        FROM (SELECT *, unnest(range(1, len)) AS i FROM split))
+  WHERE j - i + 1 < len GROUP BY ALL),
+cuts AS (
+  SELECT lang, phrase, f AS a, k, array_to_string(ws[1:k], ' ') AS x,
+    array_to_string(ws[k + 1:], ' ') AS y
+  FROM (SELECT *, unnest(range(1, len)) AS k FROM split)),
+scores AS (
+  SELECT c.lang, c.phrase, c.a, k, l.f AS l, r.f AS r, n,
+    ((1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = x
+  JOIN f r ON r.lang = c.lang AND r.phrase = y JOIN sizes s ON s.lang = c.lang),
+lowest AS (
+  SELECT * FROM scores
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score
+FROM lowest LEFT JOIN inside USING (lang, phrase)
+WHERE longer IS NULL OR longer < a
+QUALIFY rank <= 2000
+"""
+
+
+@register("op12_collocations", COLLOCATION_SQL)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read_table(spark, sf_dir, "documents", "text", "lang"))
+
+
+@register("op13_kernel_quality")
+def op13_kernel_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    model = kernel_quality.fit_quality(
+        docs, read_table(spark, sf_dir, "labels", "doc_id", "quality"),
+        training=~kernel_quality.held_out(F.col("id")))
+    return kernel_quality.score_quality(docs, model).select(
+        "doc_id", kernel_quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
