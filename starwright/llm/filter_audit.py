@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from starwright.llm.common import map_batches
 
 FILTERS = "ABCDE"
-RANGE_BYTES = 32 << 20
+RANGE_BYTES = 8 << 20
 #: Bytes of text that a task's trie holds before it is emptied.
 TRIE_BYTES = 16 << 20
 #: Length of the first prefixes; a prefix that covers too much is taken DEEPER times as long.

@@ -130,7 +130,7 @@ class Model:
 
 
 def _standard(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
-    return np.clip((x - mean) / scale, -6, 6)
+    return np.clip((x - mean) / scale, -3, 3)
 
 
 def _matrix(batch: pa.RecordBatch, column: str, width: int) -> np.ndarray:
