@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starwright.llm.common import written
+from starwright.llm.common import scratch, written
 
 LEAST = 100
 KEEP = 2000
@@ -48,11 +48,12 @@ SPREAD = 64
 
 LOWER = bytes(range(65, 91)), bytes(range(97, 123))
 BREAKS = b".,;:!?\n\x0b\x0c\r"
-#: Every break as a line end; words and pieces then split at white space alone.
-PIECES = bytes.maketrans(LOWER[0] + BREAKS, LOWER[1] + b"\n" * len(BREAKS))
+#: Every break as a full stop, which no word holds.
+PIECES = bytes.maketrans(LOWER[0] + BREAKS, LOWER[1] + b"." * len(BREAKS))
 
 # The bits of a phrase: a word frequent enough, a prefix to follow, one to expand, one to count.
 FREQUENT, OPEN, EXPAND, COUNT = 0, 1, 2, 3
+USABLE, FOLLOWED, GROWING, COUNTING = (1 << bit for bit in (FREQUENT, OPEN, EXPAND, COUNT))
 
 
 def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -67,7 +68,7 @@ def word_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
         held: dict[tuple[str, bytes], int] = {}
         for batch in batches:
             for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for word in text.translate(PIECES).split():
+                for word in text.translate(PIECES).replace(b".", b" ").split():
                     key = lang, word
                     held[key] = held.get(key, 0) + 1
                 if len(held) >= COUNTED:
@@ -92,31 +93,18 @@ def _slot(slots: int, phrase: str = "phrase") -> F.Column:
     return F.crc32(F.concat("lang", F.lit("\n"), phrase).cast("binary")) % slots
 
 
-class _Bits:
-    """The four bits of a phrase of a language, from the shared bitmap."""
+class _Bits(dict):
+    """The four bits of the phrases of a language, from the shared bitmap."""
 
-    def __init__(self, bitmap: bytes, slots: int):
+    def __init__(self, lang: str, bitmap: bytes, slots: int):
+        super().__init__()
         self.bitmap, self.slots = np.frombuffer(bitmap, np.uint8), slots
-        self.known: dict[str, dict[bytes, int]] = {}
+        self.seed = zlib.crc32(f"{lang}\n".encode())
 
-    def language(self, lang: str):
-        seed = zlib.crc32(f"{lang}\n".encode())
-        known = self.known.setdefault(lang, {})
-        bitmap, slots, crc32 = self.bitmap, self.slots, zlib.crc32
-
-        def bits(phrase: bytes) -> int:
-            found = known.get(phrase)
-            if found is None:
-                slot = crc32(phrase, seed) % slots
-                found = int(bitmap[slot >> 1] >> (4 * (slot & 1))) & 15
-                known[phrase] = found
-            return found
-
-        return bits
-
-    def forget(self) -> None:
-        if sum(map(len, self.known.values())) > REMEMBERED:
-            self.known.clear()
+    def __missing__(self, phrase: bytes) -> int:
+        slot = zlib.crc32(phrase, self.seed) % self.slots
+        found = self[phrase] = int(self.bitmap[slot >> 1] >> (4 * (slot & 1))) & 15
+        return found
 
 
 def bitmap_of(marks: DataFrame, slots: int) -> bytes:
@@ -143,19 +131,20 @@ def count_phrases(docs: DataFrame, bitmap: bytes, slots: int, text_col: str = "t
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches):
-        table, held = _Bits(shared.value, slots), {}
+        known: dict[str, _Bits] = {}
+        held: dict[str, dict] = {}
         for batch in batches:
             for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                bits = table.language(lang)
-                own = held.setdefault(lang, {})
-                for piece in text.translate(PIECES).split(b"\n"):
-                    ws = piece.split()
-                    if len(ws) > 1:
-                        _count_piece(ws, bits, own)
+                if lang not in known:
+                    known[lang] = _Bits(lang, shared.value, slots)
+                ws = text.translate(PIECES).replace(b".", b" . ").split()
+                ws.append(b".")
+                _count_text(ws, known[lang], held.setdefault(lang, {}))
                 if sum(map(len, held.values())) >= COUNTED:
                     yield _found(held)
                     held = {}
-                table.forget()
+                if sum(map(len, known.values())) >= REMEMBERED:
+                    known = {}
         yield _found(held)
 
     sums = _texts(docs, text_col, lang_col).mapInArrow(
@@ -175,30 +164,29 @@ def count_phrases(docs: DataFrame, bitmap: bytes, slots: int, text_col: str = "t
                                           F.lit(False)).alias("closed"))
 
 
-def _count_piece(ws: list[bytes], bits, held: dict) -> None:
-    """Adds a piece's phrases to ``held``: [count, word before, word after], where
-    None stands for different words or the end of a piece."""
-    flags = [bits(w) for w in ws]
-    last = len(ws)
-    for i in range(last):
+def _count_text(ws: list[bytes], bits: _Bits, held: dict) -> None:
+    """Adds the phrases of a text's words, a full stop after each piece, to ``held``:
+    [count, word before, word after], where a full stop or None stands for the end
+    of a piece or for different words."""
+    bits[b"."] = 0
+    flags = bytes(map(bits.__getitem__, ws))
+    seen = np.frombuffer(flags, np.uint8)
+    for i in np.flatnonzero((seen[:-1] & FOLLOWED != 0) & (seen[1:] & USABLE != 0)).tolist():
         flag, phrase, j = flags[i], ws[i], i + 1
-        while (flag & (1 << OPEN) and j < last and j - i < LONGEST
-               and flags[j] & (1 << FREQUENT)):
-            grown = flag & (1 << EXPAND)
+        while flag & FOLLOWED and flags[j] & USABLE:
+            grown = flag & GROWING
             phrase = phrase + b" " + ws[j]
             j += 1
-            flag = bits(phrase) if j - i < LONGEST else 0
-            if grown or flag & (1 << COUNT):
-                before = ws[i - 1] if i else None
-                after = ws[j] if j < last else None
+            flag = bits[phrase] if j - i < LONGEST else 0
+            if grown or flag & COUNTING:
                 own = held.get(phrase)
                 if own is None:
-                    held[phrase] = [1, before, after]
+                    held[phrase] = [1, ws[i - 1] if i else None, ws[j]]
                 else:
                     own[0] += 1
-                    if own[1] != before:
+                    if own[1] and own[1] != (ws[i - 1] if i else None):
                         own[1] = None
-                    if own[2] != after:
+                    if own[2] != ws[j]:
                         own[2] = None
 
 
@@ -213,7 +201,7 @@ def _found(held: dict) -> pa.RecordBatch:
 
 
 def _word_hash(word: bytes | None) -> int | None:
-    return None if word is None else xxhash.xxh3_64_intdigest(word) - (1 << 63)
+    return None if word in (None, b".") else xxhash.xxh3_64_intdigest(word) - (1 << 63)
 
 
 def _length(phrase: str = "phrase") -> F.Column:
@@ -249,32 +237,41 @@ def mine(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least:
     language is ``und``, a null text empty.  A candidate inside a longer one of
     the same count goes.  Ties rank by count, then by phrase; no candidates give
     no rows."""
+    spark = docs.sparkSession
     words = written(word_counts(docs, text_col, lang_col), "collocation-words")
     n = written(words.groupBy("lang").agg(F.sum("f").alias("n")), "collocation-sizes")
-    nodes = written(words.where(F.col("f") >= least).select(
-        "lang", F.col("word").alias("phrase"), "f", F.lit(False).alias("closed")),
-        "collocation-nodes")
+    tables: dict[str, list[str]] = {"nodes": [], "expanded": []}
+
+    def add(kind: str, rows: DataFrame) -> DataFrame:
+        """All rows of a kind, one scan over the folders of its rounds."""
+        path = scratch(spark, f"collocation-{kind}")
+        rows.write.parquet(path)
+        tables[kind].append(path)
+        return spark.read.schema(rows.schema).parquet(*tables[kind])
+
+    nodes = add("nodes", words.where(F.col("f") >= least).select(
+        "lang", F.col("word").alias("phrase"), "f", F.lit(False).alias("closed")))
     words = nodes.select("lang", F.col("phrase").alias("word"), F.col("f").alias("word_f"))
-    expanded = nodes.select("lang", "phrase").where(F.lit(False))
-    wanted = expanded
+    expanded = wanted = nodes.select("lang", "phrase").where(F.lit(False))
     scored: DataFrame | None = None
     reach = least * WIDER
     while True:
-        bar = _bar(scored, n, keep)
-        frontier = _frontier(nodes, expanded, words, n, bar)
-        now = written(frontier.where(F.col("word_f") <= reach).select("lang", "phrase"),
-                      "collocation-expanded")
-        some = now.limit(1).count() + wanted.limit(1).count()
-        if not some and frontier.limit(1).count() == 0:
+        bar = written(_bar(scored, n, keep), "collocation-bar")
+        frontier = written(_frontier(nodes, expanded, words, n, bar), "collocation-frontier")
+        nearest = frontier.agg(F.min("word_f")).first()[0]
+        lacking = not wanted.isEmpty()
+        if nearest is None and not lacking:
             break
+        if nearest is not None and not lacking:
+            while reach < nearest:
+                reach *= WIDER
+        now = frontier.where(F.col("word_f") <= reach).select("lang", "phrase")
         reach *= WIDER
-        if not some:
-            continue
         marks, slots = _marks(words, now, wanted)
-        bitmap = bitmap_of(marks, slots)
-        found = count_phrases(docs, bitmap, slots, text_col, lang_col, least)
-        new = written(found.join(nodes, ["lang", "phrase"], "left_anti"), "collocation-found")
-        nodes, expanded = nodes.unionAll(new), expanded.unionAll(now)
+        found = written(count_phrases(docs, bitmap_of(marks, slots), slots, text_col, lang_col,
+                                      least), "collocation-found")
+        nodes = add("nodes", found.join(nodes, ["lang", "phrase"], "left_anti"))
+        expanded = add("expanded", now)
         known = written(_known_cuts(nodes, expanded, n, bar), "collocation-cuts")
         scored = written(_scores(known), "collocation-scores")
         wanted = written(known.where("r is null").select("lang", F.col("rest").alias("phrase"))
