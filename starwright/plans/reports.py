@@ -102,9 +102,8 @@ def run_tests(tm: Telemetry, run_id: str | None = None) -> DataFrame:
         t.join(sel.select("invocation_id"), "invocation_id")
         .select("test_name", "test_type", "status",
                 F.col("failures").alias("failed_records"), "execution_seconds",
-                F.col("message").alias("error_message"), "depends_on", "event_id")
-        .orderBy(F.col("status").desc(), "test_name", "event_id")
-        .drop("event_id")
+                F.col("message").alias("error_message"), "depends_on", "owner_name", "owner_email")
+        .orderBy(F.col("status").desc(), "test_name")
     )
 
 
@@ -128,30 +127,93 @@ def data_quality_summary(tm: Telemetry) -> DataFrame:
     )
 
 
+def data_quality_results(tm: Telemetry) -> DataFrame:
+    """K-11, its rows: every test result of the latest orchestrated run with owner."""
+    runs = tm.dbt_runs.where(F.col("orchestrator_run_id").isNotNull())
+    target = latest(runs, "collected_at", F.col("orchestrator_run_id").alias("__run"))
+    invocations = runs.join(F.broadcast(target), F.col("orchestrator_run_id") == F.col("__run"))
+    return tm.test_results.join(invocations.select("invocation_id"), "invocation_id", "left_semi") \
+        .select("invocation_id", "test_unique_id", "test_name", "test_type", "severity", "status",
+                F.col("failures").alias("failed_records"), "execution_seconds", "message",
+                "depends_on", "owner_group", "owner_name", "owner_email") \
+        .orderBy(F.col("status").desc(), "test_name")
+
+
+def dependency_index(tm: Telemetry) -> DataFrame:
+    """J-20 (memoised per telemetry instance, persisted with its tables)."""
+    if "dependency_index" not in tm.__dict__:
+        tm.__dict__["dependency_index"] = tm.persist("dependency_index", _dependency_index(tm))
+    return tm.__dict__["dependency_index"]
+
+
+def _dependency_index(tm: Telemetry) -> DataFrame:
+    """J-20: (depends_on, dataset) for every distinct dependency list that mentions
+    a dataset's name, in any case and anywhere in a dependency ('person' is in
+    'salesperson').  Every substring of the distinct lists' entries that is as long
+    as a name meets the names by equality, so neither tests nor runs are paired
+    with all datasets; the lists are as few as the manifest's nodes."""
+    names = tm.ingestion_runs.select(F.lower(last_dotted("source_table")).alias("name")) \
+        .distinct().withColumn("size", F.length("name"))
+    entries = tm.test_results.select("depends_on").distinct().select(
+        "depends_on", F.explode("depends_on").alias("entry")).withColumn("entry", F.lower("entry"))
+    longest = names.agg(F.max("size").alias("longest"))
+    starts = entries.where("entry <> ''").crossJoin(F.broadcast(longest)).select(   # one row
+        "depends_on", "entry", "longest", F.expr("explode(sequence(1, length(entry)))").alias("at"))
+    parts = starts.select("depends_on", F.expr(
+        "explode(transform(sequence(1, least(longest, length(entry) - at + 1)), "
+        "n -> substring(entry, at, n)))").alias("name"))
+    return parts.join(names, "name").select("depends_on", F.col("name").alias("dataset")).distinct()
+
+
 def latest_test_results(tm: Telemetry, per_dataset: int = 50) -> DataFrame:
     """K-7 / W-1: for every dataset, the latest result of each test that
     depends on it (``distinct on … order by collected_at desc``), at most
     ``per_dataset`` per dataset ordered by ``status desc, test_name``."""
-    datasets = tm.ingestion_runs.select(last_dotted("source_table").alias("dataset")).distinct()
     t = tm.test_results.join(tm.dbt_runs.select("invocation_id", F.col("collected_at")
                                                 .alias("run_collected_at")), "invocation_id")
-    # J-20: a test belongs to a dataset when its dependencies mention the name
-    # (case-insensitive substring, so 'person' also matches 'salesperson')
-    matched = t.join(F.broadcast(datasets),  # ≤ one row per source table
-                     F.exists("depends_on", lambda d: F.lower(d).contains(F.col("dataset"))))
-    # latest per (dataset, test) as a max_by aggregate: partial aggregation keeps
-    # one candidate per task even when one test has a huge history
+    # latest per test as a max_by aggregate, before any dataset is met: partial
+    # aggregation keeps one candidate per task even when one test has a huge history
     fields = ["invocation_id", "test_name", "test_type", "severity", "status", "failures",
-              "message", "execution_seconds"]
-    newest = matched.groupBy("dataset", "test_unique_id").agg(
-        F.max_by(F.struct(*fields), F.struct("run_collected_at", "collected_at", "event_id"))
-        .alias("r")).select("dataset", "test_unique_id", "r.*")
+              "message", "execution_seconds", "depends_on"]
+    newest = t.groupBy("test_unique_id", "depends_on").agg(
+        F.max_by(F.struct(*[f for f in fields if f != "depends_on"]),
+                 F.struct("run_collected_at", "collected_at", "invocation_id"))
+        .alias("r"), F.max(F.struct("run_collected_at", "collected_at", "invocation_id"))
+        .alias("at"))
+    matched = newest.join(dependency_index(tm), "depends_on").groupBy(
+        "dataset", "test_unique_id").agg(F.max_by("r", "at").alias("r")).select(
+        "dataset", "test_unique_id", "r.*")
     w2 = Window.partitionBy("dataset").orderBy(F.col("status").desc(), "test_name")
-    return newest.withColumn("__k", F.row_number().over(w2)).where(F.col("__k") <= per_dataset) \
+    return matched.withColumn("__k", F.row_number().over(w2)).where(F.col("__k") <= per_dataset) \
         .select("dataset", "invocation_id", "test_unique_id", "test_name", "test_type",
                 "severity", "status", "failures", "message", "execution_seconds")
 
 
+def dataset_detail(tm: Telemetry) -> DataFrame:
+    """K-7: for every dataset ever loaded, its newest load, its newest freshness
+    check and the stages of that load's run (its tests: ``latest_test_results``)."""
+    load = ["run_id", "started_at", "finished_at", "source_row_count", "raw_row_count",
+            "minio_uploaded_at", "raw_loaded_at", "status", "error_message"]
+    newest = tm.ingestion_runs.groupBy("source_table").agg(
+        F.max_by(F.struct(*load), F.struct("started_at", "run_id")).alias("r")).select(
+        "source_table", last_dotted("source_table").alias("table_name"), "r.*")
+    checks = tm.freshness_results.groupBy("table_name").agg(
+        F.max_by(F.struct("status", "max_loaded_at", "snapshotted_at", "age_seconds"),
+                 F.struct("snapshotted_at", "invocation_id")).alias("f")).select(
+        "table_name", F.col("f.status").alias("freshness_status"), "f.max_loaded_at",
+        "f.snapshotted_at", "f.age_seconds")
+    stages = dataset_stage_status(tm).withColumnRenamed("dataset", "table_name")
+    state = normalize_status("status")
+    return newest.join(checks, "table_name", "left").join(
+        stages, ["run_id", "table_name"], "left").select(
+        F.col("source_table").alias("dataset"), *load, "freshness_status", "max_loaded_at",
+        "snapshotted_at", "age_seconds", state.alias("source"),
+        F.when(F.col("minio_uploaded_at").isNotNull(), state).otherwise("not_started")
+        .alias("minio"),
+        F.when(F.col("raw_loaded_at").isNotNull(), state).otherwise("not_started").alias("raw"),
+        *LAYERS, "powerbi")
+
+
 def incidents(tm: Telemetry, limit: int = 100) -> DataFrame:
     """K-13 / U-2: failed ingestions and failed tests, newest first."""
     ing = tm.ingestion_runs.where(F.col("status") == "failed").select(
@@ -172,12 +234,10 @@ def incidents(tm: Telemetry, limit: int = 100) -> DataFrame:
             "run_id", F.col("collected_at").alias("occurred_at"),
             F.lit("dbt_test").alias("origin"), "test_name", "severity", "status",
             F.col("failures").alias("invalid_records"), F.col("message").alias("error"),
-            "depends_on",
-            F.lit(None).cast("string").alias("owner_name"),
-            F.lit(None).cast("string").alias("owner_email"),
+            "depends_on", "owner_name", "owner_email",
         )
     return ing.unionByName(tst).orderBy(
-        F.col("occurred_at").desc(), "origin", "test_name", "run_id"
+        F.col("occurred_at").desc_nulls_first(), "origin", "test_name", "run_id"
     ).limit(limit)
 
 
@@ -348,15 +408,15 @@ def run_datasets(tm: Telemetry) -> DataFrame:
         F.when(F.col("minio_uploaded_at").isNotNull(), ist).otherwise("not_started").alias("minio"),
         F.when(F.col("raw_loaded_at").isNotNull(), ist).otherwise("not_started").alias("raw"),
     )
-    names = ing.select("run_id", "dataset_name").distinct()
-    # J-20: a run's test relates to a dataset when its dependencies mention the
-    # (lower-cased) name; flags and counts, never a collected list per group
-    related = _run_tests(tm).join(names, ["run_id"]).where(
-        F.exists("depends_on", lambda d: F.lower(d).contains(F.lower(F.col("dataset_name")))))
-    q = related.groupBy("run_id", "dataset_name").agg(*aggregate_status(F.col("status")))
-    q = q.select("run_id", "dataset_name", *[F.col(c).alias("q" + c) for c in PART_NAMES])
+    # J-20: a run's test relates to the datasets that its dependencies mention;
+    # flags and counts, never a collected list per group
+    related = _run_tests(tm).join(dependency_index(tm), "depends_on")
+    q = related.groupBy("run_id", "dataset").agg(*aggregate_status(F.col("status")))
+    q = q.select("run_id", F.col("dataset").alias("name"),
+                 *[F.col(c).alias("q" + c) for c in PART_NAMES])
     tech = aggregate_status_of([F.col(c) for c in MONITORED])
-    x = j.join(q, ["run_id", "dataset_name"], "left").withColumn("technical_status", tech)
+    x = j.withColumn("name", F.lower("dataset_name")).join(q, ["run_id", "name"], "left") \
+        .withColumn("technical_status", tech)
     x = x.select("*", *[c.alias("t" + n) for c, n in
                         zip(status_parts(F.col("technical_status")), PART_NAMES)])
     combined = x.select("*", *combine_parts("t", "q"))
@@ -372,6 +432,22 @@ def run_datasets(tm: Telemetry) -> DataFrame:
     )
 
 
+def run_failed_tests(tm: Telemetry) -> DataFrame:
+    """K-4: the failed and warning tests of every run, with owners."""
+    return _run_tests(tm).where(normalize_status("status").isin("failed", "warning")).select(
+        "run_id", "test_name", "test_type", "status", F.col("failures").alias("failed_records"),
+        "execution_seconds", F.col("message").alias("error_message"), "depends_on", "owner_name",
+        "owner_email")
+
+
+def run_affected_datasets(tm: Telemetry) -> DataFrame:
+    """K-4: the datasets of every run that failed for another reason than quality."""
+    return run_datasets(tm).where(
+        (F.col("status") == "failed")
+        & ~F.coalesce(F.col("status_reason") == "quality_failed", F.lit(False))).select(
+        "run_id", "dataset", "error_message", *MONITORED)
+
+
 def run_detail(tm: Telemetry) -> DataFrame:
     """K-4: per run, failed datasets (quality-only failures excluded), the
     count of failed/warned tests and the failure scope."""
@@ -383,11 +459,11 @@ def run_detail(tm: Telemetry) -> DataFrame:
     bad_tests = _run_tests(tm).where(ts.isin("failed", "warning")).groupBy("run_id").agg(
         F.count(F.lit(1)).cast("bigint").alias("failed_tests"),
         F.sum(F.coalesce("failures", F.lit(0))).cast("bigint").alias("invalid_records"))
-    p = tm.pipeline_runs
+    p = tm.pipeline_runs.withColumn("recorded", F.lit(True))
     runs = ds.select("run_id").distinct().unionByName(p.select("run_id")).distinct()
     j = runs.join(p, "run_id", "left").join(aff, "run_id", "left").join(bad_tests, "run_id", "left")
     n_failed = F.coalesce("affected_datasets", F.lit(0))
-    pstatus = F.when(F.col("status").isNotNull(), normalize_status("status")) \
+    pstatus = F.when(F.col("recorded"), normalize_status("status")) \
         .otherwise(F.when(n_failed > 0, "failed").otherwise("success"))
     return j.select(
         "run_id", "started_at", "finished_at", "duration_seconds",
@@ -417,9 +493,7 @@ def dataset_labels(tm: Telemetry) -> DataFrame:
     ts = normalize_status("status")
     bad = _run_tests(tm).where(ts.isin("failed", "warning")).select("run_id", "status",
                                                                    "depends_on")
-    names = ds.select("run_id", "dataset_name").distinct()
-    rel = bad.join(names, "run_id").where(
-        F.lower(F.array_join("depends_on", ",")).contains(F.col("dataset_name")))
+    rel = bad.join(dependency_index(tm).withColumnRenamed("dataset", "dataset_name"), "depends_on")
     flags = rel.groupBy("run_id", "dataset_name").agg(
         F.bool_or(F.lower("status").isin("error", "fail", "failed", "runtime error"))
         .alias("rel_failed"),
@@ -469,26 +543,36 @@ def quality_evidence(failures: DataFrame, invocation_id: str, test_id: str, limi
         .orderBy(F.col("captured_at").desc(), "failure_record").limit(limit)
 
 
-def platform_status(tm: Telemetry, freshness: DataFrame) -> DataFrame:
-    """K-1: one-row platform status of the latest run.
-
-    Every "latest" pick is a one-row TakeOrdered subquery; the per-layer node
-    roll-up, the ingestion and test roll-ups and the impacted-dataset count
-    are aggregates over the run's rows, cross-joined into one row."""
-    p = tm.pipeline_runs
-    target = latest(p, "started_at", F.col("run_id").alias("t_run"),
-                    F.col("status").alias("t_status"),
-                    F.col("duration_seconds").alias("t_duration"))
-    # A-7 for the target run
-    ing = ingestion_rollup(tm).select(F.col("run_id").alias("i_run"), F.col("successful").alias("i_ok"),
-                     F.col("source_complete").alias("i_src"),
-                     F.col("minio_complete").alias("i_minio"),
-                     F.col("raw_complete").alias("i_raw"),
-                     F.col("duration_seconds").alias("i_duration"))
-    # A-8 for the target run
-    runs = tm.dbt_runs.join(F.broadcast(target.select("t_run")),
-                            F.col("orchestrator_run_id") == F.col("t_run"))
-    dbt = runs.agg(
+def platform_status(tm: Telemetry, pipeline_runs: DataFrame | None = None) -> DataFrame:
+    """K-1: one-row platform status of the latest pipeline run.
+
+    Without a pipeline row the newest orchestrated test run and the newest load
+    stand in, each for its own part, and the duration is their sum; a pipeline
+    that still runs has duration 0.  Freshness is that of the run's newest
+    invocation (A-9).  Every "latest" pick is a ``max_by`` over its table, one row
+    also where the table is empty, and every part is one row."""
+    p = tm.pipeline_runs if pipeline_runs is None else pipeline_runs
+    target = p.agg(F.max_by(
+        F.struct("run_id", "status", "duration_seconds"),
+        F.struct("started_at", "run_id")).alias("t")).select(
+        F.col("t.run_id").alias("t_run"), F.col("t.status").alias("t_status"),
+        F.col("t.duration_seconds").alias("t_duration"), F.col("t").isNotNull().alias("t_found"))
+    run_of = F.broadcast(target.select("t_run"))                            # one row
+    # A-7: the target run, or the newest load
+    started = tm.ingestion_runs.groupBy("run_id").agg(F.max("started_at").alias("at"))
+    ing = ingestion_rollup(tm).join(started, "run_id").crossJoin(run_of).where(
+        F.col("t_run").isNull() | (F.col("run_id") == F.col("t_run"))).agg(F.max_by(F.struct(
+            F.col("run_id").alias("i_run"), F.col("successful").alias("i_ok"),
+            F.col("source_complete").alias("i_src"), F.col("minio_complete").alias("i_minio"),
+            F.col("raw_complete").alias("i_raw"), F.col("duration_seconds").alias("i_duration")),
+            F.struct("at", "run_id")).alias("i")).select("i.*")
+    # A-8: the target run, or the newest orchestrated one
+    runs = tm.dbt_runs.where(F.col("orchestrator_run_id").isNotNull())
+    newest = runs.agg(F.max_by("orchestrator_run_id", F.struct("collected_at", "invocation_id"))
+                      .alias("d_newest"))
+    dbt = runs.crossJoin(run_of).crossJoin(F.broadcast(newest)).where(
+        F.col("orchestrator_run_id") == F.coalesce("t_run", "d_newest")).agg(
+        F.max("orchestrator_run_id").alias("d_run"),
         F.when(F.count(F.lit(1)) == 0, F.lit(None))
         .when(F.bool_or(F.col("status").isin("error", "failed")), "error")
         .when(F.bool_or(F.col("status").isin("warn", "warning")), "warn")
@@ -497,34 +581,35 @@ def platform_status(tm: Telemetry, freshness: DataFrame) -> DataFrame:
         F.coalesce(F.sum("test_nodes"), F.lit(0)).cast("bigint").alias("tests_total"),
         F.coalesce(F.sum("failed_tests"), F.lit(0)).cast("bigint").alias("d_failed"),
     )
-    # A-9 filtered aggregates over the freshness results
-    fr = freshness.agg(
-        F.max("snapshotted_at").alias("snapshotted_at"),
+    # A-9: filtered aggregates over the results of the run's newest invocation
+    checks = tm.freshness_results.crossJoin(run_of).where(
+        F.col("t_run").isNull() | (F.col("orchestrator_run_id") == F.col("t_run")))
+    per_invocation = checks.groupBy("invocation_id").agg(
+        F.max("collected_at").alias("at"),
         F.max(F.when(F.col("freshness_type") == "technical", F.col("age_seconds")))
         .alias("technical_freshness_seconds"),
         F.max(F.when(F.col("freshness_type") == "business", F.col("max_loaded_at")))
         .alias("last_business_event_at"),
     )
+    fr = per_invocation.agg(F.max_by(
+        F.struct("technical_freshness_seconds", "last_business_event_at"),
+        F.struct("at", "invocation_id")).alias("f")).select("f.*")
     last_ok = p.where((F.col("status") == "success") & F.col("finished_at").isNotNull()) \
         .agg(F.max("finished_at").alias("last_successful_run"))
     # node statuses per layer of the target run
     nodes = tm.manifest().select(F.col("node_unique_id"), "layer")
-    nr = tm.node_results.join(F.broadcast(target.select("t_run")),
-                              F.col("orchestrator_run_id") == F.col("t_run")) \
+    nr = tm.node_results.join(run_of, F.col("orchestrator_run_id") == F.col("t_run")) \
         .join(F.broadcast(nodes), "node_unique_id").where(F.col("layer").isNotNull())
     per_layer = nr.groupBy("layer").agg(*aggregate_status(F.col("status"))) \
         .select("layer", aggregate_status_value().alias("v"))
     layers = per_layer.groupBy().pivot("layer", LAYERS).agg(F.first("v"))
     # impacted datasets: any failed model stage of the target run (L-2)
-    st = dataset_stage_status(tm).join(F.broadcast(target.select("t_run")),
-                                       F.col("run_id") == F.col("t_run"))
+    st = dataset_stage_status(tm).join(run_of, F.col("run_id") == F.col("t_run"))
     impacted = st.agg(F.count_if(F.array_contains(
         F.array("staging", "intermediate", "analytics", "powerbi"), "failed"))
         .cast("bigint").alias("datasets_impacted"))
-    # every part is one row; the ingestion roll-up has one row per run
-    row = (target.join(ing, F.col("t_run") == F.col("i_run"), "left")
-           .crossJoin(dbt).crossJoin(fr).crossJoin(last_ok).crossJoin(layers)
-           .crossJoin(impacted))
+    row = (target.crossJoin(ing).crossJoin(dbt).crossJoin(fr).crossJoin(last_ok)
+           .crossJoin(layers).crossJoin(impacted))
     ing_status = F.when(F.col("i_run").isNull(), "not_started") \
         .when(F.col("i_ok"), "success").otherwise("failed")
     source = F.when(F.col("i_src"), ing_status) \
@@ -553,11 +638,11 @@ def platform_status(tm: Telemetry, freshness: DataFrame) -> DataFrame:
                .otherwise("not_started"))
     out = row.select(
         overall.alias("platform_status"),
-        F.col("t_run").alias("run_id"),
-        trigger_type("t_run").alias("trigger_type"),
+        F.coalesce("t_run", "d_run", "i_run").alias("run_id"),
+        trigger_type(F.coalesce("t_run", "d_run", "i_run")).alias("trigger_type"),
         "last_successful_run",
-        F.coalesce(F.col("t_duration").cast("double"),
-                   F.coalesce(F.col("i_duration").cast("double"), F.lit(0.0))
+        F.when(F.col("t_found"), F.coalesce(F.col("t_duration").cast("double"), F.lit(0.0)))
+        .otherwise(F.coalesce(F.col("i_duration").cast("double"), F.lit(0.0))
                    + F.coalesce(F.col("d_elapsed").cast("double"), F.lit(0.0)))
         .alias("pipeline_duration_seconds"),
         F.col("technical_freshness_seconds").cast("double").alias("technical_freshness_seconds"),

@@ -5,9 +5,11 @@ manifest graph.  The driver's ``events`` table stands in for that history
 (FIXTURES.md): one calendar day of events is one pipeline run, ``user_id % 10``
 picks the dataset, ``event_type`` gives the raw status
 (error→failed, purchase→success, signup→warn, view→running, click→skipped) and
-``value`` the duration.  Every table below is a grouped projection of
-``events`` and grows with it; the manifest graph is the engine's own model
-registry (metadata, a few dozen nodes).
+``value`` the duration.  Each event is appended to the logs of the run tables
+(a load attempt, a test or model result, a start or an end of the pipeline) and
+the tables are those logs folded by key (``operators/runlog.py``); the owner of a
+table's tests is the supplier of its group with the highest balance.  The
+manifest graph is the engine's own model registry (metadata, a few dozen nodes).
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starwright.functions.columns import layer_of, normalize_status
+from starwright.operators.runlog import SEQ, WRITTEN, fold, writes
 from starwright.session import checkpoint_dir
 from starwright.sources.tables import Tables
 
@@ -129,15 +132,41 @@ def event_facts(t: Tables) -> DataFrame:
     )
 
 
-def test_results(ev: DataFrame) -> DataFrame:
-    """B-9: one test result per event."""
+FINISH = ["finished_at", "duration_seconds", "status", "error_message"]
+
+
+def _seq() -> Column:
+    return F.struct("ts", "event_id").alias(SEQ)
+
+
+def _seconds(c: str) -> Column:
+    return F.col(c).cast("decimal(18,3)").cast(SECONDS)
+
+
+def table_owners(t: Tables) -> DataFrame:
+    """The group, name and e-mail that own a source table: ten rows, each the
+    supplier of the highest balance among those dealt to the table by key."""
+    best = t.supplier("s_suppkey", "s_name", "s_acctbal").groupBy(
+        (F.col("s_suppkey") % 10).alias("i")).agg(
+        F.max_by("s_name", F.struct("s_acctbal", "s_suppkey")).alias("owner_name"))
+    return best.select(
+        _lookup(F.col("i"), [tb for _, tb in SOURCE_TABLES]).alias("table_name"),
+        _lookup(F.col("i"), [s for s, _ in SOURCE_TABLES]).alias("owner_group"),
+        "owner_name",
+        F.concat(F.lower(F.replace("owner_name", F.lit("#"), F.lit("."))),
+                 F.lit("@example.com")).alias("owner_email"))
+
+
+def test_log(ev: DataFrame) -> DataFrame:
+    """One log row per test result; a result writes all of its columns."""
     failing = F.col("status").isin("failed", "warn")
     failures = F.when(failing, F.floor("value").cast("bigint")).otherwise(F.lit(0).cast("bigint"))
-    return ev.select(
+    rows = ev.select(
         "invocation_id",
-        F.col("run_id").alias("orchestrator_run_id"),
         F.concat(F.lit(f"test.{PROJECT}."), F.col("test_name")).alias("test_unique_id"),
-        "test_name",
+        _seq(),
+        F.col("run_id").alias("orchestrator_run_id"),
+        "test_name", "table_name",
         F.lit("generic").alias("test_type"),
         F.when(F.col("status") == "warn", "warn").otherwise("error").alias("severity"),
         "status",
@@ -147,19 +176,59 @@ def test_results(ev: DataFrame) -> DataFrame:
         .alias("message"),
         F.array(F.concat(F.lit(f"model.{PROJECT}.stg_"), F.col("table_name"))).alias("depends_on"),
         F.col("ts").alias("collected_at"),
-        "event_id",
     )
+    return rows.withColumn(WRITTEN, writes(*rows.columns[3:]))
 
 
-def node_results(ev: DataFrame) -> DataFrame:
-    """B-7: one model result per event (the model picked by ``event_id``)."""
-    return ev.select(
+def test_results(log: DataFrame, owners: DataFrame) -> DataFrame:
+    """B-9 / B-10: one row per (invocation, test), the last one written, with the
+    owner of the table that the test reads."""
+    return fold(log, ["invocation_id", "test_unique_id"]).join(
+        owners, "table_name", "left").drop("table_name")
+
+
+def node_log(ev: DataFrame) -> DataFrame:
+    """One log row per model result (the model picked by ``event_id``)."""
+    rows = ev.select(
         "invocation_id",
-        F.col("run_id").alias("orchestrator_run_id"),
         F.concat(F.lit(f"model.{PROJECT}."), F.col("model_name")).alias("node_unique_id"),
+        _seq(),
+        F.col("run_id").alias("orchestrator_run_id"),
         "status",
         F.col("value").alias("execution_seconds"),
+        F.col("ts").alias("collected_at"),
     )
+    return rows.withColumn(WRITTEN, writes(*rows.columns[3:]))
+
+
+def node_results(log: DataFrame) -> DataFrame:
+    """B-7: one row per (invocation, model)."""
+    return fold(log, ["invocation_id", "node_unique_id"])
+
+
+def freshness_log(ev: DataFrame) -> DataFrame:
+    """One log row per freshness check: the two order tables carry business time."""
+    business = F.col("table_name").isin(*(t for _, t in SOURCE_TABLES[:2]))
+    rows = ev.select(
+        "invocation_id",
+        F.concat(F.lit(f"source.{PROJECT}.raw."), F.col("table_name")).alias("source_unique_id"),
+        _seq(),
+        F.col("run_id").alias("orchestrator_run_id"),
+        "table_name",
+        F.when(business, "business").otherwise("technical").alias("freshness_type"),
+        F.when(F.col("status") == "failed", "error").when(F.col("status") == "warn", "warn")
+        .otherwise("pass").alias("status"),
+        F.col("ts").alias("max_loaded_at"),
+        F.expr("timestampadd(SECOND, cast(floor(value) as int), ts)").alias("snapshotted_at"),
+        F.col("value").alias("age_seconds"),
+        F.col("ts").alias("collected_at"),
+    )
+    return rows.withColumn(WRITTEN, writes(*rows.columns[3:]))
+
+
+def freshness_results(log: DataFrame) -> DataFrame:
+    """B-11: one row per (invocation, source)."""
+    return fold(log, ["invocation_id", "source_unique_id"])
 
 
 def run_status_precedence(status: Column) -> list[Column]:
@@ -191,56 +260,81 @@ def dbt_runs(tests: DataFrame) -> DataFrame:
     )
 
 
-def ingestion_runs(ev: DataFrame) -> DataFrame:
-    """B-2/B-3: one row per (run, dataset); the first event decides success."""
-    first = F.min_by("status", F.struct("ts", "event_id"))
-    g = ev.groupBy("run_id", "source_table", "table_name").agg(
-        first.alias("__first"),
-        F.min("ts").alias("started_at"),
-        F.max("ts").alias("finished_at"),
-        F.count(F.lit(1)).cast("bigint").alias("__rows"),
-        F.sum(F.col("value").cast("decimal(18,3)")).cast(SECONDS).alias("duration_seconds"),
-        F.sum(F.length("props")).cast("bigint").alias("file_size_bytes"),
-    )
-    ok = F.col("__first") != "failed"
+def ingestion_log(ev: DataFrame) -> DataFrame:
+    """One log row per load attempt of a table.  A success writes every column; a
+    failure only how it ended (B-3), so what an earlier attempt of the run loaded
+    stays."""
+    ok = F.col("status") != "failed"
     obj = F.coalesce(
         F.element_at(F.create_map(*[F.lit(x) for kv in OBJECT_TABLE_NAMES.items() for x in kv]),
                      F.col("table_name")),
         F.col("table_name"))
-    return g.select(
-        "run_id", "source_table",
-        F.col("__rows").alias("source_row_count"),
-        F.when(ok, F.col("__rows")).alias("raw_row_count"),
+    rows_read = (F.col("event_id") % 1000 + 1).cast("bigint")
+    finished = F.expr("timestampadd(SECOND, cast(floor(value) as int), ts)")
+    rows = ev.select(
+        "run_id", "source_table", _seq(),
+        F.when(ok, rows_read).alias("source_row_count"),
+        F.when(ok, rows_read).alias("raw_row_count"),
         F.when(ok, F.concat(F.lit("raw/"), obj, F.lit("/load_date="),
-                            F.date_format("started_at", "yyyy-MM-dd"), F.lit("/"), obj,
+                            F.date_format("ts", "yyyy-MM-dd"), F.lit("/"), obj,
                             F.lit(".parquet"))).alias("minio_object"),
-        F.when(ok, F.col("file_size_bytes")).alias("file_size_bytes"),
-        "started_at",
-        F.when(ok, F.col("finished_at")).alias("minio_uploaded_at"),
-        F.when(ok, F.col("finished_at")).alias("raw_loaded_at"),
-        "finished_at",
-        "duration_seconds",
+        F.when(ok, F.length("props").cast("bigint")).alias("file_size_bytes"),
+        F.col("ts").alias("started_at"),
+        F.when(ok, finished).alias("minio_uploaded_at"),
+        F.when(ok, finished).alias("raw_loaded_at"),
+        finished.alias("finished_at"),
+        _seconds("value").alias("duration_seconds"),
         F.when(ok, "success").otherwise("failed").alias("status"),
         F.when(~ok, F.concat(F.lit("load failed: "), F.col("source_table"))).alias("error_message"),
     )
-
-
-def pipeline_runs(ev: DataFrame) -> DataFrame:
-    """B-5: one row per run; the last event's status is the run's status."""
-    g = ev.groupBy("run_id").agg(
-        F.min("ts").alias("started_at"),
-        F.max("ts").alias("finished_at"),
-        F.max_by("status", F.struct("ts", "event_id")).alias("status"),
-    )
-    return g.select(
-        "run_id", "started_at", "finished_at",
-        F.expr("timestampdiff(SECOND, started_at, finished_at)").cast("bigint")
-        .alias("duration_seconds"),
+    return rows.withColumn(WRITTEN, F.when(F.col("status") == "failed", writes(*FINISH))
+                           .otherwise(writes(*rows.columns[3:])))
+
+
+def ingestion_runs(log: DataFrame) -> DataFrame:
+    """B-2 / B-3: one row per (run, dataset)."""
+    return fold(log, ["run_id", "source_table"], insert_only=("started_at",))
+
+
+def pipeline_log(ev: DataFrame) -> DataFrame:
+    """Starts and ends of the pipeline (B-5).  A start, or a restart, leaves the run
+    unfinished: it writes no end, no duration and no message."""
+    starts, failed = F.col("status") == "running", F.col("status") == "failed"
+    ended = ev.where(F.col("status").isin("running", "success", "failed"))
+    return ended.select(
+        "run_id", _seq(),
+        F.col("ts").alias("started_at"),
+        F.when(~starts, F.expr("timestampadd(SECOND, cast(floor(value) as int), ts)"))
+        .alias("finished_at"),
+        F.when(~starts, F.floor("value").cast("bigint")).alias("duration_seconds"),
         "status",
-        F.when(F.col("status") == "failed", "pipeline failed").alias("error_message"),
+        F.when(failed, "pipeline failed").alias("error_message"),
+        writes(*FINISH).alias(WRITTEN),
     )
 
 
+def pipeline_runs(log: DataFrame) -> DataFrame:
+    """B-5: one row per run; its start is the first one recorded."""
+    return fold(log, ["run_id"], insert_only=("started_at",))
+
+
+def without_last_end(log: DataFrame) -> DataFrame:
+    """A pipeline log whose newest run has not ended yet: only its starts are
+    recorded, the first record of all counting as one."""
+    newest = log.agg(F.max_by("run_id", SEQ).alias("newest"))
+    first = log.groupBy("run_id").agg(F.min(SEQ).alias("first"))
+    marked = log.join(first, "run_id").crossJoin(F.broadcast(newest))     # one row
+    open_ = F.col("run_id") == F.col("newest")
+    begun = marked.where(~open_ | (F.col("status") == "running") | (F.col(SEQ) == F.col("first")))
+
+    def cut(c: str) -> Column:
+        return F.when(~open_, F.col(c)).alias(c)
+
+    return begun.select("run_id", SEQ, "started_at", cut("finished_at"), cut("duration_seconds"),
+                        F.when(open_, "running").otherwise(F.col("status")).alias("status"),
+                        cut("error_message"), WRITTEN)
+
+
 def aggregate_status(status: Column) -> list[Column]:
     """L-3 as aggregate parts over raw statuses (null = no evidence)."""
     s = normalize_status(status)
@@ -293,13 +387,21 @@ class Telemetry:
     def events(self) -> DataFrame:
         return event_facts(self.tables)
 
+    @cached_property
+    def owners(self) -> DataFrame:
+        return self.persist("owners", table_owners(self.tables))
+
     @cached_property
     def test_results(self) -> DataFrame:
-        return self.persist("test_results", test_results(self.events))
+        return self.persist("test_results", test_results(test_log(self.events), self.owners))
 
     @cached_property
     def node_results(self) -> DataFrame:
-        return self.persist("node_results", node_results(self.events))
+        return self.persist("node_results", node_results(node_log(self.events)))
+
+    @cached_property
+    def freshness_results(self) -> DataFrame:
+        return self.persist("freshness_results", freshness_results(freshness_log(self.events)))
 
     @cached_property
     def dbt_runs(self) -> DataFrame:
@@ -307,11 +409,16 @@ class Telemetry:
 
     @cached_property
     def ingestion_runs(self) -> DataFrame:
-        return self.persist("ingestion_runs", ingestion_runs(self.events))
+        return self.persist("ingestion_runs", ingestion_runs(ingestion_log(self.events)))
 
     @cached_property
     def pipeline_runs(self) -> DataFrame:
-        return self.persist("pipeline_runs", pipeline_runs(self.events))
+        return self.persist("pipeline_runs", pipeline_runs(pipeline_log(self.events)))
+
+    @cached_property
+    def unfinished_pipeline_runs(self) -> DataFrame:
+        """The pipeline runs while the newest one still goes on."""
+        return pipeline_runs(without_last_end(pipeline_log(self.events)))
 
     @cached_property
     def manifest_df(self) -> DataFrame:

@@ -41,7 +41,18 @@ SELECT event_id, ts, value, props,
        {_list(MODEL_NODES)}[(event_id % {len(MODEL_NODES)}) + 1] AS model_name
 FROM events""")
 
-O.cte("tm_tests", ["tm_events"], """
+_ORDERS = ", ".join(f"'{t}'" for _, t in SOURCE_TABLES[:2])
+
+O.cte("tm_owners", [], f"""
+SELECT {_TABLES}[i + 1] AS table_name, {_SCHEMAS}[i + 1] AS owner_group, s_name AS owner_name,
+       lower(replace(s_name, '#', '.')) || '@example.com' AS owner_email
+FROM (SELECT s_suppkey % 10 AS i, s_name,
+             row_number() OVER (PARTITION BY s_suppkey % 10
+                                ORDER BY s_acctbal DESC, s_suppkey DESC) AS k
+      FROM supplier) x WHERE k = 1""")
+
+# the last write of a key is its row: every event writes all columns of its result
+O.cte("tm_tests", ["tm_events", "tm_owners"], """
 SELECT invocation_id, run_id AS orchestrator_run_id,
        'test.sales_star.' || test_name AS test_unique_id, test_name,
        'generic' AS test_type,
@@ -54,8 +65,25 @@ SELECT invocation_id, run_id AS orchestrator_run_id,
             THEN 'Got ' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) || ' results' END
          AS message,
        ['model.sales_star.stg_' || table_name] AS depends_on,
-       ts AS collected_at, event_id
-FROM tm_events""")
+       ts AS collected_at, owner_group, owner_name, owner_email
+FROM (SELECT * FROM tm_events QUALIFY row_number() OVER (
+        PARTITION BY invocation_id, test_name ORDER BY ts DESC, event_id DESC) = 1) e
+LEFT JOIN tm_owners USING (table_name)""")
+
+O.cte("tm_nodes", ["tm_events"], """
+SELECT invocation_id, run_id AS orchestrator_run_id,
+       'model.sales_star.' || model_name AS node_unique_id, status
+FROM tm_events QUALIFY row_number() OVER (
+  PARTITION BY invocation_id, model_name ORDER BY ts DESC, event_id DESC) = 1""")
+
+O.cte("tm_checks", ["tm_events"], f"""
+SELECT invocation_id, run_id AS orchestrator_run_id, table_name,
+       CASE WHEN table_name IN ({_ORDERS}) THEN 'business' ELSE 'technical' END AS freshness_type,
+       CASE status WHEN 'failed' THEN 'error' WHEN 'warn' THEN 'warn' ELSE 'pass' END AS status,
+       ts AS max_loaded_at, ts + to_seconds(CAST(floor(value) AS BIGINT)) AS snapshotted_at,
+       value AS age_seconds, ts AS collected_at
+FROM tm_events QUALIFY row_number() OVER (
+  PARTITION BY invocation_id, table_name ORDER BY ts DESC, event_id DESC) = 1""")
 
 O.cte("tm_runs", ["tm_tests"], """
 SELECT invocation_id, orchestrator_run_id,
@@ -73,36 +101,51 @@ FROM tm_tests GROUP BY 1, 2""")
 _OBJ = "CASE table_name " + " ".join(
     f"WHEN '{k}' THEN '{v}'" for k, v in OBJECT_TABLE_NAMES.items()) + " ELSE table_name END"
 
+# an attempt that fails writes only how it ended; the rest is the last success's
 O.cte("tm_ingestion", ["tm_events"], f"""
-SELECT run_id, source_table,
-       rows AS source_row_count,
-       CASE WHEN ok THEN rows END AS raw_row_count,
-       CASE WHEN ok THEN 'raw/' || obj || '/load_date=' || strftime(started_at, '%Y-%m-%d')
-                         || '/' || obj || '.parquet' END AS minio_object,
-       CASE WHEN ok THEN file_size_bytes END AS file_size_bytes,
-       started_at,
-       CASE WHEN ok THEN finished_at END AS minio_uploaded_at,
-       CASE WHEN ok THEN finished_at END AS raw_loaded_at,
-       finished_at, duration_seconds,
-       CASE WHEN ok THEN 'success' ELSE 'failed' END AS status,
-       CASE WHEN NOT ok THEN 'load failed: ' || source_table END AS error_message
-FROM (SELECT run_id, source_table, table_name, {_OBJ} AS obj,
-             arg_min(status, (ts, event_id)) <> 'failed' AS ok,
-             min(ts) AS started_at, max(ts) AS finished_at,
-             CAST(count(*) AS BIGINT) AS rows,
-             CAST(sum(CAST(value AS DECIMAL(18,3))) AS DECIMAL(38,3)) AS duration_seconds,
-             CAST(sum(length(props)) AS BIGINT) AS file_size_bytes
-      FROM tm_events GROUP BY run_id, source_table, table_name) g""")
-
-O.cte("tm_pipeline", ["tm_events"], """
-SELECT run_id, started_at, finished_at,
-       CAST((epoch_us(finished_at) - epoch_us(started_at)) // 1000000 AS BIGINT)
-         AS duration_seconds,
-       status,
-       CASE WHEN status = 'failed' THEN 'pipeline failed' END AS error_message
-FROM (SELECT run_id, min(ts) AS started_at, max(ts) AS finished_at,
-             arg_max(status, (ts, event_id)) AS status
-      FROM tm_events GROUP BY run_id) g""")
+SELECT run_id, source_table, ok.row_count AS source_row_count, ok.row_count AS raw_row_count,
+       ok.minio_object AS minio_object, ok.file_size_bytes AS file_size_bytes,
+       COALESCE(ok.started_at, first_at) AS started_at,
+       ok.finished_at AS minio_uploaded_at, ok.finished_at AS raw_loaded_at,
+       ended.finished_at AS finished_at, ended.duration_seconds AS duration_seconds,
+       CASE WHEN ended.failed THEN 'failed' ELSE 'success' END AS status,
+       CASE WHEN ended.failed THEN 'load failed: ' || source_table END AS error_message
+FROM (SELECT run_id, source_table,
+             arg_max(struct_pack(finished_at := finished_at, failed := status = 'failed',
+               duration_seconds := CAST(CAST(value AS DECIMAL(18,3)) AS DECIMAL(38,3))),
+               (ts, event_id)) AS ended,
+             arg_max(struct_pack(row_count := CAST(event_id % 1000 + 1 AS BIGINT),
+               started_at := ts, finished_at := finished_at,
+               file_size_bytes := CAST(length(props) AS BIGINT),
+               minio_object := 'raw/' || obj || '/load_date=' || strftime(ts, '%Y-%m-%d') || '/'
+                               || obj || '.parquet'),
+               (ts, event_id)) FILTER (WHERE status <> 'failed') AS ok,
+             min(ts) AS first_at
+      FROM (SELECT *, {_OBJ} AS obj, ts + to_seconds(CAST(floor(value) AS BIGINT)) AS finished_at
+            FROM tm_events) e
+      GROUP BY run_id, source_table) g""")
+
+_PIPELINE = """
+SELECT run_id, first_at AS started_at, l.finished_at AS finished_at,
+       l.duration_seconds AS duration_seconds, l.status AS status,
+       CASE WHEN l.status = 'failed' THEN 'pipeline failed' END AS error_message
+FROM (SELECT run_id, min(ts) AS first_at,
+             arg_max(struct_pack(status := status,
+               finished_at := CASE WHEN status <> 'running'
+                              THEN ts + to_seconds(CAST(floor(value) AS BIGINT)) END,
+               duration_seconds := CASE WHEN status <> 'running'
+                                   THEN CAST(floor(value) AS BIGINT) END),
+               (ts, event_id)) AS l
+      FROM ({log}) e GROUP BY run_id) g"""
+_PIPELINE_LOG = "SELECT * FROM tm_events WHERE status IN ('running', 'success', 'failed')"
+O.cte("tm_pipeline", ["tm_events"], _PIPELINE.format(log=_PIPELINE_LOG))
+# the newest run has not ended: its only entries are starts
+O.cte("tm_pipeline_unfinished", ["tm_events"], _PIPELINE.format(log=f"""
+  SELECT ts, event_id, value, run_id,
+         CASE WHEN run_id = (SELECT arg_max(run_id, (ts, event_id)) FROM ({_PIPELINE_LOG}) z)
+              THEN 'running' ELSE status END AS status
+  FROM ({_PIPELINE_LOG}) x"""))
+O.cte("tm_pipeline_unrecorded", ["tm_pipeline"], "SELECT * FROM tm_pipeline WHERE false")
 
 _TRIGGER = ("CASE WHEN run_id IS NULL OR run_id = '' THEN NULL "
             "WHEN starts_with(run_id, 'manual__') THEN 'manual' "
@@ -172,7 +215,7 @@ _LATEST_RUN = ("(SELECT orchestrator_run_id FROM tm_runs WHERE orchestrator_run_
 
 @register("run_tests_latest", O.sql(f"""
 SELECT t.test_name, t.test_type, t.status, t.failures AS failed_records, t.execution_seconds,
-       t.message AS error_message, t.depends_on
+       t.message AS error_message, t.depends_on, t.owner_name, t.owner_email
 FROM tm_tests t JOIN tm_runs r USING (invocation_id)
 WHERE r.orchestrator_run_id = {_LATEST_RUN}
 ORDER BY t.status DESC, t.test_name""", "tm_tests", "tm_runs"))
@@ -208,7 +251,7 @@ FROM (
   FROM (
     SELECT d.dataset, t.*, row_number() OVER (
              PARTITION BY d.dataset, t.test_unique_id
-             ORDER BY r.collected_at DESC, t.collected_at DESC, t.event_id DESC) AS rn
+             ORDER BY r.collected_at DESC, t.collected_at DESC, t.invocation_id DESC) AS rn
     FROM tm_tests t JOIN tm_runs r USING (invocation_id)
     JOIN (SELECT DISTINCT split_part(source_table, '.', -1) AS dataset FROM tm_ingestion) d
       ON contains(lower(array_to_string(t.depends_on, '|')), d.dataset)
@@ -219,6 +262,18 @@ def latest_test_results(spark, sf_dir):
     return reports.latest_test_results(_tm(spark, sf_dir), 50)
 
 
+@register("data_quality_results", O.sql(f"""
+SELECT invocation_id, test_unique_id, test_name, test_type, severity, status,
+       failures AS failed_records, execution_seconds, message, depends_on, owner_group,
+       owner_name, owner_email
+FROM tm_tests WHERE invocation_id IN (
+  SELECT invocation_id FROM tm_runs WHERE orchestrator_run_id = {_LATEST_RUN})""",
+                                       "tm_tests", "tm_runs"))
+def data_quality_results(spark, sf_dir):
+    """K-11 / J-12 / U-2: every test result of the latest run with its owner."""
+    return reports.data_quality_results(_tm(spark, sf_dir))
+
+
 @register("incidents", O.sql("""
 SELECT * FROM (
   SELECT run_id, finished_at AS occurred_at, 'ingestion' AS origin,
@@ -229,10 +284,10 @@ SELECT * FROM (
   FROM tm_ingestion WHERE status = 'failed'
   UNION ALL
   SELECT r.orchestrator_run_id, r.collected_at, 'dbt_test', t.test_name, t.severity, t.status,
-         t.failures, t.message, t.depends_on, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR)
+         t.failures, t.message, t.depends_on, t.owner_name, t.owner_email
   FROM tm_tests t JOIN tm_runs r USING (invocation_id)
   WHERE lower(t.status) IN ('error', 'fail', 'failed', 'runtime error')
-) u ORDER BY occurred_at DESC, origin, test_name, run_id LIMIT 100""",
+) u ORDER BY occurred_at DESC NULLS FIRST, origin, test_name, run_id LIMIT 100""",
                              "tm_ingestion", "tm_tests", "tm_runs"))
 def incidents(spark, sf_dir):
     """K-13 / U-2: failed ingestions ∪ failed tests, newest 100."""
@@ -311,18 +366,15 @@ SELECT s.node_name AS dataset, m.layer, m.node_unique_id AS node
 FROM lg_reach r JOIN lg_nodes s ON s.node_unique_id = r.root
 JOIN lg_nodes m ON m.node_unique_id = r.node
 WHERE m.resource_type = 'model' AND m.layer IS NOT NULL""")
-O.cte("tm_events_nodes", ["tm_events"], """
-SELECT run_id AS orchestrator_run_id, model_name, status FROM tm_events""")
-O.cte("lg_per_layer", ["tm_ingestion", "lg_applicable", "tm_events_nodes"], f"""
+O.cte("lg_per_layer", ["tm_ingestion", "lg_applicable", "tm_nodes"], f"""
 SELECT run_id, dataset, layer, {_AGG_VALUE} AS value
 FROM (SELECT x.run_id, x.dataset, x.layer, {_AGG}
       FROM (SELECT r.run_id, r.dataset, a.layer, a.node, e.status
             FROM (SELECT run_id, split_part(source_table, '.', -1) AS dataset
                   FROM tm_ingestion) r
             JOIN lg_applicable a USING (dataset)
-            LEFT JOIN (SELECT orchestrator_run_id AS run_id,
-                              'model.sales_star.' || model_name AS node, status
-                       FROM tm_events_nodes) e
+            LEFT JOIN (SELECT orchestrator_run_id AS run_id, node_unique_id AS node, status
+                       FROM tm_nodes) e
               ON e.run_id = r.run_id AND e.node = a.node) x
       GROUP BY 1, 2, 3) g""")
 O.cte("lg_stages", ["tm_ingestion", "lg_per_layer"], """
@@ -487,7 +539,7 @@ def run_datasets(spark, sf_dir):
 O.cte("k_run_detail", ["k_run_datasets", "k_run_tests", "tm_pipeline"], f"""
 SELECT r.run_id, p.started_at, p.finished_at, p.duration_seconds,
        {_TRIGGER.replace('run_id', 'r.run_id')} AS trigger_type,
-       CASE WHEN p.status IS NOT NULL THEN {_NORM.format(s='p.status')}
+       CASE WHEN p.run_id IS NOT NULL THEN {_NORM.format(s='p.status')}
             WHEN COALESCE(a.n_failed, 0) > 0 THEN 'failed' ELSE 'success' END AS status,
        p.error_message,
        CAST(COALESCE(a.n_failed, 0) AS BIGINT) AS affected_datasets,
@@ -495,16 +547,16 @@ SELECT r.run_id, p.started_at, p.finished_at, p.duration_seconds,
        CAST(COALESCE(t.invalid_records, 0) AS BIGINT) AS invalid_records,
        CASE WHEN COALESCE(a.n_failed, 0) > 0 THEN 'dataset'
             WHEN COALESCE(t.failed_tests, 0) > 0 THEN 'quality'
-            WHEN (CASE WHEN p.status IS NOT NULL THEN {_NORM.format(s='p.status')}
+            WHEN (CASE WHEN p.run_id IS NOT NULL THEN {_NORM.format(s='p.status')}
                        ELSE 'success' END) = 'failed' THEN 'orchestration' END AS failure_scope
 FROM (SELECT run_id FROM k_run_datasets UNION SELECT run_id FROM tm_pipeline) r
-LEFT JOIN tm_pipeline p USING (run_id)
+LEFT JOIN tm_pipeline p ON p.run_id = r.run_id
 LEFT JOIN (SELECT run_id, count(*) AS n_failed FROM k_run_datasets
            WHERE status = 'failed' AND NOT COALESCE(status_reason = 'quality_failed', false)
-           GROUP BY 1) a USING (run_id)
+           GROUP BY 1) a ON a.run_id = r.run_id
 LEFT JOIN (SELECT run_id, count(*) AS failed_tests, sum(COALESCE(failures, 0)) AS invalid_records
            FROM k_run_tests WHERE {_NORM.format(s='status')} IN ('failed', 'warning')
-           GROUP BY 1) t USING (run_id)""")
+           GROUP BY 1) t ON t.run_id = r.run_id""")
 
 
 @register("run_detail", O.sql("SELECT * FROM k_run_detail", "k_run_detail"))
@@ -514,6 +566,48 @@ def run_detail(spark, sf_dir):
     return reports.run_detail(_tm(spark, sf_dir))
 
 
+@register("run_failed_tests", O.sql(f"""
+SELECT run_id, test_name, test_type, status, failures AS failed_records, execution_seconds,
+       message AS error_message, depends_on, owner_name, owner_email
+FROM k_run_tests WHERE {_NORM.format(s='status')} IN ('failed', 'warning')""", "k_run_tests"))
+def run_failed_tests(spark, sf_dir):
+    """K-4: the failed and warning tests of every run."""
+    return reports.run_failed_tests(_tm(spark, sf_dir))
+
+
+@register("run_affected_datasets", O.sql("""
+SELECT run_id, dataset, error_message, source, minio, raw, staging, intermediate, analytics
+FROM k_run_datasets
+WHERE status = 'failed' AND NOT COALESCE(status_reason = 'quality_failed', false)""",
+                                         "k_run_datasets"))
+def run_affected_datasets(spark, sf_dir):
+    """K-4: the datasets of every run that failed technically."""
+    return reports.run_affected_datasets(_tm(spark, sf_dir))
+
+
+@register("dataset_detail", O.sql(f"""
+SELECT i.source_table AS dataset, i.run_id, i.started_at, i.finished_at, i.source_row_count,
+       i.raw_row_count, i.minio_uploaded_at, i.raw_loaded_at, i.status, i.error_message,
+       c.status AS freshness_status, c.max_loaded_at, c.snapshotted_at, c.age_seconds,
+       {_NORM.format(s='i.status')} AS source,
+       CASE WHEN i.minio_uploaded_at IS NOT NULL THEN {_NORM.format(s='i.status')}
+            ELSE 'not_started' END AS minio,
+       CASE WHEN i.raw_loaded_at IS NOT NULL THEN {_NORM.format(s='i.status')}
+            ELSE 'not_started' END AS raw,
+       st.staging, st.intermediate, st.analytics, st.powerbi
+FROM (SELECT *, split_part(source_table, '.', -1) AS table_name FROM tm_ingestion
+      QUALIFY row_number() OVER (PARTITION BY source_table
+                                 ORDER BY started_at DESC, run_id DESC) = 1) i
+LEFT JOIN (SELECT * FROM tm_checks QUALIFY row_number() OVER (
+             PARTITION BY table_name ORDER BY snapshotted_at DESC, invocation_id DESC) = 1) c
+  ON c.table_name = i.table_name
+LEFT JOIN lg_stages st ON st.run_id = i.run_id AND st.dataset = i.table_name""",
+                                  "tm_ingestion", "tm_checks", "lg_stages"))
+def dataset_detail(spark, sf_dir):
+    """K-7: newest load, freshness check and stages of every dataset."""
+    return reports.dataset_detail(_tm(spark, sf_dir))
+
+
 @register("dataset_labels", O.sql(f"""
 SELECT d.run_id, d.dataset,
        CASE WHEN COALESCE(f.rel_failed, false) THEN 'failed'
@@ -565,136 +659,143 @@ def dataset_search(spark, sf_dir):
 
 
 # ------------------------------------------------------------ platform status
-from starwright.plans import freshness as _freshness  # noqa: E402
+_PS_STAGES = ["source", "minio", "raw", "staging", "intermediate", "analytics", "tests"]
 
-_freshness.oracle_sql()  # defines the src_freshness CTE
 
-_PS_STAGES = ["source", "minio", "raw", "staging", "intermediate", "analytics", "tests"]
-O.cte("k_platform", ["tm_pipeline", "tm_ingestion", "tm_runs", "src_freshness", "tm_events_nodes",
-                     "lg_nodes", "lg_stages"], f"""
+def _any(words):
+    return "(" + " OR ".join(f"stage_{s} IN ({', '.join(repr(w) for w in words)})"
+                             for s in _PS_STAGES) + ")"
+
+
+def _platform_sql(pipeline: str) -> str:
+    """K-1 over one of the pipeline tables; the chain of fallbacks is spelt out:
+    pipeline, else orchestrated test run, else load."""
+    k = f"k_{pipeline}"
+    target = f"(SELECT run_id FROM {pipeline} ORDER BY started_at DESC, run_id DESC LIMIT 1)"
+    O.cte(k, [pipeline, "tm_ingestion", "tm_runs", "tm_checks", "tm_nodes", "lg_nodes",
+              "lg_stages"], f"""
 SELECT t.*, i.*, d.*, f.*, l.*, y.*, m.*
-FROM (SELECT run_id AS t_run, status AS t_status, duration_seconds AS t_duration
-      FROM tm_pipeline ORDER BY started_at DESC LIMIT 1) t
+FROM (SELECT {target} AS t_run) t0
+LEFT JOIN (SELECT run_id AS t_run, status AS t_status, duration_seconds AS t_duration
+           FROM {pipeline}) t ON t.t_run = t0.t_run
 LEFT JOIN (SELECT run_id AS i_run, bool_and(status = 'success') AS i_ok,
                   bool_and(source_row_count IS NOT NULL) AS i_src,
                   bool_and(minio_uploaded_at IS NOT NULL) AS i_minio,
                   bool_and(raw_loaded_at IS NOT NULL) AS i_raw,
                   CAST(sum(duration_seconds) AS DECIMAL(38,3)) AS i_duration
-           FROM tm_ingestion GROUP BY run_id) i ON i.i_run = t.t_run
-CROSS JOIN (SELECT CASE WHEN count(*) = 0 THEN NULL
+           FROM tm_ingestion WHERE {target} IS NULL OR run_id = {target}
+           GROUP BY run_id ORDER BY max(started_at) DESC, run_id DESC LIMIT 1) i ON true
+CROSS JOIN (SELECT max(orchestrator_run_id) AS d_run,
+                   CASE WHEN count(*) = 0 THEN NULL
                         WHEN bool_or(status IN ('error', 'failed')) THEN 'error'
                         WHEN bool_or(status IN ('warn', 'warning')) THEN 'warn'
                         ELSE 'success' END AS d_status,
                    sum(elapsed_seconds) AS d_elapsed,
                    CAST(COALESCE(sum(test_nodes), 0) AS BIGINT) AS tests_total,
                    CAST(COALESCE(sum(failed_tests), 0) AS BIGINT) AS d_failed
-            FROM tm_runs WHERE orchestrator_run_id =
-              (SELECT run_id FROM tm_pipeline ORDER BY started_at DESC LIMIT 1)) d
+            FROM tm_runs WHERE orchestrator_run_id = COALESCE({target}, {_LATEST_RUN})) d
 CROSS JOIN (SELECT max(age_seconds) FILTER (WHERE freshness_type = 'technical')
                      AS technical_freshness_seconds,
                    max(max_loaded_at) FILTER (WHERE freshness_type = 'business')
                      AS last_business_event_at
-            FROM src_freshness) f
-CROSS JOIN (SELECT max(finished_at) AS last_successful_run FROM tm_pipeline
+            FROM tm_checks WHERE invocation_id = (
+              SELECT invocation_id FROM tm_checks
+              WHERE {target} IS NULL OR orchestrator_run_id = {target}
+              ORDER BY collected_at DESC, invocation_id DESC LIMIT 1)) f
+CROSS JOIN (SELECT max(finished_at) AS last_successful_run FROM {pipeline}
             WHERE status = 'success' AND finished_at IS NOT NULL) l
 CROSS JOIN (SELECT max(CASE WHEN layer = 'staging' THEN v END) AS ly_staging,
                    max(CASE WHEN layer = 'intermediate' THEN v END) AS ly_intermediate,
                    max(CASE WHEN layer = 'analytics' THEN v END) AS ly_analytics
             FROM (SELECT layer, {_AGG_VALUE} AS v
                   FROM (SELECT n.layer, {_AGG}
-                        FROM tm_events_nodes e
-                        JOIN lg_nodes n
-                          ON n.node_unique_id = 'model.sales_star.' || e.model_name
-                        WHERE e.orchestrator_run_id =
-                              (SELECT run_id FROM tm_pipeline ORDER BY started_at DESC LIMIT 1)
-                          AND n.layer IS NOT NULL
+                        FROM tm_nodes e JOIN lg_nodes n USING (node_unique_id)
+                        WHERE e.orchestrator_run_id = {target} AND n.layer IS NOT NULL
                         GROUP BY n.layer) a) b) y
 CROSS JOIN (SELECT CAST(count(*) FILTER (WHERE 'failed' IN (staging, intermediate, analytics,
                                                             powerbi)) AS BIGINT)
                      AS datasets_impacted
-            FROM lg_stages WHERE run_id =
-              (SELECT run_id FROM tm_pipeline ORDER BY started_at DESC LIMIT 1)) m""")
-
-O.cte("k_platform_stages", ["k_platform"], f"""
-SELECT *,
-       CASE WHEN i_src THEN ing_status WHEN ing_status = 'failed' THEN 'failed'
-            ELSE 'not_started' END AS stage_source
-FROM (SELECT *, CASE WHEN i_run IS NULL THEN 'not_started' WHEN i_ok THEN 'success'
-                     ELSE 'failed' END AS ing_status FROM k_platform) a""")
-O.cte("k_platform_stages2", ["k_platform_stages"], """
-SELECT *, CASE WHEN i_minio THEN ing_status WHEN stage_source = 'failed' THEN 'blocked'
-               ELSE 'not_started' END AS stage_minio
-FROM k_platform_stages""")
-O.cte("k_platform_stages3", ["k_platform_stages2"], """
-SELECT *, CASE WHEN i_raw THEN ing_status WHEN stage_minio IN ('failed', 'blocked') THEN 'blocked'
-               ELSE 'not_started' END AS stage_raw
-FROM k_platform_stages2""")
-O.cte("k_platform_stages4", ["k_platform_stages3"], """
-SELECT *, CASE WHEN COALESCE(ly_staging, 'not_started') = 'not_started'
-                    AND stage_raw IN ('failed', 'blocked') THEN 'blocked'
-               ELSE COALESCE(ly_staging, 'not_started') END AS stage_staging
-FROM k_platform_stages3""")
-O.cte("k_platform_stages5", ["k_platform_stages4"], """
-SELECT *, CASE WHEN COALESCE(ly_intermediate, 'not_started') = 'not_started'
-                    AND stage_staging IN ('failed', 'blocked') THEN 'blocked'
-               ELSE COALESCE(ly_intermediate, 'not_started') END AS stage_intermediate
-FROM k_platform_stages4""")
-O.cte("k_platform_stages6", ["k_platform_stages5"], f"""
-SELECT *, CASE WHEN COALESCE(ly_analytics, 'not_started') = 'not_started'
-                    AND stage_intermediate IN ('failed', 'blocked') THEN 'blocked'
-               ELSE COALESCE(ly_analytics, 'not_started') END AS stage_analytics,
-       {_NORM.format(s='d_status')} AS stage_tests,
-       'unmonitored' AS stage_powerbi,
-       {_NORM.format(s='t_status')} AS p_status
-FROM k_platform_stages5""")
-
-
-def _any(words):
-    return "(" + " OR ".join(f"stage_{s} IN ({', '.join(repr(w) for w in words)})"
-                             for s in _PS_STAGES) + ")"
-
-
-_PLATFORM_SQL = O.sql(f"""
+            FROM lg_stages WHERE run_id = {target}) m""")
+    steps = [f"""*, CASE WHEN i_run IS NULL THEN 'not_started' WHEN i_ok THEN 'success'
+                     ELSE 'failed' END AS ing_status""",
+             """*, CASE WHEN i_src THEN ing_status WHEN ing_status = 'failed' THEN 'failed'
+            ELSE 'not_started' END AS stage_source""",
+             """*, CASE WHEN i_minio THEN ing_status WHEN stage_source = 'failed' THEN 'blocked'
+               ELSE 'not_started' END AS stage_minio""",
+             """*, CASE WHEN i_raw THEN ing_status WHEN stage_minio IN ('failed', 'blocked')
+               THEN 'blocked' ELSE 'not_started' END AS stage_raw"""]
+    for layer, before in (("staging", "raw"), ("intermediate", "staging"),
+                          ("analytics", "intermediate")):
+        steps.append(f"""*, CASE WHEN COALESCE(ly_{layer}, 'not_started') = 'not_started'
+                    AND stage_{before} IN ('failed', 'blocked') THEN 'blocked'
+               ELSE COALESCE(ly_{layer}, 'not_started') END AS stage_{layer}""")
+    steps.append(f"""*, {_NORM.format(s='d_status')} AS stage_tests,
+       'unmonitored' AS stage_powerbi, {_NORM.format(s='t_status')} AS p_status,
+       COALESCE(t_run, d_run, i_run) AS any_run""")
+    inner = k
+    for i, step in enumerate(steps):
+        O.cte(f"{k}_{i}", [inner], f"SELECT {step} FROM {inner}")
+        inner = f"{k}_{i}"
+    return O.sql(f"""
 SELECT CASE WHEN p_status = 'failed' OR {_any(['failed'])} THEN 'failed'
             WHEN p_status = 'running' OR {_any(['running'])} THEN 'running'
             WHEN {_any(['warning', 'blocked'])} THEN 'warning'
             WHEN NOT {_any(['failed', 'running', 'warning', 'blocked', 'not_started',
                              'unmonitored'])} THEN 'success'
             ELSE 'not_started' END AS platform_status,
-       t_run AS run_id, {_TRIGGER.replace('run_id', 't_run')} AS trigger_type,
+       any_run AS run_id, {_TRIGGER.replace('run_id', 'any_run')} AS trigger_type,
        last_successful_run,
-       COALESCE(CAST(t_duration AS DOUBLE),
-                COALESCE(CAST(i_duration AS DOUBLE), 0.0) + COALESCE(CAST(d_elapsed AS DOUBLE), 0.0))
-         AS pipeline_duration_seconds,
+       CASE WHEN t_run IS NOT NULL THEN COALESCE(CAST(t_duration AS DOUBLE), 0.0)
+            ELSE COALESCE(CAST(i_duration AS DOUBLE), 0.0)
+                 + COALESCE(CAST(d_elapsed AS DOUBLE), 0.0) END AS pipeline_duration_seconds,
        CAST(technical_freshness_seconds AS DOUBLE) AS technical_freshness_seconds,
        last_business_event_at,
        tests_total - d_failed AS tests_passed, tests_total,
-       CASE WHEN (CASE WHEN p_status = 'failed' OR {_any(['failed'])} THEN 'failed' END)
-                 = 'failed' THEN 1 ELSE 0 END AS failed_pipelines,
+       CASE WHEN p_status = 'failed' OR {_any(['failed'])} THEN 1 ELSE 0 END AS failed_pipelines,
        datasets_impacted,
        stage_source, stage_minio, stage_raw, stage_staging, stage_intermediate,
        stage_analytics, stage_tests, stage_powerbi
-FROM k_platform_stages6""", "k_platform_stages6")
+FROM {inner}""", inner)
 
 
-def _platform(spark, sf_dir):
-    wh = Warehouse.from_driver(spark, sf_dir)
-    fr = _freshness.source_freshness(wh.raw, _freshness.DEFAULT_CHECKED_AT)
-    return reports.platform_status(_tm(spark, sf_dir), fr)
+_PLATFORM_SQL = _platform_sql("tm_pipeline")
 
 
 @register("platform_status", _PLATFORM_SQL)
 def platform_status(spark, sf_dir):
     """K-1 / A-7 / A-8 / A-9 / J-21: one-row status of the latest run with its
     canonical stage list, tests, freshness and impacted datasets."""
-    return _platform(spark, sf_dir)
+    return reports.platform_status(_tm(spark, sf_dir))
+
+
+@register("platform_status_unfinished", _platform_sql("tm_pipeline_unfinished"))
+def platform_status_unfinished(spark, sf_dir):
+    """K-1 while the newest run still goes on: no duration, status running unless a
+    stage failed."""
+    tm = _tm(spark, sf_dir)
+    return reports.platform_status(tm, tm.unfinished_pipeline_runs)
+
+
+@register("platform_status_unrecorded", _platform_sql("tm_pipeline_unrecorded"))
+def platform_status_unrecorded(spark, sf_dir):
+    """K-1 without any pipeline row: the newest test run and load stand in."""
+    tm = _tm(spark, sf_dir)
+    return reports.platform_status(tm, tm.pipeline_runs.where("false"))
+
+
+_SUMMARY_STAGES = [*_PS_STAGES, "powerbi"]
 
 
-@register("latest_run_summary")
+@register("latest_run_summary", f"""
+SELECT run_id, 'sales_star_pipeline' AS pipeline, platform_status AS status,
+       unnest({_list(_SUMMARY_STAGES)}) AS stage,
+       unnest([{', '.join('stage_' + s for s in _SUMMARY_STAGES)}]) AS stage_status
+FROM ({_PLATFORM_SQL}) p""")
 def latest_run_summary(spark, sf_dir):
-    """K-2: latest run as run id, status and a stage → status map (map output:
-    compared by row count only)."""
-    return reports.latest_run_summary(_platform(spark, sf_dir))
+    """K-2: the latest run's id and status with a row for each stage."""
+    summary = reports.latest_run_summary(reports.platform_status(_tm(spark, sf_dir)))
+    return summary.selectExpr("run_id", "pipeline", "status", "explode(stages)").toDF(
+        "run_id", "pipeline", "status", "stage", "stage_status")
 
 
 @register("quality_evidence")
