@@ -30,6 +30,8 @@ from starwright.llm.common import map_batches
 
 #: Entries of each generation of a cache of a task's process.
 CACHE_ENTRIES = 500_000
+#: Ids that a task gathers before it hands rows on.
+IDS_HELD = 200_000
 #: Longer strings are merged each time and not kept.
 CACHE_LENGTH = 48
 
@@ -127,13 +129,13 @@ class Cache:
 class Codec:
     """Encodes and decodes texts by merge ranks (rank = token id)."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], pattern: str, entries: int = CACHE_ENTRIES):
+        self.ranks, self.entries = ranks, entries
         self.token = {rank: token for token, rank in ranks.items()}
         self.decimal = {rank: str(rank) for rank in ranks.values()}
         self.pattern = regex.compile(pattern)
         self.queue = RankQueue(ranks)
-        self.pieces, self.chunks = Cache(), Cache()
+        self.pieces, self.chunks = Cache(entries), Cache(entries)
 
     def piece(self, piece: str) -> tuple[int, ...]:
         """The ids of one pre-token: its own entry if it has one, else merged."""
@@ -184,18 +186,20 @@ def space_chunks(text: str) -> list[str]:
 _HELD: list[Codec] = []
 
 
-def held_codec(ranks: dict[bytes, int], pattern: str) -> Codec:
+def held_codec(ranks: dict[bytes, int], pattern: str, entries: int = CACHE_ENTRIES) -> Codec:
     """One codec for all tasks that a worker process runs with the same broadcast
     vocabulary, so the next task finds what the last one cached."""
-    if not (_HELD and _HELD[0].ranks is ranks and _HELD[0].pattern.pattern == pattern):
-        _HELD[:] = [Codec(ranks, pattern)]
+    if not (_HELD and _HELD[0].ranks is ranks and _HELD[0].pattern.pattern == pattern
+            and _HELD[0].entries == entries):
+        _HELD[:] = [Codec(ranks, pattern, entries)]
     return _HELD[0]
 
 
 def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str,
                      schema: str = "ids array<int>",
                      result: Callable[[Codec, list[int]], tuple] = lambda codec, ids: (ids,),
-                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                     id_col: str = "doc_id", text_col: str = "text",
+                     entries: int = CACHE_ENTRIES) -> DataFrame:
     """One row per row of ``docs``: ``id_col`` and the columns of ``schema``,
     which ``result(codec, ids)`` makes of the document's ids in the same task
     (by default the ids themselves).
@@ -203,17 +207,27 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str,
     A null or empty text has no ids.  A null or repeated id is carried along.
     ``pattern`` must give a space to the word behind it (see ``space_chunks``).
     The vocabulary (some 50,000 entries, at most ``MAX_VOCABULARY``) is broadcast.
+    A worker process remembers at most four times ``entries`` results, and hands on
+    rows when they hold ``IDS_HELD`` ids.
     """
     if len(ranks) > MAX_VOCABULARY:
         raise ValueError(f"{len(ranks)} ranks; at most {MAX_VOCABULARY} are broadcast")
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def start():
-        codec = held_codec(shared.value, pattern)
-
-        def step(keys: list, texts: list) -> list:
-            rows = [result(codec, codec.encode(text or "")) for text in texts]
-            return [keys, *map(list, zip(*rows, strict=True))]
+        codec = held_codec(shared.value, pattern, entries)
+
+        def step(keys: list, texts: list):
+            rows, held = [], 0
+            for key, text in zip(keys, texts, strict=True):
+                ids = codec.encode(text or "")
+                rows.append((key, *result(codec, ids)))
+                held += len(ids)
+                if held >= IDS_HELD:
+                    yield [*map(list, zip(*rows, strict=True))]
+                    rows, held = [], 0
+            if rows:
+                yield [*map(list, zip(*rows, strict=True))]
 
         return step
 

@@ -20,8 +20,9 @@ looser ones that it accepts are added where they overlap nothing better.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import product
+from itertools import accumulate, product
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -41,10 +42,10 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOOSE_PHONE = re.compile(
     r"(?<![\w.+-])(?:\([0-9]{2,5}\) ?|[0-9]{2,5}[ ./-])[0-9]{3,4}[ .-][0-9]{3,5}(?![\w-])")
 _MASKED_EMAIL = re.compile(
-    r"(?<![\w.])[\w.+-]{1,64} ?[\[(](?:at|AT)[\])] ?[\w-]{1,64}"
-    r"(?: ?(?:\.|[\[(](?:dot|DOT)[\])]) ?[\w-]{1,64})+")
+    r"(?<![\w.+-])[\w.+-]++ ?[\[(](?:at|AT)[\])] ?[\w-]++"
+    r"(?: ?(?:\.|[\[(](?:dot|DOT)[\])]) ?[\w-]++)+")
 _SECRET = re.compile(
-    r"(?i)\b(?:password|passwd|pwd|api[_-]?key|secret|token)[ ]?[=:][ ]?[^\s\"']{4,}")
+    r"(?i)\b(?:password|passwd|pwd|api[_-]?key|secret|token)[ ]?[=:][ ]?[\"']?[^\s\"']{4,}")
 
 # Words that announce personal data, words that announce something else.
 _FOR = re.compile(r"(?i)mail|contact|phone|call|tel|fax|mobile|reach|write|card|visa|credit|"
@@ -107,7 +108,7 @@ def _shape(kind: int, span: str, digits: str) -> int:
 def _code(kind: int, exact: bool, text: str, start: int, end: int) -> str:
     """The features of a span: kind, the four votes (2: none), digits, separators."""
     span, before = text[start:end], text[max(0, start - CONTEXT):start]
-    digits = _digits(span[:400])
+    digits = _digits(span)
     context = 0 if _AGAINST.search(before) else 1 if _FOR.search(before) else 2
     votes = (int(exact), _gazetteer(kind, span, digits), context, _shape(kind, span, digits))
     return f"{kind}{''.join(map(str, votes))}{min(len(digits), 20) // 2:x}" \
@@ -140,9 +141,13 @@ def candidates(text: str) -> list[tuple[int, int, int, bool, str]]:
     if "=" in text or ":" in text:
         loose += [(SECRET, *m.span()) for m in _SECRET.finditer(text)]
     found = [(k, s, e, True, _code(k, True, text, s, e)) for k, s, e in base]
-    taken = sorted((s, e) for _, s, e in base)
+    # a looser span overlaps a base span if, of those that start before its end, one ends
+    # after its start
+    starts = sorted(s for _, s, _ in base)
+    reach = [*accumulate((e for _, s, e in sorted(base, key=lambda x: x[1])), max)]
     for k, s, e in loose:
-        if not any(a < e and s < b for a, b in taken):
+        before = bisect_left(starts, e)
+        if not before or reach[before - 1] <= s:
             found.append((k, s, e, False, _code(k, k == SECRET, text, s, e)))
     return sorted(found, key=lambda x: (x[1], x[0], x[2]))
 
@@ -230,8 +235,9 @@ def resolve(spans: list, model: SpanClassifier, threshold: float
             ends.append((-score, s, e, k))
     added: list[tuple[int, int]] = []
     for negative, s, e, k in sorted(ends):
-        if not any(a < e and s < b for a, b in added):
-            added.append((s, e))
+        at = bisect_left(added, (s, e))            # those added don't overlap each other
+        if (at == 0 or added[at - 1][1] <= s) and (at == len(added) or e <= added[at][0]):
+            added.insert(at, (s, e))
             kept.append((k, s, e, False, -negative))
     return [(KINDS[k], s, e, b, p) for k, s, e, b, p in
             sorted(kept, key=lambda x: (x[1], x[0], x[2]))]
