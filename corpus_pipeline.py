@@ -58,7 +58,7 @@ def encode(spark, docs, sf_dir):
     """The ids of each row's text."""
     return bpe.encode_documents(docs, bpe.read_ranks(RANKS), public_tokenizers.PATTERN,
                                 "ids array<int>, n_tokens long",
-                                lambda codec, ids: (ids, len(ids)))
+                                lambda codec, ids: (ids, len(ids)), entries=100_000)
 
 
 STAGES = [
