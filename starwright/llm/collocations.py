@@ -51,7 +51,12 @@ BREAKS = b".,;:!?\n\x0b\x0c\r"
 #: Every break as a full stop, which no word holds.
 PIECES = bytes.maketrans(LOWER[0] + BREAKS, LOWER[1] + b"." * len(BREAKS))
 
-# The bits of a phrase: a word frequent enough, a prefix to follow, one to expand, one to count.
+#: A phrase of so many words is expanded by all that can follow at once: so few are left
+#: that another pass would cost more than the few longer phrases too rare to matter.
+WHOLE = 3
+
+# The bits of a phrase: a word frequent enough, the beginning of a longer marked phrase, one to
+# expand, one to count.
 FREQUENT, OPEN, EXPAND, COUNT = 0, 1, 2, 3
 USABLE, FOLLOWED, GROWING, COUNTING = (1 << bit for bit in (FREQUENT, OPEN, EXPAND, COUNT))
 
@@ -125,7 +130,8 @@ def bitmap_of(marks: DataFrame, slots: int) -> bytes:
 def count_phrases(docs: DataFrame, bitmap: bytes, slots: int, text_col: str = "text",
                   lang_col: str = "lang", least: int = LEAST) -> DataFrame:
     """One pass: the exact counts ``f`` of all one-word extensions of the phrases
-    marked EXPAND and of the phrases marked COUNT, where they reach ``least``;
+    marked EXPAND (from ``WHOLE`` words on, of all longer phrases that begin so) and
+    of the phrases marked COUNT, where they reach ``least``;
     ``closed`` tells that all occurrences have the same word before them, or all
     the same word after them (compared by 64-bit hashes), within their piece."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
@@ -171,13 +177,16 @@ def _count_text(ws: list[bytes], bits: _Bits, held: dict) -> None:
     bits[b"."] = 0
     flags = bytes(map(bits.__getitem__, ws))
     seen = np.frombuffer(flags, np.uint8)
-    for i in np.flatnonzero((seen[:-1] & FOLLOWED != 0) & (seen[1:] & USABLE != 0)).tolist():
+    begins = FOLLOWED | GROWING
+    for i in np.flatnonzero((seen[:-1] & begins != 0) & (seen[1:] & USABLE != 0)).tolist():
         flag, phrase, j = flags[i], ws[i], i + 1
-        while flag & FOLLOWED and flags[j] & USABLE:
+        while flag & begins and j - i < LONGEST and flags[j] & USABLE:
             grown = flag & GROWING
             phrase = phrase + b" " + ws[j]
+            flag = bits[phrase] if flag & FOLLOWED else 0
+            if grown and j - i >= WHOLE:
+                flag |= GROWING
             j += 1
-            flag = bits[phrase] if j - i < LONGEST else 0
             if grown or flag & COUNTING:
                 own = held.get(phrase)
                 if own is None:
@@ -194,7 +203,7 @@ def _found(held: dict) -> pa.RecordBatch:
     rows = [(lang, phrase, own) for lang, some in held.items() for phrase, own in some.items()]
     return pa.RecordBatch.from_pydict({
         "lang": pa.array([r[0] for r in rows], pa.string()),
-        "phrase": pa.array([r[1].decode() for r in rows], pa.string()),
+        "phrase": pa.array([r[1] for r in rows], pa.binary()).cast(pa.string()),
         "f": pa.array([r[2][0] for r in rows], pa.int64()),
         "before": pa.array([_word_hash(r[2][1]) for r in rows], pa.int64()),
         "after": pa.array([_word_hash(r[2][2]) for r in rows], pa.int64())})
@@ -208,6 +217,12 @@ def _length(phrase: str = "phrase") -> F.Column:
     return F.size(F.split(phrase, " "))
 
 
+def _grown_from(phrase: str = "phrase") -> F.Column:
+    """The phrase whose expansion counted this one."""
+    return F.array_join(F.slice(F.split(phrase, " "), F.lit(1),
+                                F.least(_length(phrase) - 1, F.lit(WHOLE))), " ")
+
+
 def _first_word(phrase: str = "phrase") -> F.Column:
     return F.substring_index(phrase, " ", 1)
 
@@ -309,10 +324,9 @@ def _frontier(nodes: DataFrame, expanded: DataFrame, words: DataFrame, n: DataFr
               bar: DataFrame) -> DataFrame:
     """Prefixes that can still grow: not expanded, grown from an expanded one, of a
     bound that reaches the bar."""
-    parent = F.regexp_replace("phrase", " [^ ]+$", "")
-    grown = nodes.where(_length() < LONGEST).join(expanded, ["lang", "phrase"], "left_anti")
+    grown = nodes.where(_length() <= WHOLE).join(expanded, ["lang", "phrase"], "left_anti")
     firsts = grown.where(_length() == 1)
-    others = grown.where(_length() > 1).withColumn("parent", parent).join(
+    others = grown.where(_length() > 1).withColumn("parent", _grown_from()).join(
         expanded.withColumnRenamed("phrase", "parent"), ["lang", "parent"], "left_semi")
     return (firsts.unionByName(others.drop("parent")).withColumn("word", _first_word())
             .join(words, ["lang", "word"]).join(n, "lang").join(bar, "lang")
@@ -328,7 +342,7 @@ def _marks(words: DataFrame, now: DataFrame, wanted: DataFrame) -> tuple[DataFra
     marks = (words.select("lang", F.col("word").alias("phrase"), F.lit(FREQUENT).alias("bit"))
              .unionAll(now.withColumn("bit", F.lit(EXPAND)))
              .unionAll(wanted.withColumn("bit", F.lit(COUNT)))
-             .unionAll(now.unionAll(proper_prefixes(now)).unionAll(proper_prefixes(wanted))
+             .unionAll(proper_prefixes(now).unionAll(proper_prefixes(wanted))
                        .withColumn("bit", F.lit(OPEN))))
     slots = MIN_SLOTS
     number = marks.count()
@@ -341,9 +355,8 @@ def _known_cuts(nodes: DataFrame, expanded: DataFrame, n: DataFrame, bar: DataFr
     """The cuts of the candidates that survive and may still reach the bar, with
     l and, where it is known, r."""
     counts = nodes.select("lang", "phrase", F.col("f"))
-    parent = F.regexp_replace("phrase", " [^ ]+$", "")
     grown = nodes.where(_length() > 1).where(~F.col("closed") | (_length() == LONGEST)).withColumn(
-        "parent", parent).join(
+        "parent", _grown_from()).join(
         expanded.withColumnRenamed("phrase", "parent"), ["lang", "parent"], "left_semi").select(
         "lang", "phrase", F.col("f").alias("a"))
     cuts = (_cuts(grown)
