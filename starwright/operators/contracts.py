@@ -1,10 +1,10 @@
-"""Q-5 / Q-6: schema contracts of the analytics models.
+"""Q-5: schema contracts of the analytics models.
 
 A contract is the declared column list (names, order-insensitive, and types);
 the check compares it with ``df.schema`` — no data is read.  Keys are declared
 ``bigint``; money ``decimal(p,s)``; timestamps are ``timestamp_ntz`` (session
-time zone UTC).  Primary/foreign-key constraints are not enforced by Spark, so
-``enforce`` runs the generic rules instead (see operators.quality).
+time zone UTC).  Keys and nulls (Q-6) are measured when a table is written, see
+operators.constraints.
 """
 
 from __future__ import annotations

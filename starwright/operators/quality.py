@@ -139,31 +139,6 @@ def rule_counts(rules: list[Rule], models) -> DataFrame:
     )
 
 
-# ------------------------------------------------------- Q-7 store failures
-def failure_records(failing: DataFrame, test_id: str, invocation_id: str, captured_at: str
-                    ) -> DataFrame:
-    """Failing rows serialized as JSON objects (nulls kept) with test id and capture time."""
-    return failing.select(
-        F.lit(invocation_id).alias("invocation_id"),
-        F.lit(test_id).alias("test_id"),
-        F.expr(f"timestamp_ntz'{captured_at}'").alias("captured_at"),
-        F.to_json(F.struct(*[F.col(f"`{c}`") for c in failing.columns]),
-                  {"ignoreNullFields": "false"}).alias("failure_record"),
-    )
-
-
-def store_failures(records: DataFrame, path: str) -> None:
-    """Replace the (invocation, test) slice of the failure store, keep the rest.
-
-    Dynamic partition overwrite rewrites only the partitions present in
-    ``records``: re-capturing a test replaces its rows; other tests stay.
-    """
-    (records.write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("invocation_id", "test_id")
-     .parquet(path))
-
-
 # --------------------------------------------------------------- Q-8 gate
 class LayerGateError(RuntimeError):
     """An ``error``-severity rule failed; later layers must not run."""

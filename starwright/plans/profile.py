@@ -2,9 +2,10 @@
 
 Per table, one aggregate pass: rows, null cells and columns with nulls
 (``count_if(isNull)`` per column — no per-row JSON), the month coverage of
-the first date/timestamp column whose name contains ``month``, and the
-offending values of the table's accepted-values rules.  Duplicate rows are
-found through a 64-bit row hash; only repeated hashes are compared exactly.
+the first date/timestamp column whose name contains ``month``.  Unexpected
+values are the failures that the latest invocation recorded for tests of accepted
+values that depend on the table (A-14), nothing is evaluated again.  Duplicate
+rows are found through a 64-bit row hash; only repeated hashes are compared exactly.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from pyspark.sql import functions as F
 from starwright.operators.unions import union_all
 
 from starwright.operators.contracts import declared_columns
-from starwright.plans.rules import ACCEPTED_VALUES
 
 
 def month_column(model: str) -> str | None:
@@ -49,15 +49,11 @@ def table_profile(model: str, df: DataFrame) -> DataFrame:
         m = F.trunc(F.col(month), "MM")
         extra = [F.count_distinct(m).cast("int").alias("months_actual"),
                  F.min(m).alias("__mmin"), F.max(m).alias("__mmax")]
-    rules = [(c, v) for mdl, c, v, _ in ACCEPTED_VALUES if mdl == model]
-    bad = [F.count_distinct(F.when(~F.col(c).isin(*v), F.col(c))).alias(f"__bad_{i}")
-           for i, (c, v) in enumerate(rules)]
-    stats = df.agg(F.count(F.lit(1)).cast("bigint").alias("rows"), *nulls, *extra, *bad)
+    stats = df.agg(F.count(F.lit(1)).cast("bigint").alias("rows"), *nulls, *extra)
     dup = duplicate_rows(df, cols)
     null_cells = sum((F.col(f"__n_{i}") for i in range(len(cols))), F.lit(0)).cast("bigint")
     null_columns = sum((F.when(F.col(f"__n_{i}") > 0, 1).otherwise(0) for i in range(len(cols))),
                        F.lit(0)).cast("int")
-    unexpected = sum((F.col(f"__bad_{i}") for i in range(len(rules))), F.lit(0)).cast("bigint")
     cells = F.col("rows") * len(cols)
     if month:
         expected = F.when(F.col("__mmin").isNull(), 0).otherwise(
@@ -77,12 +73,31 @@ def table_profile(model: str, df: DataFrame) -> DataFrame:
         null_columns.alias("null_columns"),
         actual.alias("months_actual"),
         expected.alias("months_expected"),
-        unexpected.alias("unexpected_values"),
         F.when(actual.isNotNull() & (actual < expected), "warning").otherwise("success")
         .alias("volume_anomaly"),
     )
 
 
-def final_table_profiles(models: dict[str, DataFrame]) -> DataFrame:
-    return union_all(
-                  [table_profile(name, df) for name, df in sorted(models.items())])
+def recorded_failures(tables: list[str], test_results: DataFrame, dbt_runs: DataFrame
+                      ) -> DataFrame:
+    """A-14: for each table the failures that the newest invocation recorded for
+    accepted-values tests whose dependencies mention it (0 for none); one pass
+    over that invocation's results, a sum for each table."""
+    newest = dbt_runs.agg(F.max_by("invocation_id", F.struct("collected_at", "invocation_id"))
+                          .alias("invocation_id"))
+    results = test_results.join(F.broadcast(newest), "invocation_id").where(     # one row
+        F.lower("test_name").contains("accepted_value")).withColumn(
+        "mentions", F.lower(F.array_join("depends_on", ",")))
+    sums = results.agg(*(F.coalesce(
+        F.sum(F.when(F.col("mentions").contains(t), F.col("failures"))), F.lit(0)).cast("bigint")
+        .alias(t) for t in tables))
+    return sums.select(F.inline(F.array(*(F.struct(
+        F.lit(f"analytics.{t}").alias("table"), F.col(t).alias("unexpected_values"))
+        for t in tables))))
+
+
+def final_table_profiles(models: dict[str, DataFrame], test_results: DataFrame,
+                         dbt_runs: DataFrame) -> DataFrame:
+    profiles = union_all([table_profile(name, df) for name, df in sorted(models.items())])
+    return profiles.join(F.broadcast(                            # a row for each model
+        recorded_failures(sorted(models), test_results, dbt_runs)), "table")

@@ -42,6 +42,13 @@ OBJECT_TABLE_NAMES = {
 }
 EVENT_STATUS = [("error", "failed"), ("purchase", "success"), ("signup", "warn"),
                 ("view", "running"), ("click", "skipped")]
+# the analytics model whose values a source table's accepted-values tests also read
+ACCEPTED_MODELS = {
+    "salesorderheader": "fact_sales", "salesorderdetail": "fact_sales",
+    "customer": "dim_customer", "salesterritory": "dim_sales_territory", "store": "dim_customer",
+    "specialoffer": "dim_special_offer", "salesperson": "dim_sales_person",
+    "product": "dim_product", "person": "dim_customer", "employee": "dim_sales_person",
+}
 TEST_KINDS = ["not_null", "unique", "relationships", "accepted_values"]
 # durations are summed exactly (a double sum depends on the summation order)
 SECONDS = "decimal(38,3)"
@@ -161,6 +168,9 @@ def test_log(ev: DataFrame) -> DataFrame:
     """One log row per test result; a result writes all of its columns."""
     failing = F.col("status").isin("failed", "warn")
     failures = F.when(failing, F.floor("value").cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+    staging = F.concat(F.lit(f"model.{PROJECT}.stg_"), F.col("table_name"))
+    read = F.element_at(F.create_map(*[F.lit(x) for kv in ACCEPTED_MODELS.items() for x in kv]),
+                        F.col("table_name"))
     rows = ev.select(
         "invocation_id",
         F.concat(F.lit(f"test.{PROJECT}."), F.col("test_name")).alias("test_unique_id"),
@@ -174,7 +184,9 @@ def test_log(ev: DataFrame) -> DataFrame:
         F.col("value").alias("execution_seconds"),
         F.when(failing, F.concat(F.lit("Got "), failures.cast("string"), F.lit(" results")))
         .alias("message"),
-        F.array(F.concat(F.lit(f"model.{PROJECT}.stg_"), F.col("table_name"))).alias("depends_on"),
+        F.when(F.col("test_name").startswith("accepted_values"),
+               F.array(staging, F.concat(F.lit(f"model.{PROJECT}."), read)))
+        .otherwise(F.array(staging)).alias("depends_on"),
         F.col("ts").alias("collected_at"),
     )
     return rows.withColumn(WRITTEN, writes(*rows.columns[3:]))

@@ -4,16 +4,24 @@ from __future__ import annotations
 
 import datetime as dt
 
+import uuid
+
+from pyspark.sql import functions as F
+
 from starwright import oracle as O
+from starwright.operators import constraints, evidence
 from starwright.operators.contracts import CONTRACTS, declared_columns
+from starwright.operators.unions import union_all
 from starwright.plans import profile, reports
-from starwright.plans.rules import ACCEPTED_VALUES
+from starwright.plans.rules import singular_failures
 from starwright.plans.telemetry import (
-    EVENT_STATUS, MODEL_NODES, SOURCE_TABLES, TEST_KINDS, OBJECT_TABLE_NAMES, Telemetry,
+    ACCEPTED_MODELS, EVENT_STATUS, MODEL_NODES, SOURCE_TABLES, TEST_KINDS, OBJECT_TABLE_NAMES, Telemetry,
     manifest_rows,
 )
 from starwright.plans.warehouse import MODEL_LAYERS, Warehouse
+from starwright.queries.quality_q import _SINGULAR_SQL as SINGULAR_SQL
 from starwright.registry import register
+from starwright.session import checkpoint_dir
 
 CHECKED_AT = dt.datetime(2024, 1, 31, 12, 0, 0)
 
@@ -64,7 +72,11 @@ SELECT invocation_id, run_id AS orchestrator_run_id,
        CASE WHEN status IN ('failed', 'warn')
             THEN 'Got ' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) || ' results' END
          AS message,
-       ['model.sales_star.stg_' || table_name] AS depends_on,
+       CASE WHEN starts_with(test_name, 'accepted_values')
+            THEN ['model.sales_star.stg_' || table_name,
+                  'model.sales_star.' || CASE table_name """ + " ".join(
+    f"WHEN '{k}' THEN '{v}'" for k, v in ACCEPTED_MODELS.items()) + """ END]
+            ELSE ['model.sales_star.stg_' || table_name] END AS depends_on,
        ts AS collected_at, owner_group, owner_name, owner_email
 FROM (SELECT * FROM tm_events QUALIFY row_number() OVER (
         PARTITION BY invocation_id, test_name ORDER BY ts DESC, event_id DESC) = 1) e
@@ -427,10 +439,6 @@ def _profile_sql(model: str) -> str:
                     f"AS INTEGER)")
     else:
         actual = expected = "CAST(NULL AS INTEGER)"
-    rules = [(c, v) for mdl, c, v, _ in ACCEPTED_VALUES if mdl == model]
-    bad = " + ".join(
-        f"count(DISTINCT CASE WHEN {c} NOT IN ({', '.join(O._lit(x) for x in v)}) THEN {c} END)"
-        for c, v in rules) or "0"
     n = len(cols)
     return f"""
 SELECT 'analytics.{model}' AS "table", rows, {n} AS columns,
@@ -443,7 +451,12 @@ SELECT 'analytics.{model}' AS "table", rows, {n} AS columns,
 FROM (SELECT CAST(count(*) AS BIGINT) AS rows, CAST({nulls} AS BIGINT) AS null_cells,
              CAST({null_cols} AS INTEGER) AS null_columns,
              {actual} AS months_actual, {expected} AS months_expected,
-             CAST({bad} AS BIGINT) AS unexpected_values
+             (SELECT CAST(COALESCE(sum(failures), 0) AS BIGINT) FROM tm_tests
+              WHERE contains(lower(test_name), 'accepted_value')
+                AND contains(lower(array_to_string(depends_on, ',')), '{model}')
+                AND invocation_id = (SELECT invocation_id FROM tm_runs
+                                     ORDER BY collected_at DESC, invocation_id DESC LIMIT 1))
+               AS unexpected_values
       FROM {model}) s
 CROSS JOIN (SELECT CAST(COALESCE(sum(c - 1), 0) AS BIGINT) AS duplicate_rows
             FROM (SELECT count(*) AS c FROM {model} GROUP BY ALL_COLS) d) d2""".replace(
@@ -454,11 +467,12 @@ _PROFILED = MODEL_LAYERS["analytics"]
 
 
 @register("final_table_profiles", O.sql(
-    "\nUNION ALL\n".join(_profile_sql(m) for m in _PROFILED), *_PROFILED))
+    "\nUNION ALL\n".join(_profile_sql(m) for m in _PROFILED), *_PROFILED, "tm_tests", "tm_runs"))
 def final_table_profiles(spark, sf_dir):
-    """K-10 / A-11 … A-13: profile of every analytics model."""
-    wh = Warehouse.from_driver(spark, sf_dir)
-    return profile.final_table_profiles({m: wh.model(m) for m in _PROFILED})
+    """K-10 / A-11 … A-14: profile of every analytics model."""
+    wh, tm = Warehouse.from_driver(spark, sf_dir), _tm(spark, sf_dir)
+    return profile.final_table_profiles({m: wh.model(m) for m in _PROFILED}, tm.test_results,
+                                        tm.dbt_runs)
 
 
 assert set(_PROFILED) <= set(CONTRACTS)
@@ -798,16 +812,76 @@ def latest_run_summary(spark, sf_dir):
         "run_id", "pipeline", "status", "stage", "stage_status")
 
 
-@register("quality_evidence")
+_RULE = "assert_sales_order_subtotals_match"
+_CAPTURED = dt.datetime(2025, 6, 30)
+
+
+@register("quality_evidence", O.sql(f"""
+SELECT TIMESTAMP '{_CAPTURED:%Y-%m-%d %H:%M:%S}' AS captured_at, *
+FROM ({SINGULAR_SQL[_RULE][0]}) f
+ORDER BY CAST(sales_order_id AS VARCHAR) || ',' LIMIT 100""", *SINGULAR_SQL[_RULE][1]))
 def quality_evidence(spark, sf_dir):
-    """K-12 / Q-7 / S-11: failing rows of the subtotal reconciliation stored as
-    JSON records (nulls kept), newest 100 (JSON text formats differ between
-    engines: compared by row count only)."""
-    from starwright.operators.quality import failure_records
-    from starwright.plans.rules import singular_failures
+    """K-12 / Q-7 / S-11 / F-27: the failing rows of the subtotal reconciliation are
+    captured twice, another test's first with rows and then without; the newest 100
+    records of the first are read back from the store."""
+    wh = Warehouse.from_driver(spark, sf_dir)
+    failing = singular_failures(_RULE, wh)
+    store = f"{checkpoint_dir(spark)}/starwright-evidence/{uuid.uuid4().hex}"
+    for at in (_CAPTURED - dt.timedelta(hours=1), _CAPTURED):
+        evidence.capture(failing, "inv-latest", _RULE, at, store)
+        evidence.capture(failing.where(F.lit(at < _CAPTURED)), "inv-latest", "other", at, store)
+    kept = evidence.evidence(spark, store)
+    found = reports.quality_evidence(kept, "inv-latest", _RULE, 100)
+    return found.select("captured_at", F.from_json("failure_record", failing.schema).alias("r")) \
+        .select("captured_at", "r.*")
+
+
+# --------------------------------------------------------------- constraints
+def _constraint_sql(model: str, table: str) -> str:
+    parts = [f"""SELECT '{model}' AS model, '{model}_{c}_not_null' AS constraint_name,
+       'not_null' AS kind, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS violations
+FROM {table}""" for c in constraints.NOT_NULL[model]]
+    key = constraints.PRIMARY[model]
+    parts.append(f"""SELECT '{model}', '{model}_{key}_pk', 'primary_key',
+       CAST(count(*) - count(DISTINCT {key}) AS BIGINT) FROM {table}""")
+    parts += [f"""SELECT '{model}', '{model}_{c}_fk', 'foreign_key', CAST(count(*) AS BIGINT)
+FROM {table} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {k} FROM {p} WHERE {k} IS NOT NULL)"""
+              for c, (p, k) in constraints.FOREIGN.get(model, {}).items()]
+    return "\nUNION ALL\n".join(parts)
+
+
+_PARENTS = sorted({p for own in constraints.FOREIGN.values() for p, _ in own.values()})
+
+
+@register("constraint_violations", O.sql(
+    "\nUNION ALL\n".join(_constraint_sql(m, m) for m in sorted(constraints.PRIMARY)),
+    *sorted({*constraints.PRIMARY, *_PARENTS})))
+def constraint_violations(spark, sf_dir):
+    """Q-6: violations of all 91 declared constraints of the table models."""
+    wh = Warehouse.from_driver(spark, sf_dir)
+    return union_all([constraints.constraint_violations(m, wh.model(m), wh.model)
+                      for m in sorted(constraints.PRIMARY)])
+
+
+O.cte("broken_fact", ["fact_sales"], """
+SELECT * REPLACE (
+  CASE WHEN sales_order_detail_id % 97 = 0 THEN product_id + 1000000000000 ELSE product_id END
+    AS product_id,
+  CASE WHEN sales_order_detail_id % 89 = 0 THEN NULL ELSE order_status END AS order_status)
+FROM fact_sales
+UNION ALL SELECT * FROM fact_sales WHERE sales_order_detail_id % 7 = 0""")
+
 
+@register("constraint_violations_broken", O.sql(_constraint_sql("fact_sales", "broken_fact"),
+                                                "broken_fact", *_PARENTS))
+def constraint_violations_broken(spark, sf_dir):
+    """Q-6 over the whole fact with faults planted: repeated keys, products that
+    don't exist and missing states."""
     wh = Warehouse.from_driver(spark, sf_dir)
-    rec = failure_records(singular_failures("assert_sales_order_subtotals_match", wh),
-                          "assert_sales_order_subtotals_match", "inv-latest",
-                          "2025-06-30 00:00:00")
-    return reports.quality_evidence(rec, "inv-latest", "assert_sales_order_subtotals_match", 100)
+    fact, key = wh.model("fact_sales"), F.col("sales_order_detail_id")
+    broken = fact.withColumns({
+        "product_id": F.when(key % 97 == 0, F.col("product_id") + 1000000000000)
+        .otherwise(F.col("product_id")),
+        "order_status": F.when(key % 89 != 0, F.col("order_status"))}).unionAll(
+        fact.where(key % 7 == 0))
+    return constraints.constraint_violations("fact_sales", broken, wh.model)

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from starwright.operators import quality
+from starwright.operators import constraints, evidence, quality
 from starwright.operators.contracts import contract_violations, enforce, ContractError
 from starwright.operators.ranking import global_dense_rank, top_n_with_ties
 from starwright.plans import rules
@@ -207,22 +207,38 @@ def test_pipeline_gate_stops_after_recording_evidence(spark, tmp_dir):
     results = spark.read.parquet(f"{tmp_dir}/_quality/results")
     assert {r.layer for r in results.select("layer").distinct().collect()} == {
         "staging", "intermediate"}
-    failures = spark.read.parquet(f"{tmp_dir}/_quality/failures")
+    store = f"{tmp_dir}/_quality/evidence"
+    failures = evidence.evidence(spark, store)
     assert failures.where("test_id = 'assert_sales_order_subtotals_match'").count() > 0
 
     # analytics alone: the Unknown customer type fails an error rule, the
-    # territory-group rule only warns; tables were written before the gate
+    # territory-group rule only warns; no table of the layer is published
     with pytest.raises(quality.LayerGateError) as err:
         run_layers(fresh(), tmp_dir, "inv-2", "2025-06-30 00:00:00", layers=("analytics",))
     assert "accepted_values_dim_customer_customer_type" in str(err.value)
     res = spark.read.parquet(f"{tmp_dir}/_quality/results").where("invocation_id = 'inv-2'")
     warn = res.where("rule_id = 'accepted_values_dim_sales_territory_territory_group'").first()
     assert warn.status == "warn"
-    rec = spark.read.parquet(f"{tmp_dir}/_quality/failures").where(
+    rec = evidence.evidence(spark, store).where(
         "invocation_id = 'inv-2' AND test_id = 'accepted_values_dim_customer_customer_type'").first()
     assert '"value_field":"Unknown"' in rec.failure_record
-    from starwright.operators.upsert import read_table
-    assert read_table(spark, f"{tmp_dir}/analytics/fact_sales").count() > 0
+    from starwright.operators.upsert import current_version
+    assert current_version(spark, f"{tmp_dir}/analytics/fact_sales") is None
+
+
+def test_broken_constraints_stop_the_publish(spark, tmp_dir, tiny):
+    from starwright.operators.upsert import current_version
+    from starwright.plans.pipeline import run_layers
+
+    product = tiny.model("dim_product")
+    for name, faulty in (("pk", product.unionAll(product)),
+                         ("fk", product.where("product_id <> 7 and false"))):
+        tiny.materialized["dim_product"] = faulty
+        out = f"{tmp_dir}/{name}"
+        with pytest.raises(constraints.ConstraintError) as err:
+            run_layers(tiny, out, "inv", "2025-06-30 00:00:00", layers=("analytics",))
+        assert f"product_id_{name}" in str(err.value)
+        assert current_version(spark, f"{out}/analytics/dim_product") is None
 
 
 def test_lineage_closure_on_a_diamond(spark):
