@@ -67,9 +67,16 @@ def weekday_name(iso_dow: str | Column) -> Column:
     return F.element_at(F.array(*[F.lit(d) for d in WEEKDAY_NAMES]), col_(iso_dow).cast("int"))
 
 
+def padded(c: str | Column, width: int) -> Column:
+    """The digits of a key with zeros before them up to ``width``; a longer key stays whole."""
+    digits = col_(c).cast("string")
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
+
+
 def uuid_from_key(c: str | Column) -> Column:
-    """Deterministic, well-formed uuid text for a non-negative integer key."""
-    return F.concat(F.lit("00000000-0000-4000-8000-"), F.lpad(col_(c).cast("string"), 12, "0"))
+    """Deterministic uuid text for a non-negative integer key, well-formed up to 12
+    digits and distinct for every key."""
+    return F.concat(F.lit("00000000-0000-4000-8000-"), padded(c, 12))
 
 
 def days_after(ts_literal: str, days: Column) -> Column:

@@ -15,7 +15,7 @@ LOADED_AT = "TIMESTAMP '2001-08-02 06:00:00'"
 
 
 def _uuid(key: str) -> str:
-    return f"'00000000-0000-4000-8000-' || lpad(CAST({key} AS VARCHAR), 12, '0')"
+    return f"'00000000-0000-4000-8000-' || lpad(CAST({key} AS VARCHAR), CAST(greatest(length(CAST({key} AS VARCHAR)), 12) AS INTEGER), '0')"
 
 
 def _days_after(ts: str, days: str) -> str:
@@ -81,7 +81,7 @@ SELECT o.o_orderkey AS sales_order_id,
        CAST(8 AS SMALLINT) AS revision_number,
        CASE WHEN o.o_orderpriority <> '5-LOW' THEN 'PO' || CAST(o.o_orderkey AS VARCHAR) END
          AS purchase_order_number,
-       '10-' || lpad(CAST(o.o_custkey AS VARCHAR), 10, '0') AS account_number,
+       '10-' || lpad(CAST(o.o_custkey AS VARCHAR), CAST(greatest(length(CAST(o.o_custkey AS VARCHAR)), 10) AS INTEGER), '0') AS account_number,
        o.o_custkey AS bill_to_address_id,
        o.o_custkey AS ship_to_address_id,
        CAST(CASE WHEN o.o_orderpriority = '5-LOW' THEN 1 ELSE 5 END AS INTEGER) AS ship_method_id,
@@ -98,7 +98,7 @@ FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey""")
 
 cte("stg_salesorderdetail", [], f"""
 SELECT l_orderkey AS sales_order_id,
-       l_orderkey * 100 + row_number() OVER (
+       l_orderkey * 1000000 + row_number() OVER (
          PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber, l_quantity,
          l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)
          AS sales_order_detail_id,
@@ -136,7 +136,7 @@ _PERSON_COLS = """
        CAST(({key}) % 3 AS INTEGER) AS email_promotion,
        CAST(NULL AS VARCHAR) AS additional_contact_info,
        CAST(NULL AS VARCHAR) AS demographics,
-       '00000000-0000-4000-8000-' || lpad(CAST({key} AS VARCHAR), 12, '0') AS row_guid,
+       '00000000-0000-4000-8000-' || lpad(CAST({key} AS VARCHAR), CAST(greatest(length(CAST({key} AS VARCHAR)), 12) AS INTEGER), '0') AS row_guid,
        'person.person' AS _source_table,
        split_part({name}, '#', 1) AS first_name,
        CASE WHEN ({key}) % 3 = 0 THEN 'M' END AS middle_name,

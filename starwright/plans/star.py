@@ -21,14 +21,21 @@ def line_amounts(qty: F.Column, price: F.Column, discount: F.Column) -> tuple:
     proportion, narrowed to decimal(5,4) so ``q·p·d`` stays exact at
     decimal(31,8) and ``q·p·(1−d)`` at decimal(32,8) — no intermediate
     rounding before the single cast (Spark would otherwise round the 41-digit
-    product to 38 digits first).
+    product to 38 digits first).  A discount of 10 or more, no proportion any
+    more, takes that wider product, null where it doesn't fit: the rule on
+    discounts has to see such a line, so it must not stop the build.
     """
-    d = discount.cast("decimal(5,4)")
+    d, one = discount.try_cast("decimal(5,4)"), F.lit(1).cast("decimal(1,0)")
     gross = qty * price
+
+    def amount(exact: F.Column, wide: F.Column) -> F.Column:
+        return F.when(d.isNull() & discount.isNotNull(), wide.try_cast("decimal(19,4)")) \
+            .otherwise(exact.cast("decimal(19,4)"))
+
     return (
         gross.cast("decimal(19,4)"),
-        (gross * d).cast("decimal(19,4)"),
-        (gross * (F.lit(1).cast("decimal(1,0)") - d)).cast("decimal(19,4)"),
+        amount(gross * d, gross * discount),
+        amount(gross * (one - d), gross * (one - discount)),
     )
 
 

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starwright.functions.columns import days_after, uuid_from_key
+from starwright.functions.columns import days_after, padded, uuid_from_key
 from starwright.sources.tables import Tables
 
 # One load time for every raw table of a run (the snapshot's ``_loaded_at``).
@@ -39,17 +39,20 @@ def _meta(schema_table: str, loaded_at: str) -> list:
     ]
 
 
+LINES = 1_000_000
+
+
 def detail_id(order_key: str = "l_orderkey") -> F.Column:
-    """``l_orderkey·100 + row_number()`` within the order, ordered by every
+    """``l_orderkey·LINES + row_number()`` within the order, ordered by every
     other lineitem column: unique and deterministic because no line is fully
     duplicated; the window shares the join's partitioning on the order key.
-    The scheme is unique only while an order has at most 99 lines, which also
-    bounds the size of every window group."""
+    Unique while an order has fewer than ``LINES`` lines, for order keys up to
+    9·10^12; the uniqueness rule flags an order beyond that."""
     w = Window.partitionBy(order_key).orderBy(
         "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
     )
-    return F.col(order_key) * 100 + F.row_number().over(w)
+    return F.col(order_key) * LINES + F.row_number().over(w)
 
 
 def raw_salesorderheader(t: Tables, loaded_at: str = DEFAULT_LOADED_AT) -> DataFrame:
@@ -68,7 +71,7 @@ def raw_salesorderheader(t: Tables, loaded_at: str = DEFAULT_LOADED_AT) -> DataF
         online.alias("onlineorderflag"),
         F.when(~online, F.concat(F.lit("PO"), F.col("o_orderkey").cast("string")))
         .alias("purchaseordernumber"),
-        F.concat(F.lit("10-"), F.lpad(F.col("o_custkey").cast("string"), 10, "0"))
+        F.concat(F.lit("10-"), padded("o_custkey", 10))
         .alias("accountnumber"),
         F.col("o_custkey").alias("customerid"),
         F.lit(None).cast("bigint").alias("salespersonid"),

@@ -262,3 +262,32 @@ def test_latest_breaks_ties_on_the_key(spark):
     from starwright.plans.reports import latest
     df = spark.createDataFrame([("r1", 5), ("r3", 5), ("r2", 4)], "run_id string, started_at int")
     assert latest(df, "started_at", "run_id").first().run_id == "r3"
+
+
+def test_a_discount_of_ten_or_more_is_flagged_not_fatal(spark):
+    rows = [(1, "2.0000", "0.1500"), (3, "100.0000", "10.0000"), (1, "1.0000", "123456.7891"),
+            (2, "5.0000", None)]
+    df = spark.createDataFrame(rows, "q int, p string, d string").selectExpr(
+        "cast(q as smallint) q", "cast(p as decimal(19,4)) p", "cast(d as decimal(19,4)) d")
+    got = [tuple(r) for r in df.select(*line_amounts(F.col("q"), F.col("p"), F.col("d"))).collect()]
+    exact = [(int(q) * Decimal(p), Decimal(d)) for q, p, d in rows if d]
+    assert [g[0] for g in got[:3]] == [g for g, _ in exact] and got[3][1:] == (None, None)
+    assert [g[1:] for g in got[:3]] == [(g * d, g * (1 - d)) for g, d in exact]
+
+
+def test_long_keys_stay_whole(spark):
+    from starwright.functions.columns import padded, uuid_from_key
+    keys = [7, 999_999_999_999, 1_000_000_000_000, 10_000_000_000_007]
+    got = [tuple(r) for r in spark.createDataFrame([(k,) for k in keys], "k long").select(
+        uuid_from_key("k"), padded("k", 10)).collect()]
+    assert len(set(got)) == 4 and got[0] == ("00000000-0000-4000-8000-000000000007", "0000000007")
+    assert [a.endswith(str(k)) and b.endswith(str(k)) for k, (a, b) in zip(keys, got, strict=True)]
+
+
+def test_detail_ids_of_an_order_of_many_lines(spark):
+    from starwright.sources.fixtures import detail_id
+    lines = spark.range(250).selectExpr(
+        "1 + id % 2 as l_orderkey", "id as l_partkey", "id as l_suppkey", "id as l_linenumber",
+        "1 as l_quantity", "1 as l_extendedprice", "0 as l_discount", "0 as l_tax",
+        "'N' as l_returnflag", "'O' as l_linestatus", "date'2024-01-01' as l_shipdate")
+    assert lines.select(detail_id()).distinct().count() == 250
