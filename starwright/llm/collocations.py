@@ -23,11 +23,11 @@ exact: Spark sums them by the phrases themselves.
 
 from __future__ import annotations
 
+import gc
 import zlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -137,6 +137,7 @@ def count_phrases(docs: DataFrame, bitmap: bytes, slots: int, text_col: str = "t
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches):
+        gc.disable()                 # counting makes many lists and no cycles
         known: dict[str, _Bits] = {}
         held: dict[str, dict] = {}
         for batch in batches:
@@ -151,11 +152,14 @@ def count_phrases(docs: DataFrame, bitmap: bytes, slots: int, text_col: str = "t
                     held = {}
                 if sum(map(len, known.values())) >= REMEMBERED:
                     known = {}
+        gc.enable()
         yield _found(held)
 
-    sums = _texts(docs, text_col, lang_col).mapInArrow(
-        run, "lang string, phrase string, f long, before long, after long").groupBy(
-        "lang", "phrase").agg(
+    counted = _texts(docs, text_col, lang_col).mapInArrow(
+        run, "lang string, phrase string, f long, before string, after string").select(
+        "lang", "phrase", "f", *(F.when(F.col(c) != ".", F.xxhash64(c)).alias(c)
+                                 for c in ("before", "after")))
+    sums = counted.groupBy("lang", "phrase").agg(
         F.sum("f").alias("f"),
         *(same(c).alias(f"{c}_{same.__name__}") for c in ("before", "after")
           for same in (F.min, F.max)),
@@ -199,18 +203,20 @@ def _count_text(ws: list[bytes], bits: _Bits, held: dict) -> None:
                         own[2] = None
 
 
-def _found(held: dict) -> pa.RecordBatch:
-    rows = [(lang, phrase, own) for lang, some in held.items() for phrase, own in some.items()]
-    return pa.RecordBatch.from_pydict({
-        "lang": pa.array([r[0] for r in rows], pa.string()),
-        "phrase": pa.array([r[1] for r in rows], pa.binary()).cast(pa.string()),
-        "f": pa.array([r[2][0] for r in rows], pa.int64()),
-        "before": pa.array([_word_hash(r[2][1]) for r in rows], pa.int64()),
-        "after": pa.array([_word_hash(r[2][2]) for r in rows], pa.int64())})
-
-
-def _word_hash(word: bytes | None) -> int | None:
-    return None if word in (None, b".") else xxhash.xxh3_64_intdigest(word) - (1 << 63)
+def _found(held: dict[str, dict]) -> pa.RecordBatch:
+    """The counted phrases as a batch; the words beside them go as they are."""
+    langs: list[str] = []
+    phrases: list[bytes] = []
+    counted: list[list] = []
+    for lang, some in held.items():
+        langs += [lang] * len(some)
+        phrases += some
+        counted += some.values()
+    f, before, after = zip(*counted, strict=True) if counted else ((), (), ())
+    texts = [pa.array(c, pa.binary()).cast(pa.string()) for c in (phrases, before, after)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(langs, pa.string()), texts[0], pa.array(f, pa.int64()), *texts[1:]],
+        names=["lang", "phrase", "f", "before", "after"])
 
 
 def _length(phrase: str = "phrase") -> F.Column:
