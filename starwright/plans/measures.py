@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from starwright.functions.columns import blank_diff, date_key, ratio
 from starwright.operators.ranking import global_dense_rank, top_n_threshold, top_n_with_ties
+from starwright.session import checkpoint_dir
 
 MONEY = "decimal(38,4)"
 
@@ -133,6 +134,13 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFr
 
 
 # ----------------------------------------------------------- dimension grain
+def members(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """``by`` computed once: ranks, thresholds and shares all read its rows, one for
+    each member, from the shared checkpoint folder."""
+    checkpoint_dir(lines.sparkSession)
+    return by(lines, keys).checkpoint()
+
+
 def ranked(df: DataFrame, value: str, out: str, rank_where: Column | None = None) -> DataFrame:
     """Dense rank of ``value`` (blank counted as 0) among the grain's members;
     members failing ``rank_where`` are left unranked."""
@@ -183,7 +191,7 @@ def with_index(df: DataFrame, total: DataFrame, pairs: list[tuple[Column, Column
 def product_grain(lines: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Rows = product names with sales (names repeat across product ids)."""
     j = lines.join(dim_product.select("product_id", "product_name"), "product_id", "left")
-    g = by(j, ["product_name"])
+    g = members(j, ["product_name"])
     g = with_share(g, totals(lines), [("net_sales", "product_share_sales"),
                                       ("units", "product_share_units")])
     g = ranked(g, "net_sales", "product_rank_sales")
@@ -197,7 +205,7 @@ def product_grain(lines: DataFrame, dim_product: DataFrame) -> DataFrame:
 def customer_grain(lines: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Rows = customer person names (store-only customers share the name '')."""
     j = lines.join(dim_customer.select("customer_id", "person_name"), "customer_id", "left")
-    g = by(j, ["person_name"])
+    g = members(j, ["person_name"])
     g = with_share(g, totals(lines), [("net_sales", "customer_share_sales")])
     g = ranked(g, "net_sales", "customer_rank_sales")
     g = g.withColumn("customer_is_top10",
@@ -208,7 +216,7 @@ def customer_grain(lines: DataFrame, dim_customer: DataFrame) -> DataFrame:
 def territory_grain(lines: DataFrame, dim_territory: DataFrame) -> DataFrame:
     keys = ["territory_name"]
     j = lines.join(dim_territory.select("territory_id", "territory_name"), "territory_id", "left")
-    g = by(j, keys)
+    g = members(j, keys)
     g = join_null_safe(g, recurring(j, keys), keys)
     g = recurring_measures(g)
     tot = totals(lines)
@@ -228,7 +236,7 @@ def sales_person_grain(lines: DataFrame, dim_sales_person: DataFrame) -> DataFra
     blank member (null name), kept in every denominator and never ranked."""
     j = lines.join(dim_sales_person.select("sales_person_id", "full_name"), "sales_person_id",
                    "left")
-    g = by(j, ["full_name"])
+    g = members(j, ["full_name"])
     tot = totals(lines)
     g = with_share(g, tot, [("net_sales", "salesperson_share_sales"),
                             ("orders", "salesperson_share_orders")])

@@ -12,7 +12,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starwright.plans import calendar, monthly, staging, star
+from starwright.plans import calendar, context, monthly, staging, star
 from starwright.sources.fixtures import DEFAULT_LOADED_AT, raw_sources
 from starwright.session import checkpoint_dir
 from starwright.sources.tables import Tables
@@ -120,6 +120,10 @@ class Warehouse:
             self.stg("stg_salesperson"), self.stg("stg_employee"), self.stg("stg_person")
         )
 
+    def _build_sales_cells(self) -> DataFrame:
+        lines = context.context_lines(self.model("fact_sales"), self.model("dim_sales_territory"))
+        return context.cells(lines, context.CONTEXT_KEYS)
+
     def _build_mart_sales_details(self) -> DataFrame:
         return star.mart_sales_details(
             *[self.model(m) for m in ["fact_sales", "dim_product", "dim_customer",
@@ -134,7 +138,7 @@ class Warehouse:
 MATERIALIZED_MODELS = {
     "stg_salesorderheader", "stg_salesorderdetail", "int_sales_order_items", "fact_sales", "fact_sales_monthly", "dim_date", "dim_customer",
     "dim_product", "dim_sales_person", "dim_sales_territory", "dim_special_offer",
-    "mart_sales_details",
+    "mart_sales_details", "sales_cells",
 }
 
 MODEL_LAYERS = {

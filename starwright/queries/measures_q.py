@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from starwright import oracle as O
+from starwright.plans import context as C
 from starwright.plans import measures as M
 from starwright.plans.warehouse import Warehouse
 from starwright.registry import register
@@ -334,3 +337,71 @@ def measures_by_day(spark, sf_dir):
     """M-13…M-15 at day grain: net sales against the same day a year earlier."""
     wh = Warehouse.from_driver(spark, sf_dir)
     return M.day_grain(_lines(wh), wh.dim_date)
+
+
+# ---------------------------------------------------------- filter context
+O.cte("mx_lines", ["fact_sales", "dim_sales_territory"], """
+SELECT f.*, t.territory_name, t.territory_group,
+       CAST(order_date_id // 10000 AS INTEGER) AS year_number,
+       CAST((order_date_id // 100) % 100 AS INTEGER) AS month_number
+FROM fact_sales f LEFT JOIN dim_sales_territory t USING (territory_id)""")
+
+
+def _context_sql(keys: list[str], removed: list[str], where: str = "TRUE") -> str:
+    """The measures at ``keys`` from the lines themselves, shares against the same
+    lines without the filters of ``removed``."""
+    k, rest = ", ".join(keys), [x for x in keys if x not in removed]
+    on = " AND ".join(f"g.{x} IS NOT DISTINCT FROM a.{x}" for x in rest) or "TRUE"
+    group = f"GROUP BY {', '.join(rest)}" if rest else ""
+    rank = (f""", CAST(dense_rank() OVER (PARTITION BY {', '.join('g.' + x for x in rest)}
+              ORDER BY COALESCE(g.net_sales, 0) DESC) AS INTEGER) AS rank_net_sales"""
+            if rest else "")
+    return f"""
+SELECT g.*, {_ratio('g.net_sales', 'a.net_sales')} AS share_net_sales,
+       {_ratio('g.orders', 'a.orders')} AS share_orders,
+       {_ratio('g.avg_ticket', _ratio('a.net_sales', 'a.orders'))} AS ticket_index,
+       {_ratio('g.sales_per_customer', _ratio('a.net_sales', 'a.active_customers'))}
+         AS customer_index{rank}
+FROM ({_derived(f"SELECT {k}, {BASE} FROM mx_lines WHERE {where} GROUP BY {k}")}) g
+JOIN (SELECT {', '.join([*rest, BASE])} FROM mx_lines {group}) a ON {on}"""
+
+
+_TERRITORY = ["territory_group", "territory_name"]
+
+
+@register("measures_by_territory_month",
+          O.sql(_context_sql(C.CONTEXT_KEYS, _TERRITORY), "mx_lines"))
+def measures_by_territory_month(spark, sf_dir):
+    """W-7 with remaining keys: a territory's share, indices and rank of each month."""
+    return C.measures(Warehouse.from_driver(spark, sf_dir).sales_cells, C.CONTEXT_KEYS,
+                      removed=_TERRITORY)
+
+
+@register("measures_by_group_year",
+          O.sql(_context_sql(["territory_group", "year_number"], ["year_number"]), "mx_lines"))
+def measures_by_group_year(spark, sf_dir):
+    """A coarser grain of the same cells: a year's share of its territory group."""
+    return C.measures(Warehouse.from_driver(spark, sf_dir).sales_cells,
+                      ["territory_group", "year_number"], removed=["year_number"])
+
+
+# the slicer's choice on the report page
+_CHOSEN = ("NATION_3", "NATION_7", "NATION_12")
+
+
+@register("measures_sliced_by_territory", O.sql(
+    _context_sql(["territory_name"], ["territory_name"],
+                 f"territory_name IN {_CHOSEN}"), "mx_lines"))
+def measures_sliced_by_territory(spark, sf_dir):
+    """P-21: the chosen territories, shares against all of them."""
+    return C.measures(Warehouse.from_driver(spark, sf_dir).sales_cells, ["territory_name"],
+                      F.col("territory_name").isin(*_CHOSEN), ["territory_name"])
+
+
+@register("cards_sliced_by_territory", O.sql(
+    _derived(f"SELECT {BASE} FROM mx_lines WHERE territory_name IN {_CHOSEN}"), "mx_lines"))
+def cards_sliced_by_territory(spark, sf_dir):
+    """P-21: the cards of the page below the slicer; a customer or product of several
+    chosen territories counts once."""
+    return C.measures(Warehouse.from_driver(spark, sf_dir).sales_cells, [],
+                      F.col("territory_name").isin(*_CHOSEN))

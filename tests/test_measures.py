@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starwright.plans import calendar
+from starwright.plans import context as C
 from starwright.plans import measures as M
 
 LINES = "sales_order_id bigint, customer_id bigint, product_id bigint, sales_person_id bigint, " \
@@ -99,3 +100,45 @@ def test_day_grain_prior_year_maps_leap_day(spark):
     assert got[20240228].net_sales is None and got[20240228].net_sales_ly == Decimal("7")
     assert got[20240229].net_sales_ly == Decimal("7")          # 29 Feb → 28 Feb
     assert got[20240229].yoy_change == Decimal("-4")
+
+
+def _context(spark, lines):
+    keyed = lines.withColumn("month", (F.col("order_date_id") / 100).cast("int"))
+    return C.cells(keyed, ["territory_id", "month"])
+
+
+def test_distinct_counts_unite_over_cells(spark, lines):
+    wide = lines.unionByName(spark.createDataFrame(
+        [(5, 10, 1, None, 2, 20240116, 1, Decimal("7"), Decimal("7")),      # customer 10 again
+         (5, 10, 70_000, None, 2, 20240116, 1, Decimal("3"), Decimal("3")),  # another bucket
+         (6, None, 0, None, None, 20240117, 1, Decimal("1"), Decimal("1")),  # null id, null key
+         (-40_000, 0, -1, None, None, 20240117, 1, Decimal("1"), Decimal("1"))], LINES))
+    cells = _context(spark, wide)
+    for keys in ([], ["territory_id"], ["month"], ["territory_id", "month"]):
+        keyed = wide.withColumn("month", (F.col("order_date_id") / 100).cast("int"))
+        want = M.by(keyed, keys) if keys else M.derived(M.totals(keyed))
+        got = C.measures(cells, keys).select(want.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_removed_filters_keep_the_remaining_keys(spark, lines):
+    cells = _context(spark, lines)
+    got = {(r.territory_id, r.month): r for r in C.measures(
+        cells, ["territory_id", "month"], F.col("territory_id") == 1, ["territory_id"]).collect()}
+    assert set(got) == {(1, 202401), (1, 202501)}
+    assert all(r.share_net_sales == 1.0 and r.rank_net_sales == 1 for r in got.values())
+    whole = {r.territory_id: r for r in C.measures(
+        cells, ["territory_id"], F.col("territory_id") == 1, ["territory_id"]).collect()}
+    assert whole[1].share_net_sales == 130 / 180 and whole[1].share_orders == 3 / 4
+    # territories that share a place have the same rank
+    tied = lines.withColumn("net_amount", F.lit(Decimal("5")).cast("decimal(19,4)"))
+    assert {r.rank_net_sales for r in C.measures(
+        _context(spark, tied), ["territory_id", "month"], removed=["territory_id"]).collect()
+    } == {1}
+
+
+def test_context_of_an_empty_fact(spark, lines):
+    cells = _context(spark, lines.limit(0))
+    card = C.measures(cells, []).first()
+    assert (card.net_sales, card.orders, card.line_count) == (None, 0, 0)
+    assert C.measures(cells, ["month"], removed=["month"]).count() == 0
