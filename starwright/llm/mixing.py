@@ -1,21 +1,22 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
-Target words per source come from the weights (water filling under a cap); the
-mix's words are apportioned to the sources by highest quotients (votes / 1, 3,
-5, ...), which gives integers that add up to the mix's size.  Documents are
-spread over shards by a seeded hash.  A source's words are dealt to its shards
-by their words, rounded cumulatively in seeded order of the shards, so that the
-remainders of one go on to the next and the source's sum is met whatever the
-number of shards.  In a shard a source's documents, in seeded order, form a ring,
-and the source takes its words from a seeded start on, at the beginning of a
-block of words.  Consecutive words of a shuffled ring are a random choice of
-documents in which at most the two at the ends are cut; a quota beyond the ring
-goes round again, so words repeat at most ``cap`` times.
+Target words per source come from the weights (water filling under a cap), made
+whole numbers that add up to the mix's size.  Documents are spread over shards by
+a seeded hash.  A source's words are dealt to its shards in blocks of equal size,
+one by one to the highest quotient (words of the source there / 1, 3, 5, ...);
+what is less than a block, and what shards too small for a block can still give, is
+dealt in the same way word by word, so a source's quotas add up to its target
+whatever the number of shards.  Regions of ``REGION_SHARDS`` shards are dealt to
+first and then their shards, so no task holds all shards of a large table.
+
+In a shard a source's documents, in seeded order, form a row of words cut into
+numbered blocks.  The quota takes blocks in a seeded order, the last one chosen up
+to the quota's end; a quota beyond all words takes whole rounds first, so words
+repeat at most ``cap`` times.
 
 Only the sums per source and per (shard, source) are gathered.  Shards hold
-``SHARD_DOCS`` documents on average whatever the sources' sizes, so neither a
-hot source nor a large table makes a large group of documents; the sums of a
-source's shards, a row for each, pass one task.
+``SHARD_DOCS`` documents on average whatever the sources' sizes, so neither a hot
+source nor a large table makes a large group of documents.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ from pyspark.sql import functions as F
 from starwright.llm.common import written
 
 SHARD_DOCS = 1024
-BLOCK_WORDS = 16
+REGION_SHARDS = 1024
+BLOCK_WORDS = 1024
 SEED = 17
 
 
@@ -62,6 +64,15 @@ def apportion(votes: Sequence[float], seats: int, limits: Sequence[int]) -> list
     return got.tolist()
 
 
+def deal(sizes: Sequence[int], words: int, cap: int, block: int) -> list[int]:
+    """``words`` dealt over rows of ``sizes`` words, none above ``cap`` times its
+    size: whole blocks to the highest quotients, then the rest word by word."""
+    limits = np.asarray(sizes, np.int64) * cap
+    blocks = np.asarray(apportion(limits, words // block, limits // block), np.int64) * block
+    left = limits - blocks
+    return (blocks + apportion(left, words - int(blocks.sum()), left)).tolist()
+
+
 def cycled_weights(sized: DataFrame, weights: Sequence[float], source_col: str = "source"
                    ) -> DataFrame:
     """(source, weight): the sources by code point, null last, with ``weights`` in
@@ -107,9 +118,10 @@ def mix(sized: DataFrame, weights: DataFrame, share: float, cap: int = 2,
         carry: tuple[str, ...] = (), block_words: int = BLOCK_WORDS,
         shard_docs: int = SHARD_DOCS, seed: int = SEED) -> DataFrame:
     """For each row of ``sized``: ``id_col``, the ``carry`` columns, ``source``,
-    ``size``, ``source_size``, ``target`` (its source's words), ``first`` and
-    ``taken``: the mix takes ``taken`` words of the document, round after round
-    from word number ``first``.
+    ``size``, ``source_size``, ``target`` (its source's words), ``rounds``,
+    ``pieces`` and ``taken``: the mix takes the document ``rounds`` times whole and
+    its ``pieces`` (first word, number of words; one for each block that it reaches
+    into) once more, ``taken`` words in all.
 
     A null size counts as 0; a null source is a source of its own; a document
     without words takes none; an empty table has no rows.  Rows that agree in
@@ -120,6 +132,50 @@ def mix(sized: DataFrame, weights: DataFrame, share: float, cap: int = 2,
                         F.struct(id_col, *carry).alias("__row"))
     n = max(1, -(-sized.count() // shard_docs))
     rows = rows.withColumn("__shard", F.pmod(F.xxhash64(F.lit(seed), "__id", "size"), F.lit(n)))
+    quota = _quotas(rows, weights, share, cap, block_words)
+    of_shard = Window.partitionBy("__s", "__source").orderBy(
+        F.xxhash64(F.lit(seed + 2), "__s", "__source", "block"), "block")
+    ring, block = F.col("ring"), F.lit(block_words)
+    last = F.greatest(F.floor((ring - 1) / block), F.lit(0)).cast("long")
+    numbered = (quota.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+                .withColumn("words_in", F.least(block, ring - F.col("block") * block))
+                .withColumn("before", F.coalesce(F.sum("words_in").over(
+                    of_shard.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+                .withColumn("chosen", F.greatest(F.lit(0), F.least(
+                    F.col("words_in"),
+                    F.pmod(F.col("words"), F.greatest(ring, F.lit(1))) - F.col("before")))))
+    # a row for each shard and source: the words it takes of its blocks, by number
+    chosen = numbered.groupBy("__s", "__source", "ring", "words", "source_size", "target").agg(
+        F.array_sort(F.collect_list(F.struct("block", "chosen"))).getField("chosen")
+        .alias("chosen"))
+    order = (Window.partitionBy("__shard", "source")
+             .orderBy(F.xxhash64(F.lit(seed + 1), "__id", "size"), "__id", "size"))
+    placed = rows.withColumn("at", F.coalesce(F.sum("size").over(
+        order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    joined = placed.join(chosen, (F.col("__shard") == F.col("__s"))
+                         & F.col("source").eqNullSafe(F.col("__source")))
+    at, size = F.col("at"), F.col("size")
+
+    def piece(b):
+        start = F.greatest(at, b * block)
+        upto = F.least(at + size, b * block + F.get("chosen", b.cast("int")))
+        return F.struct((start - at).alias("first"), (upto - start).alias("words"))
+
+    reached = F.sequence(F.floor(at / block).cast("long"),
+                         F.floor((at + F.greatest(size, F.lit(1)) - 1) / block).cast("long"))
+    rounds = F.floor(F.col("words") / F.greatest(ring, F.lit(1))).cast("long")
+    return (joined.withColumn("rounds", rounds)
+            .withColumn("pieces", F.filter(F.transform(reached, piece),
+                                           lambda p: p["words"] > 0))
+            .select("__row.*", "source", "size", "source_size", "target", "rounds", "pieces",
+                    F.aggregate("pieces", F.col("rounds") * size,
+                                lambda total, p: total + p["words"]).alias("taken")))
+
+
+def _quotas(rows: DataFrame, weights: DataFrame, share: float, cap: int, block: int
+            ) -> DataFrame:
+    """(__s, __source, ring, source_size, target, words): the words that each shard
+    gives of each source; ``ring`` are its words there."""
     kind = rows.schema["source"].dataType.simpleString()
 
     def whole(sources: pd.DataFrame) -> pd.DataFrame:
@@ -128,47 +184,36 @@ def mix(sized: DataFrame, weights: DataFrame, share: float, cap: int = 2,
                                     (sources["source_size"] * cap).tolist())
         return sources
 
+    def dealt(place: str):
+        def step(part: pd.DataFrame) -> pd.DataFrame:
+            part = part.sort_values(place, kind="stable")
+            part["words"] = deal(part["ring"].tolist(), int(part["goal"].iloc[0]), cap, block)
+            return part.drop(columns="goal")
+        return step
+
     goal = written(targets(rows, weights, share, float(cap)).groupBy().applyInPandas(
         whole, f"source {kind}, source_size long, target double, goal long"), "mix-goals")
     goal = goal.withColumnRenamed("source", "__source")
-    cells = rows.groupBy("__shard", "source").agg(F.sum("size").alias("ring"))
-    turn = (Window.partitionBy("source").orderBy(F.xxhash64(F.lit(seed + 3), "__shard"), "__shard")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cells = cells.withColumn("upto", F.sum("ring").over(turn))
-    dealt = [F.round(F.col("goal") * (upto / F.greatest(F.col("source_size"), F.lit(1))))
-             for upto in (F.col("upto"), F.col("upto") - F.col("ring"))]
-    quota = (cells.join(F.broadcast(goal) if _few(goal) else goal,
-                        F.col("source").eqNullSafe(F.col("__source")))
-             .select(F.col("__shard").alias("__s"), "__source", "ring", "source_size", "target",
-                     F.least((dealt[0] - dealt[1]).cast("long"), F.col("ring") * cap)
-                     .alias("words")))
-    order = (Window.partitionBy("__shard", "source")
-             .orderBy(F.xxhash64(F.lit(seed + 1), "__id", "size"), "__id", "size"))
-    placed = rows.withColumn("at", F.coalesce(F.sum("size").over(
-        order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    joined = placed.join(quota, (F.col("__shard") == F.col("__s"))
-                         & F.col("source").eqNullSafe(F.col("__source")))
-    # words of the mix: the ring positions start .. start + words, going round
-    block = F.when(F.col("ring") < 2 * block_words, F.lit(1)).otherwise(F.lit(block_words))
-    blocks = F.greatest(F.ceil(F.col("ring") / block).cast("long"), F.lit(1))
-    start = F.pmod(F.xxhash64(F.lit(seed + 2), "__shard", "source"), blocks) * block
-    gone = F.pmod(F.col("at") - F.col("start"), F.greatest(F.col("ring"), F.lit(1)))
-    size, ring, rest = F.col("size"), F.col("ring"), F.col("rest")
-    # the document covers gone .. gone + size of the ring counted from the start
-    tail = F.greatest(F.least(F.col("gone") + size - ring, rest), F.lit(0))
-    head = F.greatest(F.least(F.col("gone") + size, rest) - F.col("gone"), F.lit(0))
-    wraps = F.col("gone") + size > ring
-    return (joined.withColumn("start", start)
-            .withColumn("gone", gone)
-            .withColumn("rest", F.pmod(F.col("words"), F.greatest(ring, F.lit(1))))
-            .withColumn("laps", F.floor(F.col("words") / F.greatest(ring, F.lit(1))))
-            .withColumn("head", F.when(wraps, F.greatest(F.least(ring, rest) - F.col("gone"),
-                                                         F.lit(0))).otherwise(head))
-            .select("__row.*", "source", "size", "source_size", "target",
-                    F.when(wraps & (F.col("head") == 0), ring - F.col("gone"))
-                    .otherwise(F.lit(0)).cast("long").alias("first"),
-                    (F.col("laps") * size + F.col("head")
-                     + F.when(wraps, tail).otherwise(0)).cast("long").alias("taken")))
+    shards = (rows.groupBy("__shard", "source").agg(F.sum("size").alias("ring"))
+              .withColumn("region", F.floor(F.col("__shard") / REGION_SHARDS).cast("long")))
+    regions = (shards.groupBy("source", "region").agg(F.sum("ring").cast("long").alias("ring"))
+               .join(F.broadcast(goal) if _few(goal) else goal,
+                     F.col("source").eqNullSafe(F.col("__source")))
+               .select("source", "region", "ring", "source_size", "target", "goal")
+               .groupBy("source").applyInPandas(
+                   dealt("region"), f"source {kind}, region long, ring long, source_size long, "
+                                    "target double, words long"))
+    regions = regions.select(F.col("source").alias("__source"), F.col("region").alias("__region"),
+                             "source_size", "target", F.col("words").alias("goal"))
+    return written(
+        shards.join(regions, F.col("source").eqNullSafe(F.col("__source"))
+                    & (F.col("region") == F.col("__region")))
+        .select(F.col("__shard").alias("__s"), "__source", "region", "ring", "source_size",
+                "target", "goal")
+        .groupBy("__source", "region").applyInPandas(
+            dealt("__s"), f"__s long, __source {kind}, region long, ring long, "
+                          "source_size long, target double, words long")
+        .drop("region"), "mix-quotas")
 
 
 #: Sources up to this many are broadcast; beyond it they are joined by shuffling.

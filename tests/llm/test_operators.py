@@ -288,3 +288,44 @@ def test_long_credentials_are_masked_whole(spark):
                                              if s.kind == "secret"}
     assert pii.mask_texts(docs, pii.fit_span_classifier(docs), ["doc_id"]).first().text == (
         "see <secret> and go")
+
+
+def test_deal_gives_blocks_then_words():
+    r = random.Random(5)
+    for _ in range(300):
+        sizes = [r.choice([0, 1, 3, 15, 16, 40, 1000]) for _ in range(r.randint(1, 8))]
+        cap, block = r.randint(1, 3), r.choice([1, 4, 16])
+        words = r.randint(0, cap * sum(sizes))
+        got = mixing.deal(sizes, words, cap, block)
+        assert sum(got) == words and all(0 <= g <= cap * s for g, s in zip(got, sizes, strict=True))
+    assert mixing.deal([160, 320, 480], 30 * 16, 1, 16) == [80, 160, 240]
+    # six blocks, then quotients 4, 3, 3, 4 / 3 of the words left
+    assert mixing.deal([3, 3, 100], 100, 1, 16) == [1, 1, 98]
+
+
+def test_mix_takes_numbered_blocks(spark, monkeypatch):
+    """Each shard's row of words against a plain one: blocks are taken whole but for
+    one, in a seeded choice, and the pieces are the words of those blocks."""
+    monkeypatch.setattr(mixing, "REGION_SHARDS", 3)
+    r = random.Random(6)
+    rows = [(i, r.choice(["a", "b", "b", None]), r.choice([0, 1, 7, 20, 90])) for i in range(900)]
+    rows += [(5, "a", 1000), (5, "a", 1000)]
+    sized = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    weights = mixing.cycled_weights(sized, (3, 1, 2))
+
+    def mixed():
+        return mixing.mix(sized, weights, 0.6, shard_docs=100, block_words=16)
+
+    got = mixed().collect()
+    assert len(got) == len(rows)
+    assert sorted(map(str, got)) == sorted(map(str, mixed().collect()))
+    for x in got:
+        spans = [(p.first, p.first + p.words) for p in x.pieces]
+        assert all(0 <= a < b <= x.size for a, b in spans)
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+        assert x.taken == x.rounds * x.size + sum(p.words for p in x.pieces) <= 2 * x.size
+    for source in ("a", "b", None):
+        mine = [x for x in got if x.source == source]
+        assert abs(sum(x.taken for x in mine) - mine[0].target) <= 1
+    # scattered blocks, not one run: a long text gives several pieces
+    assert max(len(x.pieces) for x in got if x.size == 1000) > 5
