@@ -1,51 +1,88 @@
-"""Transitive closure of a DAG (lineage descendants, L-1).
+"""Lineage closure (L-1): what is reachable from the sources of many graphs at once.
 
-Frontier iteration with ``left_anti`` against the visited set: every pair is
-produced once even on diamond-shaped graphs (a ``UNION ALL`` recursive CTE
-would enumerate paths instead).  The loop runs once per graph *level* (one
-emptiness test each); the visited set is checkpointed to the shared folder
-every few levels and at the end, so no plan carries more than a few joins.
+A run's manifest is a graph of its own, and runs mostly share a few of them.
+``graph_of_run`` names a graph by its content, so each distinct one is labelled
+once: its nodes are taken in topological order and every node's label is the union
+of its parents' labels, bit sets of the sources above it.  One grouping labels all
+graphs, whatever their depth; a graph is one project's manifest, which arrived as
+one document, so a group is as small as that.
 """
 
 from __future__ import annotations
 
-from itertools import count
+from collections import deque
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starwright.session import checkpoint_dir
-
-
-def descendants(edges: DataFrame, roots: DataFrame,
-                checkpoint_every: int = 4) -> DataFrame:
-    """``edges(parent, child)``, ``roots(root)`` → ``(root, node)`` for every node
-    reachable from a root, the root itself included, at any depth; a cycle ends
-    the iteration like a leaf, as it brings no new pair.
-
-    Each level's frontier is cached (it is used by the emptiness test and the
-    next level); every ``checkpoint_every`` levels the visited set is
-    checkpointed to the shared folder, which bounds the lineage a lost
-    executor would have to replay."""
-    checkpoint_dir(edges.sparkSession)
-    visited = roots.select("root", F.col("root").alias("node")).distinct().cache()
-    frontier = visited
-    cached = [visited]
-    for level in count(1):
-        step = (
-            frontier.join(edges, frontier.node == edges.parent)
-            .select("root", F.col("child").alias("node"))
-            .distinct()
-            .join(visited, ["root", "node"], "left_anti")
-            .cache()
-        )
-        cached.append(step)
-        if step.isEmpty():
-            out = visited.checkpoint()
-            for df in cached:
-                df.unpersist()
-            return out
-        visited = visited.unionByName(step)
-        if level % checkpoint_every == 0:
-            visited = visited.checkpoint()
-        frontier = step
+
+def graph_of_run(nodes: DataFrame, run_col: str = "orchestrator_run_id") -> DataFrame:
+    """(``run_col``, ``graph``): the same ``graph`` for runs whose nodes agree in all
+    other columns, whatever the rows' order."""
+    content = F.sort_array(F.collect_set(F.struct(
+        *sorted(c for c in nodes.columns if c != run_col))))
+    return nodes.groupBy(run_col).agg(F.sha2(F.to_json(content), 256).alias("graph"))
+
+
+def labels(parents: dict[str, set[str]], roots: set[str]) -> dict[str, int]:
+    """Each node's bit set of the roots above it (its own included), bit i for the
+    i-th root in order.  Parents that are no nodes are ignored."""
+    bit = {root: 1 << i for i, root in enumerate(sorted(roots))}
+    label = {node: bit.get(node, 0) for node in parents}
+    children: dict[str, list[str]] = {node: [] for node in parents}
+    missing = {}
+    for node, above in parents.items():
+        known = [p for p in above if p in parents]
+        missing[node] = len(known)
+        for p in known:
+            children[p].append(node)
+    ready = deque(node for node, n in missing.items() if n == 0)
+    while ready:
+        node = ready.popleft()
+        for child in children[node]:
+            label[child] |= label[node]
+            missing[child] -= 1
+            if missing[child] == 0:
+                ready.append(child)
+    # what is left lies on cycles or below them: labels go round until they stay
+    left = deque(node for node, n in missing.items() if n > 0)
+    while left:
+        node = left.popleft()
+        for child in children[node]:
+            if label[child] | label[node] != label[child]:
+                label[child] |= label[node]
+                left.append(child)
+    return label
+
+
+def reachable(nodes: DataFrame) -> DataFrame:
+    """``nodes(graph, node, is_root, depends_on)`` → ``(graph, root, node)`` for every
+    node reachable from a root of its graph, the root itself included, each once.
+
+    A null ``depends_on`` is an empty one, a repeated node has all its rows'
+    parents, and a cycle is reached as a whole; no rows give no rows."""
+    def one(graph: pd.DataFrame) -> pd.DataFrame:
+        parents: dict[str, set[str]] = {}
+        for node, above in zip(graph["node"], graph["depends_on"], strict=True):
+            parents.setdefault(node, set()).update(() if above is None else above)
+        roots = sorted(set(graph.loc[graph["is_root"], "node"]))
+        found = [(roots[i], node) for node, bits in labels(parents, set(roots)).items()
+                 for i in range(len(roots)) if bits >> i & 1]
+        return pd.DataFrame({"graph": graph["graph"].iloc[0], "root": [r for r, _ in found],
+                             "node": [n for _, n in found]})
+
+    return (nodes.select("graph", "node", "is_root", "depends_on")
+            .groupBy("graph").applyInPandas(one, "graph string, root string, node string"))
+
+
+def descendants(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """``edges(parent, child)``, ``roots(root)`` of one graph → ``(root, node)``."""
+    parents = edges.groupBy("child").agg(F.collect_set("parent").alias("above"))
+    ends = (edges.select(F.col("child").alias("node"))
+            .union(edges.select("parent")).union(roots.select("root")).distinct())
+    nodes = (ends.join(parents, ends.node == parents.child, "left")
+             .join(roots.select("root").distinct(), F.col("node") == F.col("root"), "left")
+             .select(F.lit("").alias("graph"), "node", F.col("root").isNotNull().alias("is_root"),
+                     F.col("above").alias("depends_on")))
+    return reachable(nodes).select("root", "node")

@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starwright.functions.columns import last_dotted, normalize_status, trigger_type
-from starwright.operators.closure import descendants
+from starwright.operators.closure import graph_of_run, reachable
 from starwright.plans.telemetry import (
-    Telemetry, aggregate_status, aggregate_status_value, manifest_edges,
+    Telemetry, aggregate_status, aggregate_status_value,
 )
 
 LAYERS = ["staging", "intermediate", "analytics"]
@@ -278,14 +278,27 @@ def dataset_freshness(tm: Telemetry, checked_at: dt.datetime,
 
 
 # ----------------------------------------------------------------- lineage
+def run_graphs(tm: Telemetry) -> DataFrame:
+    """(orchestrator_run_id, graph): which manifest each run ran."""
+    if "graphs" not in tm.__dict__:
+        tm.__dict__["graphs"] = tm.persist("run_graphs", graph_of_run(tm.run_nodes))
+    return tm.__dict__["graphs"]
+
+
+def graph_nodes(tm: Telemetry) -> DataFrame:
+    """The nodes of each distinct manifest, from the first run that has it."""
+    first = run_graphs(tm).groupBy("graph").agg(
+        F.min("orchestrator_run_id").alias("orchestrator_run_id"))
+    return tm.run_nodes.join(first, "orchestrator_run_id").drop("orchestrator_run_id")
+
+
 def lineage_closure(tm: Telemetry) -> DataFrame:
-    """L-1: (source node, descendant node) for every source of the manifest
-    (computed once per telemetry instance; the result is checkpointed)."""
+    """L-1: (graph, source node, descendant node) of every distinct manifest."""
     if "closure" not in tm.__dict__:
-        nodes = tm.manifest()
-        roots = nodes.where(F.col("resource_type") == "source") \
-            .select(F.col("node_unique_id").alias("root"))
-        tm.__dict__["closure"] = descendants(manifest_edges(nodes), roots)
+        nodes = graph_nodes(tm).select(
+            "graph", F.col("node_unique_id").alias("node"),
+            (F.col("resource_type") == "source").alias("is_root"), "depends_on")
+        tm.__dict__["closure"] = tm.persist("lineage_closure", reachable(nodes))
     return tm.__dict__["closure"]
 
 
@@ -298,20 +311,23 @@ def dataset_stage_status(tm: Telemetry) -> DataFrame:
 
 def _dataset_stage_status(tm: Telemetry) -> DataFrame:
     """L-2: per (run, dataset) the status of each model layer downstream of the
-    dataset's source, with ``blocked`` propagation and the consumer stage."""
-    nodes = tm.manifest()
+    dataset's source in the run's own manifest, with ``blocked`` propagation and
+    the consumer stage."""
+    nodes = graph_nodes(tm)
     closure = lineage_closure(tm)
     sources = nodes.where(F.col("resource_type") == "source") \
-        .select(F.col("node_unique_id").alias("root"), F.col("node_name").alias("dataset"))
+        .select("graph", F.col("node_unique_id").alias("root"),
+                F.col("node_name").alias("dataset"))
     models = nodes.where((F.col("resource_type") == "model") & F.col("layer").isNotNull()) \
-        .select(F.col("node_unique_id").alias("node"), "layer")
-    # applicable models per dataset and layer: metadata, bounded by the manifest
-    applicable = closure.join(sources, "root").join(models, "node") \
-        .select("dataset", "layer", "node")
+        .select("graph", F.col("node_unique_id").alias("node"), "layer")
+    # applicable models per manifest, dataset and layer
+    applicable = closure.join(sources, ["graph", "root"]).join(models, ["graph", "node"]) \
+        .select("graph", "dataset", "layer", "node")
     runs = tm.ingestion_runs.select("run_id", last_dotted("source_table").alias("dataset"))
     ev = tm.node_results.select(F.col("orchestrator_run_id").alias("run_id"),
                                 F.col("node_unique_id").alias("node"), "status")
-    x = runs.join(F.broadcast(applicable), "dataset") \
+    graphs = run_graphs(tm).withColumnRenamed("orchestrator_run_id", "run_id")
+    x = runs.join(graphs, "run_id").join(applicable, ["graph", "dataset"]) \
         .join(ev, ["run_id", "node"], "left")
     per_layer = x.groupBy("run_id", "dataset", "layer").agg(*aggregate_status(F.col("status")))
     per_layer = per_layer.select("run_id", "dataset", "layer",
@@ -597,9 +613,10 @@ def platform_status(tm: Telemetry, pipeline_runs: DataFrame | None = None) -> Da
     last_ok = p.where((F.col("status") == "success") & F.col("finished_at").isNotNull()) \
         .agg(F.max("finished_at").alias("last_successful_run"))
     # node statuses per layer of the target run
-    nodes = tm.manifest().select(F.col("node_unique_id"), "layer")
+    nodes = tm.run_nodes.where(F.col("layer").isNotNull()) \
+        .select("orchestrator_run_id", "node_unique_id", "layer")
     nr = tm.node_results.join(run_of, F.col("orchestrator_run_id") == F.col("t_run")) \
-        .join(F.broadcast(nodes), "node_unique_id").where(F.col("layer").isNotNull())
+        .join(nodes, ["orchestrator_run_id", "node_unique_id"])
     per_layer = nr.groupBy("layer").agg(*aggregate_status(F.col("status"))) \
         .select("layer", aggregate_status_value().alias("v"))
     layers = per_layer.groupBy().pivot("layer", LAYERS).agg(F.first("v"))

@@ -16,7 +16,7 @@ from starwright.plans import profile, reports
 from starwright.plans.rules import singular_failures
 from starwright.plans.telemetry import (
     ACCEPTED_MODELS, EVENT_STATUS, MODEL_NODES, SOURCE_TABLES, TEST_KINDS, OBJECT_TABLE_NAMES, Telemetry,
-    manifest_rows,
+    MODEL_DEPS, TRIAL_DEPS, manifest_rows,
 )
 from starwright.plans.warehouse import MODEL_LAYERS, Warehouse
 from starwright.queries.quality_q import _SINGULAR_SQL as SINGULAR_SQL
@@ -332,21 +332,23 @@ def dataset_freshness_sla(spark, sf_dir):
 # ------------------------------------------------------------------ lineage
 def _manifest_values() -> str:
     rows = []
-    for nid, name, rtype, path, deps in manifest_rows():
-        rows.append(f"('{nid}', '{name}', '{rtype}', '{path}', {_list(deps)}::VARCHAR[])")
+    for trial, graph in (("false", MODEL_DEPS), ("true", TRIAL_DEPS)):
+        for nid, name, rtype, path, deps in manifest_rows(graph):
+            rows.append(f"({trial}, '{nid}', '{name}', '{rtype}', '{path}', "
+                        f"{_list(deps)}::VARCHAR[])")
     return "VALUES " + ", ".join(rows)
 
 
 O.cte("lg_nodes", [], f"""
-SELECT node_unique_id, node_name, resource_type,
+SELECT trial, node_unique_id, node_name, resource_type,
        CASE WHEN contains(replace(path, '\\', '/'), 'models/staging/') THEN 'staging'
             WHEN contains(replace(path, '\\', '/'), 'models/intermediate/') THEN 'intermediate'
             WHEN contains(replace(path, '\\', '/'), 'models/analytics/') THEN 'analytics'
        END AS layer,
        depends_on
-FROM ({_manifest_values()}) v(node_unique_id, node_name, resource_type, path, depends_on)""")
+FROM ({_manifest_values()}) v(trial, node_unique_id, node_name, resource_type, path, depends_on)""")
 O.cte("lg_edges", ["lg_nodes"], """
-SELECT unnest(depends_on) AS parent, node_unique_id AS child FROM lg_nodes""")
+SELECT trial, unnest(depends_on) AS parent, node_unique_id AS child FROM lg_nodes""")
 
 _AGG = f"""
        count(status) AS n,
@@ -370,13 +372,15 @@ CASE WHEN COALESCE(any_failed, false) THEN 'failed'
 
 O.RECURSIVE.add("lg_reach")
 O.cte("lg_reach", ["lg_nodes", "lg_edges"], """
-SELECT node_unique_id AS root, node_unique_id AS node FROM lg_nodes WHERE resource_type = 'source'
+SELECT trial, node_unique_id AS root, node_unique_id AS node
+FROM lg_nodes WHERE resource_type = 'source'
 UNION
-SELECT r.root, e.child FROM lg_reach r JOIN lg_edges e ON e.parent = r.node""")
+SELECT r.trial, r.root, e.child
+FROM lg_reach r JOIN lg_edges e ON e.trial = r.trial AND e.parent = r.node""")
 O.cte("lg_applicable", ["lg_reach", "lg_nodes"], """
-SELECT s.node_name AS dataset, m.layer, m.node_unique_id AS node
-FROM lg_reach r JOIN lg_nodes s ON s.node_unique_id = r.root
-JOIN lg_nodes m ON m.node_unique_id = r.node
+SELECT r.trial, s.node_name AS dataset, m.layer, m.node_unique_id AS node
+FROM lg_reach r JOIN lg_nodes s ON s.trial = r.trial AND s.node_unique_id = r.root
+JOIN lg_nodes m ON m.trial = r.trial AND m.node_unique_id = r.node
 WHERE m.resource_type = 'model' AND m.layer IS NOT NULL""")
 O.cte("lg_per_layer", ["tm_ingestion", "lg_applicable", "tm_nodes"], f"""
 SELECT run_id, dataset, layer, {_AGG_VALUE} AS value
@@ -384,7 +388,8 @@ FROM (SELECT x.run_id, x.dataset, x.layer, {_AGG}
       FROM (SELECT r.run_id, r.dataset, a.layer, a.node, e.status
             FROM (SELECT run_id, split_part(source_table, '.', -1) AS dataset
                   FROM tm_ingestion) r
-            JOIN lg_applicable a USING (dataset)
+            JOIN lg_applicable a
+              ON a.dataset = r.dataset AND a.trial = starts_with(r.run_id, 'manual__')
             LEFT JOIN (SELECT orchestrator_run_id AS run_id, node_unique_id AS node, status
                        FROM tm_nodes) e
               ON e.run_id = r.run_id AND e.node = a.node) x
@@ -723,7 +728,8 @@ CROSS JOIN (SELECT max(CASE WHEN layer = 'staging' THEN v END) AS ly_staging,
                    max(CASE WHEN layer = 'analytics' THEN v END) AS ly_analytics
             FROM (SELECT layer, {_AGG_VALUE} AS v
                   FROM (SELECT n.layer, {_AGG}
-                        FROM tm_nodes e JOIN lg_nodes n USING (node_unique_id)
+                        FROM tm_nodes e JOIN lg_nodes n ON n.node_unique_id = e.node_unique_id
+                          AND n.trial = starts_with(e.orchestrator_run_id, 'manual__')
                         WHERE e.orchestrator_run_id = {target} AND n.layer IS NOT NULL
                         GROUP BY n.layer) a) b) y
 CROSS JOIN (SELECT CAST(count(*) FILTER (WHERE 'failed' IN (staging, intermediate, analytics,

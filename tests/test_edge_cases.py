@@ -291,3 +291,31 @@ def test_detail_ids_of_an_order_of_many_lines(spark):
         "1 as l_quantity", "1 as l_extendedprice", "0 as l_discount", "0 as l_tax",
         "'N' as l_returnflag", "'O' as l_linestatus", "date'2024-01-01' as l_shipdate")
     assert lines.select(detail_id()).distinct().count() == 250
+
+
+def test_each_run_has_its_own_graph(spark):
+    from starwright.operators.closure import graph_of_run, reachable
+    schema = "orchestrator_run_id string, node string, is_root boolean, depends_on array<string>"
+    chain = [("s", True, None), ("a", False, ["s"]), ("b", False, ["a", "gone"])]
+    cut = [("s", True, []), ("a", False, ["s"]), ("b", False, [])]
+    loop = [("s", True, None), ("a", False, ["s", "b"]), ("b", False, ["a"]), ("c", False, ["b"])]
+    rows = ([("1", *n) for n in chain] + [("2", *n) for n in reversed(chain)]
+            + [("3", *n) for n in cut] + [("4", *n) for n in loop] + [("4", *loop[0])])
+    nodes = spark.createDataFrame(rows, schema)
+    graphs = {r.orchestrator_run_id: r.graph for r in graph_of_run(nodes).collect()}
+    assert graphs["1"] == graphs["2"] and len(set(graphs.values())) == 3
+    named = nodes.where("orchestrator_run_id <> '2'").withColumnRenamed(
+        "orchestrator_run_id", "graph")
+    got = sorted(tuple(r) for r in reachable(named).collect())
+    assert got == [("1", "s", "a"), ("1", "s", "b"), ("1", "s", "s"), ("3", "s", "a"),
+                   ("3", "s", "s"), ("4", "s", "a"), ("4", "s", "b"), ("4", "s", "c"),
+                   ("4", "s", "s")]
+    assert reachable(named.limit(0)).count() == 0
+
+
+def test_deep_graphs_are_labelled_in_one_pass():
+    from starwright.operators.closure import labels
+    deep = {"n0": set(), **{f"n{i}": {f"n{i - 1}"} for i in range(1, 5000)}}
+    assert set(labels(deep, {"n0"}).values()) == {1}
+    wide = {"x": set(), "y": set(), "z": {"x", "y"}}
+    assert labels(wide, {"x", "y"}) == {"x": 1, "y": 2, "z": 3}
