@@ -435,7 +435,8 @@ def _profile_sql(model: str) -> str:
     nulls = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in cols)
     null_cols = " + ".join(
         f"CASE WHEN count(*) FILTER (WHERE {c} IS NULL) > 0 THEN 1 ELSE 0 END" for c in cols)
-    month = profile.month_column(model)
+    month = next((n for n, t in declared_columns(model)
+                  if "month" in n and t in ("date", "timestamp", "timestamp_ntz")), None)
     if month:
         actual = f"CAST(count(DISTINCT date_trunc('month', {month})) AS INTEGER)"
         mn, mx = (f"date_trunc('month', min({month}))", f"date_trunc('month', max({month}))")
@@ -474,10 +475,9 @@ _PROFILED = MODEL_LAYERS["analytics"]
 @register("final_table_profiles", O.sql(
     "\nUNION ALL\n".join(_profile_sql(m) for m in _PROFILED), *_PROFILED, "tm_tests", "tm_runs"))
 def final_table_profiles(spark, sf_dir):
-    """K-10 / A-11 … A-14: profile of every analytics model."""
+    """K-10 / S-14 / A-11 … A-14: profile of the latest manifest's analytics models."""
     wh, tm = Warehouse.from_driver(spark, sf_dir), _tm(spark, sf_dir)
-    return profile.final_table_profiles({m: wh.model(m) for m in _PROFILED}, tm.test_results,
-                                        tm.dbt_runs)
+    return profile.final_table_profiles(wh.model, tm.run_nodes, tm.test_results, tm.dbt_runs)
 
 
 assert set(_PROFILED) <= set(CONTRACTS)

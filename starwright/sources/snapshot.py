@@ -62,6 +62,48 @@ def read_source(spark: SparkSession, url: str, schema: str, table: str,
     return reader.load()
 
 
+def key_bounds(keys: DataFrame, column: str, ranges: int, accuracy: int = 10_000) -> list:
+    """Fewer than ``ranges`` bounds that cut ``column`` into ranges of about equal
+    numbers of rows, ascending and distinct, from a quantile sketch: one pass, a few
+    thousand values a task.  Each is off its rank by at most 1 / ``accuracy`` of all
+    rows.  A whole-number key that holds several ranges' rows (it comes up as several
+    bounds) gets a range of its own; without keys that are not null there are none."""
+    if ranges < 2:
+        return []
+    at = [i / ranges for i in range(1, ranges)]
+    found = keys.agg(F.percentile_approx(column, at, accuracy).alias("bounds")).first().bounds or []
+    hot = {b + 1 for a, b in zip(found, found[1:], strict=False) if a == b and int(b) == b}
+    return sorted({*found, *hot})
+
+
+def range_predicates(column: str, bounds: list) -> list[str]:
+    """SQL conditions, one for each range, that every row meets exactly once: null
+    keys go with the first range, a bound belongs to the range above it."""
+    if not bounds:
+        return ["1 = 1"]
+    text = [str(b) for b in bounds]
+    return ([f"{column} < {text[0]} OR {column} IS NULL"]
+            + [f"{column} >= {a} AND {column} < {b}"
+               for a, b in zip(text, text[1:], strict=False)]
+            + [f"{column} >= {text[-1]}"])
+
+
+def read_balanced(spark: SparkSession, url: str, schema: str, table: str,
+                  properties: dict[str, str], column: str, ranges: int = 64) -> DataFrame:
+    """The table read by ``ranges`` tasks of about equal numbers of rows, however its
+    numeric key ``column`` is spread.  The keys are read first, by equal steps between
+    their ends, for their quantiles."""
+    ends = spark.read.jdbc(
+        url, f"(SELECT min({column}) AS lo, max({column}) AS hi FROM {schema}.{table}) ends",
+        properties=properties).first()
+    if ends.lo is None:
+        return read_source(spark, url, schema, table, properties)
+    keys = read_source(spark, url, schema, table, properties, column, int(ends.lo),
+                       int(ends.hi) + 1, ranges).select(column)
+    return spark.read.jdbc(url, f"{schema}.{table}", properties=properties,
+                           predicates=range_predicates(column, key_bounds(keys, column, ranges)))
+
+
 def add_load_columns(df: DataFrame, schema: str, table: str, loaded_at: dt.datetime) -> DataFrame:
     return df.select(
         "*",
@@ -208,14 +250,25 @@ def mark_analytics_updated(freshness: DataFrame, run_id: str, at: dt.datetime) -
         .otherwise(F.col("analytics_updated_at")))
 
 
+# The numeric key of each source table.
+SOURCE_KEYS = {
+    "salesorderheader": "salesorderid", "salesorderdetail": "salesorderdetailid",
+    "customer": "customerid", "salesterritory": "territoryid", "store": "businessentityid",
+    "specialoffer": "specialofferid", "salesperson": "businessentityid",
+    "product": "productid", "person": "businessentityid", "employee": "businessentityid",
+}
+
+
 def jdbc_sources(spark: SparkSession, url: str, properties: dict[str, str],
-                 partitioning: dict[str, tuple[str, int, int, int]] | None = None
-                 ) -> dict[str, DataFrame]:
-    """The ten source tables as partitioned JDBC reads (lazy; nothing is
-    fetched until a snapshot is written).  ``partitioning`` maps a table to
-    ``(key column, lower bound, upper bound, partitions)``."""
+                 partitioning: dict[str, tuple[str, int, int, int]] | None = None,
+                 ranges: int = 64) -> dict[str, DataFrame]:
+    """The ten source tables as JDBC reads of ``ranges`` balanced key ranges; the rows
+    are fetched when a snapshot is written.  ``partitioning`` maps a table to ``(key
+    column, lower bound, upper bound, partitions)`` to be read by equal steps."""
     out = {}
     for schema, table in SOURCE_TABLES:
-        col, lo, hi, n = (partitioning or {}).get(table, (None, None, None, 1))
-        out[table] = read_source(spark, url, schema, table, properties, col, lo, hi, n)
+        given = (partitioning or {}).get(table)
+        out[table] = (read_source(spark, url, schema, table, properties, *given) if given else
+                      read_balanced(spark, url, schema, table, properties, SOURCE_KEYS[table],
+                                    ranges))
     return out

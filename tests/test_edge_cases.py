@@ -319,3 +319,49 @@ def test_deep_graphs_are_labelled_in_one_pass():
     assert set(labels(deep, {"n0"}).values()) == {1}
     wide = {"x": set(), "y": set(), "z": {"x", "y"}}
     assert labels(wide, {"x", "y"}) == {"x": 1, "y": 2, "z": 3}
+
+
+def test_profile_follows_the_schema_of_run_time(spark):
+    from starwright.plans import profile
+    rows = [(1, "a", None, dt.date(2024, 1, 5)), (1, None, "a", dt.date(2024, 1, 5)),
+            (1, "a", None, dt.date(2024, 1, 9)), (1, "a", None, dt.date(2024, 1, 5)),
+            (None, "b", "b", dt.date(2024, 4, 1)), (2, "", None, None)]
+    schema = "`a.b` int, s string, t string, some_month date"
+    df = spark.createDataFrame(rows, schema).withColumn("m", F.create_map(F.lit("k"), "s"))
+    wide = df.select("*", *(F.lit(None).cast("int").alias(f"n{i}") if i % 2 else
+                            F.lit(i).alias(f"n{i}") for i in range(70)))
+    for table, more in ((df, 0), (wide, 70)):
+        p = profile.table_profile("new_model", table).first()
+        assert (p.rows, p.columns, p.duplicate_rows) == (6, 5 + more, 1)
+        assert p.null_cells == 7 + more // 2 * 6 and p.null_columns == 4 + more // 2
+        assert (p.months_actual, p.months_expected, p.volume_anomaly) == (2, 4, "warning")
+    empty = profile.table_profile("new_model", df.limit(0)).first()
+    assert (empty.rows, empty.duplicate_rows, empty.null_cells, empty.months_expected) == (0,) * 4
+
+
+def test_latest_manifest_names_the_models(spark):
+    from starwright.plans import profile
+    nodes = spark.createDataFrame(
+        [("old", "fact", "model", "analytics"), ("new", "fact", "model", "analytics"),
+         ("new", "added", "model", "analytics"), ("new", "stg", "model", "staging"),
+         ("new", "raw", "source", None), ("unstored", "x", "model", "analytics")],
+        "orchestrator_run_id string, node_name string, resource_type string, layer string")
+    runs = spark.createDataFrame(
+        [("i1", "old", 1), ("i2", "new", 2), ("i3", "without manifest", 3)],
+        "invocation_id string, orchestrator_run_id string, collected_at int")
+    assert profile.latest_models(nodes, runs) == ["added", "fact"]
+
+
+def test_skewed_keys_give_even_ranges(spark):
+    from starwright.sources.snapshot import key_bounds, range_predicates
+    # half of the keys lie in the last thousandth of the key space, one holds a fifth
+    keys = (spark.range(4000).select(F.col("id") * 1000)
+            .union(spark.range(4000).select(F.col("id") + 4_000_000))
+            .union(spark.range(2000).select(F.lit(77)))
+            .union(spark.createDataFrame([(None,)] * 5, "id long"))).toDF("k")
+    parts = range_predicates("k", key_bounds(keys, "k", 10))
+    counts = [keys.where(p).count() for p in parts]
+    assert sum(counts) == keys.count() and max(counts) <= 2100 and len(counts) >= 9
+    assert sorted(counts)[:-1][-1] <= 1200
+    assert range_predicates("k", key_bounds(keys.limit(0), "k", 10)) == ["1 = 1"]
+    assert key_bounds(keys, "k", 1) == []
