@@ -170,17 +170,25 @@ def _blobs(rows: np.ndarray, fragment: np.ndarray) -> pa.RecordBatch:
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(row, n, key) for each row of ``docs``, written."""
+    """(id, n, key, mark of the row) for each row of ``docs``, written."""
     def start():
-        def step(ids: list, texts: list) -> list:
+        def step(ids: list, texts: list, marks: list) -> list:
             found = [shingles(t or "", size) for t in texts]
-            return [ids, [len(s) for s in found], [set_key(s) if len(s) else None for s in found]]
+            return [ids, [len(s) for s in found], [set_key(s) if len(s) else None for s in found],
+                    marks]
         return step
 
-    source = docs.select(F.col(id_col), F.col(text_col).cast("string"))
+    source = docs.select(F.col(id_col), F.col(text_col).cast("string"),
+                         _mark(id_col, text_col).alias("__mark"))
     kind = source.schema[0].dataType.simpleString()
-    return written(map_batches(source, f"`{id_col}` {kind}, n_shingles long, key long", start),
-                   "jaccard-sets")
+    return written(map_batches(
+        source, f"`{id_col}` {kind}, n_shingles long, key long, __mark long", start),
+        "jaccard-sets")
+
+
+def _mark(id_col: str, text_col: str) -> F.Column:
+    """A hash of id and text by which a row is found again, a null id's too."""
+    return F.xxhash64(F.col(id_col), F.col(text_col).cast("string"))
 
 
 def _hot_shingles(docs: DataFrame, text_col: str, size: int, percent: int, fragments: int
@@ -427,7 +435,8 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str, t
     fragment and summed."""
     pairs = written(pairs, "jaccard-pairs")
     wanted = pairs.select(F.col("x").alias("key")).union(pairs.select("y")).distinct()
-    first = classes.join(wanted, "key").select(F.col("first").alias(id_col))
+    # a row of each class; one that only shares its mark is cut as well and not asked for
+    marks = classes.join(wanted, "key").select("__mark")
 
     def cut(texts: list) -> Iterator[list]:
         for text in texts:
@@ -439,8 +448,8 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str, t
                 some = [f for f, b in enumerate(blobs) if b]
                 yield [[set_key(tokens)] * len(some), some, [blobs[f] for f in some]]
 
-    texts = _among(docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text")),
-                   first, id_col)
+    texts = _among(docs.select(_mark(id_col, text_col).alias("__mark"),
+                               F.col(text_col).cast("string").alias("__text")), marks, "__mark")
     parts = map_batches(texts.select("__text"), "key long, fragment long, tokens binary",
                         lambda: cut).dropDuplicates(["key", "fragment"])
     parts = written(parts, "jaccard-parts")
@@ -493,7 +502,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     are rows of their own; a null id never names a component, so one that links
     to nothing has a null component.  An empty table has no rows."""
     sets = _sets(docs, id_col, text_col, size)
-    classes = sets.where("n_shingles > 0").groupBy("key").agg(F.min(id_col).alias("first"))
+    classes = sets.where("n_shingles > 0").groupBy("key").agg(
+        F.min(id_col).alias("first"), F.min("__mark").alias("__mark"))
     total = sets.agg(F.sum("n_shingles").alias("n")).first()["n"] or 0
     fragments = max(1, total * (100 - percent) // 100 // FRAGMENT_ROWS)
     hot, huge = _hot_shingles(docs, text_col, size, percent, fragments)

@@ -329,3 +329,18 @@ def test_mix_takes_numbered_blocks(spark, monkeypatch):
         assert abs(sum(x.taken for x in mine) - mine[0].target) <= 1
     # scattered blocks, not one run: a long text gives several pieces
     assert max(len(x.pieces) for x in got if x.size == 1000) > 5
+
+
+def test_links_through_null_ids(spark):
+    words = [f"w{i}" for i in range(60)]
+    near = [" ".join(words), " ".join([*words[:-4], "x1", "x2", "x3", "x4"]),
+            " ".join(["y1", "y2", "y3", "y4", *words[4:-4], "x1", "x2", "x3", "x4"])]
+    far = [t.replace("w", "v") for t in near]
+    rows = [(1, near[0]), (None, near[1]), (None, near[1]), (2, near[2]),
+            (None, far[0]), (None, far[1]), (7, far[2]), (None, "alone among all the others here")]
+    want = brute_components(rows)
+    # the middle text links the others, which share too little without it
+    assert [c for i, _, c in want if i == 2] == [1]
+    assert [c for _, _, c in brute_components([rows[0], rows[3]])] == [1, 2]
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect()), key=str) == want
