@@ -333,8 +333,8 @@ def test_mix_takes_numbered_blocks(spark, monkeypatch):
 
 def test_links_through_null_ids(spark):
     words = [f"w{i}" for i in range(60)]
-    near = [" ".join(words), " ".join([*words[:-4], "x1", "x2", "x3", "x4"]),
-            " ".join(["y1", "y2", "y3", "y4", *words[4:-4], "x1", "x2", "x3", "x4"])]
+    tail, head = [f"x{i}" for i in range(5)], [f"y{i}" for i in range(5)]
+    near = [" ".join(x) for x in (words, [*words[:-5], *tail], [*head, *words[5:-5], *tail])]
     far = [t.replace("w", "v") for t in near]
     rows = [(1, near[0]), (None, near[1]), (None, near[1]), (2, near[2]),
             (None, far[0]), (None, far[1]), (7, far[2]), (None, "alone among all the others here")]
