@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEQ, WRITTEN = "seq", "written"
+MASK_BITS = 62
 
 
 def writes(*columns: str) -> Column:
@@ -32,10 +33,17 @@ def fold(log: DataFrame, keys: list[str], insert_only: tuple[str, ...] = ()) ->
     them, as an insert's columns that its update clause leaves out: where no row
     wrote one, the first row's value stands."""
     values = [c for c in log.columns if c not in (*keys, SEQ, WRITTEN)]
+    # the aggregation sorts its rows: a bit for each column instead of its name
+    masks = [sum((F.when(F.array_contains(WRITTEN, c), F.lit(1 << i)).otherwise(F.lit(0))
+                  .cast("bigint") for i, c in enumerate(values[at:at + MASK_BITS])),
+                 F.lit(0).cast("bigint")).alias(f"__wrote_{at // MASK_BITS}")
+             for at in range(0, len(values), MASK_BITS)]
+    log = log.select(*keys, SEQ, *values, *masks)
 
     def last(c: str) -> Column:
         # rows that don't write the column have no place in its order
-        wrote = F.when(F.array_contains(WRITTEN, c), F.col(SEQ))
+        at, bit = divmod(values.index(c), MASK_BITS)
+        wrote = F.when(F.getbit(f"__wrote_{at}", F.lit(bit)) == 1, F.col(SEQ))
         newest = F.max_by(F.struct(F.col(c).alias("v")), wrote)
         if c not in insert_only:
             return newest["v"].alias(c)
