@@ -13,9 +13,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, IntegralType
 
 # The declared keys and the columns that hold no nulls.
 PRIMARY = {
@@ -72,32 +74,44 @@ def key_violations(model: str, df: DataFrame, parents: Callable[[str], DataFrame
     """Rows of ``RESULT`` for the keys of a table: rows of a repeated or null primary
     key beyond the first, and rows with a foreign key that no parent has (a null
     one refers to nothing)."""
-    def pairs(rows: DataFrame, columns: list[tuple[str, str]], own: int) -> DataFrame:
-        made = F.array(*(F.struct(F.lit(name).alias("name"), F.col(c).cast("string").alias("key"))
-                         for name, c in columns))
-        return rows.select(F.inline(made)).select(
-            "name", "key", F.lit(own).alias("child"), F.lit(1 - own).alias("parent"))
-
     primary, foreign = PRIMARY.get(model), FOREIGN.get(model, {})
     declared = ([(f"{model}_{primary}_pk", primary)] if primary else []) \
         + [(f"{model}_{c}_fk", c) for c in foreign]
     if not declared:
         return df.sparkSession.createDataFrame([], RESULT)
-    both = pairs(df, declared, 1)
+    place = {name: i for i, (name, _) in enumerate(declared)}
+    sides = [(df, declared, 1)]
     for parent in sorted({p for p, _ in foreign.values()}):
-        named = [(f"{model}_{c}_fk", key) for c, (p, key) in foreign.items() if p == parent]
-        both = both.unionAll(pairs(parents(parent), named, 0))
-    counts = both.groupBy("name", "key").agg(
+        sides.append((parents(parent), [(f"{model}_{c}_fk", key)
+                                        for c, (p, key) in foreign.items() if p == parent], 0))
+    # whole numbers and dates stay fixed-width, which a hash aggregate keeps in place
+    types = {rows.schema[c].dataType for rows, columns, _ in sides for _, c in columns}
+    narrow = all(isinstance(t, IntegralType | DateType) for t in types)
+
+    def key(rows: DataFrame, c: str) -> Column:
+        if not narrow:
+            return F.col(c).cast("string")
+        dated = isinstance(rows.schema[c].dataType, DateType)
+        return (F.unix_date(c) if dated else F.col(c)).cast("bigint")
+
+    def pairs(rows: DataFrame, columns: list[tuple[str, str]], own: int) -> DataFrame:
+        made = F.array(*(F.struct(F.lit(place[name]).cast("tinyint").alias("place"),
+                                  key(rows, c).alias("key")) for name, c in columns))
+        return rows.select(F.inline(made)).select(
+            "place", "key", F.lit(own).alias("child"), F.lit(1 - own).alias("parent"))
+
+    both = reduce(DataFrame.unionAll, (pairs(*side) for side in sides))
+    counts = both.groupBy("place", "key").agg(
         F.sum("child").alias("child"), F.sum("parent").alias("parent"))
-    is_primary = F.col("name").endswith("_pk")
+    is_primary = F.col("place") == (0 if primary else -1)
     broken = F.when(is_primary & F.col("key").isNull(), F.col("child")) \
         .when(is_primary, F.col("child") - 1) \
         .when(F.col("key").isNotNull() & (F.col("parent") == 0), F.col("child")).otherwise(0)
-    found = counts.groupBy("name").agg(F.sum(broken).alias("violations"))
+    found = counts.groupBy("place").agg(F.sum(broken).alias("violations"))
     names = df.sparkSession.createDataFrame(
-        [(n, "primary_key" if n.endswith("_pk") else "foreign_key") for n, _ in declared],
-        "name string, kind string")
-    return names.join(found, "name", "left").select(
+        [(i, n, "primary_key" if n.endswith("_pk") else "foreign_key")
+         for n, i in place.items()], "place tinyint, name string, kind string")
+    return names.join(found, "place", "left").select(
         F.lit(model).alias("model"), F.col("name").alias("constraint_name"), "kind",
         F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations"))
 

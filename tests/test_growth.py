@@ -24,3 +24,18 @@ def test_folds_sort_a_bit_for_each_column_not_its_name(spark):
     assert fold(log, ["k"]).collect() == [(1, 5, None)]
     aggregates = [x for x in plan(fold(log, ["k"])).splitlines() if "Aggregate" in x]
     assert aggregates and not any("array_contains" in x for x in aggregates)
+
+
+def test_keys_stay_fixed_width(spark):
+    people = spark.createDataFrame([(1, 1), (2, 9), (None, 9)],
+                                   "sales_person_id long, territory_id int")
+    found = constraints.key_violations(
+        "dim_sales_person", people, lambda model: people.select("territory_id").where("false"))
+    assert "cast(sales_person_id" not in plan(found)
+    assert sorted(r.violations for r in found.collect()) == [1, 3]
+    # dates are days, any other type goes as text
+    for value, kind in ((dt.date(2024, 1, 1), "date"), ("x", "string")):
+        months = spark.createDataFrame([(value,), (value,), (None,)], f"sales_month {kind}")
+        found = constraints.key_violations("fact_sales_monthly", months, None).collect()
+        assert [(r.constraint_name, r.violations) for r in found] == [
+            ("fact_sales_monthly_sales_month_pk", 2)]
