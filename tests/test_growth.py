@@ -39,3 +39,28 @@ def test_keys_stay_fixed_width(spark):
         found = constraints.key_violations("fact_sales_monthly", months, None).collect()
         assert [(r.constraint_name, r.violations) for r in found] == [
             ("fact_sales_monthly_sales_month_pk", 2)]
+
+
+def test_a_cell_of_few_ids_is_few_words(spark):
+    lines = Warehouse.from_driver(spark, SMALL).fact_sales
+    made = C.cells(lines, ["territory_id"])
+    assert dict(made.dtypes)["bits"] == "bigint"
+    assert "SortAggregate" not in plan(made)
+    assert made.count() <= 3 * lines.count()
+    edges = spark.createDataFrame([(i, 0, None) for i in (-1, -64, -65, 0, 63, 64, 2 ** 62, 63)],
+                                  "sales_order_id long, customer_id long, product_id long") \
+        .select("*", F.lit(1).alias("order_quantity"), F.lit(2).cast("decimal(19,4)")
+                .alias("unit_price"), F.lit(3).cast("decimal(19,4)").alias("net_amount"))
+    got = M.totals(edges).first()
+    assert (got.orders, got.active_customers, got.products_sold, got.units) == (7, 1, 0, 8)
+
+
+def test_members_are_counted_without_expanding_lines(spark):
+    lines = M.sales_lines(Warehouse.from_driver(spark, SMALL).fact_sales)
+    assert "Expand" not in plan(M.by(lines, ["sales_person_id"]))
+    want = lines.groupBy("sales_person_id").agg(
+        F.count_distinct("sales_order_id"), F.count_distinct("customer_id"),
+        F.count_distinct("product_id"), F.count(F.lit(1))).collect()
+    got = M.by(lines, ["sales_person_id"]).select(
+        "sales_person_id", "orders", "active_customers", "products_sold", "line_count").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str)
