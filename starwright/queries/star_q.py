@@ -48,9 +48,8 @@ SELECT sales_order_detail_id, customer_name, product_name, net_amount
 FROM mart_sales_details ORDER BY sales_order_detail_id LIMIT 10""", "mart_sales_details"))
 def mart_preview(spark, sf_dir):
     """O-6: the documented ``limit 10`` preview of the mart (top-k by id)."""
-    mart = Warehouse.from_driver(spark, sf_dir).mart_sales_details
-    return (mart.select("sales_order_detail_id", "customer_name", "product_name", "net_amount")
-            .orderBy("sales_order_detail_id").limit(10))
+    return Warehouse.from_driver(spark, sf_dir).mart_preview(10).select(
+        "sales_order_detail_id", "customer_name", "product_name", "net_amount")
 
 
 # ----------------------------------------------------------------- staging

@@ -64,3 +64,14 @@ def test_members_are_counted_without_expanding_lines(spark):
     got = M.by(lines, ["sales_person_id"]).select(
         "sales_person_id", "orders", "active_customers", "products_sold", "line_count").collect()
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str)
+
+
+def test_lines_are_dealt_out_once_and_a_preview_writes_no_mart(spark):
+    wh = Warehouse.from_driver(spark, SMALL, loaded_at="2001-08-03 06:00:00")
+    preview = wh.mart_preview(10).collect()
+    assert not {"mart_sales_details", "fact_sales", "stg_salesorderdetail"} & set(wh.materialized)
+    items = plan(wh._build_int_sales_order_items())
+    assert items.count("Window") == 1 and "starwright-tables" not in items
+    order = "sales_order_detail_id"
+    assert preview == wh.mart_sales_details.orderBy(order).limit(10).collect()
+    assert preview == wh.mart_preview(10).collect()
