@@ -8,6 +8,7 @@ from starwright.operators import constraints
 from starwright.operators.runlog import fold
 from starwright.plans import cells as C
 from starwright.plans import measures as M
+from starwright.plans import star
 from starwright.plans.warehouse import Warehouse
 
 SMALL = "/root/testdata/sf0.001"
@@ -75,3 +76,43 @@ def test_lines_are_dealt_out_once_and_a_preview_writes_no_mart(spark):
     order = "sales_order_detail_id"
     assert preview == wh.mart_sales_details.orderBy(order).limit(10).collect()
     assert preview == wh.mart_preview(10).collect()
+
+
+def test_lines_go_packed_and_come_back_whole(spark):
+    money = "decimal(19,4)"
+    lines = spark.sql(f"""
+        SELECT id, CAST(q AS SMALLINT) AS order_quantity, CAST(p AS {money}) AS unit_price,
+               CAST(d AS {money}) AS unit_price_discount, CAST(g AS {money}) AS gross_amount,
+               CAST(i AS {money}) AS discount_amount, CAST(n AS {money}) AS net_amount
+        FROM VALUES (1, 3, 2.5, 0.1, 7.5, 0.75, 6.75), (2, 3, 2.5, 0.1, 7.5, 0.75, 6.74),
+             (3, 3, 2.5, 12, 7.5, 90, -82.5), (4, NULL, 2.5, 0.1, NULL, NULL, NULL),
+             (5, 3, NULL, 0.1, NULL, NULL, 1), (6, 3, 999999999999999.9999, 0, 1, 2, 3),
+             (7, 30000, 99999999999999.9999, 0, NULL, NULL, NULL),
+             (8, 3, 2.5, NULL, 7.5, NULL, NULL) AS t(id, q, p, d, g, i, n)""")
+    packed = star.packed_lines(lines)
+    assert {r.id for r in packed.where("__own IS NOT NULL").collect()} == {2, 5, 6, 7}
+    back = packed.alias("f").select("id", "order_quantity", *(
+        c.alias(name) for name, c in star.line_money("f").items()))
+    assert back.schema.simpleString() == lines.schema.simpleString()
+    assert back.orderBy("id").collect() == lines.orderBy("id").collect()
+
+
+def test_the_mart_deals_lines_out_by_customer_and_product_only(spark):
+    wh = Warehouse.from_driver(spark, SMALL)
+    fact = wh.fact_sales
+    dims = [wh.model(m) for m in ("dim_product", "dim_customer", "dim_sales_person",
+                                  "dim_sales_territory", "dim_special_offer")]
+    keys = ["spark.sql.autoBroadcastJoinThreshold",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = [spark.conf.get(k) for k in keys]
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        made = wh._mart_over(fact)
+        dealt = [x for x in plan(made).splitlines() if "Exchange hashpartitioning(" in x]
+        assert not any("hashpartitioning(sales_person_id" in x for x in dealt)
+        rows = made.exceptAll(star.mart_sales_details(fact, *dims)).count()
+        assert (rows, made.count()) == (0, fact.count())
+    finally:
+        for k, v in zip(keys, before, strict=True):
+            spark.conf.set(k, v)
