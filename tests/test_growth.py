@@ -116,3 +116,25 @@ def test_the_mart_deals_lines_out_by_customer_and_product_only(spark):
     finally:
         for k, v in zip(keys, before, strict=True):
             spark.conf.set(k, v)
+
+
+def test_small_columns_go_as_words_and_come_back_whole(spark):
+    lines = spark.sql("""
+        SELECT id, CAST(s AS SMALLINT) AS order_status, o AS is_online_order,
+               CAST(f AS INT) AS special_offer_id, CAST(t AS INT) AS territory_id,
+               CAST(a AS INT) AS order_date_id, CAST(b AS INT) AS due_date_id
+        FROM VALUES (1, 5, true, 3, 24, 19980206, 19980218),
+                    (2, 127, false, 16777215, 16777215, 0, 99991231),
+                    (3, 128, true, 1, 1, 1, 1), (4, 1, NULL, 1, 1, 1, 1),
+                    (5, 1, true, 1, NULL, 1, 1), (6, 1, true, -1, 1, 1, 1),
+                    (7, 1, true, 1, 1, -5, 2147483647), (8, 0, false, 0, 0, 0, NULL)
+        AS t(id, s, o, f, t, a, b)""")
+    packed = star.packed_words(lines)
+    got = {r[0]: (r[1], r[2]) for r in packed.selectExpr(
+        "id", "__small_own IS NOT NULL", "__days_own IS NOT NULL").collect()}
+    assert [i for i, own in got.items() if own[0]] == [3, 4, 5, 6]
+    assert [i for i, own in got.items() if own[1]] == [7, 8]
+    back = packed.alias("f").select("id", *(
+        c.alias(name) for name, c in star.line_columns("f").items()))
+    assert back.dtypes == lines.dtypes
+    assert back.orderBy("id").collect() == lines.orderBy("id").collect()
