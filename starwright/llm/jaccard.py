@@ -60,6 +60,8 @@ CROSS_PAIRS = 500_000
 PAIRS_LEFT, SHARE_LEFT = 2, 0.9
 VERIFY_FRAGMENTS = 4
 FILTER_BITS = 23
+#: Bits of a class' bitmap; it rules out little where sets have more than so many shingles.
+PARITY_BITS = 1024
 #: Bytes of text hashed at a time.
 STRIDE = 1 << 18
 
@@ -133,6 +135,13 @@ def set_key(tokens: np.ndarray) -> int:
     return int(h.view(np.int64)[0])
 
 
+def parities(tokens: np.ndarray) -> bytes:
+    """A bit for each value of a shingle's low bits: whether the set holds an odd
+    number of such shingles."""
+    low = (tokens & np.uint64(PARITY_BITS - 1)).astype(np.int64)
+    return np.packbits(np.bincount(low, minlength=PARITY_BITS) & 1).tobytes()
+
+
 def need(n: np.ndarray | int, percent: int):
     """The least overlap with any set that reaches the threshold."""
     return -(-percent * n // 100)
@@ -170,19 +179,20 @@ def _blobs(rows: np.ndarray, fragment: np.ndarray) -> pa.RecordBatch:
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(id, n, key, mark of the row) for each row of ``docs``, written."""
+    """(id, n, key, parities, mark of the row) for each row of ``docs``, written."""
     def start():
         def step(ids: list, texts: list, marks: list) -> list:
             found = [shingles(t or "", size) for t in texts]
             return [ids, [len(s) for s in found], [set_key(s) if len(s) else None for s in found],
-                    marks]
+                    [parities(s) if len(s) else None for s in found], marks]
         return step
 
     source = docs.select(F.col(id_col), F.col(text_col).cast("string"),
                          _mark(id_col, text_col).alias("__mark"))
     kind = source.schema[0].dataType.simpleString()
     return written(map_batches(
-        source, f"`{id_col}` {kind}, n_shingles long, key long, __mark long", start),
+        source, f"`{id_col}` {kind}, n_shingles long, key long, parities binary, __mark long",
+        start),
         "jaccard-sets")
 
 
@@ -350,31 +360,47 @@ def _hub_pairs(labelled: DataFrame, percent: int, seed: int) -> DataFrame:
         F.greatest("w", "hub.w").alias("partial"))
 
 
-def _cross_pairs(labelled: DataFrame, percent: int, parts: int) -> DataFrame:
-    """All pairs of classes of different components that share a bucket."""
+def _cross_pairs(labelled: DataFrame, classes: DataFrame, percent: int, parts: int) -> DataFrame:
+    """All pairs of classes of different components that share a bucket and whose
+    bitmaps (``parities`` of ``classes``) leave room for the threshold."""
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(batches).sort_values(["bucket", "root"], kind="stable")
+        rows = pd.concat(batches)
+        own = rows["parities"].notna()
+        known = rows[own].sort_values("key")
+        bits = np.frombuffer(b"".join(known["parities"]), "u8").reshape(len(known), -1)
+        rows = rows[~own].sort_values(["bucket", "root"], kind="stable")
         bucket, key, n, root, w = (rows[c].to_numpy() for c in ("bucket", "key", "n", "root", "w"))
+        at = np.searchsorted(known["key"].to_numpy(), key)
         starts = np.flatnonzero(np.diff(bucket, prepend=~bucket[:1]))
         made, held = [], 0
         for start, end in zip(starts, np.append(starts[1:], len(rows)), strict=True):
             firsts = start + np.flatnonzero(np.diff(root[start:end], prepend=~root[start]))
             for a, b in zip(firsts, np.append(firsts[1:], end), strict=True):
-                others = np.arange(b, end)
-                for i in range(a, b) if len(others) else ():
-                    use = others[_similar_sizes(n[i], n[others], percent)]
-                    if len(use):
-                        made.append(_pairs(np.full(len(use), key[i]), key[use],
-                                           np.full(len(use), n[i]), n[use],
-                                           np.maximum(w[i], w[use])))
-                        held += len(use)
-                    if held >= PAIR_ROWS:
-                        yield _frame(made)
-                        made, held = [], 0
+                for i in range(a, b) if b < end else ():
+                    for c in range(b, end, PAIR_ROWS):
+                        use = np.arange(c, min(c + PAIR_ROWS, end))
+                        use = use[_similar_sizes(n[i], n[use], percent)]
+                        apart = np.bitwise_count(bits[at[use]] ^ bits[at[i]]).sum(
+                            axis=1, dtype=np.int64)
+                        use = use[(n[i] + n[use] - apart) // 2 >= overlap(n[i], n[use], percent)]
+                        if len(use):
+                            made.append(_pairs(np.full(len(use), key[i]), key[use],
+                                               np.full(len(use), n[i]), n[use],
+                                               np.maximum(w[i], w[use])))
+                            held += len(use)
+                        if held >= PAIR_ROWS:
+                            yield _frame(made)
+                            made, held = [], 0
         yield _frame(made)
 
-    return (labelled.withColumn("part", F.pmod(F.xxhash64("bucket"), F.lit(parts)))
-            .groupBy("part").applyInPandas(meet, _PAIRS))
+    dealt = labelled.select(F.pmod(F.xxhash64("bucket"), F.lit(parts)).alias("part"),
+                            "bucket", "key", "n", "root", "w", F.lit(None).cast("binary")
+                            .alias("parities"))
+    none = F.lit(0).cast("long")
+    own = (dealt.select("part", "key").distinct().join(classes.select("key", "parities"), "key")
+           .select("part", none.alias("bucket"), "key", none.alias("n"), none.alias("root"),
+                   none.alias("w"), "parities"))
+    return dealt.unionByName(own).groupBy("part").applyInPandas(meet, _PAIRS)
 
 
 def _unsettled(shared: DataFrame, roots: DataFrame) -> tuple[DataFrame, int]:
@@ -503,7 +529,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     to nothing has a null component.  An empty table has no rows."""
     sets = _sets(docs, id_col, text_col, size)
     classes = sets.where("n_shingles > 0").groupBy("key").agg(
-        F.min(id_col).alias("first"), F.min("__mark").alias("__mark"))
+        F.min(id_col).alias("first"), F.min("__mark").alias("__mark"),
+        F.min("parities").alias("parities"))
     total = sets.agg(F.sum("n_shingles").alias("n")).first()["n"] or 0
     fragments = max(1, total * (100 - percent) // 100 // FRAGMENT_ROWS)
     hot, huge = _hot_shingles(docs, text_col, size, percent, fragments)
@@ -523,7 +550,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             shared, left = _unsettled(shared, roots)
             last = left <= PAIRS_LEFT * rows or left > SHARE_LEFT * before
         if last:
-            partial = _cross_pairs(shared, percent, 1 + int(left) // CROSS_PAIRS)
+            partial = _cross_pairs(shared, classes, percent, 1 + int(left) // CROSS_PAIRS)
         else:
             partial = _hub_pairs(shared, percent, step)
         pairs = _candidates(partial, percent)

@@ -344,3 +344,36 @@ def test_links_through_null_ids(spark):
     assert [c for _, _, c in brute_components([rows[0], rows[3]])] == [1, 2]
     got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(map(tuple, got.collect()), key=str) == want
+
+
+def test_pairs_too_far_apart_are_not_verified(spark, monkeypatch):
+    r = random.Random(8)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(40):  # most pairs share much of their prefixes, few reach the threshold
+        w = list(base)
+        for at in r.sample(range(200), 6):
+            w[at] = f"z{i}x{at}"
+        rows.append((i, " ".join(w)))
+    asked, links = [], jaccard._links
+
+    def counted(pairs, *rest):
+        asked.append(pairs.count())
+        return links(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "_links", counted)
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = brute_components(rows)
+    assert sorted(map(tuple, got.collect()), key=str) == want
+    assert len({c for _, _, c in want}) > 30
+    assert sum(asked) < 100  # of 780
+
+
+def test_parities_bound_the_overlap():
+    r = np.random.Generator(np.random.PCG64(3))
+    for _ in range(200):
+        a, b, c = (r.integers(0, 1 << 64, r.integers(0, 900), np.uint64) for _ in range(3))
+        x, y = np.unique(np.concatenate([a, c])), np.unique(np.concatenate([b, c]))
+        p, q = (np.frombuffer(jaccard.parities(s), "u8") for s in (x, y))
+        apart = int(np.bitwise_count(p ^ q).sum())
+        assert len(np.intersect1d(x, y)) <= (len(x) + len(y) - apart) // 2
