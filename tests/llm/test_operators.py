@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -175,6 +176,21 @@ def test_lm(docs, empty):
     assert gru_lm.score_documents(docs, F.lit(False)).count() == len(ROWS)
 
 
+def test_lm_places_words_as_the_pattern_finds_them():
+    """Words are looked up a batch at a time, only those outside the head one by one."""
+    r = random.Random(9)
+    texts = ["".join(r.choice("ab \t\n\x0b\x0c\r\x1c\x1f\x85\xa0\u2003\u6f22\x00")
+                     for _ in range(r.randint(0, 30))) for _ in range(500)] + ["", " ", "a"]
+    head = ["a", "ab", "\u6f22"]
+    owner, place, flat = gru_lm.placed(texts, pa.array(head, pa.large_string()))
+    found = [re.findall(r"[^\x20\x09-\x0D]+", t) for t in texts]
+    words = [w for ws in found for w in ws]
+    assert flat.to_pylist() == words
+    assert place.tolist() == [head.index(w) if w in head else -1 for w in words]
+    assert [x.tolist() for x in gru_lm._each(place, owner, len(texts))] == [
+        [head.index(w) if w in head else -1 for w in ws] for ws in found]
+
+
 def test_personal_data(docs, empty):
     found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans if s.base]
              for r in pii.find_personal_data(docs).collect()}
