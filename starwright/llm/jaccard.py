@@ -23,6 +23,10 @@ prefix shingle and are still in different components meet.  So no link between
 components is ever missed, and a group of thousands of near copies that hubs
 hold together stays linear.
 
+Each class has a bitmap of the parities of its shingles' counts by their low bits.
+Two bitmaps differ in at most as many bits as the sets have shingles apart, which
+bounds the overlap from above: the last round hands on the pairs that this leaves.
+
 Buckets with one component left need no further meeting and go after each round.
 Shingles, classes and pairs are 64-bit hashes: two different ones among N
 coincide with probability below N squared / 2 ** 65.
