@@ -138,3 +138,17 @@ def test_small_columns_go_as_words_and_come_back_whole(spark):
         c.alias(name) for name, c in star.line_columns("f").items()))
     assert back.dtypes == lines.dtypes
     assert back.orderBy("id").collect() == lines.orderBy("id").collect()
+
+
+def test_a_profile_deals_out_one_hash_of_a_line(spark):
+    from starwright.plans import profile
+    lines = spark.range(1000).selectExpr("id", "CAST(NULL AS STRING) AS s", "id % 7 AS k")
+    made = profile.table_profile("t", lines)
+    dealt = [x for x in plan(made).splitlines() if "Exchange hashpartitioning(" in x]
+    assert not any("__g" in x or "__mask" in x for x in dealt)
+    assert (made.first().rows, made.first().duplicate_rows, made.first().null_cells) == \
+        (1000, 0, 1000)
+    # nulls in other places and rows that occur more often than twice
+    some = spark.createDataFrame([("a", None), (None, "a"), ("a", None), ("a", None),
+                                  (None, None), (None, None), ("b", None)], "s string, t string")
+    assert profile.table_profile("t", some).first().duplicate_rows == 3
