@@ -23,11 +23,14 @@ exact: Spark sums them by the phrases themselves.
 
 from __future__ import annotations
 
-import gc
 import zlib
+from collections import Counter
+from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,8 +43,10 @@ LONGEST = 5
 WIDER = 16
 #: Bits of the bitmap: four for each slot, 16 slots a phrase, within these limits.
 MIN_SLOTS, MAX_SLOTS = 1 << 18, 1 << 26
-#: Entries that a task counts before it hands them on, and that it remembers.
-COUNTED, REMEMBERED = 200_000, 300_000
+#: Words that a task counts before it hands them on.
+COUNTED = 200_000
+#: Bytes of texts of a language that a task counts at a time.
+TOGETHER = 4 << 20
 
 #: Shares of a language that are ranked apart.
 SPREAD = 64
@@ -67,27 +72,44 @@ def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
 
 
+def _words_of(batches) -> Iterator[tuple[str, list[bytes]]]:
+    """The words of the texts of one language, some ``TOGETHER`` bytes at a time, with a
+    full stop before and after each piece."""
+    for batch in batches:
+        waiting: dict[str, list[bytes]] = {}
+        sizes: dict[str, int] = {}
+        for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            waiting.setdefault(lang, []).append(text)
+            sizes[lang] = sizes.get(lang, 0) + len(text)
+            if sizes[lang] >= TOGETHER:
+                yield lang, _split(waiting.pop(lang))
+                sizes[lang] = 0
+        for lang, some in waiting.items():
+            yield lang, _split(some)
+
+
+def _split(texts: list[bytes]) -> list[bytes]:
+    return b".".join([b"", *texts, b""]).translate(PIECES).replace(b".", b" . ").split()
+
+
 def word_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``lang``, ``word`` and ``f``: how often each word occurs in each language."""
     def run(batches):
-        held: dict[tuple[str, bytes], int] = {}
-        for batch in batches:
-            for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for word in text.translate(PIECES).replace(b".", b" ").split():
-                    key = lang, word
-                    held[key] = held.get(key, 0) + 1
-                if len(held) >= COUNTED:
-                    yield _counted(held)
-                    held = {}
-        if held:
-            yield _counted(held)
-
-    def _counted(held: dict) -> pa.RecordBatch:
-        langs, found = zip(*held, strict=True)
+        held: dict[str, Counter] = {}
+        for lang, ws in _words_of(batches):
+            held.setdefault(lang, Counter()).update(ws)
+            if sum(map(len, held.values())) >= COUNTED:
+                yield from map(_counted, held.items())
+                held = {}
+        yield from map(_counted, held.items())
+
+    def _counted(held: tuple[str, Counter]) -> pa.RecordBatch:
+        lang, counts = held
+        counts.pop(b".", None)
         return pa.RecordBatch.from_pydict({
-            "lang": pa.array(langs, pa.string()),
-            "word": pa.array([w.decode() for w in found], pa.string()),
-            "f": pa.array(held.values(), pa.int64())})
+            "lang": pa.array([lang] * len(counts), pa.string()),
+            "word": pa.array(list(counts), pa.binary()).cast(pa.string()),
+            "f": pa.array(list(counts.values()), pa.int64())})
 
     return _texts(docs, text_col, lang_col).mapInArrow(
         run, "lang string, word string, f long").groupBy("lang", "word").agg(F.sum("f").alias("f"))
@@ -98,18 +120,17 @@ def _slot(slots: int, phrase: str = "phrase") -> F.Column:
     return F.crc32(F.concat("lang", F.lit("\n"), phrase).cast("binary")) % slots
 
 
-class _Bits(dict):
+class _Bits:
     """The four bits of the phrases of a language, from the shared bitmap."""
 
     def __init__(self, lang: str, bitmap: bytes, slots: int):
-        super().__init__()
         self.bitmap, self.slots = np.frombuffer(bitmap, np.uint8), slots
         self.seed = zlib.crc32(f"{lang}\n".encode())
 
-    def __missing__(self, phrase: bytes) -> int:
-        slot = zlib.crc32(phrase, self.seed) % self.slots
-        found = self[phrase] = int(self.bitmap[slot >> 1] >> (4 * (slot & 1))) & 15
-        return found
+    def of(self, phrases: pa.Array) -> np.ndarray:
+        hashes = map(zlib.crc32, phrases.to_numpy(zero_copy_only=False), repeat(self.seed))
+        slot = np.fromiter(hashes, np.uint32, len(phrases)) % np.uint32(self.slots)
+        return self.bitmap[slot >> 1] >> (4 * (slot & 1)).astype(np.uint8) & 15
 
 
 def bitmap_of(marks: DataFrame, slots: int) -> bytes:
@@ -137,23 +158,13 @@ def count_phrases(docs: DataFrame, bitmap: bytes, slots: int, text_col: str = "t
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches):
-        gc.disable()                 # counting makes many lists and no cycles
-        known: dict[str, _Bits] = {}
-        held: dict[str, dict] = {}
-        for batch in batches:
-            for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if lang not in known:
-                    known[lang] = _Bits(lang, shared.value, slots)
-                ws = text.translate(PIECES).replace(b".", b" . ").split()
-                ws.append(b".")
-                _count_text(ws, known[lang], held.setdefault(lang, {}))
-                if sum(map(len, held.values())) >= COUNTED:
-                    yield _found(held)
-                    held = {}
-                if sum(map(len, known.values())) >= REMEMBERED:
-                    known = {}
-        gc.enable()
-        yield _found(held)
+        for lang, ws in _words_of(batches):
+            for phrases, f, before, after in _phrases(ws, _Bits(lang, shared.value, slots)):
+                texts = [c.cast(pa.string()) for c in (phrases, before, after)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(f), pa.string()), texts[0],
+                     pa.array(f, pa.int64()), *texts[1:]],
+                    names=["lang", "phrase", "f", "before", "after"])
 
     counted = _texts(docs, text_col, lang_col).mapInArrow(
         run, "lang string, phrase string, f long, before string, after string").select(
@@ -174,49 +185,52 @@ def count_phrases(docs: DataFrame, bitmap: bytes, slots: int, text_col: str = "t
                                           F.lit(False)).alias("closed"))
 
 
-def _count_text(ws: list[bytes], bits: _Bits, held: dict) -> None:
-    """Adds the phrases of a text's words, a full stop after each piece, to ``held``:
-    [count, word before, word after], where a full stop or None stands for the end
-    of a piece or for different words."""
-    bits[b"."] = 0
-    flags = bytes(map(bits.__getitem__, ws))
-    seen = np.frombuffer(flags, np.uint8)
-    begins = FOLLOWED | GROWING
-    for i in np.flatnonzero((seen[:-1] & begins != 0) & (seen[1:] & USABLE != 0)).tolist():
-        flag, phrase, j = flags[i], ws[i], i + 1
-        while flag & begins and j - i < LONGEST and flags[j] & USABLE:
-            grown = flag & GROWING
-            phrase = phrase + b" " + ws[j]
-            flag = bits[phrase] if flag & FOLLOWED else 0
-            if grown and j - i >= WHOLE:
-                flag |= GROWING
-            j += 1
-            if grown or flag & COUNTING:
-                own = held.get(phrase)
-                if own is None:
-                    held[phrase] = [1, ws[i - 1] if i else None, ws[j]]
-                else:
-                    own[0] += 1
-                    if own[1] and own[1] != (ws[i - 1] if i else None):
-                        own[1] = None
-                    if own[2] != ws[j]:
-                        own[2] = None
-
-
-def _found(held: dict[str, dict]) -> pa.RecordBatch:
-    """The counted phrases as a batch; the words beside them go as they are."""
-    langs: list[str] = []
-    phrases: list[bytes] = []
-    counted: list[list] = []
-    for lang, some in held.items():
-        langs += [lang] * len(some)
-        phrases += some
-        counted += some.values()
-    f, before, after = zip(*counted, strict=True) if counted else ((), (), ())
-    texts = [pa.array(c, pa.binary()).cast(pa.string()) for c in (phrases, before, after)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(langs, pa.string()), texts[0], pa.array(f, pa.int64()), *texts[1:]],
-        names=["lang", "phrase", "f", "before", "after"])
+def _phrases(ws: list[bytes], bits: _Bits) -> Iterator[tuple]:
+    """The counted phrases among words with a full stop before and after each piece, those of
+    each length at once: phrases, counts, the words before and after them (binary, null
+    where they differ or where a piece begins or ends).
+
+    A phrase is numbered by its beginning's number and its last word's, so a sort of
+    numbers brings its occurrences together; only distinct ones become texts."""
+    held = pa.array(ws, pa.binary()).dictionary_encode()
+    code, names = held.indices.to_numpy().astype(np.int64), held.dictionary
+    stop, begins = code[0], FOLLOWED | GROWING
+    flags = bits.of(names)
+    flags[stop] = 0
+    flags = flags[code]
+    at = np.flatnonzero((flags[:-1] & begins != 0) & (flags[1:] & USABLE != 0))
+    phrases, number, flag = names, code[at], flags[at]
+    for length in range(2, LONGEST + 1):
+        going = (flag & begins != 0) & (flags[at + length - 1] & USABLE != 0)
+        at, number, flag = at[going], number[going], flag[going]
+        if not len(at):
+            return
+        last = code[at + length - 1]
+        key = number * len(names) + last
+        order = np.argsort(key)
+        key = key[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        one = order[first]                       # an occurrence of each phrase
+        phrases = pc.binary_join_element_wise(
+            phrases.take(pa.array(number[one])), names.take(pa.array(last[one])), b" ")
+        grown, marked = flag[one] & GROWING != 0, np.zeros(len(one), np.uint8)
+        followed = np.flatnonzero(flag[one] & FOLLOWED)
+        marked[followed] = bits.of(phrases.take(pa.array(followed)))
+        if length > WHOLE:
+            marked[grown] |= GROWING
+        counted = np.flatnonzero(grown | (marked & COUNTING != 0))
+        if len(counted):
+            beside = []
+            for words in (code[at[order] - 1], code[at[order] + length]):
+                least, most = (same.reduceat(words, first)[counted]
+                               for same in (np.minimum, np.maximum))
+                beside.append(names.take(pa.array(
+                    least, mask=(least != most) | (least == stop))))
+            yield (phrases.take(pa.array(counted)),
+                   np.diff(first, append=len(order))[counted], *beside)
+        number = np.empty(len(order), np.int64)
+        number[order] = np.repeat(np.arange(len(first)), np.diff(first, append=len(order)))
+        flag = marked[number]
 
 
 def _length(phrase: str = "phrase") -> F.Column:

@@ -3,9 +3,11 @@
 import itertools
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from starwright.llm import collocations, filter_audit, kernel_quality
@@ -272,3 +274,27 @@ def test_quality_without_a_class(spark):
         assert {x.score for x in kernel_quality.score_quality(docs, model).collect()} == {want}
     model = kernel_quality.fit_quality(make_docs(spark, []), none)
     assert kernel_quality.score_quality(make_docs(spark, []), model).count() == 0
+
+
+def test_phrases_are_counted_together_not_one_by_one():
+    slots = 1 << 12
+    made = bytearray(slots // 2)
+    for phrase, bit in ((b"a", 0), (b"b", 0), (b"c", 0), (b"a", 2), (b"b", 1), (b"b c", 3),
+                        (b"a b c", 2)):
+        slot = zlib.crc32(phrase, zlib.crc32(b"en\n")) % slots
+        made[slot >> 1] |= 1 << (bit + 4 * (slot & 1))
+    bits = collocations._Bits("en", bytes(made), slots)
+
+    def counted(*texts):
+        batch = pa.record_batch({"lang": ["en"] * len(texts),
+                                 "text": pa.array(texts, pa.binary())})
+        (_, ws), = collocations._words_of([batch])
+        return {p: (f, b, a) for found in collocations._phrases(ws, bits)
+                for p, f, b, a in zip(*(list(c) if isinstance(c, np.ndarray) else c.to_pylist()
+                                        for c in found), strict=True)}
+
+    # nothing stands beside a phrase where its piece begins or ends, or where words differ
+    assert counted(b"A b C. a b x", b"", b"b c\na b", b"z a b c a") == {
+        b"a b": (4, None, None), b"b c": (3, None, None)}
+    assert counted(b"q b c d", b"x, q B C e") == {b"b c": (2, b"q", None)}
+    assert counted(b"", b"...") == counted(b"x") == {}
