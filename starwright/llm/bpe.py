@@ -11,7 +11,7 @@ Within a bucket the leftmost offset goes first, which is the order that the
 rank files are defined by.
 
 Spark distributes the documents; a task encodes its rows one by one with
-bounded caches of what it has already merged.
+a bounded cache of what it has already merged.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Callable
+from functools import cached_property
 from heapq import heappop, heappush
 from itertools import chain
 
@@ -26,10 +27,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starwright.llm.common import map_batches
+from starwright.llm.common import kept, map_batches
 
-#: Entries of each generation of a cache of a task's process.
-CACHE_ENTRIES = 500_000
+#: Entries of each generation of the cache of a task's process.
+CACHE_ENTRIES = 1_000_000
 #: Ids that a task gathers before it hands rows on.
 IDS_HELD = 200_000
 #: Longer strings are merged each time and not kept.
@@ -113,13 +114,13 @@ class Cache:
     def __init__(self, entries: int = CACHE_ENTRIES):
         self.entries, self.young, self.old = entries, {}, {}
 
-    def kept(self, key: str) -> tuple[int, ...] | None:
+    def kept(self, key: str | bytes) -> tuple[int, ...] | None:
         found = self.old.get(key)
         if found is not None:
             self.keep(key, found)
         return found
 
-    def keep(self, key: str, value: tuple[int, ...]) -> None:
+    def keep(self, key: str | bytes, value: tuple[int, ...]) -> None:
         if len(key) <= CACHE_LENGTH:
             if len(self.young) >= self.entries:
                 self.old, self.young = self.young, {}
@@ -131,27 +132,38 @@ class Codec:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, entries: int = CACHE_ENTRIES):
         self.ranks, self.entries = ranks, entries
-        self.token = {rank: token for token, rank in ranks.items()}
-        self.decimal = {rank: str(rank) for rank in ranks.values()}
         self.pattern = regex.compile(pattern)
         self.queue = RankQueue(ranks)
-        self.pieces, self.chunks = Cache(entries), Cache(entries)
+        self.chunks = Cache(entries)  # of chunks, and of pre-tokens by their bytes
 
-    def piece(self, piece: str) -> tuple[int, ...]:
+    @cached_property
+    def token(self) -> dict[int, bytes]:
+        return {rank: token for token, rank in self.ranks.items()}
+
+    @cached_property
+    def decimal(self) -> dict[int, str]:
+        return {rank: str(rank) for rank in self.ranks.values()}
+
+    def piece(self, data: bytes) -> tuple[int, ...]:
         """The ids of one pre-token: its own entry if it has one, else merged."""
-        data = piece.encode()
         if data in self.ranks:
             return (self.ranks[data],)
-        ids = self.pieces.young.get(piece) or self.pieces.kept(piece)
+        ids = self.chunks.young.get(data) or self.chunks.kept(data)
         if ids is None:
             ids = tuple(self.queue.merge(data))
-            self.pieces.keep(piece, ids)
+            self.chunks.keep(data, ids)
         return ids
 
     def chunk(self, chunk: str) -> tuple[int, ...]:
         ids = self.chunks.kept(chunk)
         if ids is None:
-            ids = tuple(chain.from_iterable(map(self.piece, self.pattern.findall(chunk))))
+            pieces = self.pattern.findall(chunk)
+            if pieces == [chunk] and len(chunk) <= CACHE_LENGTH:  # remembered as a chunk alone
+                data = chunk.encode()
+                rank = self.ranks.get(data)
+                ids = tuple(self.queue.merge(data)) if rank is None else (rank,)
+            else:
+                ids = tuple(chain.from_iterable(self.piece(p.encode()) for p in pieces))
             self.chunks.keep(chunk, ids)
         return ids
 
@@ -183,16 +195,11 @@ def space_chunks(text: str) -> list[str]:
     return [first, *chunks] if first else chunks
 
 
-_HELD: list[Codec] = []
-
-
 def held_codec(ranks: dict[bytes, int], pattern: str, entries: int = CACHE_ENTRIES) -> Codec:
     """One codec for all tasks that a worker process runs with the same broadcast
-    vocabulary, so the next task finds what the last one cached."""
-    if not (_HELD and _HELD[0].ranks is ranks and _HELD[0].pattern.pattern == pattern
-            and _HELD[0].entries == entries):
-        _HELD[:] = [Codec(ranks, pattern, entries)]
-    return _HELD[0]
+    vocabulary, so the next task finds what the last one cached; a task of another
+    operator frees it."""
+    return kept(("codec", id(ranks), pattern, entries), lambda: Codec(ranks, pattern, entries))
 
 
 def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str,
@@ -207,7 +214,7 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str,
     A null or empty text has no ids.  A null or repeated id is carried along.
     ``pattern`` must give a space to the word behind it (see ``space_chunks``).
     The vocabulary (some 50,000 entries, at most ``MAX_VOCABULARY``) is broadcast.
-    A worker process remembers at most four times ``entries`` results, and hands on
+    A worker process remembers at most twice ``entries`` results, and hands on
     rows when they hold ``IDS_HELD`` ids.
     """
     if len(ranks) > MAX_VOCABULARY:
@@ -233,7 +240,7 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str,
 
     source = docs.select(F.col(id_col), F.col(text_col).cast("string"))
     kind = source.schema[0].dataType.simpleString()
-    return map_batches(source, f"`{id_col}` {kind}, {schema}", start)
+    return map_batches(source, f"`{id_col}` {kind}, {schema}", start, keeps=True)
 
 
 MAX_VOCABULARY = 1_000_000

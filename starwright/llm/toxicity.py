@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starwright.llm.common import fold_of, map_batches
+from starwright.llm.common import fold_of, let_go, map_batches
 
 SAMPLE = 6000
 ORDERS = (3, 4, 5)
@@ -76,6 +76,7 @@ class Model:
 
 def _counts(batches):
     """One row: how many toxic and other documents hold each hashed n-gram."""
+    let_go()
     held = np.zeros((2, 1 << BITS), np.int32)
     n = [0, 0]
     for batch in batches:

@@ -7,7 +7,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from starwright.llm import bpe, mixing
+from starwright.llm import bpe, mixing, toxicity
 from tests.llm.test_operators import brute_components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -78,3 +78,17 @@ def test_toxic_rows_go(spark, tmp_path):
     labels.write.parquet(f"{tmp_path}/labels.parquet")
     got = corpus_pipeline.drop_toxic(spark, spark.createDataFrame(rows, DOCS), str(tmp_path))
     assert _rows(got) == sorted((x for x in rows if "kind" in x[1]), key=str)
+
+
+def test_a_worker_lets_go_of_what_another_stage_kept():
+    table = {bytes([i]): i for i in range(256)}
+    codec = bpe.held_codec(table, P.PATTERN, 4)
+    assert codec.encode("a b, a") == list(b"a b, a")
+    assert bpe.held_codec(table, P.PATTERN, 4) is codec
+    list(toxicity._counts(iter([])))
+    again = bpe.held_codec(table, P.PATTERN, 4)
+    assert again is not codec and bpe.held_codec(table, P.PATTERN, 5) is not again
+    # pre-tokens and chunks share one bound
+    text = " ".join(f"word{i}, end" for i in range(50))
+    assert again.encode(text) == list(text.encode())
+    assert len(again.chunks.young) + len(again.chunks.old) <= 8
