@@ -126,6 +126,15 @@ class Cache:
                 self.old, self.young = self.young, {}
             self.young[key] = value
 
+    def keep_all(self, results: list[tuple]) -> None:
+        """Keeps some results at once, a part of a generation at a time."""
+        part = max(1, self.entries // 16)
+        short = [x for x in results if len(x[0]) <= CACHE_LENGTH]
+        for at in range(0, len(short), part):
+            if len(self.young) + part > self.entries:
+                self.old, self.young = self.young, {}
+            self.young.update(short[at:at + part])
+
 
 class Codec:
     """Encodes and decodes texts by merge ranks (rank = token id)."""
@@ -179,6 +188,7 @@ class Codec:
 
 # A space after white space starts no chunk of its own unless a word follows.
 _JOINED = re.compile(r"\s (?:\s|\Z)")
+one_chunk = _JOINED.search
 
 
 def space_chunks(text: str) -> list[str]:

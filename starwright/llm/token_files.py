@@ -23,9 +23,11 @@ import struct
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyarrow import fs
@@ -46,6 +48,9 @@ INDEX = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("frames", "<u4")])
 # Fixed value: the space byte in the vocabulary of a byte-level tokenizer.
 SPACE_BYTE = "\u0120"
 
+#: Chunks that go to the library as one string, at most, and characters of texts encoded
+#: together (a longer text goes alone).
+TOGETHER, CHARACTERS = 500, 4 << 20
 #: Ids in a frame at most.
 FRAME_IDS = 1 << 22
 LEVEL = 3
@@ -139,11 +144,11 @@ class CachedEncoder:
     def __init__(self, vocabulary: str, entries: int = 600_000):
         from tokenizers import Tokenizer
 
-        from starwright.llm.bpe import Cache, space_chunks
+        from starwright.llm.bpe import Cache, one_chunk, space_chunks
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache, self.chunks = Cache(entries), space_chunks
+        self.cache, self.chunks, self.one_chunk = Cache(entries), space_chunks, one_chunk
         tokens = self.tokenizer.get_vocab()
         self.first = np.zeros(max(tokens.values()) + 1, bool)
         self.first[[i for t, i in tokens.items() if t.startswith(SPACE_BYTE)]] = True
@@ -173,6 +178,51 @@ class CachedEncoder:
             cache.keep(chunk, ids)
         return b"".join([new[c] if x is None else x for c, x in zip(chunks, found, strict=True)])
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; what the texts share is looked up once.  Their chunks go
+        as numbers, so only distinct ones become Python strings."""
+        alone = [any(s in t for s in self.special) or self.one_chunk(t) is not None
+                 for t in texts]
+        split = pc.split_pattern(pa.array(["" if x else t for x, t in zip(alone, texts,
+                                           strict=True)], pa.large_string()), " ")
+        ends = split.offsets.to_numpy()
+        parts = split.flatten().dictionary_encode()
+        number = parts.indices.to_numpy().astype(np.int64)
+        heads = _strings(parts.take(pa.array(ends[:-1])).cast(pa.large_string()))
+        number[ends[:-1]] = len(parts.dictionary) + np.arange(len(texts))   # no space before
+        used = np.zeros(len(parts.dictionary) + len(texts), bool)
+        used[number] = True
+        chunks = [f" {c}" for c in _strings(parts.dictionary)] + heads
+        found = self.looked_up(list(compress(chunks, used.tolist())))
+        lengths = np.zeros(len(used), np.int64)
+        lengths[used] = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids = np.frombuffer(b"".join(found), "<u4")
+        starts = np.cumsum(lengths) - lengths
+        each = lengths[number]
+        until = np.cumsum(each)
+        made = ids[np.repeat(starts[number] - until + each, each) + np.arange(each.sum())]
+        data, bounds = made.tobytes(), 4 * np.concatenate([[0], until])[ends]
+        return [self.encode(t) if x else data[a:b] for x, t, a, b in
+                zip(alone, texts, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+
+    def looked_up(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each of the chunks, an empty one's are none."""
+        found = list(map(self.cache.young.get, chunks))
+        lacking = [k for k, x in enumerate(found) if x is None]
+        if self.cache.old:
+            for k in lacking:
+                found[k] = self.cache.old.get(chunks[k])
+        plain = [k for k in lacking if found[k] is None and (c := chunks[k])[:1] == " "
+                 and c != " " and not c[1].isspace() and " " not in c[1:]]
+        for first in range(0, len(plain), TOGETHER):
+            some = plain[first:first + TOGETHER]
+            for k, ids in zip(some, self.joined([chunks[k] for k in some]), strict=True):
+                found[k] = ids
+        for k in lacking:
+            found[k] = found[k] or (self.whole(chunks[k]) if chunks[k] else b"")
+        self.cache.keep_all([(c, found[k]) for k in lacking if (c := chunks[k])])
+        return found
+
 
 @lru_cache(maxsize=1)
 def cached_encoder(vocabulary: str) -> CachedEncoder:
@@ -181,15 +231,31 @@ def cached_encoder(vocabulary: str) -> CachedEncoder:
     return CachedEncoder(vocabulary)
 
 
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def _groups(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """The first and the last (not included) of texts that are encoded together."""
+    first = size = 0
+    for at, text in enumerate(texts):
+        if at > first and size + len(text or "") > CHARACTERS:
+            yield first, at
+            first, size = at, 0
+        size += len(text or "")
+    if texts:
+        yield first, len(texts)
+
+
 def write_token_files(docs: DataFrame, folder: str, encoder: Callable[[], Callable[[str], bytes]],
                       end_id: int | None = None, id_col: str = "doc_id",
-                      text_col: str = "text") -> DataFrame:
+                      text_col: str = "text", together: bool = False) -> DataFrame:
     """Writes all rows of ``docs`` in ascending ``id_col`` (nulls first, rows of
     one id by text) under ``folder`` and returns the manifest: ``part``,
     ``path``, ``docs``, ``ids`` and ``start``, the ids of all files before it.
 
     ``encoder()`` runs once per task and returns a function from a text to its
-    ids' bytes.  A null text counts as empty; ``end_id`` is appended to each
+    ids' bytes, or with ``together`` from some texts to theirs.  A null text counts as empty; ``end_id`` is appended to each
     document.  Without documents there is no file.  The manifest has a row for
     each file, so it goes through the driver."""
     spark = docs.sparkSession
@@ -198,16 +264,20 @@ def write_token_files(docs: DataFrame, folder: str, encoder: Callable[[], Callab
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, encode, writer, n = TaskContext.get().partitionId(), None, None, 0
         for batch in batches:
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if writer is None:
-                    encode = encoder()
-                    uri = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.zst"
-                    system, path = _file(uri)
-                    system.create_dir(path.rpartition("/")[0], recursive=True)
-                    writer = Writer(system.open_output_stream(path, compression=None))
-                ids = encode(text or "") + end
-                writer.add(doc_id, ids)
-                n += len(ids) // 4
+            keys, texts = (c.to_pylist() for c in batch.columns)
+            if texts and writer is None:
+                made = encoder()
+                encode = made if together else lambda some: list(map(made, some))
+                uri = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.zst"
+                system, path = _file(uri)
+                system.create_dir(path.rpartition("/")[0], recursive=True)
+                writer = Writer(system.open_output_stream(path, compression=None))
+            for first, last in _groups(texts):
+                some = encode([t or "" for t in texts[first:last]])
+                for doc_id, ids in zip(keys[first:last], some, strict=True):
+                    ids += end
+                    writer.add(doc_id, ids)
+                    n += len(ids) // 4
         if writer:
             writer.close()
             writer.out.close()

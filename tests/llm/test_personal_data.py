@@ -92,3 +92,25 @@ def test_encoding_with_small_caches(spark):
     got = bpe.encode_documents(docs, ranks, r"\s?\S+|\s+", entries=3).collect()
     other = bpe.encode_documents(docs, ranks, r"\s?\S+|\s+").collect()
     assert sorted(map(str, got)) == sorted(map(str, other)) and len(got) == 501
+
+
+def test_texts_encoded_together_equal_the_library():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from starwright.llm import token_files
+    vocabulary = open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read()
+    texts = ["", " ", "  ", "a", " a", "a ", "a  b", "a \n b", "\n a", "a　 b", "é ü",
+             "a\n\n  b", "a <|endoftext|> b", "\t", "a\tb c", "   x", "x  y", "\U0001f600 z",
+             "a" * 500 + " b", "word " * 300, *(f"word{i} and word{i + 1}" for i in range(40))]
+    want = [e.ids for e in Tokenizer.from_str(vocabulary).encode_batch_fast(
+        texts, add_special_tokens=False)]
+    for entries in (600_000, 16, 1):
+        encoder = token_files.CachedEncoder(vocabulary, entries)
+        for _ in range(2):
+            got = [token_files.np.frombuffer(x, "<u4").tolist()
+                   for x in encoder.encode_all(texts)]
+            assert got == want
+        assert len(encoder.cache.young) <= entries and len(encoder.cache.old) <= entries
+    assert list(token_files._groups(["a" * token_files.CHARACTERS, None, "b"])) == [(0, 2), (2, 3)]
+    assert list(token_files._groups([])) == []
