@@ -50,7 +50,7 @@ SPACE_BYTE = "\u0120"
 
 #: Chunks that go to the library as one string, at most, and characters of texts encoded
 #: together (a longer text goes alone).
-TOGETHER, CHARACTERS = 500, 4 << 20
+TOGETHER, CHARACTERS = 500, 8 << 20
 #: Ids in a frame at most.
 FRAME_IDS = 1 << 22
 LEVEL = 3
