@@ -1,4 +1,5 @@
-"""op2: every capture beside the right one would show; times of any ordered type."""
+"""op2: every capture beside the right one would show; times of any ordered type; every
+revisit is resolved and written whole."""
 
 import datetime as dt
 
@@ -40,3 +41,37 @@ def test_times_are_timestamps_and_header_names_have_no_case(spark):
            for r in revisits.resolve_revisits(records, "id").collect()}
     assert got == {3: (1, True, {"Server": "s", "etag": "e3"}, "one"),
                    4: (1, True, {"ETag": "e", "Server": "s"}, "one"), 5: (2, False, None, None)}
+
+
+def test_the_query_writes_every_revisit_whole(spark, tmp_dir, monkeypatch):
+    pages = [(i, u, f"<p>\u00e9{i}</p>") for i, u in enumerate(["a.org/x", "a.org/x", "b.org", None])]
+    spark.createDataFrame(pages, "page_id long, url string, html string") \
+        .coalesce(1).write.parquet(f"{tmp_dir}/pages.parquet")
+    tables, write = [], queries.written
+    monkeypatch.setattr(queries, "written", lambda *a: tables.append(write(*a)) or tables[-1])
+    rows = {r.page_id: r.body_chars for r in queries.op2_revisits(spark, tmp_dir).collect()}
+    assert rows == {1: None, 3: 9, 5: 9}
+    (table,) = tables
+    got = {r.page_id: (r.response_id, r.headers, r.body) for r in table.collect()}
+    tag = [r[0] for r in spark.createDataFrame(pages, "i long, u string, html string")
+           .orderBy("i").select(F.md5(F.col("html").cast("binary"))).collect()]
+    stored = {"Content-Type": "text/html", "Content-Length": "10"}
+    assert got == {
+        1: (0, None, None), 7: (None, None, None),  # a changed page, one without a URL
+        3: (2, stored | {"ETag": tag[1], "date": "3", "last-modified": "1"}, pages[1][2]),
+        5: (4, stored | {"etag": tag[2], "date": "5", "last-modified": "2"}, pages[2][2])}
+    # the rows show a merge that takes every header of the 304
+    monkeypatch.setattr(revisits, "PERMITTED", (*revisits.PERMITTED, "content-length"))
+    assert {r.body_chars for r in queries.op2_revisits(spark, tmp_dir).collect()} == {None}
+
+
+def test_captures_without_a_url_are_dealt_out(spark):
+    records = spark.range(100).selectExpr(
+        "id", "if(id < 0, 'a', null) url", "timestamp'2024-01-01' captured_at",
+        "if(id % 2 = 0, 200, 304) status", "'e' etag", "cast(null as string) last_modified",
+        "map('a', 'b') headers", "'x' body")
+    made = revisits.resolve_revisits(records, "id")
+    (dealt,) = [x for x in made._jdf.queryExecution().executedPlan().toString().splitlines()
+                if "Exchange hashpartitioning" in x]
+    assert dealt.count("#") == 2  # by the URL and, without one, the id
+    assert [tuple(r[2:]) for r in made.collect()] == [(None, False, None, None)] * 50
