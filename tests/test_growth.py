@@ -152,3 +152,44 @@ def test_a_profile_deals_out_one_hash_of_a_line(spark):
     some = spark.createDataFrame([("a", None), (None, "a"), ("a", None), ("a", None),
                                   (None, None), (None, None), ("b", None)], "s string, t string")
     assert profile.table_profile("t", some).first().duplicate_rows == 3
+
+
+def test_a_mart_alone_fetches_customers_by_order_and_writes_no_items(spark):
+    wh = Warehouse.from_driver(spark, SMALL, loaded_at="2001-08-04 06:00:00")
+    keys = ["spark.sql.autoBroadcastJoinThreshold",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = [spark.conf.get(k) for k in keys]
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        made = wh._build_mart_sales_details()
+        dealt = [x for x in plan(made).splitlines() if "Exchange hashpartitioning(" in x]
+        assert not {"int_sales_order_items", "mart_sales_details"} & set(wh.materialized)
+        # lines are dealt out by order and by product, orders by customer and by order
+        assert sum("l_orderkey" in x for x in dealt) == 1
+        assert sum("product_id" in x for x in dealt) == 2  # lines and products
+        assert sum("customer_id" in x for x in dealt) == 1  # customers
+        fact = wh.fact_sales
+        assert "int_sales_order_items" in wh.materialized
+        again = wh._build_mart_sales_details()
+        assert again.dtypes == made.dtypes
+        rows = (made.exceptAll(again).count(), again.exceptAll(made).count(), made.count())
+        assert rows == (0, 0, fact.count())
+    finally:
+        for k, v in zip(keys, before, strict=True):
+            spark.conf.set(k, v)
+
+
+def test_orders_keep_their_lines_whatever_their_customer(spark):
+    orders = spark.sql("""
+        SELECT * FROM VALUES (1, 10, 'a'), (2, 11, 'b'), (3, 12, 'c'), (4, NULL, 'd'), (5, 13, 'e')
+        AS t(sales_order_id, customer_id, x)""")
+    customers = spark.sql("""
+        SELECT * FROM VALUES (10, 's', 'p', 'Store with person'), (11, NULL, 'p', 'Person'),
+               (12, NULL, NULL, 'Unknown'), (NULL, 's', 'p', 'Store'), (10, 't', NULL, 'Store')
+        AS t(customer_id, store_name, person_name, customer_type)""")
+    got = star.with_customer(orders, customers)
+    assert got.columns == [*orders.columns, *star.CUSTOMER]
+    assert sorted(map(tuple, got.drop("x").collect()), key=str) == [
+        (1, 10, "s", "Store with person"), (1, 10, "t", "Store"), (2, 11, "p", "Person"),
+        (3, 12, "Unknown", "Unknown"), (4, None, "Unknown", None), (5, 13, "Unknown", None)]
