@@ -393,3 +393,60 @@ def test_parities_bound_the_overlap():
         p, q = (np.frombuffer(jaccard.parities(s), "u8") for s in (x, y))
         apart = int(np.bitwise_count(p ^ q).sum())
         assert len(np.intersect1d(x, y)) <= (len(x) + len(y) - apart) // 2
+
+
+def test_lm_chooses_within_a_class_by_the_state(spark, monkeypatch):
+    """With one class for the whole head, the order of words still matters."""
+    monkeypatch.setattr(gru_lm, "CLASSES", 1)
+    words = [chr(97 + i) for i in range(12)]
+    ahead, back = " ".join(words * 3), " ".join(words[::-1] * 3)
+
+    def scored(rest):
+        df = spark.createDataFrame([(i, rest if i else ahead) for i in range(1200)],
+                                   "doc_id long, text string")
+        return gru_lm.score_documents(df, F.col("doc_id") > 0).where("doc_id = 0").first()
+
+    same, other = scored(ahead), scored(back)
+    assert same.base_score == other.base_score and same.train_tokens == other.train_tokens
+    assert same.score > other.score + 0.5
+
+
+def test_lm_probabilities_of_all_words_sum_to_one():
+    r = np.random.default_rng(4)
+    group = np.array([0] * 5 + [1] * 300 + [2] * gru_lm.ENDINGS + [3])
+    table, odds = gru_lm.trees(group, mass := r.random(len(group)) + 0.01)
+    w = gru_lm.initial(4, np.full(4, 0.25), len(group), odds)
+    every, h = np.arange(len(group)), r.normal(0, 1, gru_lm.HIDDEN).astype(np.float32)
+
+    def chances():
+        logs = gru_lm.within(w, table, every, np.tile(h, (len(every), 1)))
+        logs += gru_lm.log_softmax(w, h[:, None])[group, 0]
+        return np.exp(logs.astype(float))
+
+    shares = mass / np.bincount(group, mass)[group] / 4  # at first those of the corpus
+    assert np.allclose(chances(), shares, rtol=1e-3)
+    for k in ("node", "out"):
+        w[k] += r.normal(0, 1, w[k].shape).astype(np.float32)
+    assert abs(chances().sum() - 1) < 1e-4 and not np.allclose(chances(), shares, rtol=0.1)
+    # the gradient against differences, at words of every class
+    some, states = np.array([0, 4, 7, 200, 700, 1328, 1329]), r.normal(0, 1, (7, gru_lm.HIDDEN))
+    w = {k: v.astype(float) for k, v in w.items()}
+    back, (at, to_node) = gru_lm.within_gradient(w, table, some, states)
+    loss = lambda s=states: -gru_lm.within(w, table, some, s).astype(float).sum()
+    shift = np.zeros_like(states)
+    shift[3, 2] = 1e-2
+    assert abs((loss(states + shift) - loss(states - shift)) / 2e-2 - back[3, 2]) < 1e-3
+    for place in (0, len(at) // 2):
+        w["node"][at[place], 5] += 1e-2
+        up = loss()
+        w["node"][at[place], 5] -= 2e-2
+        assert abs((up - loss()) / 2e-2 - to_node[place, 5]) < 1e-3
+        w["node"][at[place], 5] += 1e-2
+
+
+def test_lm_tells_words_of_the_tail_apart_by_their_ends():
+    words = ["", "a", "ba", "xyzing", "king", "漢", "漢漢", "née", "nee"]
+    got = gru_lm.endings(pa.array(words)).tolist()
+    assert got == gru_lm.endings(pa.array(["skip", *words], pa.large_string())[1:]).tolist()
+    assert got[3] == got[4] and got[5] == got[6] and len(set(got)) == 7
+    assert gru_lm.endings(pa.array([], pa.string())).tolist() == []
