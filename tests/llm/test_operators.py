@@ -450,3 +450,24 @@ def test_lm_tells_words_of_the_tail_apart_by_their_ends():
     assert got == gru_lm.endings(pa.array(["skip", *words], pa.large_string())[1:]).tolist()
     assert got[3] == got[4] and got[5] == got[6] and len(set(got)) == 7
     assert gru_lm.endings(pa.array([], pa.string())).tolist() == []
+
+
+def test_lm_scores_side_by_side_what_each_document_scores_alone():
+    r = np.random.default_rng(3)
+    group = np.array([0] * 5 + [1] * 300 + [2] * gru_lm.ENDINGS + [3])
+    table, odds = gru_lm.trees(group, r.random(len(group)) + 0.01)
+    w = gru_lm.initial(4, np.full(4, 0.25), len(group), odds)
+    for k in ("node", "out"):
+        w[k] += r.normal(0, 1, w[k].shape).astype(np.float32)
+    end = len(group) - 1
+    docs = [r.integers(0, end, k).astype(np.uint16) for k in (0, 1, 31, 32, 33, 300, 5, 9000)]
+    got = gru_lm.likelihoods(w, docs, end, table)
+    assert np.allclose(got, [gru_lm.likelihoods(w, [d], end, table)[0] for d in docs], rtol=1e-5)
+    for d, like in zip(docs[:7], got, strict=False):
+        h, want, before = np.zeros((gru_lm.HIDDEN, 1), np.float32), 0.0, end
+        for x in [*d, end]:
+            h, _ = gru_lm.forward(w, gru_lm.inputs(w, table, np.array([before])), h)
+            want += gru_lm.log_softmax(w, h)[group[x], 0]
+            want += gru_lm.within(w, table, np.array([x]), np.ascontiguousarray(h.T))[0]
+            before = x
+        assert abs(like - want) < 1e-5 * abs(want) + 1e-3
